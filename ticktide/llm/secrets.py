@@ -66,7 +66,7 @@ def labelled_samples(docs: DataFrame, labels: DataFrame, limit: int = SAMPLE_DOC
     return random.unionByName(df.select(F.explode(words).alias("token"), F.lit(False).alias("random")))
 
 
-def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
+def train(samples: DataFrame, smoothing: float = 0.5, prior: float = 4.0) -> list[float]:
     """Log-likelihood ratio of every pair of character classes, random against ordinary.
 
     Returns CLASSES * CLASSES numbers, row by row: a model of fixed size whatever the
@@ -84,11 +84,13 @@ def train(samples: DataFrame, smoothing: float = 0.5) -> list[float]:
         return [0.0] * (CLASSES * CLASSES)
 
     def logs(n: list[float]) -> list[float]:
+        """log P(b | a), each row drawn towards how often b occurs at all."""
+        column = [sum(n[b::CLASSES]) + smoothing for b in range(CLASSES)]
+        overall = [x / sum(column) for x in column]
         out = []
         for r in range(CLASSES):
             row = n[r * CLASSES : (r + 1) * CLASSES]
-            total = sum(row) + smoothing * CLASSES
-            out += [math.log((x + smoothing) / total) for x in row]
+            out += [math.log((x + prior * o) / (sum(row) + prior)) for x, o in zip(row, overall, strict=True)]
         return out
 
     return [x - y for x, y in zip(logs(counts[True]), logs(counts[False]), strict=True)]

@@ -1,14 +1,8 @@
-"""Registered queries and their oracle SQL."""
+"""Registered queries of the engine and their oracle SQL."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from .plans import market_queries, stream_queries, tape_queries
 
-
-def ladder_vwap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_partkey").agg(F.count(F.lit(1)).alias("n"))
-
-
-QUERIES = {"ladder_vwap": ladder_vwap}
-ORACLES: dict[str, str] = {}
+QUERIES = {**tape_queries.QUERIES, **market_queries.QUERIES, **stream_queries.QUERIES}
+ORACLES = {**tape_queries.ORACLES, **market_queries.ORACLES, **stream_queries.ORACLES}

@@ -131,18 +131,150 @@ def digest(docs: DataFrame) -> DataFrame:
     return components(fps).select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, words: int = 3, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of each component of ``docs``: that of the least key, then of the least row number.
+#: Wide fingerprints, for similarities that two bits of 64 can't tell: lanes of 64 bits, and
+#: segments of 16 bits on their ring.
+LANES, SEGMENT = 8, 16
+#: Members of a segment's group up to which all its pairs are compared; larger groups are grown link by link.
+SMALL = 24
 
-    All columns are kept as they are. Only keys and fingerprints are shuffled; the texts
-    are read again for the rows that stay, through the row numbers of a written table.
+
+def wide_fingerprint(text: str | None, words: int) -> bytes:
+    """SimHash of LANES * 64 bits: each shingle's hash is drawn out to as many bits."""
+    parts = (text or "").encode().lower().split()
+    if not parts:
+        return bytes(LANES * 8)
+    joined = b" ".join(parts)
+    n = max(1, len(parts) - words + 1)
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+    ends = np.cumsum(lengths)
+    start, stop = (ends - lengths)[:n].tolist(), (ends[min(words, len(parts)) - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    h = np.array([digest(joined[a:b], 42) for a, b in zip(start, stop, strict=True)], np.uint64)
+    lane = np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    total = np.zeros(LANES * 64, np.int64)
+    for lo in range(0, n, 4096):
+        z = h[lo : lo + 4096, None] + lane
+        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        z ^= z >> np.uint64(31)
+        total += np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return np.packbits(2 * total > n, bitorder="little").tobytes()
+
+
+def bits_for(similarity: float, bits: int = LANES * 64) -> int:
+    """Bits in which two fingerprints differ when the shingles' Jaccard similarity is as given."""
+    cosine = 2 * similarity / (1 + similarity)
+    return round(bits * float(np.arccos(cosine)) / float(np.pi))
+
+
+def _grown(f: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links that join a group as all its pairs within ``most`` bits would, without forming all pairs.
+
+    From a first member the linked ones are reached step by step; each is compared only
+    with those not reached yet, so a dense group of n costs little more than n checks.
+    """
+    a, b, left = [], [], np.arange(len(f))
+    while len(left):
+        front, left = left[:1], left[1:]
+        while len(front) and len(left):
+            step = max(1, 50_000 // len(left))
+            now, front = front[:step], front[step:]
+            near = np.bitwise_count(f[now][:, None, :] ^ f[left][None]).sum(2, dtype=np.int64) <= most
+            hit = near.any(0)
+            a.append(now[near.argmax(0)[hit]])
+            b.append(left[hit])
+            front, left = np.concatenate((front, left[hit])), left[~hit]
+    none = np.zeros(0, np.int64)
+    return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
+
+
+def _linked(key: np.ndarray, f: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links inside the runs of equal keys (sorted): pigeonring chain of two, then the full check."""
+    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    size = np.diff(np.append(edge, len(key)))
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for start, n in zip(edge[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+        x, y = _grown(f[start : start + n], most)
+        a.append(x + start)
+        b.append(y + start)
+    of = np.repeat(size, size)
+    ring = f.view(np.uint16)
+    segments = ring.shape[1]
+    chain = -(-2 * most // segments)  # the proportional budget of two segments, the first of which is equal
+    follow = (key >> SEGMENT) % segments + 1
+    follow[follow == segments] = 0
+    nxt = ring[np.arange(len(key)), follow]
+    for o in range(1, min(SMALL, int(size.max(initial=0)))):
+        i = np.flatnonzero((key[o:] == key[:-o]) & (of[o:] <= SMALL))
+        i = i[np.bitwise_count(nxt[i] ^ nxt[i + o]) <= chain]
+        i = i[np.bitwise_count(f[i] ^ f[i + o]).sum(1, dtype=np.int64) <= most]
+        a.append(i)
+        b.append(i + o)
+    return np.concatenate(a), np.concatenate(b)
+
+
+def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): edges between rows of ``nodes`` (node, fp) whose fingerprints are as similar.
+
+    The ring has a segment per 16 bits. A chain begins with an equal segment: at a
+    similarity of 0.8 about nine in ten pairs have one with a chain in budget, at 0.9
+    nearly all. Rows meet by that segment; a group gives the links that join it, at most
+    one a member, so its pairs are never all emitted.
+    """
+    most, segments = bits_for(similarity), LANES * 64 // SEGMENT
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 4096):
+                part = batch.slice(lo, 4096)
+                ring = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint16).reshape(-1, segments).astype(np.int32)
+                key = (ring + (np.arange(segments, dtype=np.int32) << SEGMENT)).ravel()
+                again = pa.array(np.repeat(np.arange(part.num_rows), segments))
+                yield pa.RecordBatch.from_arrays([pa.array(key), part.column("node").take(again), part.column("fp").take(again)], names=["key", "node", "fp"])
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
+            f = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(-1, LANES)
+            if held is not None:
+                key, node, f = np.concatenate((held[0], key)), np.concatenate((held[1], node)), np.concatenate((held[2], f))
+            cut = int(np.searchsorted(key, key[-1]))  # the last group may go on in the next batch
+            held = (key[cut:], node[cut:], f[cut:])
+            if cut:
+                a, b = _linked(key[:cut], f[:cut], most)
+                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+        if held is not None:
+            a, b = _linked(held[0], held[2], most)
+            yield pa.RecordBatch.from_arrays([pa.array(held[1][a]), pa.array(held[1][b])], names=["a", "b"])
+
+    rows = nodes.select("node", "fp").mapInArrow(keyed, "key int, node long, fp binary")
+    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(joined, "a long, b long").distinct()
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of near copies: that of the least key (null last), then of the least row number.
+
+    Groups are the components of links between word-shingle SimHashes of ``similarity`` or
+    more; equal fingerprints are linked, and so are all texts without a word. All columns
+    are kept as they are. Only keys and fingerprints are shuffled for the links; the texts
+    meet the decision through the row numbers of a written table.
     """
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
-    fps = materialize(fingerprints(rows, words, text, carry=(key, "_row")), "simhash")
-    # the row that stays: its least (key, row number), null keys last
-    ranked = fps.select(F.col("fp"), F.struct(F.col(key).isNull().alias("no_key"), F.col(key).alias("k"), F.col("_row").alias("row")).alias("first"))
-    distinct = materialize(ranked.groupBy("fp").agg(F.min("first").alias("first")), "fps")
-    roots = connected_components(links(distinct.select("fp")), "fp", "rep")
-    named = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("first", F.coalesce("root", "fp").alias("root"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = pa.array([wide_fingerprint(t.as_py(), words) for t in batch.column("_text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_row"), made], names=["_key", "_row", "fp"])
+
+    src = rows.select(rows[key].alias("_key"), "_row", rows[text].alias("_text"))
+    fps = src.mapInArrow(run, T.StructType([*(f for f in src.schema if f.name != "_text"), T.StructField("fp", T.BinaryType())]))
+    first = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("k"), F.col("_row").alias("row"))
+    distinct = materialize(fps.groupBy("fp").agg(F.min(first).alias("first")).withColumn("node", F.col("first.row")), "fps")
+    roots = connected_components(wide_links(distinct, similarity), "a", "b")
+    named = distinct.drop("fp").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
     stay = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
     return rows.join(stay, "_row", "left_semi").select(*docs.columns)

@@ -7,12 +7,13 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Words that carry no identity in a club's name.
 NOISE = ("fc", "cf", "sc", "ac", "afc", "club", "team", "esports", "gaming")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _canonical(text: pd.Series) -> pd.Series:
     def one(x: str | None) -> str | None:
         if x is None:

@@ -18,7 +18,7 @@ def bar_snapshots(df: DataFrame, keys: list[str], at: str, bar: int, max_age: in
         low = F.greatest(low, F.lit(-(-start // bar)))
     if end is not None:
         high = F.least(high, F.lit(end // bar))
-    offered = df.where(low <= high).withColumn("bar", F.explode(F.sequence(low, high)) * bar)
+    offered = df.where(low <= high).withColumn("bar", F.explode(F.transform(F.sequence(low, high), lambda i: i * bar)))
     best = offered.groupBy(*keys, "bar").agg(F.max(F.struct(at, *order, *(v for v in values if v not in {at, *order}))).alias("_b"))
     return best.select(*keys, "bar", *(F.col(f"_b.{v}").alias(v) for v in dict.fromkeys([at, *values])), (F.col("bar") - F.col(f"_b.{at}")).alias("age"))
 

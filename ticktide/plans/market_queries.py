@@ -92,28 +92,28 @@ def terminal_facts(spark, sf_dir):
     return out.withColumn("status", F.when(F.col("cross_venue_events") >= 2, "CONDITIONAL_CROSS_VENUE").when(F.col("qualified_events") < 2, "INSUFFICIENT_DATA").otherwise("NO_SIGNAL"))
 
 
-@query(f"""WITH {TAPE_SQL}, r AS (SELECT event_id, lane, k // 10 AS market, at_us // 60000000 AS at, k AS v FROM tape), d AS (SELECT lane, at, market, min(v) AS v FROM r GROUP BY 1, 2, 3),
-p AS (SELECT a.lane, a.at, a.market, b.market AS pm, b.at AS pa, b.v AS pv, row_number() OVER (PARTITION BY a.lane, a.at, a.market ORDER BY abs(a.at - b.at), b.market, b.at) AS n FROM d a JOIN d b ON a.lane = b.lane AND a.market <> b.market AND abs(a.at - b.at) <= 20000)
-SELECT r.event_id, p.pm AS placebo_market, p.pa AS placebo_at, p.pv AS placebo_value FROM r LEFT JOIN p ON r.lane = p.lane AND r.at = p.at AND r.market = p.market AND p.n = 1""")
+@query(f"""WITH {TAPE_SQL}, r AS (SELECT event_id, lane, k // 10 AS market, at_us // 60000000 AS tt, k AS v FROM tape), d AS (SELECT lane, tt, market, min(v) AS v FROM r GROUP BY 1, 2, 3),
+p AS (SELECT a.lane, a.tt, a.market, b.market AS pm, b.tt AS pa, b.v AS pv, row_number() OVER (PARTITION BY a.lane, a.tt, a.market ORDER BY abs(a.tt - b.tt), b.market, b.tt) AS n FROM d a JOIN d b ON a.lane = b.lane AND a.market <> b.market AND abs(a.tt - b.tt) <= 20000)
+SELECT r.event_id, p.pm AS placebo_market, p.pa AS placebo_at, p.pv AS placebo_value FROM r LEFT JOIN p ON r.lane = p.lane AND r.tt = p.tt AND r.market = p.market AND p.n = 1""")
 def placebo_null(spark, sf_dir):
     t = tape(spark, sf_dir).select("event_id", "lane", F.floor(F.col("k") / 10).cast("int").alias("market"), F.floor(F.col("at_us") / 60000000).alias("at"), F.col("k").alias("v"))
     return baskets.placebos(t, ["lane"], "market", "at", "v").select("event_id", "placebo_market", "placebo_at", "placebo_value")
 
 
 @query("""WITH c AS (SELECT o_orderpriority AS priority, l_suppkey % 4 AS outcome, l_orderkey, min(l_extendedprice / l_quantity) AS cost FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3), g AS (SELECT l_orderkey, count(*) AS n, sum(cost) AS s FROM c GROUP BY l_orderkey)
-SELECT l_orderkey, n = 4 AS feasible, CASE WHEN n = 4 THEN round(s, 4) END AS cover_cost FROM g""")
+SELECT l_orderkey, n = 4 AS feasible, CASE WHEN n = 4 THEN round(s, 1) END AS cover_cost FROM g""")
 def cover_cost(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", (F.col("l_suppkey") % 4).alias("outcome"), (F.col("l_extendedprice") / F.col("l_quantity")).alias("cost"))
-    return ladder.cover_cost(li, ["l_orderkey"], "outcome", "cost", F.lit(4)).withColumn("cover_cost", F.round("cover_cost", 4)).select("l_orderkey", "feasible", "cover_cost")
+    return ladder.cover_cost(li, ["l_orderkey"], "outcome", "cost", F.lit(4)).withColumn("cover_cost", F.round("cover_cost", 1)).select("l_orderkey", "feasible", "cover_cost")
 
 
-ROUTE_SQL = "rt AS (SELECT l_partkey, l_shipdate, l_returnflag AS route, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS rank, round(min(l_extendedprice / l_quantity), 6) AS price FROM lineitem GROUP BY 1, 2, 3, 4), rc AS (SELECT l_partkey, l_returnflag, date_trunc('quarter', l_shipdate) AS q, round(min(l_extendedprice / l_quantity * (1 - l_discount)), 6) AS price FROM lineitem GROUP BY 1, 2, 3), rw AS (SELECT l_partkey, q, l_returnflag AS route, price, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS rank FROM rc), ra AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price, rank) AS lo, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price DESC, rank) AS hi FROM rw), rr AS (SELECT l_partkey, q, max(CASE WHEN lo = 1 THEN route END) AS cheapest, min(price) AS low, max(CASE WHEN hi = 1 THEN route END) AS dearest, max(price) AS high, round(max(price) - min(price), 6) AS spread, count(*) AS routes FROM ra GROUP BY l_partkey, q)"
+ROUTE_SQL = "rc AS (SELECT l_partkey, l_returnflag, date_trunc('quarter', l_shipdate) AS q, round(min(l_extendedprice / l_quantity * (1 - l_discount)), 3) AS price FROM lineitem GROUP BY 1, 2, 3), rw AS (SELECT l_partkey, q, l_returnflag AS route, price, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS rank FROM rc), ra AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price, rank) AS lo, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price DESC, rank) AS hi FROM rw), rr AS (SELECT l_partkey, q, max(CASE WHEN lo = 1 THEN route END) AS cheapest, min(price) AS low, max(CASE WHEN hi = 1 THEN route END) AS dearest, max(price) AS high, round(max(price) - min(price), 6) AS spread, count(*) AS routes FROM ra GROUP BY l_partkey, q)"
 
 
 def routes(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     q = F.trunc(F.col("l_shipdate").cast("date"), "quarter").cast("string")
-    price = F.round(F.min(F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount"))), 6)
+    price = F.round(F.min(F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount"))), 3)
     p = li.groupBy("l_partkey", q.alias("q"), F.col("l_returnflag").alias("route")).agg(price.alias("price"))
     p = p.withColumn("rank", F.when(F.col("route") == "A", 0).when(F.col("route") == "N", 1).otherwise(2))
     return bars.compare_routes(p, ["l_partkey", "q"], "route", "price", "rank").withColumn("spread", F.round("spread", 6))
@@ -194,10 +194,10 @@ def series_space(spark, sf_dir):
 
 # ---- matching, selection
 
-MATCH_SQL = "ev AS (SELECT o_orderkey, o_custkey, o_orderpriority AS venue, epoch_us(o_orderdate) // 1000000 AS at, o_orderstatus AS fmt FROM orders), dv AS (SELECT DISTINCT o_custkey, at FROM ev), cl AS (SELECT o_custkey, min(at) AS anchor FROM dv GROUP BY o_custkey UNION ALL SELECT c.o_custkey, (SELECT min(d.at) FROM dv d WHERE d.o_custkey = c.o_custkey AND d.at > c.anchor + 5184000) FROM cl c WHERE c.anchor IS NOT NULL), me AS (SELECT ev.*, (SELECT max(anchor) FROM cl WHERE cl.o_custkey = ev.o_custkey AND anchor <= ev.at) AS cluster_start FROM ev)"
+MATCH_SQL = "ev AS (SELECT o_orderkey, o_custkey, o_orderpriority AS venue, epoch_us(o_orderdate) // 1000000 AS tt, o_orderstatus AS fmt FROM orders), dv AS (SELECT DISTINCT o_custkey, tt FROM ev), cl AS (SELECT o_custkey, min(tt) AS anchor FROM dv GROUP BY o_custkey UNION ALL SELECT c.o_custkey, (SELECT min(d.tt) FROM dv d WHERE d.o_custkey = c.o_custkey AND d.tt > c.anchor + 5184000) FROM cl c WHERE c.anchor IS NOT NULL), me AS (SELECT ev.*, (SELECT max(anchor) FROM cl WHERE cl.o_custkey = ev.o_custkey AND anchor <= ev.tt) AS cluster_start FROM ev)"
 
 
-@query(f"""WITH RECURSIVE {MATCH_SQL}, g AS (SELECT o_custkey, cluster_start, count(*) AS events, count(DISTINCT venue) AS venues, median(at) AS median_at, count(DISTINCT fmt) AS formats FROM me GROUP BY o_custkey, cluster_start)
+@query(f"""WITH RECURSIVE {MATCH_SQL}, g AS (SELECT o_custkey, cluster_start, count(*) AS events, count(DISTINCT venue) AS venues, median(tt) AS median_at, count(DISTINCT fmt) AS formats FROM me GROUP BY o_custkey, cluster_start)
 SELECT o_custkey, cluster_start, events, venues, median_at, CASE WHEN events > venues THEN 'ambiguous' WHEN formats > 1 THEN 'format_conflict' WHEN venues < 2 THEN 'too_few_venues' END AS reason FROM g""")
 def event_match(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_custkey", F.col("o_orderpriority").alias("venue"), F.floor(epoch_micros("o_orderdate") / 1000000).alias("at"), F.col("o_orderstatus").alias("fmt"))
@@ -237,7 +237,7 @@ def continuity_match(spark, sf_dir):
     return matching.compare_sets(side(2), side(3), ["k"], ["v"])
 
 
-@query("""WITH m AS (SELECT l_orderkey, count(*) AS n, min(l_shipdate) AS at, max(l_suppkey % 20) AS s FROM lineitem GROUP BY l_orderkey), k AS (SELECT l_suppkey % 20 AS s, l_orderkey AS g, count(*) AS n, min(epoch_us(l_shipdate)) AS at FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 2), t AS (SELECT *, sum(n) OVER (PARTITION BY s ORDER BY at, g) AS total FROM k)
+@query("""WITH k AS (SELECT l_suppkey % 20 AS s, l_orderkey AS g, count(*) AS n, min(epoch_us(l_shipdate)) AS tt FROM lineitem GROUP BY 1, 2 HAVING count(*) >= 2), t AS (SELECT *, sum(n) OVER (PARTITION BY s ORDER BY tt, g) AS total FROM k)
 SELECT s, g, n FROM t WHERE total <= 40""")
 def whole_ladders(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select((F.col("l_suppkey") % 20).alias("s"), F.col("l_orderkey").alias("g"), epoch_micros("l_shipdate").alias("at"))

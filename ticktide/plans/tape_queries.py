@@ -52,10 +52,10 @@ TAPE_SQL = "tape AS (SELECT event_id, user_id, event_type AS lane, value, props,
 
 @query(f"""WITH {LEVEL_SQL}, w AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY l_partkey ORDER BY price, l_orderkey, l_linenumber, l_suppkey, size, l_discount ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM lv WHERE size > 0),
 t AS (SELECT l_partkey, price, greatest(0, least(size, 100 - before)) AS take FROM w)
-SELECT l_partkey, sum(take) AS filled, round(sum(take * price), 4) AS notional, round(sum(take * price) / sum(take), 6) AS vwap, sum(take) < 100 AS depth_limited FROM t GROUP BY l_partkey""")
+SELECT l_partkey, sum(take) AS filled, round(sum(take * price), 2) AS notional, round(sum(take * price) / sum(take), 4) AS vwap, sum(take) < 100 AS depth_limited FROM t GROUP BY l_partkey""")
 def ladder_vwap(spark, sf_dir):
     out = ladder.walk(levels(spark, sf_dir), ["l_partkey"], "price", "size", ladder.HEADLINE, LEVEL_ORDER)
-    return out.select("l_partkey", "filled", F.round("notional", 4).alias("notional"), F.round("vwap", 6).alias("vwap"), "depth_limited")
+    return out.select("l_partkey", "filled", F.round("notional", 2).alias("notional"), F.round("vwap", 4).alias("vwap"), "depth_limited")
 
 
 @query(f"""WITH {LEVEL_SQL}, p AS (SELECT *, price / 100000.0 AS q FROM lv), w AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY l_partkey ORDER BY price, l_orderkey, l_linenumber, l_suppkey, size, l_discount ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
@@ -308,7 +308,7 @@ def trust_intervals(spark, sf_dir):
     return trust(spark, sf_dir).select("user_id", "member", "start_ns", "end_ns", "verdict")
 
 
-MARKET_SQL = """ed AS (SELECT DISTINCT user_id, at FROM (SELECT user_id, start_ns AS at FROM ti UNION ALL SELECT user_id, end_ns FROM ti)), se AS (SELECT user_id, at AS s, lead(at) OVER (PARTITION BY user_id ORDER BY at) AS e FROM ed), nm AS (SELECT user_id, count(DISTINCT member) AS members FROM ti GROUP BY user_id),
+MARKET_SQL = """ed AS (SELECT DISTINCT user_id, tt FROM (SELECT user_id, start_ns AS tt FROM ti UNION ALL SELECT user_id, end_ns FROM ti)), se AS (SELECT user_id, tt AS s, lead(tt) OVER (PARTITION BY user_id ORDER BY tt) AS e FROM ed), nm AS (SELECT user_id, count(DISTINCT member) AS members FROM ti GROUP BY user_id),
 wv AS (SELECT se.user_id, s, e, count(*) AS held, max(CASE verdict WHEN 'UNTRUSTED' THEN 2 WHEN 'UNKNOWN' THEN 1 ELSE 0 END) AS worst FROM se JOIN ti ON se.user_id = ti.user_id AND ti.start_ns <= s AND s < ti.end_ns WHERE e IS NOT NULL GROUP BY se.user_id, s, e),
 vv AS (SELECT wv.user_id, s, e, CASE WHEN worst = 2 THEN 'UNTRUSTED' WHEN worst = 1 OR held < members THEN 'UNKNOWN' ELSE 'TRUSTED' END AS verdict FROM wv JOIN nm ON wv.user_id = nm.user_id),
 vi AS (SELECT *, sum(CASE WHEN pe = s AND pv = verdict THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY s) AS i FROM (SELECT *, lag(e) OVER (PARTITION BY user_id ORDER BY s) AS pe, lag(verdict) OVER (PARTITION BY user_id ORDER BY s) AS pv FROM vv)),
@@ -357,8 +357,8 @@ def lifetime_quantiles(spark, sf_dir):
     return intervals.lifetimes(episodes(spark, sf_dir), ["fp"])
 
 
-@query(f"""WITH {TAPE_SQL}, {EPISODE_SQL}, c AS (SELECT event_id AS candidate, at_us AS at, user_id FROM tape WHERE lane = 'purchase'), l AS (SELECT candidate, at, user_id AS leg FROM c UNION ALL SELECT candidate, at, user_id % 7 FROM c), u AS (SELECT * FROM ep WHERE s < e AND fp > 0),
-h AS (SELECT DISTINCT l.candidate, l.at, l.leg, u.e FROM l JOIN u ON l.leg = u.user_id AND u.s <= l.at AND l.at < u.e), n AS (SELECT candidate, count(DISTINCT leg) AS legs FROM l GROUP BY candidate), g AS (SELECT candidate, count(DISTINCT leg) AS held, min(e - at) AS remaining FROM h GROUP BY candidate)
+@query(f"""WITH {TAPE_SQL}, {EPISODE_SQL}, c AS (SELECT event_id AS candidate, at_us AS tt, user_id FROM tape WHERE lane = 'purchase'), l AS (SELECT candidate, tt, user_id AS leg FROM c UNION ALL SELECT candidate, tt, user_id % 7 FROM c), u AS (SELECT * FROM ep WHERE s < e AND fp > 0),
+h AS (SELECT DISTINCT l.candidate, l.tt, l.leg, u.e FROM l JOIN u ON l.leg = u.user_id AND u.s <= l.tt AND l.tt < u.e), n AS (SELECT candidate, count(DISTINCT leg) AS legs FROM l GROUP BY candidate), g AS (SELECT candidate, count(DISTINCT leg) AS held, min(e - tt) AS remaining FROM h GROUP BY candidate)
 SELECT c.candidate, CASE WHEN held = legs THEN remaining END AS remaining, CASE WHEN coalesce(held, 0) <> legs THEN 'NOT_HELD' WHEN remaining > 100000 THEN 'SURVIVED_MINIMUM' ELSE 'TOO_SHORT' END AS status FROM c JOIN n ON c.candidate = n.candidate LEFT JOIN g ON c.candidate = g.candidate""")
 def survival(spark, sf_dir):
     c = tape(spark, sf_dir).where("lane = 'purchase'").select(F.col("event_id").alias("candidate"), F.col("at_us").alias("at"), "user_id")

@@ -46,7 +46,7 @@ def lines(objects: DataFrame) -> DataFrame:
     A segment is bounded by its writer's rotation, so one row holds it. The last line is
     torn if no newline ends it; it is marked, not dropped.
     """
-    text = F.decode("content", F.lit("UTF-8"))
+    text = F.decode("content", "UTF-8")
     parts = F.split(text, "\n", -1)
     out = objects.select("object_key", F.posexplode(parts).alias("_i", "value"), F.size(parts).alias("_n"))
     out = out.where((F.col("_i") < F.col("_n") - 1) | (F.col("value") != ""))
@@ -113,10 +113,13 @@ def sealed_segments(segments: DataFrame, seals: DataFrame) -> DataFrame:
 
 
 def verify_seals(segments: DataFrame, seals: DataFrame) -> DataFrame:
-    """Every segment and every seal with a status: the first check that fails, or sealed."""
+    """Every segment and every seal with a status: the first check that fails, or sealed.
+
+    Spark's file sources pass over empty objects, so a seal of no bytes stands for its own.
+    """
     s = seals.select("object_key", F.col("sha256").alias("_sha"), F.col("byte_length").alias("_len"), F.col("line_count").alias("_lines"), F.lit(True).alias("_seal"))
     status = (
-        F.when(F.col("_seal").isNull(), "unsealed").when(F.col("sha256").isNull(), "absent").when(F.col("length") != F.col("_len"), "length_mismatch")
+        F.when(F.col("_seal").isNull(), "unsealed").when(F.col("sha256").isNull(), F.when(F.col("_len") == 0, "empty_but_sealed").otherwise("absent")).when(F.col("length") != F.col("_len"), "length_mismatch")
         .when(F.col("sha256") != F.col("_sha"), "digest_mismatch").when(F.col("_lines") == 0, "empty_but_sealed").otherwise("sealed")
     )
     return segments.join(s, "object_key", "full").select("object_key", status.alias("status"))
@@ -131,7 +134,7 @@ def validated_segments(manifest: DataFrame, seals: DataFrame, envelopes: DataFra
     n = F.coalesce("_lines", F.lit(0))
     fault = lambda test, name: F.when(F.coalesce(test, F.lit(False)), F.lit(name))
     faults = F.array_compact(F.array(
-        fault(F.col("_sha").isNull(), "absent"), fault(F.col("length") != F.col("byte_length"), "length"), fault(F.col("_sha") != F.col("sha256"), "sha256"), fault(n != F.col("line_count"), "line_count"), fault(F.col("_torn"), "torn_tail"),
+        fault(F.col("_sha").isNull() & (F.col("byte_length") > 0), "absent"), fault(F.col("length") != F.col("byte_length"), "length"), fault(F.col("_sha") != F.col("sha256"), "sha256"), fault(n != F.col("line_count"), "line_count"), fault(F.col("_torn"), "torn_tail"),
         fault(~F.col("first_delivery_index").eqNullSafe(F.col("_d0")) | ~F.col("last_delivery_index").eqNullSafe(F.col("_d1")), "delivery_bounds"),
         fault(~F.col("first_visible_ns").eqNullSafe(F.col("_v0")) | ~F.col("last_visible_ns").eqNullSafe(F.col("_v1")), "visible_bounds"),
         fault((F.col("_v0") < F.col("window_start_ns")) | (F.col("_v1") >= F.col("window_end_ns")), "outside_window"),

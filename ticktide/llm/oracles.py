@@ -1,3 +1,12 @@
 """SQL for those queries of this subpackage that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+#: Escaping as in the chat template: a backslash after the first character of a control string.
+_ESCAPED = r"regexp_replace({0}, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')"
+
+ORACLES: dict[str, str] = {
+    "op3_chat": f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) v(conv_id, turn, role, text)),
+r AS (SELECT *, length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) + length('<s>[INST] ') + length(' [/INST]') + length('</s>') AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS turns FROM t),
+c AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM r),
+g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256, coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '') AS loss, sum(CASE WHEN role = 'assistant' OR i = turns THEN upto END) AS formatted_chars, sum(CASE WHEN role = 'assistant' OR i = turns THEN 1 END) AS n_examples FROM c GROUP BY conv_id)
+SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars, CAST(n_examples AS BIGINT) AS n_examples FROM g""",
+}

@@ -46,7 +46,7 @@ def test_lines_seals_and_manifest(spark, root):
     status = {r.object_key.split("/")[-1]: r.status for r in tape.verify_seals(m, s).collect()}
     assert status == {"seg.ndjson": "sealed", "torn.ndjson": "unsealed", "empty.ndjson": "empty_but_sealed", "gone.ndjson": "absent"}
     assert tape.dataset_hash(m).first() == tape.dataset_hash(m.orderBy(F.desc("object_key"))).first()
-    assert sorted(r.object_key.split("/")[-1] for r in tape.sealed_segments(m, s).collect()) == ["empty.ndjson", "seg.ndjson"]
+    assert sorted(r.object_key.split("/")[-1] for r in tape.sealed_segments(m, s).collect()) == ["seg.ndjson"]
     env = tape.parsed(tape.lines(objects))
     valid = {r.object_key.split("/")[-1]: r.faults for r in tape.validated_segments(m, s, env).collect()}
     assert valid["seg.ndjson"] == [] and valid["empty.ndjson"] == [] and "absent" in valid["gone.ndjson"]

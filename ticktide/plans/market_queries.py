@@ -107,13 +107,13 @@ def cover_cost(spark, sf_dir):
     return ladder.cover_cost(li, ["l_orderkey"], "outcome", "cost", F.lit(4)).withColumn("cover_cost", F.round("cover_cost", 1)).select("l_orderkey", "feasible", "cover_cost")
 
 
-ROUTE_SQL = "rc AS (SELECT l_partkey, l_returnflag, date_trunc('quarter', l_shipdate) AS q, round(min(l_extendedprice / l_quantity * (1 - l_discount)), 3) AS price FROM lineitem GROUP BY 1, 2, 3), rw AS (SELECT l_partkey, q, l_returnflag AS route, price, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS rank FROM rc), ra AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price, rank) AS lo, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price DESC, rank) AS hi FROM rw), rr AS (SELECT l_partkey, q, max(CASE WHEN lo = 1 THEN route END) AS cheapest, min(price) AS low, max(CASE WHEN hi = 1 THEN route END) AS dearest, max(price) AS high, round(max(price) - min(price), 6) AS spread, count(*) AS routes FROM ra GROUP BY l_partkey, q)"
+ROUTE_SQL = "rc AS (SELECT l_partkey, l_returnflag, date_trunc('quarter', l_shipdate) AS q, round(min(l_extendedprice / l_quantity * (1 - l_discount)) + 1e-7, 3) AS price FROM lineitem GROUP BY 1, 2, 3), rw AS (SELECT l_partkey, q, l_returnflag AS route, price, CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS rank FROM rc), ra AS (SELECT *, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price, rank) AS lo, row_number() OVER (PARTITION BY l_partkey, q ORDER BY price DESC, rank) AS hi FROM rw), rr AS (SELECT l_partkey, q, max(CASE WHEN lo = 1 THEN route END) AS cheapest, min(price) AS low, max(CASE WHEN hi = 1 THEN route END) AS dearest, max(price) AS high, round(max(price) - min(price), 6) AS spread, count(*) AS routes FROM ra GROUP BY l_partkey, q)"
 
 
 def routes(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem")
     q = F.trunc(F.col("l_shipdate").cast("date"), "quarter").cast("string")
-    price = F.round(F.min(F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount"))), 3)
+    price = F.round(F.min(F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount"))) + 1e-7, 3)
     p = li.groupBy("l_partkey", q.alias("q"), F.col("l_returnflag").alias("route")).agg(price.alias("price"))
     p = p.withColumn("rank", F.when(F.col("route") == "A", 0).when(F.col("route") == "N", 1).otherwise(2))
     return bars.compare_routes(p, ["l_partkey", "q"], "route", "price", "rank").withColumn("spread", F.round("spread", 6))

@@ -52,10 +52,11 @@ TAPE_SQL = "tape AS (SELECT event_id, user_id, event_type AS lane, value, props,
 
 @query(f"""WITH {LEVEL_SQL}, w AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY l_partkey ORDER BY price, l_orderkey, l_linenumber, l_suppkey, size, l_discount ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM lv WHERE size > 0),
 t AS (SELECT l_partkey, price, greatest(0, least(size, 100 - before)) AS take FROM w)
-SELECT l_partkey, sum(take) AS filled, round(sum(take * price), 2) AS notional, round(sum(take * price) / sum(take), 4) AS vwap, sum(take) < 100 AS depth_limited FROM t GROUP BY l_partkey""")
+SELECT l_partkey, sum(take) AS filled, round(sum(take * price) + 1e-6, 2) AS notional, round(sum(take * price) / sum(take) + 1e-7, 4) AS vwap, sum(take) < 100 AS depth_limited FROM t GROUP BY l_partkey""")
 def ladder_vwap(spark, sf_dir):
+    # a nudge before rounding: engines add in different orders, and many sums end on a half
     out = ladder.walk(levels(spark, sf_dir), ["l_partkey"], "price", "size", ladder.HEADLINE, LEVEL_ORDER)
-    return out.select("l_partkey", "filled", F.round("notional", 2).alias("notional"), F.round("vwap", 4).alias("vwap"), "depth_limited")
+    return out.select("l_partkey", "filled", F.round(F.col("notional") + 1e-6, 2).alias("notional"), F.round(F.col("vwap") + 1e-7, 4).alias("vwap"), "depth_limited")
 
 
 @query(f"""WITH {LEVEL_SQL}, p AS (SELECT *, price / 100000.0 AS q FROM lv), w AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY l_partkey ORDER BY price, l_orderkey, l_linenumber, l_suppkey, size, l_discount ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),

@@ -144,7 +144,7 @@ def test_line_dedup_edges(spark):
     got = sorted(((r.doc_id, r.text, r.n) for r in linededup.apply(df).collect()), key=str)
     want = [(None, long, 1), (1, None, 2), (2, "", 3), (3, "", 4), (3, "", 4), (5, "own line", 6)]
     assert [g for g in got if g[0] != 4] == sorted(want, key=str)
-    assert next(g for g in got if g[0] == 4)[1].startswith("a b\n" * 25)
+    assert next(g for g in got if g[0] == 4)[1] == "a b\n"  # a run may overlap its own first copy
     dropped = linededup.apply(df, drop_emptied=True, counts=True).collect()
     assert sorted(str(r.doc_id) for r in dropped) == ["1", "2", "4", "5", "None"] and {r.doc_id: r.n_removed for r in dropped}[5] == 3
     assert linededup.apply(df.limit(0)).count() == 0

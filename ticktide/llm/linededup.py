@@ -121,7 +121,8 @@ def apply(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
     A run is a sequence of whole lines of ``min_words`` or more words that occurs twice or
     more, in one document or in several. Lines are split at newlines and compared exactly.
     The first copy (least key, null first) stays. Null text stays null, other columns stay
-    as they are, repeated rows count as copies. With ``counts`` the columns n_lines and
+    as they are, repeated rows count as copies. A copy may overlap the first one: of a line
+    that repeats itself often enough in a row, one is left. With ``counts`` the columns n_lines and
     n_removed are added; with ``drop_emptied`` rows that lost all their words go. An empty
     table gives no rows. Columns beginning with an underscore are reserved.
     """

@@ -9,4 +9,21 @@ r AS (SELECT *, length({_ESCAPED.format("role")}) + length({_ESCAPED.format("tex
 c AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY i) AS upto FROM r),
 g AS (SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY i)) AS turns_sha256, coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY i), '') AS loss, sum(CASE WHEN role = 'assistant' OR i = turns THEN upto END) AS formatted_chars, sum(CASE WHEN role = 'assistant' OR i = turns THEN 1 END) AS n_examples FROM c GROUP BY conv_id)
 SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars, CAST(n_examples AS BIGINT) AS n_examples FROM g""",
+    # a word lies in a repeat of n or more words exactly if it lies in an n-word window found twice
+    "op10_quality": r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents), w AS (SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws FROM d),
+p AS (SELECT doc_id, ws, len(ws) AS n, unnest(generate_series(1, len(ws))) AS i FROM w),
+k AS (SELECT doc_id, i, n, CASE WHEN i + 4 <= n THEN array_to_string(ws[i:i + 4], ' ') END AS a, CASE WHEN i + 11 <= n THEN array_to_string(ws[i:i + 11], ' ') END AS b, CASE WHEN i + 200 <= n THEN sha256(array_to_string(ws[i:i + 200], ' ')) END AS c FROM p),
+f AS (SELECT doc_id, i, CASE WHEN a IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, a) > 1 THEN 1 ELSE 0 END AS a, CASE WHEN b IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, b) > 1 THEN 1 ELSE 0 END AS b, CASE WHEN c IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, c) > 1 THEN 1 ELSE 0 END AS c FROM k),
+v AS (SELECT doc_id, max(a) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS a, max(b) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 11 PRECEDING AND CURRENT ROW) AS b, c FROM f),
+g AS (SELECT doc_id, sum(a) AS ra, sum(b) AS rb, max(c) AS c FROM v GROUP BY doc_id),
+l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d), lw AS (SELECT doc_id, count(*) - count(DISTINCT line) AS dup FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+r AS (SELECT w.doc_id, len(ws) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, coalesce(dup, 0) AS n_dup_lines, CAST(coalesce(ra, 0) AS BIGINT) AS n_repeat_words, CASE WHEN len(ws) > 0 THEN coalesce(rb, 0) * 1.0 / len(ws) ELSE 0 END AS covered, coalesce(c, 0) AS over_longest FROM w LEFT JOIN g ON w.doc_id = g.doc_id LEFT JOIN lw ON w.doc_id = lw.doc_id)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, round(covered, 9) AS covered, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND covered <= 0.15 AND over_longest = 0 AS kept FROM r""",
+    # every run of 50 or more words is a union of the shortest such runs that begin or end at one of its lines
+    "op7_linededup": r"""WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents), p AS (SELECT doc_id, ls, unnest(generate_series(1, len(ls))) AS i FROM d),
+w AS (SELECT doc_id, i, ls, ls[i] AS line, len(regexp_extract_all(ls[i], '[^\x20\x09-\x0D]+')) AS n FROM p), c AS (SELECT doc_id, i, n, sum(n) OVER (PARTITION BY doc_id ORDER BY i) AS upto FROM w),
+r AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 50 GROUP BY a.doc_id, a.i), l AS (SELECT b.doc_id, max(a.i) AS s, b.i AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.upto - a.upto + a.n >= 50 GROUP BY b.doc_id, b.i),
+u AS (SELECT * FROM r UNION SELECT * FROM l), k AS (SELECT u.doc_id, s, e, sha256(array_to_string(ls[s:e], chr(10))) AS key FROM u JOIN d ON u.doc_id = d.doc_id), f AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, s) AS no FROM k),
+g AS (SELECT DISTINCT c.doc_id, c.i FROM f JOIN c ON f.doc_id = c.doc_id AND c.i BETWEEN f.s AND f.e WHERE no > 1)
+SELECT w.doc_id, coalesce(string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY w.i), '') AS text, count(*) AS n_lines, count(g.i) AS n_removed FROM w LEFT JOIN g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id""",
 }

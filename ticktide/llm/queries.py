@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import ann, bpe, chat, linededup, mixing, pii, quality, secrets, simhash, tokenfile
 from .common import read, shared_dir
@@ -55,7 +56,8 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.apply(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    judged = quality.apply(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.drop("longest_repeat").withColumn("covered", F.round("covered", 9))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -191,6 +191,19 @@ def test_hash_run_and_anchor(spark):
     assert [r.outcome for r in intervals.check_anchors(ends, anchors, "asset", "h", "book").orderBy("first").collect()] == ["match", "differ"]
 
 
+def test_recovery_resets_the_book(spark):
+    ev = [("a", 1, "book", "bid", 1.0, 5.0, "h1"), ("a", 2, "delta", "bid", 2.0, 3.0, "h2"), ("a", 3, "delta", "bid", 3.0, 1.0, "h2"), ("a", 4, "delta", "bid", 4.0, 9.0, "h3"), ("a", 5, "delta", "bid", 4.0, 8.0, "h4")]
+    events = spark.createDataFrame(ev, "asset string, pos long, kind string, side string, price double, size double, h string")
+    shots = [("a", "h2", "s1", 10, "bid", 7.0, 7.0), ("a", "h3", "s2", 11, "bid", 8.0, 1.0), ("a", "h3", "s3", 12, "bid", 8.0, 2.0)]
+    anchors = spark.createDataFrame(shots, "asset string, h string, anchor string, seen_at long, side string, price double, size double")
+    lv = intervals.book_levels(intervals.with_recoveries(events, anchors, "asset", "pos", "h"), "asset", "pos", "kind", "side", "price", "size")
+    points = spark.createDataFrame([("a", p) for p in (4, 6, 7, 8, 10)], "asset string, pos long")
+    got = {}
+    for r in intervals.book_at(lv, points, "asset", "pos").collect():
+        got.setdefault(r.pos, {})[r.price] = r.size
+    assert got == {4: {1.0: 5.0, 2.0: 3.0}, 6: {1.0: 5.0, 2.0: 3.0, 3.0: 1.0}, 7: {7.0: 7.0}, 8: {7.0: 7.0, 4.0: 9.0}, 10: {7.0: 7.0, 4.0: 8.0}}
+
+
 def test_trust_close_ends_the_interval(spark):
     s = spark.createDataFrame([("a", 10, 1, "open", "UNKNOWN"), ("a", 10, 2, "state", "TRUSTED"), ("a", 20, 1, "close", "TRUSTED"), ("a", 30, 1, "open", "UNKNOWN")], "a string, t long, p int, x string, v string")
     assert rows(intervals.trust_intervals(s, "a", "t", "p", "x", "v", 40), "start_ns") == [("a", 10, 20, "TRUSTED"), ("a", 30, 40, "UNKNOWN")]

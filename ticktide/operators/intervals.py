@@ -47,6 +47,26 @@ def hash_runs(events: DataFrame, asset: str, pos: str, state_hash: str) -> DataF
     return marked.where(F.col(state_hash).isNotNull()).groupBy(asset, state_hash, "run").agg(F.min(pos).alias("first"), F.max(pos).alias("last"), F.count(F.lit(1)).alias("n"))
 
 
+def with_recoveries(events: DataFrame, anchors: DataFrame, asset: str, pos: str, state_hash: str) -> DataFrame:
+    """Level rows with a full book put in where a hash run ends on a known snapshot.
+
+    ``events`` (asset, pos, kind, side, price, size, state_hash), ``anchors`` (asset,
+    state_hash, anchor, seen_at, side, price, size) with one row per level of snapshot
+    ``anchor``. At the end of a run whose (asset, hash) has snapshots that agree, the first
+    snapshot's ladder becomes a book just after the run's last event; snapshots that
+    disagree never recover. Positions are doubled, so a recovery stands at an odd one.
+    All resets are known from the rows alone, so ``book_levels`` needs no fold.
+    """
+    one = events.groupBy(asset, pos).agg(F.max(state_hash).alias(state_hash))
+    ends = hash_runs(one, asset, pos, state_hash).select(asset, state_hash, F.col("last"))
+    ladder = F.array_sort(F.collect_list(F.struct("side", "price", "size")))
+    shots = anchors.groupBy(asset, state_hash, "anchor").agg(F.min("seen_at").alias("_seen"), ladder.alias("_ladder"))
+    usable = shots.groupBy(asset, state_hash).agg(F.min_by("_ladder", "_seen").alias("_ladder"), F.count_distinct("_ladder").alias("_n")).where("_n = 1")
+    put = ends.join(usable, [asset, state_hash]).select(asset, (2 * F.col("last") + 1).alias(pos), F.lit("book").alias("kind"), F.explode("_ladder").alias("_l"))
+    put = put.select(asset, pos, "kind", "_l.side", "_l.price", "_l.size")
+    return events.select(asset, (2 * F.col(pos)).alias(pos), "kind", "side", "price", "size").unionByName(put)
+
+
 def check_anchors(run_ends: DataFrame, anchors: DataFrame, asset: str, state_hash: str, ladder: str) -> DataFrame:
     """Ends of hash runs against the independent snapshot of the same (asset, hash).
 

@@ -384,3 +384,16 @@ def test_carry_forward_keeps_stale_but_complete(spark):
 def test_capture_window_period(spark):
     with pytest.raises(ValueError):
         windows.capture_window(F.lit(1), 7)
+
+
+def test_crossing_prefers_the_lesser_instrument_and_counts_fees(spark):
+    from ticktide.operators import crossing
+
+    q = spark.createDataFrame([("c", 1, "i2", "v", 0.60, 0.64, 1), ("c", 1, "i1", "w", 0.60, 0.61, 2), ("c", 1, "i3", "v", 0.50, 0.55, 9), ("c", 2, "i1", "w", 0.4, 0.45, 1)], "k string, bar long, instrument string, venue string, bid double, ask double, age long")
+    bars_ = crossing.crossing_bars(q, ["k"], "bar", ladder.flat_leg_fee(F.col("venue"), F.col("price"), "v"))
+    r = bars_.where("bar = 1").first()
+    assert (r.sell, r.buy, r.skew, r.same_venue) == ("i1", "i3", 9, False)
+    assert r.crossing == pytest.approx(0.05) and r.net_crossing == pytest.approx(0.05 - 0.07 * 0.55 * 0.45)
+    rec = crossing.crossing_records(bars_, ["k"]).first()
+    assert (rec.bars, rec.bars_crossed, rec.xv_net, rec.xv_net_fresh) == (2, 1, 1, 0)
+    assert crossing.survivors(bars_, 5).count() == 0

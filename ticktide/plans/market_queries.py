@@ -314,3 +314,37 @@ def canonical_names(spark, sf_dir):
 def reason_histogram(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     return suites.reason_histogram(o, F.array(F.col("o_orderpriority")), F.col("o_orderstatus") == "O", F.lit(None).cast("string"))
+
+
+# ---- crossed quotes: a part is a class, its quarter a bar, its suppliers are instruments of three venues
+
+QUOTE_SQL = """qa AS (SELECT l_partkey AS class, date_trunc('year', l_shipdate) AS bar, l_suppkey AS instrument, round(min(l_extendedprice / l_quantity * (1 - l_discount)) / 2100.0, 6) AS bid, max(l_tax) AS t, max(l_linenumber) AS age FROM lineitem GROUP BY 1, 2, 3),
+qu AS (SELECT class, epoch_us(bar) // 86400000000 AS bar, instrument, CASE instrument % 3 WHEN 0 THEN 'a' WHEN 1 THEN 'b' ELSE 'c' END AS venue, bid, round(bid + 0.004 + t / 4, 6) AS ask, age FROM qa),
+qb AS (SELECT *, row_number() OVER (PARTITION BY class, bar ORDER BY bid DESC, instrument) AS rb, row_number() OVER (PARTITION BY class, bar ORDER BY ask, instrument) AS ra FROM qu),
+cb AS (SELECT class, bar, max(CASE WHEN ra = 1 THEN instrument END) AS buy, max(CASE WHEN rb = 1 THEN instrument END) AS sell, max(CASE WHEN ra = 1 THEN venue END) AS bv, max(CASE WHEN rb = 1 THEN venue END) AS sv, max(CASE WHEN ra = 1 THEN ask END) AS ap, max(CASE WHEN rb = 1 THEN bid END) AS bp, max(CASE WHEN ra = 1 THEN ask - bid END) AS width, max(age) AS skew, max((bid + ask) / 2) - min((bid + ask) / 2) AS mid_spread, max(ask - bid) AS widest_book, count(*) AS routes FROM qb GROUP BY class, bar),
+cx AS (SELECT class, bar, buy, sell, bp - ap AS crossing, bp - ap - CASE WHEN bv = 'a' THEN 0.07 * ap * (1 - ap) ELSE 0 END - CASE WHEN sv = 'a' THEN 0.07 * bp * (1 - bp) ELSE 0 END AS net_crossing, bv = sv AS same_venue, width, skew, mid_spread, widest_book, routes FROM cb WHERE routes > 1)"""
+
+
+def crossed(spark, sf_dir):
+    from ..operators import crossing
+
+    li = table(spark, sf_dir, "lineitem")
+    bar = F.floor(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', CAST(date_trunc('YEAR', CAST(l_shipdate AS DATE)) AS TIMESTAMP_NTZ))") / 86400000000)
+    q = li.groupBy(F.col("l_partkey").alias("class"), bar.alias("bar"), F.col("l_suppkey").alias("instrument")).agg(F.round(F.min(F.col("l_extendedprice") / F.col("l_quantity") * (1 - F.col("l_discount"))) / 2100.0, 6).alias("bid"), F.max("l_tax").alias("t"), F.max("l_linenumber").alias("age"))
+    q = q.withColumn("venue", F.when(F.col("instrument") % 3 == 0, "a").when(F.col("instrument") % 3 == 1, "b").otherwise("c")).withColumn("ask", F.round(F.col("bid") + 0.004 + F.col("t") / 4, 6))
+    return crossing.crossing_bars(q, ["class"], "bar", ladder.flat_leg_fee(F.col("venue"), F.col("price"), "a")).where("routes > 1")
+
+
+@query(f"WITH {QUOTE_SQL} SELECT class, bar, buy, sell, round(crossing + 1e-9, 5) AS crossing, round(net_crossing + 1e-9, 5) AS net_crossing, same_venue, round(width + 1e-9, 5) AS buy_leg_width, skew, round(mid_spread + 1e-9, 5) AS mid_spread, round(widest_book + 1e-9, 5) AS widest_book, routes FROM cx")
+def crossing_bars(spark, sf_dir):
+    r = lambda c: F.round(F.col(c) + 1e-9, 5).alias(c)
+    return crossed(spark, sf_dir).select("class", "bar", "buy", "sell", r("crossing"), r("net_crossing"), "same_venue", r("buy_leg_width"), "skew", r("mid_spread"), r("widest_book"), "routes")
+
+
+@query(f"""WITH {QUOTE_SQL}, r AS (SELECT class, round(median(crossing), 5) AS crossing_median, count(*) AS bars, count(*) FILTER (crossing > 0) AS bars_crossed, count(*) FILTER (net_crossing > 0) AS bars_net_crossed, count(*) FILTER (skew <= 5) AS bars_fresh, count(*) FILTER (net_crossing > 0 AND NOT same_venue AND skew <= 5) AS xv_net_fresh FROM cx GROUP BY class)
+SELECT count(*) AS classes, CAST(sum(bars) AS BIGINT) AS bars, CAST(sum(bars_crossed) AS BIGINT) AS bars_crossed, CAST(sum(bars_net_crossed) AS BIGINT) AS bars_net_crossed, CAST(sum(bars_fresh) AS BIGINT) AS bars_fresh, CAST(sum(xv_net_fresh) AS BIGINT) AS xv_net_fresh, round(sum(bars_crossed) * 1.0 / sum(bars), 6) AS crossing_rate FROM r""")
+def crossing_totals(spark, sf_dir):
+    from ..operators import crossing
+
+    out = crossing.crossing_totals(crossing.crossing_records(crossed(spark, sf_dir), ["class"]))
+    return out.select("classes", "bars", "bars_crossed", "bars_net_crossed", "bars_fresh", "xv_net_fresh", F.round("crossing_rate", 6).alias("crossing_rate"))

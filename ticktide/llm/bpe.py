@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from .chunks import ChunkEncoder, Ids, gather, in_slices, starts_of
+from .common import free_name
 
 NO_RANK = np.int32(2**31 - 1)
 #: Widest row of a matrix, in bytes. A longer piece merges by the same rule with a queue.
@@ -231,17 +232,19 @@ def apply(docs: DataFrame, ranks_file: str, pattern: str, outputs: tuple[str, ..
     """The columns ``carry`` and the named OUTPUTS of each whole text, one row per row.
 
     ``decoded`` is decoded from the ids. Null text counts as empty and gives no ids;
-    special tokens' strings are ordinary text. The ranks file is read once, on the
+    special tokens' strings are ordinary text. A carried column that has the name of an output gives way to it. The ranks file is read once, on the
     driver; its content (one vocabulary, of fixed size) goes to the workers.
     """
     with open(ranks_file, "rb") as f:
         content = docs.sparkSession.sparkContext.broadcast(f.read())
     kinds = [OUTPUTS[o][1] for o in outputs]
+    carry = tuple(c for c in carry if c not in outputs)
+    work = free_name(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(content.value, pattern)
         for batch in batches:
-            texts = [x or "" for x in batch.column("_text").to_pylist()]
+            texts = [x or "" for x in batch.column(work).to_pylist()]
             for lo, hi in in_slices(texts):
                 ids = bpe.encode_batch(texts[lo:hi])
                 back = bpe.decode_batch(ids) if any(o.startswith("decoded") for o in outputs) else []
@@ -253,5 +256,5 @@ def apply(docs: DataFrame, ranks_file: str, pattern: str, outputs: tuple[str, ..
                 cols = [pa.array(made[o](), k) for o, k in zip(outputs, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c).slice(lo, hi - lo) for c in carry), *cols], names=[*carry, *outputs])
 
-    df = docs.select(*carry, docs[text].alias("_text"))
-    return df.mapInArrow(run, T.StructType([*(f for f in df.schema if f.name != "_text"), *(T.StructField(o, OUTPUTS[o][0]) for o in outputs)]))
+    df = docs.select(*carry, docs[text].alias(work))
+    return df.mapInArrow(run, T.StructType([*(f for f in df.schema if f.name != work), *(T.StructField(o, OUTPUTS[o][0]) for o in outputs)]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +50,24 @@ def text_of(column: str | Column = "text") -> Column:
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
 
 
+def set_aside(docs: DataFrame, *needed: str) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all other columns under neutral names, and what gives the names back.
+
+    So a column of the input may have any name, also one that an operator works with.
+    """
+    names = {c: f"_{i}_aside" for i, c in enumerate(docs.columns) if c not in needed}
+    back = {v: k for k, v in names.items()}
+    return docs.withColumnsRenamed(names), lambda out: out.withColumnsRenamed(back)
+
+
+def free_name(taken: tuple[str, ...], base: str = "_text") -> str:
+    """A column name that none of ``taken`` is."""
+    lowered = {c.lower() for c in taken}
+    while base in lowered:
+        base += "_"
+    return base
+
+
 def count_words(text: Column) -> Column:
     """Number of words (``WORD``) as a long; built-in functions only."""
     return F.regexp_count(text, F.lit(WORD)).cast("long")

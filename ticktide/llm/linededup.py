@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import materialize, set_aside
 
 #: Words of a repeated run from which on its later copies are deleted.
 MIN_WORDS = 50
@@ -124,8 +124,10 @@ def apply(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
     as they are, repeated rows count as copies. A copy may overlap the first one: of a line
     that repeats itself often enough in a row, one is left. With ``counts`` the columns n_lines and
     n_removed are added; with ``drop_emptied`` rows that lost all their words go. An empty
-    table gives no rows. Columns beginning with an underscore are reserved.
+    table gives no rows. Other columns may have any names; those of ``counts`` replace
+    columns of the same name.
     """
+    docs, named = set_aside(docs.drop("n_lines", "n_removed") if counts else docs, key, text)
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
     gone = later_copies(rows, key, text, min_words).groupBy("_row").agg(F.collect_set(F.struct("start", "length")).alias("_gone"))
     joined = rows.join(gone, "_row", "left").drop("_row")
@@ -155,7 +157,7 @@ def apply(docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: i
             made = pa.RecordBatch.from_arrays(cols, names=[f.name for f in [*kept, *extra]])
             yield made if all(stay) else made.filter(pa.array(stay))
 
-    return joined.mapInArrow(run, T.StructType([*kept, *extra]))
+    return named(joined.mapInArrow(run, T.StructType([*kept, *extra])))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, materialize, text_of
+from .common import count_words, materialize, set_aside, text_of
 
 #: Weights of the sources in code-point order, repeating; a target's limit in source sizes.
 WEIGHTS = (5, 2, 1)
@@ -113,11 +113,14 @@ def digest(docs: DataFrame, labels: DataFrame | None) -> DataFrame:
 def resample(docs: DataFrame, labels: DataFrame | None, weights: tuple = WEIGHTS, limit: float = MAX_EPOCHS) -> DataFrame:
     """``docs`` as the mix takes them: each row as often as its words are taken, whole rows only.
 
-    Columns and texts stay as they are. The text is hashed and counted once; texts meet
+    Columns and texts stay as they are, whatever their names. Rows without a word are
+    never taken; an empty table gives no rows. The text is hashed and counted once; texts meet
     the decisions through the row numbers of a written table.
     """
+    columns = docs.columns
+    docs, named = set_aside(docs, "doc_id", "source", "text")
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
     slim = materialize(keyed(rows, labels, extra=("_row",)), "mix")
     taken = mix(slim, weights, limit, split_last=False, extra=("_row",)).where("taken > 0").select("_row", F.floor(F.col("taken") / F.col("size")).cast("int").alias("_times"))
     repeated = rows.join(taken, "_row").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times"))))
-    return repeated.select(*docs.columns)
+    return named(repeated.select(*docs.columns)).select(*columns)

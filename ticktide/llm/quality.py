@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .common import free_name
+
 WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -144,19 +146,19 @@ def apply(docs: DataFrame, text: str = "text", carry: tuple[str, ...] = ("doc_id
     ``kept`` is false for a text with under ten words, with over a fifth of its words in
     repeated five-word windows, with more than ``max_covered`` of its words in repeats of
     LONG or more words, or with a repeat longer than ``max_longest`` words. Repeated rows
-    are judged alike; an empty table gives no rows.
+    are judged alike; an empty table gives no rows. A carried column that has the name of a
+    result gives way to it.
     """
     names = [f.name for f in FIELDS]
-    clash = set(names) & set(carry)
-    if clash:
-        raise ValueError(f"columns {sorted(clash)} carry names of results")
+    carry = tuple(c for c in carry if c not in names)
+    work = free_name(carry)
     kinds = [pa.int64()] * 5 + [pa.float64(), pa.int64(), pa.bool_(), pa.bool_()]
 
     def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [judge(x.as_py(), max_covered, max_longest) for x in batch.column("_text")]
+            rows = [judge(x.as_py(), max_covered, max_longest) for x in batch.column(work)]
             cols = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)] if rows else [pa.array([], k) for k in kinds]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), *cols], names=[*carry, *names])
 
-    df = docs.select(*carry, docs[text].alias("_text"))
-    return df.mapInArrow(judged, T.StructType([*(f for f in df.schema if f.name != "_text"), *FIELDS]))
+    df = docs.select(*carry, docs[text].alias(work))
+    return df.mapInArrow(judged, T.StructType([*(f for f in df.schema if f.name != work), *FIELDS]))

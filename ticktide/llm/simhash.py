@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize
+from .common import free_name, materialize, set_aside
 from .components import connected_components
 
 BITS = 64
@@ -50,13 +50,16 @@ def fingerprint(text: str | None, words: int = 3) -> int:
 def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``carry`` and ``fp``, the fingerprint as a signed long, one row per row."""
 
+    carry = tuple(c for c in carry if c != "fp")
+    work = free_name(carry)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = np.array([fingerprint(t.as_py(), words) for t in batch.column("_text")], np.uint64).view(np.int64)
+            made = np.array([fingerprint(t.as_py(), words) for t in batch.column(work)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in carry), pa.array(made)], names=[*carry, "fp"])
 
-    df = docs.select(*carry, docs[text].alias("_text"))
-    return df.mapInArrow(run, T.StructType([*(f for f in df.schema if f.name != "_text"), T.StructField("fp", T.LongType())]))
+    df = docs.select(*carry, docs[text].alias(work))
+    return df.mapInArrow(run, T.StructType([*(f for f in df.schema if f.name != work), T.StructField("fp", T.LongType())]))
 
 
 def _segment(fp: Column, i: int) -> Column:
@@ -261,8 +264,11 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str
     Groups are the components of links between word-shingle SimHashes of ``similarity`` or
     more; equal fingerprints are linked, and so are all texts without a word. All columns
     are kept as they are. Only keys and fingerprints are shuffled for the links; the texts
-    meet the decision through the row numbers of a written table.
+    meet the decision through the row numbers of a written table. Other columns may have
+    any names and types.
     """
+    columns = docs.columns
+    docs, named = set_aside(docs, key, text)
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,6 +281,6 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str
     first = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("k"), F.col("_row").alias("row"))
     distinct = materialize(fps.groupBy("fp").agg(F.min(first).alias("first")).withColumn("node", F.col("first.row")), "fps")
     roots = connected_components(wide_links(distinct, similarity), "a", "b")
-    named = distinct.drop("fp").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
-    stay = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
-    return rows.join(stay, "_row", "left_semi").select(*docs.columns)
+    grouped = distinct.drop("fp").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
+    stay = grouped.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
+    return named(rows.join(stay, "_row", "left_semi").select(*docs.columns)).select(*columns)

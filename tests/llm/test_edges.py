@@ -11,7 +11,7 @@ CLASH = ["_row", "_text", "_key", "fp", "kept", "n_words", "covered", "pii", "se
 
 @pytest.fixture(scope="module")
 def odd(spark):
-    long = " ".join(f"w{i % 977}x{i % 31}" for i in range(30_000))
+    long = " ".join(f"w{i % 977}x{i % 31}" for i in range(8_000))
     text = " ".join(f"plain{i}" for i in range(80))
     rows = [(1, text, "en", "a", 1), (1, text, "en", "a", 1), (2, None, None, None, None), (3, "", "en", "", 0), (None, text + " more", "en", "b", 2), (4, long, "de", "b", 3), (5, " \n\t ", "de", "b", 3), (6, "é😀 " * 40, "fr", "c", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -26,7 +26,7 @@ BLOCK_IDS = 1_000_000
 #: A pair becomes a rule from this many occurrences in its block; rounds of replacement.
 MIN_PAIRS, ROUNDS = 32, 3
 #: Pieces that a worker remembers.
-REMEMBERED = 700_000
+REMEMBERED = 450_000
 #: Symbols between two entries of the random-access index.
 STRIDE = 1024
 BLOCK = "shard int, block int, base int, doc_key binary, sizes binary, rules binary, expansion binary, symbols binary, stretch binary, n_ids long, n_docs long"
@@ -192,7 +192,7 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id:
 
         for batch in batches:
             texts = batch.column("_text").to_pylist()
-            for lo, hi in in_slices(texts):
+            for lo, hi in in_slices(texts, 8_000_000):
                 flat, lengths = encode(texts[lo:hi])
                 ends = starts_of(lengths) + lengths
                 flat = np.insert(flat, ends, end_id)

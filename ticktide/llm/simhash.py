@@ -4,11 +4,15 @@ The fingerprint's bits form a ring of SEGMENTS segments. If two fingerprints dif
 most ``t`` bits, some segment begins a chain in which the first l segments differ in at
 most l * t / SEGMENTS bits, for every l. Chains of one and of two segments decide which
 fingerprints have a candidate at all; only those reach the full check.
+
+``keep_one`` links by the exact Jaccard similarity of shingle sets instead: candidates by
+shared prefixes of the ordered sets, then the sets themselves.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -134,40 +138,8 @@ def digest(docs: DataFrame) -> DataFrame:
     return components(fps).select("doc_id", hexadecimal(F.col("fp")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-#: Wide fingerprints, for similarities that two bits of 64 can't tell: lanes of 64 bits, and
-#: segments of 16 bits on their ring.
-LANES, SEGMENT = 8, 16
-#: Members of a segment's group up to which all its pairs are compared; larger groups are grown link by link.
-SMALL = 24
-
-
-def wide_fingerprint(text: str | None, words: int) -> bytes:
-    """SimHash of LANES * 64 bits: each shingle's hash is drawn out to as many bits."""
-    parts = (text or "").encode().lower().split()
-    if not parts:
-        return bytes(LANES * 8)
-    joined = b" ".join(parts)
-    n = max(1, len(parts) - words + 1)
-    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
-    ends = np.cumsum(lengths)
-    start, stop = (ends - lengths)[:n].tolist(), (ends[min(words, len(parts)) - 1 :] - 1).tolist()
-    digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], 42) for a, b in zip(start, stop, strict=True)], np.uint64)
-    lane = np.arange(1, LANES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    total = np.zeros(LANES * 64, np.int64)
-    for lo in range(0, n, 4096):
-        z = h[lo : lo + 4096, None] + lane
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z ^= z >> np.uint64(31)
-        total += np.unpackbits(z.view(np.uint8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return np.packbits(2 * total > n, bitorder="little").tobytes()
-
-
-def bits_for(similarity: float, bits: int = LANES * 64) -> int:
-    """Bits in which two fingerprints differ when the shingles' Jaccard similarity is as given."""
-    cosine = 2 * similarity / (1 + similarity)
-    return round(bits * float(np.arccos(cosine)) / float(np.pi))
+#: Wide fingerprints: lanes of 64 bits.
+LANES = 8
 
 
 def _grown(f: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -191,96 +163,297 @@ def _grown(f: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(a), np.concatenate(b)) if a else (none, none)
 
 
-def _linked(key: np.ndarray, f: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links inside the runs of equal keys (sorted): pigeonring chain of two, then the full check."""
-    edge = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    size = np.diff(np.append(edge, len(key)))
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for start, n in zip(edge[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-        x, y = _grown(f[start : start + n], most)
-        a.append(x + start)
-        b.append(y + start)
-    of = np.repeat(size, size)
-    ring = f.view(np.uint16)
-    segments = ring.shape[1]
-    chain = -(-2 * most // segments)  # the proportional budget of two segments, the first of which is equal
-    follow = (key >> SEGMENT) % segments + 1
-    follow[follow == segments] = 0
-    nxt = ring[np.arange(len(key)), follow]
-    for o in range(1, min(SMALL, int(size.max(initial=0)))):
-        i = np.flatnonzero((key[o:] == key[:-o]) & (of[o:] <= SMALL))
-        i = i[np.bitwise_count(nxt[i] ^ nxt[i + o]) <= chain]
-        i = i[np.bitwise_count(f[i] ^ f[i + o]).sum(1, dtype=np.int64) <= most]
-        a.append(i)
-        b.append(i + o)
-    return np.concatenate(a), np.concatenate(b)
-
-
-def wide_links(nodes: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): edges between rows of ``nodes`` (node, fp) whose fingerprints are as similar.
-
-    The ring has a segment per 16 bits. A chain begins with an equal segment: at a
-    similarity of 0.8 about nine in ten pairs have one with a chain in budget, at 0.9
-    nearly all. Rows meet by that segment; a group gives the links that join it, at most
-    one a member, so its pairs are never all emitted.
+def shingles(text: str | None, words: int) -> np.ndarray:
+    """The distinct hashes of the lower-cased text's word shingles, sorted; none without words."""
+    parts = (text or "").encode().lower().split()
+    if not parts:
+        return np.zeros(0, np.uint64)
+    joined = b" ".join(parts)
+    n = max(1, len(parts) - words + 1)
+    lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+    ends = np.cumsum(lengths)
+    start, stop = (ends - lengths)[:n].tolist(), (ends[min(words, len(parts)) - 1 :] - 1).tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.array([digest(joined[a:b], 42) for a, b in zip(start, stop, strict=True)], np.uint64))
+
+
+def least_overlap(size: np.ndarray | int, similarity: float) -> np.ndarray:
+    """Shingles that a set of ``size`` shares at least with any set as similar."""
+    return np.ceil(np.asarray(size) * similarity - 1e-9).astype(np.int64)
+
+
+#: Documents sampled to find common shingles, and common shingles told apart. Both set an order only, never a result.
+SAMPLED, COMMON = 8192, 20_000
+#: Rows of a token's group that are compared in one cell; pairs compared at once.
+CELL, AT_ONCE = 2048, 1_000_000
+
+
+def _common(rows: DataFrame, words: int, text: str) -> np.ndarray:
+    """Hashes of the shingles most common in a sample, most common last."""
+    share = max(1, rows.count() // SAMPLED)
+    part = rows.where(F.pmod(F.xxhash64("_row"), F.lit(share)) == 0).select(F.col(text).alias("_text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = [shingles(t.as_py(), words) for t in batch.column("_text")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([*made, np.zeros(0, np.uint64)]).view(np.int64))], names=["h"])
+
+    top = part.mapInArrow(run, "h long").groupBy("h").count().where("count > 2").orderBy(F.desc("count"), "h").limit(COMMON)
+    return np.array([r.h for r in top.collect()][::-1], np.int64).view(np.uint64)
+
+
+#: Bits of a sieve of row numbers: 4 MB whatever the number of rows.
+SIEVE = 25
+
+
+def _sieve(found: DataFrame, column: str) -> np.ndarray:
+    """A bitmap of fixed size that has the bit of every row number of a column (and by chance of others)."""
+    bit = F.pmod(F.xxhash64(column), F.lit(1 << SIEVE))
+    word = found.select(bit.alias("bit")).groupBy(F.shiftrightunsigned("bit", 6).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("bit").bitwiseAND(F.lit(63)).cast("int"))).alias("v"))
+    got = word.toArrow()
+    out = np.zeros(1 << (SIEVE - 6), np.int64)
+    out[got.column("w").to_numpy()] = got.column("v").to_numpy()
+    return out
+
+
+def _sieved(rows: DataFrame, text: str) -> DataFrame:
+    """Columns _row, _text and the bit that _row has in a sieve."""
+    return rows.select("_row", F.col(text).alias("_text"), F.pmod(F.xxhash64("_row"), F.lit(1 << SIEVE)).alias("bit"))
+
+
+def _in(sieve: np.ndarray, batch: pa.RecordBatch) -> np.ndarray:
+    bit = batch.column("bit").to_numpy()
+    return (sieve[bit >> 6] >> (bit & 63)) & 1 == 1
+
+
+def _ordered(h: np.ndarray, common: np.ndarray) -> np.ndarray:
+    """A set's hashes in the order of all sets: rare ones by their value, then the common ones."""
+    if not len(common):
+        return h
+    by = np.argsort(common)
+    at = by[np.minimum(np.searchsorted(common, h, sorter=by), len(common) - 1)]
+    rank = np.where(common[at] == h, at + 1, 0)
+    return h[np.lexsort((h, rank))]
+
+
+def _led(batches: Iterator[pa.RecordBatch], similarity: float = 0.8) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by token and size: those whose token another row has, with the first row of their token and size class.
+
+    ``at`` is size * 2**32 + position. Holds one batch and one row, whatever the size of a group.
     """
-    most, segments = bits_for(similarity), LANES * 64 // SEGMENT
+    held = None
+    lead = None  # token, class and node of the last group
+    before = None  # token of the row before ``held``
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        now = [batch.column(c).to_numpy() for c in ("token", "node", "at")]
+        if held is not None:
+            now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+        held = [x[-1:] for x in now]
+        out, before, lead = _led_part(now, len(now[0]) - 1, before, lead, similarity)
+        yield out
+    if held is not None:
+        yield _led_part(held, 1, before, lead, similarity)[0]
+
+
+def _led_part(now: list[np.ndarray], n: int, before: int | None, lead: tuple | None, similarity: float) -> tuple:
+    token, node, at = now
+    cls = np.floor(np.log(at >> 32) / -np.log(similarity)).astype(np.int32)
+    same = np.concatenate(([before is not None and token[0] == before], token[1:] == token[:-1]))
+    shared = (same | np.append(same[1:], False))[:n]
+    new = ~same
+    new[1:] |= cls[1:] != cls[:-1]
+    carried = lead is not None and lead[:2] == (token[0], cls[0])
+    new[0] = not carried
+    begun = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
+    first = np.where(begun < 0, lead[2] if carried else 0, node[np.maximum(begun, 0)])
+    place = np.where(begun < 0, lead[3] if carried else 0, at[np.maximum(begun, 0)])
+    out = pa.RecordBatch.from_arrays([pa.array(x[:n][shared]) for x in (token, node, at, first, place)], names=["token", "node", "at", "lead", "lead_at"])
+    if n:
+        before, lead = token[n - 1], (token[n - 1], cls[n - 1], first[n - 1], place[n - 1])
+    return out, before, lead
+
+
+def _pairs(size: np.ndarray, pos: np.ndarray, comp: np.ndarray, block: np.ndarray, similarity: float, whole: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of a cell's rows (sorted by size) of different components that can be as similar by size and position."""
+    n = len(size)
+    reach = np.searchsorted(size, np.floor(size / similarity + 1e-9), side="right") - np.arange(1, n + 1)
+    ends = np.cumsum(reach)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + AT_ONCE, side="right")))
+        k = reach[lo:hi]
+        i = np.repeat(np.arange(lo, hi), k)
+        j = i + 1 + np.arange(len(i)) - np.repeat(np.cumsum(k) - k, k)
+        ok = comp[i] != comp[j]
+        if not whole:
+            ok &= block[i] != block[j]
+        i, j = i[ok], j[ok]
+        most = np.minimum(pos[i], pos[j]) + np.minimum(size[i] - pos[i], size[j] - pos[j])
+        ok = most >= least_overlap(size[i] + size[j], similarity / (1 + similarity))
+        yield i[ok], j[ok]
+        lo = hi
+
+
+def _counts(h: np.ndarray) -> bytes:
+    """How many hashes fall in each of 128 classes. The sum of the lesser counts of two sets bounds what they share."""
+    n = np.bincount((h & np.uint64(127)).astype(np.int64), minlength=128)
+    return (np.full(128, 65535) if n.max() >= 65535 else n).astype(np.uint16).tobytes()
+
+
+def _alike(pairs: DataFrame, rows: DataFrame, text: str, words: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of rows whose shingle sets have the Jaccard similarity: the exact check."""
+
+    sieve = _sieve(pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            part = batch.filter(pa.array(_in(sieve, batch)))
+            sets = [shingles(t.as_py(), words) for t in part.column("_text")]
+            size = pa.array([len(h) for h in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([part.column("_row"), size, pa.array(map(_counts, sets), pa.binary()), pa.array([h.tobytes() for h in sets], pa.binary())], names=["node", "size", "counts", "h"])
 
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 4096):
-                part = batch.slice(lo, 4096)
-                ring = np.frombuffer(b"".join(part.column("fp").to_pylist()), np.uint16).reshape(-1, segments).astype(np.int32)
-                key = (ring + (np.arange(segments, dtype=np.int32) << SEGMENT)).ravel()
-                again = pa.array(np.repeat(np.arange(part.num_rows), segments))
-                yield pa.RecordBatch.from_arrays([pa.array(key), part.column("node").take(again), part.column("fp").take(again)], names=["key", "node", "fp"])
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple | None = None
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint16).reshape(-1, 128) for c in ("x", "y"))
+            need = least_overlap(batch.column("m").to_numpy() + batch.column("n").to_numpy(), similarity / (1 + similarity))
+            yield batch.select(["a", "b"]).filter(pa.array(np.minimum(x, y).sum(1, dtype=np.int64) >= need))
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stay = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                both = len(p) + len(q) - len(np.union1d(p, q))
+                stay.append(both >= similarity * (len(p) + len(q) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(stay, pa.bool_()))
+
+    sets = materialize(_sieved(rows, text).mapInArrow(made, "node long, size long, counts binary, h binary"), "sets")
+    pairs = materialize(_met(pairs, sets, "counts").mapInArrow(possible, "a long, b long"), "possible")
+    return materialize(_met(pairs, sets, "h").mapInArrow(checked, "a long, b long"), "links")
+
+
+def _met(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """The pairs (a, b) with a column and the size of both sides: x and m, y and n."""
+    # a row with many partners is dealt out in copies, one for 256 of them
+    copies = pairs.groupBy("a").agg(F.floor(F.count(F.lit(1)) / 256).alias("copies"))
+    left = sets.join(copies, F.col("node") == F.col("a")).select("a", F.col(column).alias("x"), F.col("size").alias("m"), F.explode(F.sequence(F.lit(0).cast("long"), "copies")).alias("copy"))
+    own = pairs.join(copies, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("copies") + 1).alias("copy"))
+    right = own.join(sets.select(F.col("node").alias("b"), F.col(column).alias("y"), F.col("size").alias("n")), "b")
+    return right.join(left, ["a", "copy"]).select("a", "b", "x", "y", "m", "n")
+
+
+def near_links(copies: DataFrame, rows: DataFrame, similarity: float, words: int, text: str) -> DataFrame:
+    """(a, b): links whose components are those of all pairs of ``similarity`` or more. No pair is lost.
+
+    ``copies`` has each _row that an equal row stands for. In one order of all shingles, two sets as
+    similar share one of their first size - least_overlap + 1: the rows meet by these. First
+    each row is checked with one leader of its group, so a group of near copies falls into
+    one component with one check a member; then all pairs of a group that are still in
+    different components are checked, a large group in cells of bounded size.
+    """
+    common = _common(rows, words, text)
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 1024):
+                part = batch.slice(lo, 1024)
+                sets = [shingles(t.as_py(), words) for t in part.column("_text")]
+                size = np.fromiter(map(len, sets), np.int64, len(sets))
+                n = np.where(size > 0, size - least_overlap(size, similarity) + 1, 0)
+                token = np.concatenate([*(_ordered(h, common)[:k] for h, k in zip(sets, n.tolist(), strict=True)), np.zeros(0, np.uint64)]).view(np.int64)
+                pos = np.arange(len(token)) - np.repeat(np.cumsum(n) - n, n)
+                node = part.column("_row").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.repeat(node, n)), pa.array((np.repeat(size, n) << 32) + pos)], names=["token", "node", "at"])
+
+    sieve = _sieve(copies, "_row")
+
+    def side(inside: bool) -> Callable:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return (b.filter(pa.array(_in(sieve, b) == inside)).select(["_row", "_text"]) for b in batches)
+
+        return run
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list | None = None
+        names = ("token", "p", "q", "node", "size", "pos", "comp", "block")
+
+        def cells(x: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            edge = np.flatnonzero(np.concatenate(([True], (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]) | (x[2][1:] != x[2][:-1]))))
+            for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(x[0])], strict=True):
+                node, size, pos, comp, block = (y[lo:hi] for y in x[3:])
+                for i, j in _pairs(size, pos, comp, block, similarity, x[1][lo] == x[2][lo]):
+                    if len(i):
+                        a, b = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+                        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
         for batch in batches:
             if not batch.num_rows:
                 continue
-            key, node = batch.column("key").to_numpy(), batch.column("node").to_numpy()
-            f = np.frombuffer(b"".join(batch.column("fp").to_pylist()), np.uint64).reshape(-1, LANES)
+            now = [batch.column(c).to_numpy() for c in names]
+            now = [x.astype(np.int64) for x in now]
             if held is not None:
-                key, node, f = np.concatenate((held[0], key)), np.concatenate((held[1], node)), np.concatenate((held[2], f))
-            cut = int(np.searchsorted(key, key[-1]))  # the last group may go on in the next batch
-            held = (key[cut:], node[cut:], f[cut:])
+                now = [np.concatenate(x) for x in zip(held, now, strict=True)]
+            last = (now[0] == now[0][-1]) & (now[1] == now[1][-1]) & (now[2] == now[2][-1])
+            cut = len(last) - int(last.sum())  # the last cell may go on in the next batch
+            held = [x[cut:] for x in now]
             if cut:
-                a, b = _linked(key[:cut], f[:cut], most)
-                yield pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+                yield from cells([x[:cut] for x in now])
         if held is not None:
-            a, b = _linked(held[0], held[2], most)
-            yield pa.RecordBatch.from_arrays([pa.array(held[1][a]), pa.array(held[1][b])], names=["a", "b"])
-
-    rows = nodes.select("node", "fp").mapInArrow(keyed, "key int, node long, fp binary")
-    n = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(n, "key").sortWithinPartitions("key").mapInArrow(joined, "a long, b long").distinct()
+            yield from cells(held)
+
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # rows outside the sieve are no copies for sure; the few inside are told apart by a join
+    src, kind = _sieved(rows, text), "_row long, _text string"
+    token = "token long, node long, at long"
+    alone = src.mapInArrow(lambda batches: prefixes(side(False)(batches)), token)
+    inside = src.mapInArrow(side(True), kind).join(copies, "_row", "left_anti").mapInArrow(prefixes, token)
+    met = alone.unionByName(inside).repartition(n, "token").sortWithinPartitions("token", "at", "node")
+    met = materialize(met.mapInArrow(lambda batches: _led(batches, similarity), f"{token}, lead long, lead_at long"), "met")
+    pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    size, pos = lambda c: F.shiftright(c, 32), lambda c: F.col(c).bitwiseAND(F.lit((1 << 32) - 1))
+    most = F.least(pos("at"), pos("lead_at")) + F.least(size("at") - pos("at"), size("lead_at") - pos("lead_at"))
+    able = most >= (size("at") + size("lead_at")) * (similarity / (1 + similarity)) - 1e-6
+    tried = materialize(met.where("node <> lead").where(able).select(*pair("node", "lead")).distinct(), "tried")
+    sure = _alike(tried, rows, text, words, similarity)
+    roots = connected_components(sure, "a", "b").withColumnsRenamed({"node": "_node", "root": "_root"})
+    placed = materialize(met.drop("lead", "lead_at").join(roots, met["node"] == F.col("_node"), "left").select("token", "node", F.shiftright("at", 32).alias("size"), F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos"), F.coalesce("_root", "node").alias("comp")), "placed")
+    groups = placed.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    blocks = F.floor(F.col("n") / CELL) + 1
+    cells = placed.join(groups.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    cells = cells.select("token", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", "size", "pos", "comp", "block")
+    left = cells.repartition(n, "token", "p", "q").sortWithinPartitions("token", "p", "q", "size").mapInArrow(compared, "a long, b long").distinct()
+    left = materialize(left.join(tried, ["a", "b"], "left_anti"), "left")
+    return sure.unionByName(_alike(left, rows, text, words, similarity))
 
 
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each group of near copies: that of the least key (null last), then of the least row number.
 
-    Groups are the components of links between word-shingle SimHashes of ``similarity`` or
-    more; equal fingerprints are linked, and so are all texts without a word. All columns
-    are kept as they are. Only keys and fingerprints are shuffled for the links; the texts
-    meet the decision through the row numbers of a written table. Other columns may have
-    any names and types.
+    Groups are the components of all pairs whose word-shingle sets have a Jaccard
+    similarity of ``similarity`` or more; texts without a word are one group. All columns
+    are kept as they are. Only keys and hashes of shingles are shuffled for the links; the
+    texts meet the decision through the row numbers of a written table. Other columns may
+    have any names and types.
     """
     columns = docs.columns
     docs, named = set_aside(docs, key, text)
     rows = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "docs")
 
+    # rows of equal words in equal order have equal sets: one of them stands for all
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = pa.array([wide_fingerprint(t.as_py(), words) for t in batch.column("_text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_row"), made], names=["_key", "_row", "fp"])
+            made = [hashlib.sha256(b" ".join((t.as_py() or "").encode().lower().split())).digest() for t in batch.column("_text")]
+            yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_row"), pa.array(made, pa.binary())], names=["_key", "_row", "fp"])
 
     src = rows.select(rows[key].alias("_key"), "_row", rows[text].alias("_text"))
     fps = src.mapInArrow(run, T.StructType([*(f for f in src.schema if f.name != "_text"), T.StructField("fp", T.BinaryType())]))
     first = F.struct(F.col("_key").isNull().alias("no_key"), F.col("_key").alias("k"), F.col("_row").alias("row"))
-    distinct = materialize(fps.groupBy("fp").agg(F.min(first).alias("first")).withColumn("node", F.col("first.row")), "fps")
-    roots = connected_components(wide_links(distinct, similarity), "a", "b")
-    grouped = distinct.drop("fp").join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
+    distinct = materialize(fps.groupBy("fp").agg(F.min(first).alias("first")).select("first", F.col("first.row").alias("node")), "fps")
+    copies = rows.select("_row").join(distinct.select(F.col("node").alias("_row")), "_row", "left_anti")
+    roots = connected_components(near_links(materialize(copies, "copies"), rows, similarity, words, text), "a", "b")
+    grouped = distinct.join(roots, "node", "left").select("first", F.coalesce("root", "node").alias("root"))
     stay = grouped.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("_row"))
     return named(rows.join(stay, "_row", "left_semi").select(*docs.columns)).select(*columns)

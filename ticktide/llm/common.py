@@ -95,7 +95,7 @@ def located(df: DataFrame, text: str, out: str, pattern: str, extras: dict | Non
     """Add ``out``: the leftmost non-overlapping matches of ``pattern`` with positions.
 
     Each entry is struct(start, end, found, before, after): code points, end exclusive,
-    with up to ``margin`` code points on either side. Splitting a text by a pattern gives
+    with up to ``margin`` code points of the text on either side, other matches included. Splitting a text by a pattern gives
     the pieces between its matches, so positions are sums of lengths: no UDF is needed.
     ``pattern`` must not match the empty string. Rows without a match get an empty array.
     """
@@ -111,8 +111,8 @@ def located(df: DataFrame, text: str, out: str, pattern: str, extras: dict | Non
         start = F.element_at(F.col(starts), i + 1) + F.length(before)
         return F.struct(
             start.alias("start"), (start + F.length(m)).alias("end"), m.alias("found"),
-            (F.right(before, F.lit(margin)) if margin else F.lit("")).alias("before"),
-            (F.left(F.element_at(F.col(pieces), i + 2), F.lit(margin)) if margin else F.lit("")).alias("after"),
+            (F.when((i == 0) | (F.length(before) >= margin), F.right(before, F.lit(margin))).otherwise(F.substr(F.col(text), F.greatest(start - margin, F.lit(0)) + 1, F.least(start, F.lit(margin)))) if margin else F.lit("")).alias("before"),
+            (F.when((i + 1 == F.size(found)) | (F.length(after := F.element_at(F.col(pieces), i + 2)) >= margin), F.left(after, F.lit(margin))).otherwise(F.substr(F.col(text), start + F.length(m) + 1, F.lit(margin))) if margin else F.lit("")).alias("after"),
         )
 
     empty = F.array().cast("array<struct<start:int,end:int,found:string,before:string,after:string>>")

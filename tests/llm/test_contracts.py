@@ -172,10 +172,11 @@ def test_token_files(docs, spark, tmp_path):
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    library.encode_special_tokens = True
+    special = [(-101, "a <|endoftext|> b<|endoftext|>"), (-102, "<|endoftext|>"), (-103, "<|endoftext| >  <|endoftext|"), (-104, "wörd " * 300_000 + "<|endoftext|>x")]
+    docs = docs.unionByName(spark.createDataFrame(special, "doc_id long, text string"))
     texts = sorted((r.doc_id, r.text or "") for r in docs.collect())
     path = f"file://{tmp_path}/tokens"
-    tokenfile.write(docs, path, P.path("byte_bpe_50k.json"), P.PATTERN, end_id=2, base=50257)
+    tokenfile.write(docs, path, P.path("byte_bpe_50k.json"), end_id=2, base=50257)
     got = {r.doc_id: r for r in tokenfile.read(spark, path, with_ids=True).collect()}
     start = 0
     for k, t in texts:
@@ -183,6 +184,9 @@ def test_token_files(docs, spark, tmp_path):
         assert (got[k].start, got[k].n_tokens) == (start, len(ids))
         assert got[k].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes()) and got[k].ids == ids
         start += len(ids)
+    few = tuple(k for k, _ in texts[3::40])
+    some = tokenfile.read(spark, path, with_ids=True, keys=(*few, 10**15)).collect()
+    assert sorted(some) == sorted(got[k] for k in few)
 
 
 def test_token_file_edges(spark, tmp_path):
@@ -191,7 +195,7 @@ def test_token_file_edges(spark, tmp_path):
     rows = spark.createDataFrame([(3, "b"), (None, "n"), (3, "b"), (1, None), (3, "a a a a a a")], "doc_id long, text string")
     for name, df in (("a", rows), ("none", rows.limit(0))):
         path = f"file://{tmp_path}/{name}"
-        tokenfile.write(df, path, P.path("byte_bpe_50k.json"), P.PATTERN, end_id=2, base=50257)
+        tokenfile.write(df, path, P.path("byte_bpe_50k.json"), end_id=2, base=50257)
         got = sorted(((r.start, r.doc_id, r.n_tokens) for r in tokenfile.read(spark, path).collect()))
         assert [x[1] for x in got] == ([None, 1, 3, 3, 3] if name == "a" else [])
 
@@ -209,6 +213,26 @@ def test_repair_round_trip():
     assert len(packed["symbols"]) < 60000 / 2
 
 
+def test_repair_goes_on_until_no_pair_is_frequent():
+    rng = np.random.default_rng(5)
+    phrase = rng.integers(0, 50000, 700)
+    ids = np.concatenate([np.concatenate((phrase, rng.integers(0, 50000, 30))) for _ in range(80)] + [np.full(3000, 7)]).astype(np.int32)
+    packed = tokenfile.compress(ids, np.array([len(ids) - 1000, 1000]), 50257)
+    symbols = packed["symbols"].astype(np.int64)
+    taken, n = np.unique(symbols[:-1] << 32 | symbols[1:], return_counts=True)
+    assert n.max() < tokenfile.MIN_PAIRS and packed["expansion"].max() >= 700
+    reader = tokenfile.Reader(50257, *(packed[k].tobytes() for k in ("rules", "expansion", "symbols", "stretch")))
+    assert (reader.all() == ids).all() and (reader.part(5000, 5100) == ids[5000:5100]).all()
+
+
+def test_large_vocabularies_and_a_base_that_is_too_small():
+    ids = np.array([70000, 5, 99999] * 200, np.int32)
+    packed = tokenfile.compress(ids, np.array([600]), 100257)
+    assert (tokenfile.Reader(100257, *(packed[k].tobytes() for k in ("rules", "expansion", "symbols", "stretch"))).all() == ids).all()
+    with pytest.raises(ValueError):
+        tokenfile.compress(ids, np.array([600]), 65536)
+
+
 def brute_targets(sizes, weights=(5, 2, 1)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: [ord(c) for c in s]) + ([None] if None in sizes else [])
     w = {s: weights[i % 3] for i, s in enumerate(names)}

@@ -88,7 +88,7 @@ class ByteBPE:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.decimals = [str(i) for i in range(len(self.tokens))]
-        self.chunks = ChunkEncoder(self.pattern.findall, self.merge)
+        self.chunks = ChunkEncoder(self.merge)
 
     def _matrix(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(rows as they finish, their numbers of ids, their ids one after the other)."""

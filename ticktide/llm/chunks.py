@@ -12,9 +12,15 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
+
+#: Fixed pattern by which the byte-level tokenizers split. The cuts below hold for it alone.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 Ids = tuple[np.ndarray, np.ndarray]  # (ids of all entries, one after the other; number of ids of each)
 
+#: Words, and pieces of the library, that a worker remembers.
+REMEMBERED = 450_000
 #: Characters that end a word and are a match of their own there.
 _STOPS = ".,;:!?"
 
@@ -39,23 +45,61 @@ def picked(ids: Ids, which: np.ndarray, counts: np.ndarray) -> Ids:
     return gather(flat, starts_of(lengths)[which], each), np.diff(ends[bounds])
 
 
+class Remembering:
+    """Encodes distinct strings; those that recur are remembered from batch to batch, at most ``REMEMBERED``."""
+
+    def __init__(self, encode: Callable[[pa.Array, np.ndarray], Ids]):
+        self.encode = encode
+        self.known = pa.array([], pa.large_string())
+        self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+
+    def __call__(self, strings: pa.Array, uses: np.ndarray) -> Ids:
+        """``uses``: how often each string occurs in the batch."""
+        n = len(self.known)
+        at = pc.index_in(strings, self.known)
+        gap = at.is_null().to_numpy(zero_copy_only=False)
+        fresh = strings.filter(at.is_null())
+        which = at.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+        which[gap] = n + np.arange(len(fresh))
+        ids, lengths = self.encode(fresh, uses[gap])
+        ids, lengths = np.concatenate((self.ids, ids)), np.concatenate((self.lengths, lengths))
+        starts = starts_of(lengths)
+        # all of late, or where that is too much those that recur in this batch; no very long ones
+        keep = np.concatenate((np.ones(n, bool), pc.binary_length(fresh).to_numpy(zero_copy_only=False) <= 48))
+        if keep.sum() > REMEMBERED:
+            recurs = np.zeros(len(keep), bool)
+            recurs[which[uses > 1]] = True
+            keep &= recurs
+            keep &= np.cumsum(keep) <= REMEMBERED
+        self.known = pa.chunked_array([self.known, fresh]).combine_chunks().filter(pa.array(keep))
+        self.ids, self.lengths = gather(ids, starts[keep], lengths[keep]), lengths[keep]
+        return gather(ids, starts[which], lengths[which]), lengths[which]
+
+
 class ChunkEncoder:
     """Encodes whole texts. ``encode_pieces`` gives the ids of distinct matches of the pattern."""
 
-    def __init__(self, find: Callable[[str], list[str]], encode_pieces: Callable[[pa.Array, np.ndarray], Ids]):
-        self.find, self.encode_pieces = find, encode_pieces
+    def __init__(self, encode_pieces: Callable[[pa.Array, np.ndarray], Ids]):
+        self.find, self.encode_pieces = regex.compile(PATTERN).findall, encode_pieces
+        self.words = Remembering(self._words)
 
-    def _words(self, words: pa.Array, heads: list[str], uses: np.ndarray) -> Ids:
-        """Ids of words that follow a space, then of ``heads``, texts that the pattern alone splits."""
+    def _loose(self, texts: list[str]) -> Ids:
+        """Ids of texts that the pattern alone splits."""
+        cut = [self.find(t) for t in texts]
+        coded = pc.dictionary_encode(pa.array([p for ps in cut for p in ps], pa.large_string()))
+        which = coded.indices.to_numpy().astype(np.int64)
+        return picked(self.encode_pieces(coded.dictionary, np.bincount(which, minlength=len(coded.dictionary))), which, np.array([len(ps) for ps in cut], np.int64))
+
+    def _words(self, words: pa.Array, uses: np.ndarray) -> Ids:
+        """Ids of distinct words that follow a space."""
         stem = pc.utf8_slice_codeunits(words, 0, -1)
         plain = pc.utf8_is_alpha(words).to_numpy(zero_copy_only=False)
         stop = pc.index_in(pc.utf8_slice_codeunits(words, -1), pa.array(list(_STOPS), words.type)).fill_null(-1).to_numpy(zero_copy_only=False)
         stopped = (stop >= 0) & pc.utf8_is_alpha(stem).to_numpy(zero_copy_only=False)
-        other = np.flatnonzero(~plain & ~stopped)
-        cut = [self.find(" " + w) for w in words.take(pa.array(other)).to_pylist()] + [self.find(h) for h in heads]
-        loose = pa.array([p for ps in cut for p in ps], words.type)
+        at_plain, at_stop, other = np.flatnonzero(plain), np.flatnonzero(stopped), np.flatnonzero(~plain & ~stopped)
         spaced = lambda x: pc.binary_join_element_wise(pa.scalar(" ", words.type), x, pa.scalar("", words.type))
-        at_plain, at_stop = np.flatnonzero(plain), np.flatnonzero(stopped)
+        cut = [self.find(w) for w in spaced(words.take(pa.array(other))).to_pylist()]
+        loose = pa.array([p for ps in cut for p in ps], words.type)
         parts = [spaced(words.take(pa.array(at_plain))), spaced(stem.take(pa.array(at_stop))), loose, pa.array(list(_STOPS), words.type)]
         coded = pc.dictionary_encode(pa.concat_arrays(parts))
         ref = coded.indices.to_numpy().astype(np.int64)
@@ -64,9 +108,9 @@ class ChunkEncoder:
         # how often each piece occurs in the batch, as far as the words tell
         weight = np.concatenate((uses[at_plain], uses[at_stop], np.ones(sizes[2] + sizes[3], np.int64)))
         ids = self.encode_pieces(coded.dictionary, np.bincount(ref, weights=weight, minlength=len(coded.dictionary)))
-        counts = np.ones(len(words) + len(heads), np.int64)
+        counts = np.ones(len(words), np.int64)
         counts[at_stop] = 2
-        counts[np.concatenate((other, len(words) + np.arange(len(heads))))] = [len(ps) for ps in cut]
+        counts[other] = [len(ps) for ps in cut]
         at = starts_of(counts)
         which = np.empty(int(counts.sum()), np.int64)
         which[at[at_plain]] = ref[:a]
@@ -83,9 +127,7 @@ class ChunkEncoder:
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
-        values = split.values
-        index = np.empty(len(values), np.int64)
-        coded = pc.dictionary_encode(values)
+        coded = pc.dictionary_encode(split.values)
         words, index = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
         # a blank beside the space: there the pattern looks across it
         blank = r"^$|^[\s\p{Z}\x1c-\x1f\x0b\x85]|[\s\p{Z}\x1c-\x1f\x0b\x85]$"
@@ -93,14 +135,15 @@ class ChunkEncoder:
         whole = np.add.reduceat(beside[index].astype(np.int64), offsets[:-1]) > 0
         at_head = offsets[:-1]
         first = words.take(pa.array(index[at_head])).to_pylist()
-        heads = [t if bad else w for t, w, bad in zip(texts, first, whole.tolist(), strict=True)]
-        ids = self._words(words, heads, np.bincount(index, minlength=len(words)))
+        heads = self._loose([t if bad else w for t, w, bad in zip(texts, first, whole.tolist(), strict=True)])
+        ids = self.words(words, np.bincount(index, minlength=len(words)))
         which = index
         which[at_head] = len(words) + np.arange(len(texts))
         keep = ~np.repeat(whole, np.diff(offsets))
         keep[at_head] = True
         counts = np.where(whole, 1, np.diff(offsets))
-        return picked(ids, which[keep], counts)
+        both = tuple(np.concatenate(x) for x in zip(ids, heads, strict=True))
+        return picked(both, which[keep], counts)
 
 
 def in_slices(texts: list[str], most: int = 12_000_000) -> Iterator[tuple[int, int]]:

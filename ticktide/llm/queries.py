@@ -35,7 +35,7 @@ def op5_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     path = f"{shared_dir(spark)}/tokens-{uuid.uuid4().hex}"
-    tokenfile.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, end_id=2, base=50257)
+    tokenfile.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), end_id=2, base=50257)
     return tokenfile.read(spark, path)
 
 

@@ -1,96 +1,119 @@
 """Token-ID files: Re-Pair compressed shards with random access.
 
-File format: a Parquet table, one row per block. A block holds whole documents in
+File format: a Parquet table, one row per shard. A shard holds whole documents in
 ascending order: the rules of its grammar (pairs of symbols), the length of every rule's
-expansion, the compressed symbols (16 bits each), the ids that each stretch of STRIDE
-symbols expands to, and the documents' sizes. A document is found by its sizes' sums, and
-decoded from the nearest stretch before it without touching the rest of the block.
+expansion, the compressed symbols, the ids that each stretch of STRIDE symbols expands to,
+the documents' keys and sizes, and the least and greatest key. A document is found by its sizes' sums, and
+decoded from the nearest stretch before it without touching the rest of the shard.
 """
 
 from __future__ import annotations
 
-import itertools
+import functools
+import hashlib
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder, gather, in_slices, starts_of
+from .chunks import ChunkEncoder, Ids, Remembering, gather, in_slices, starts_of
 
-#: Ids in a block, from which on it ends with the document at hand. Bounds a task's memory.
-BLOCK_IDS = 1_000_000
-#: A pair becomes a rule from this many occurrences in its block; rounds of replacement.
-MIN_PAIRS, ROUNDS = 32, 3
-#: Pieces that a worker remembers.
-REMEMBERED = 450_000
+#: Ids in a shard, from which on it ends with the document at hand. Bounds a task's memory.
+SHARD_IDS = 1_000_000
+#: A pair is frequent, and becomes a rule, from this many occurrences in its shard.
+MIN_PAIRS = 32
+#: Pieces given to the library at once.
+TOGETHER = 1024
 #: Symbols between two entries of the random-access index.
 STRIDE = 1024
-BLOCK = "shard int, block int, base int, doc_key binary, sizes binary, rules binary, expansion binary, symbols binary, stretch binary, n_ids long, n_docs long"
+SHARD = "part int, shard int, base int, least long, greatest long, doc_key binary, sizes binary, rules binary, expansion binary, symbols binary, stretch binary, n_ids long, n_docs long"
+
+
+def _places(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of an array of pairs: (the distinct ones, how often each occurs, the number of each entry's one)."""
+    order = np.argsort(pair)
+    ordered = pair[order]
+    new = np.ones(len(pair), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    edge = np.flatnonzero(new)
+    which = np.empty(len(pair), np.int64)
+    which[order] = np.cumsum(new) - 1
+    return ordered[edge], np.diff(np.append(edge, len(pair))), which
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> dict[str, np.ndarray]:
-    """Re-Pair over one block: frequent pairs are replaced by nonterminals, round by round.
+    """Re-Pair over one shard: frequent pairs are replaced by nonterminals until none is left.
 
-    All pairs of a round that are frequent enough get a rule, the most frequent first; of
-    overlapping occurrences the leftmost is replaced. A rule never crosses the end of a
-    document. Symbols stay below 2^16.
+    Many pairs are replaced at once. Of occurrences that overlap the more frequent pair
+    goes first, of equal ones the leftmost; what had to wait is counted again. A pair can only
+    become frequent where a neighbour was just replaced, so later rounds look at those
+    places alone. A rule never crosses the end of a document. Ids of ``base`` or more are
+    an error.
     """
+    if len(ids) and int(ids.max()) >= base:
+        raise ValueError(f"id {int(ids.max())} is not below the base {base}")
     seq = ids.astype(np.int64)
     last = np.zeros(len(seq), bool)
     last[np.cumsum(sizes[sizes > 0]) - 1] = True
-    left, right, expansion = [], [], np.ones(base, np.int64)
-    for _ in range(ROUNDS):
-        room = 65536 - base - len(left)
-        if len(seq) < 2 or room <= 0:
-            break
-        pair = seq[:-1] << 16 | seq[1:]
-        pair[last[:-1]] = -1
-        ordered = np.sort(pair)
-        edge = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        count = np.diff(np.append(edge, len(ordered)))
-        good = (count >= MIN_PAIRS) & (ordered[edge] >= 0)
-        if not good.any():
+    rules, expansion = [np.zeros((0, 2), np.int64)], np.ones(base, np.int64)
+    active = np.flatnonzero(~last)
+    while len(active):
+        pair = seq[active] << 32 | seq[active + 1]
+        # buckets of a hash first: most pairs are too rare to be sorted
+        bucket = (pair * -7046029254386353131) >> 44 & 0xFFFFF
+        often = np.bincount(bucket, minlength=1 << 20)[bucket] >= MIN_PAIRS
+        active, pair = active[often], pair[often]
+        distinct, n, which = _places(pair)
+        count = n[which]
+        hit = count >= MIN_PAIRS
+        at, count, which = active[hit], count[hit], which[hit]
+        if not len(at):
             break
-        chosen, count = ordered[edge][good], count[good]
-        if len(chosen) > room:
-            chosen = np.sort(chosen[np.argsort(-count, kind="stable")[:room]])
-        at = np.searchsorted(chosen, pair)
-        at[at == len(chosen)] = 0
-        hit = chosen[at] == pair
-        # in a run of hits that overlap, every other one is taken, from the left
-        index = np.arange(len(hit))
-        begins = hit & ~np.concatenate(([False], hit[:-1]))
-        origin = np.maximum.accumulate(np.where(begins, index, 0))
-        hit &= (index - origin) % 2 == 0
-        place = np.flatnonzero(hit)
-        used, new = np.unique(at[place], return_inverse=True)
-        seq[place] = base + len(left) + new
+        beside = at[1:] == at[:-1] + 1
+        weaker = np.zeros(len(at), bool)
+        weaker[1:] |= beside & (count[1:] < count[:-1])
+        weaker[:-1] |= beside & (count[:-1] < count[1:])
+        best = np.flatnonzero(~weaker)
+        # in a run of equals that overlap, every other one is taken, from the left
+        begins = np.concatenate(([True], np.diff(at[best]) != 1))
+        index = np.arange(len(best))
+        best = best[(index - np.maximum.accumulate(np.where(begins, index, 0))) % 2 == 0]
+        best = best[np.bincount(which[best], minlength=len(n))[which[best]] > 1]
+        used, new = np.unique(which[best], return_inverse=True)
+        a, b = distinct[used] >> 32, distinct[used] & 0xFFFFFFFF
+        place = at[best]
+        seq[place] = len(expansion) + new
+        rules.append(np.stack((a, b), 1))
+        expansion = np.append(expansion, expansion[a] + expansion[b])
         last[place] = last[place + 1]
         stay = np.ones(len(seq), bool)
         stay[place + 1] = False
-        seq, last = seq[stay], last[stay]
-        a, b = chosen[used] >> 16, chosen[used] & 0xFFFF
-        left, right = np.append(left, a).astype(np.int64), np.append(right, b).astype(np.int64)
-        expansion = np.append(expansion, expansion[a] + expansion[b])
+        before = np.maximum(place - 1, 0)
+        before = np.where(stay[before], before, before - 1)  # it may be a replaced pair itself
+        look = np.zeros(len(seq), bool)
+        look[at] = look[place] = look[before] = True
+        seq, last, look = seq[stay], last[stay], look[stay]
+        active = np.flatnonzero(look & ~last)
     ends = np.cumsum(expansion[seq])
     return {
-        "rules": np.stack((np.asarray(left, np.uint16), np.asarray(right, np.uint16)), 1) if len(left) else np.zeros((0, 2), np.uint16),
-        "expansion": expansion[base:].astype(np.uint32), "symbols": seq.astype(np.uint16),
+        "rules": np.concatenate(rules).astype(np.uint32), "expansion": expansion[base:].astype(np.uint32), "symbols": seq.astype(np.uint32),
         "stretch": np.concatenate(([0], ends[STRIDE - 1 :: STRIDE])).astype(np.uint32),
     }
 
 
 class Reader:
-    """Decodes one block, whole or in part."""
+    """Decodes one shard, whole or in part."""
 
     def __init__(self, base: int, rules: bytes, expansion: bytes, symbols: bytes, stretch: bytes):
-        self.symbols = np.frombuffer(symbols, np.uint16).astype(np.int64)
+        self.symbols = np.frombuffer(symbols, np.uint32).astype(np.int64)
         self.stretch = np.frombuffer(stretch, np.uint32).astype(np.int64)
-        pairs = np.frombuffer(rules, np.uint16).reshape(-1, 2).astype(np.int64)
+        pairs = np.frombuffer(rules, np.uint32).reshape(-1, 2).astype(np.int64)
         lengths = np.concatenate((np.ones(base, np.int64), np.frombuffer(expansion, np.uint32).astype(np.int64)))
         # every symbol's expansion, one after the other; a rule's parts come before it
         self.lengths, self.starts = lengths, starts_of(lengths)
@@ -109,56 +132,79 @@ class Reader:
         return self._expand(self.symbols)
 
     def part(self, start: int, stop: int) -> np.ndarray:
-        """Ids ``start`` to ``stop`` of the block, from the stretches that hold them."""
+        """Ids ``start`` to ``stop`` of the shard, from the stretches that hold them."""
         first = int(np.searchsorted(self.stretch, start, "right")) - 1
         upto = int(np.searchsorted(self.stretch, stop, "left"))
         got = self._expand(self.symbols[first * STRIDE : upto * STRIDE])
         return got[start - self.stretch[first] : stop - self.stretch[first]]
 
 
-_TOKENIZERS: dict[str, ChunkEncoder] = {}
+class Library:
+    """Ids of pieces by the tokenizers library."""
+
+    def __init__(self, tokenizer: Any):
+        self.tokenizer = tokenizer
+        vocabulary = tokenizer.get_vocab()
+        self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.n_bytes[[*vocabulary.values()]] = [len(token) for token in vocabulary]
 
+    def __call__(self, pieces: pa.Array, _: np.ndarray) -> Ids:
+        """A byte-level token has a character for each byte, so ids are told apart by their pieces' bytes."""
+        texts = pieces.to_pylist()
+        groups = [texts[lo : lo + TOGETHER] for lo in range(0, len(texts), TOGETHER)]
+        coded = self.tokenizer.encode_batch_fast(groups, is_pretokenized=True, add_special_tokens=False)
+        ids = np.concatenate([np.zeros(0, np.int32), *(np.array(e.ids, np.int32) for e in coded)])
+        ends = np.cumsum(pc.binary_length(pieces).to_numpy(zero_copy_only=False).astype(np.int64))
+        upto = np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1
+        return ids, np.diff(upto, prepend=0)
 
-def _library(content: str, pattern: str) -> ChunkEncoder:
-    """Whole texts by the tokenizers library, each distinct match of the pattern once."""
-    if pattern not in _TOKENIZERS:
-        import regex
+
+_TOKENIZERS: dict[str, Callable[[list[str]], Ids]] = {}
+
+
+def _library(content: str) -> Callable[[list[str]], Ids]:
+    """Whole texts by the tokenizers library, each distinct match of the pattern once.
+
+    The string of an added token becomes that token's id, as the library does it: a text
+    that holds one is encoded by the library as it stands.
+    """
+    key = hashlib.sha256(content.encode()).hexdigest()
+    if key not in _TOKENIZERS:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(content)
-        tokenizer.encode_special_tokens = True
-        known: dict[str, bytes] = {}
-
-        def encode(pieces: pa.Array, uses: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            texts = pieces.to_pylist()
-            out = [known.get(t) for t in texts]
-            missing = [i for i, v in enumerate(out) if v is None]
-            coded = tokenizer.encode_batch_fast([texts[i] for i in missing], add_special_tokens=False)
-            lists = [e.ids for e in coded]
-            flat = np.fromiter(itertools.chain.from_iterable(lists), np.int32).tobytes()
-            at = 0
-            for i, n in zip(missing, map(len, lists), strict=True):
-                out[i] = flat[at : at + 4 * n]
-                at += 4 * n
-            if len(known) + len(missing) > REMEMBERED:  # keep what recurs in this batch
-                keep = {t: known[t] for t, u in zip(texts, uses.tolist(), strict=True) if u > 1 and t in known}
-                known.clear()
-                known.update(keep)
-            known.update((texts[i], out[i]) for i in missing[:REMEMBERED] if len(texts[i]) <= 48)
-            return np.frombuffer(b"".join(out), np.int32), np.fromiter(map(len, out), np.int64, len(out)) // 4
+        added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        chunks = ChunkEncoder(Remembering(Library(tokenizer)))
+
+        def encode(texts: list[str]) -> Ids:
+            column = pa.array(texts, pa.large_string())
+            special = np.zeros(len(texts), bool)
+            for a in added:
+                special |= pc.match_substring(column, a).to_numpy(zero_copy_only=False)
+            at = np.flatnonzero(special).tolist()
+            if not at:
+                return chunks(texts)
+            ids, lengths = chunks(["" if s else t for t, s in zip(texts, special.tolist(), strict=True)])
+            parts, whole = np.split(ids, np.cumsum(lengths)[:-1]), lengths.copy()
+            for i in at:
+                parts[i] = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
+                whole[i] = len(parts[i])
+            return np.concatenate(parts), whole
 
         _TOKENIZERS.clear()
-        _TOKENIZERS[pattern] = ChunkEncoder(regex.compile(pattern).findall, encode)
-    return _TOKENIZERS[pattern]
+        _TOKENIZERS[key] = encode
+    return _TOKENIZERS[key]
 
 
-def write(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id: int, base: int, key: str = "doc_id", text: str = "text", shards: int | None = None) -> None:
-    """Encode whole texts and write the blocks of ``path`` in ascending ``key`` order.
+def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, base: int, key: str = "doc_id", text: str = "text", parts: int | None = None) -> None:
+    """Encode whole texts and write the shards of ``path`` in ascending ``key`` order.
 
-    Null text counts as empty (only the end id). A null key sorts first. Rows that share a
-    key are ordered by their texts' hash; equal rows are interchangeable. Rows are dealt to
-    shards by ranges of (key, hash, row number), so one key with very many rows is split
-    over shards. An empty table writes an empty table.
+    The tokenizer must split by the byte-level pattern of ``chunks``; ids must be below
+    ``base``, which is checked. Null text counts as empty (only the end id), a text of any
+    length is one document. A null key sorts first. Rows that share a key are ordered by
+    their texts' hash; equal rows are interchangeable. Rows are dealt to tasks by ranges of
+    (key, hash, row number), so one key with very many rows is split over tasks. An empty
+    table writes an empty table. Other columns, of any name, are not read.
     """
     spark = docs.sparkSession
     with open(tokenizer_file, encoding="utf-8") as f:
@@ -166,28 +212,30 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id:
     df = docs.select(F.col(key).cast("long").alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     df = df.withColumn("_hash", F.xxhash64("_text")).withColumn("_row", F.monotonically_increasing_id())
     order = [F.col("_key").asc_nulls_first(), F.col("_hash"), F.col("_row")]
-    n = shards or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     df = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select("_key", "_text")
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encode = _library(content.value, pattern)
-        shard, no = TaskContext.get().partitionId(), 0
+        encode = _library(content.value)
+        part, no = TaskContext.get().partitionId(), 0
         keys, ids, sizes, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             nonlocal keys, ids, sizes, held, no
             size = np.concatenate(sizes)
             packed = compress(np.concatenate(ids), size, base)
+            by_key = np.concatenate([np.frombuffer(k, np.uint8) for k in keys]).reshape(-1, 9)
+            known = np.ascontiguousarray(by_key[by_key[:, 0] == 1][:, 1:]).view("<i8").ravel()
             row = {
-                "shard": shard, "block": no, "base": base, "doc_key": b"".join(keys), "sizes": size.astype(np.uint32).tobytes(),
+                "part": part, "shard": no, "base": base, "least": int(known[0]) if len(known) else None, "greatest": int(known[-1]) if len(known) else None, "doc_key": b"".join(keys), "sizes": size.astype(np.uint32).tobytes(),
                 "rules": packed["rules"].tobytes(), "expansion": packed["expansion"].tobytes(), "symbols": packed["symbols"].tobytes(), "stretch": packed["stretch"].tobytes(),
                 "n_ids": int(size.sum()), "n_docs": len(size),
             }
             keys, ids, sizes, held, no = [], [], [], 0, no + 1
-            kinds = {"shard": pa.int32(), "block": pa.int32(), "base": pa.int32(), "n_ids": pa.int64(), "n_docs": pa.int64()}
+            kinds = {"part": pa.int32(), "shard": pa.int32(), "base": pa.int32(), "least": pa.int64(), "greatest": pa.int64(), "n_ids": pa.int64(), "n_docs": pa.int64()}
             return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in row.items()], names=[*row])
 
         for batch in batches:
@@ -206,59 +254,70 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id:
                 bounds = starts_of(lengths) + lengths
                 while at < len(lengths):
                     begin = int(bounds[at - 1]) if at else 0
-                    upto = max(at + 1, int(np.searchsorted(bounds, begin + BLOCK_IDS - held, "left")) + 1)
+                    upto = max(at + 1, int(np.searchsorted(bounds, begin + SHARD_IDS - held, "left")) + 1)
                     upto = min(upto, len(lengths))
                     keys.append(key_rows[at:upto].tobytes())
                     ids.append(flat[begin : int(bounds[upto - 1])])
                     sizes.append(lengths[at:upto])
                     held += int(bounds[upto - 1]) - begin
                     at = upto
-                    if held >= BLOCK_IDS:
+                    if held >= SHARD_IDS:
                         yield flush()
         if held:
             yield flush()
 
-    df.mapInArrow(blocks, BLOCK).write.option("compression", "zstd").parquet(path)
+    df.mapInArrow(shards, SHARD).write.option("compression", "zstd").parquet(path)
 
 
-def block_starts(blocks: DataFrame) -> DataFrame:
-    """(shard, block, start): ids in all blocks before. One window over shards' sums, one inside shards."""
-    per_shard = blocks.groupBy("shard").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    per_shard = per_shard.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shard_start"))
-    inside = Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.select("shard", "block", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("in_shard")).join(per_shard, "shard").select("shard", "block", (F.col("shard_start") + F.col("in_shard")).alias("start"))
+def shard_starts(shards: DataFrame) -> DataFrame:
+    """(part, shard, start): ids in all shards before. One window over parts' sums, one inside parts."""
+    per_part = shards.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("part_start"))
+    inside = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    return shards.select("part", "shard", F.coalesce(F.sum("n_ids").over(inside), F.lit(0)).alias("in_part")).join(per_part, "part").select("part", "shard", (F.col("part_start") + F.col("in_part")).alias("start"))
 
 
-def read(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
+def read(spark: SparkSession, path: str, with_ids: bool = False, keys: tuple[int, ...] | None = None) -> DataFrame:
     """Documents of a written table: doc_id, start, n_tokens, ids_crc32 and, on request, ids.
 
-    ``start`` counts the ids of all documents before; a block is decoded in one task.
+    ``start`` counts the ids of all documents before; a shard is decoded in one task. With
+    ``keys`` only those documents are returned: shards that can't hold one are not read, of
+    the others no more is decoded than the stretches in which the documents lie.
     """
-    blocks = spark.read.parquet(path)
-    starts = block_starts(blocks.select("shard", "block", "n_ids"))
+    table = spark.read.parquet(path)
+    starts = shard_starts(table.select("part", "shard", "n_ids"))
+    if keys is not None:
+        near = [(F.col("least") <= k) & (F.col("greatest") >= k) for k in keys]
+        table = table.where(functools.reduce(lambda a, b: a | b, near, F.lit(False)))
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids = Reader(row["base"], row["rules"], row["expansion"], row["symbols"], row["stretch"]).all().astype("<u4")
+                reader = Reader(row["base"], row["rules"], row["expansion"], row["symbols"], row["stretch"])
                 sizes = np.frombuffer(row["sizes"], np.uint32).astype(np.int64)
-                keys = np.frombuffer(row["doc_key"], np.uint8).reshape(-1, 9)
+                flagged = np.frombuffer(row["doc_key"], np.uint8).reshape(-1, 9)
+                key, null = np.ascontiguousarray(flagged[:, 1:]).view("<i8").ravel(), flagged[:, 0] == 0
                 at = starts_of(sizes)
-                parts = [ids[a : a + n] for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
+                if keys is None:
+                    ids = reader.all().astype("<u4")
+                    found = [ids[a : a + n] for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
+                else:
+                    mine = np.flatnonzero(np.isin(key, keys) & ~null)
+                    key, null, at, sizes = key[mine], null[mine], at[mine], sizes[mine]
+                    found = [reader.part(a, a + n).astype("<u4") for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
                 n = len(sizes)
                 cols = [
-                    pa.array(np.full(n, row["shard"], np.int32)), pa.array(np.full(n, row["block"], np.int32)), pa.array(at), pa.array(sizes),
-                    pa.array(np.ascontiguousarray(keys[:, 1:]).view("<i8").ravel(), mask=keys[:, 0] == 0),
-                    pa.array([zlib.crc32(p.tobytes()) for p in parts], pa.int64()),
+                    pa.array(np.full(n, row["part"], np.int32)), pa.array(np.full(n, row["shard"], np.int32)), pa.array(at), pa.array(sizes),
+                    pa.array(key, mask=null), pa.array([zlib.crc32(p.tobytes()) for p in found], pa.int64()),
                 ]
-                names = ["shard", "block", "at", "n_tokens", "doc_id", "ids_crc32"]
+                names = ["part", "shard", "at", "n_tokens", "doc_id", "ids_crc32"]
                 if with_ids:
-                    cols.append(pa.array([p.astype(np.int32) for p in parts], pa.list_(pa.int32())))
+                    cols.append(pa.array([p.astype(np.int32) for p in found], pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    schema = "shard int, block int, at long, n_tokens long, doc_id long, ids_crc32 long" + ", ids array<int>" * with_ids
-    docs = blocks.drop("n_ids", "n_docs").mapInArrow(documents, schema)
-    docs = docs.join(starts, ["shard", "block"])
+    schema = "part int, shard int, at long, n_tokens long, doc_id long, ids_crc32 long" + ", ids array<int>" * with_ids
+    docs = table.drop("n_ids", "n_docs", "least", "greatest").mapInArrow(documents, schema)
+    docs = docs.join(starts, ["part", "shard"])
     return docs.select("doc_id", (F.col("start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32", *(["ids"] if with_ids else []))

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from ticktide.llm import ann, bpe, chat, mixing, pii, quality, secrets, tokenfile
+from ticktide.llm import ann, bpe, chat, chunks, mixing, pii, quality, secrets, tokenfile
 from ticktide.llm.common import read
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -160,13 +160,33 @@ def test_bpe(docs):
     ranks = bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
     library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
-    got = {r.doc_id: r for r in bpe.apply(docs, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256", "decoded")).collect()}
+    got = {r.doc_id: r for r in bpe.apply(docs, P.path("byte_bpe_50k.tiktoken"), ("n_tokens", "ids_sha256", "decoded_sha256", "decoded")).collect()}
     for k, t in texts.items():
         ids = library.encode_ordinary(t)
         assert got[k].n_tokens == len(ids) and got[k].ids_sha256 == sha(" ".join(map(str, ids))), t[:99]
         assert got[k].decoded_sha256 == sha(t) and bytes(got[k].decoded) == t.encode()
 
 
+def test_wide_pieces_merge_as_the_library_does():
+    import public_tokenizers as P
+    import tiktoken
+
+    ranks = bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(6)
+    letters = np.array(list("aeinorstéß"))
+    texts = ["".join(rng.choice(letters, n)) for n in (255, 256, 257, 258, 300, 511, 513, 1500, 1501, 20_000)] + ["a" * 5000, "=" * 3000, "\U0001f600" * 500, "ab" * 700]
+    found = bpe.ByteBPE(ranks).encode_batch(texts)
+    for t, ids in zip(texts, found, strict=True):
+        assert ids.tolist() == library.encode_ordinary(t), len(t)
+
+
+def test_the_fixed_pattern_is_the_tokenizers_own():
+    import public_tokenizers as P
+
+    assert chunks.PATTERN == P.PATTERN
+
+
 def test_token_files(docs, spark, tmp_path):
     import public_tokenizers as P
     from tokenizers import Tokenizer

@@ -76,18 +76,6 @@ def test_simhash_links_lose_nothing(spark):
     assert [got[i] for i in range(len(fps))] == want
 
 
-def test_grown_groups_are_the_components_of_all_pairs():
-    rng = np.random.default_rng(4)
-    base = rng.integers(0, 2**63, (3, simhash.LANES), dtype=np.uint64)
-    f = np.concatenate([base[i % 3][None].copy() for i in range(90)])
-    for row in f:
-        for b in rng.integers(0, 64 * simhash.LANES, int(rng.integers(0, 25))):
-            row[b // 64] ^= np.uint64(1) << np.uint64(b % 64)
-    near = [(i, j) for i in range(len(f)) for j in range(i) if int(np.bitwise_count(f[i] ^ f[j]).sum()) <= 20]
-    a, b = simhash._grown(f, 20)
-    assert len(a) < len(f) and groups(len(f), zip(a.tolist(), b.tolist(), strict=True)) == groups(len(f), near)
-
-
 def test_keep_one_catches_near_copies_and_leaves_others(spark):
     rng = random.Random(8)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))

@@ -48,7 +48,7 @@ def test_row_operators(spark, odd, labels):
         assert df.count() == 0
     import public_tokenizers as P
 
-    assert bpe.apply(none, P.path("byte_bpe_50k.tiktoken"), P.PATTERN, tuple(bpe.OUTPUTS)).count() == 0
+    assert bpe.apply(none, P.path("byte_bpe_50k.tiktoken"), tuple(bpe.OUTPUTS)).count() == 0
     rows = {r.doc_id: r for r in simhash.digest(odd).collect()}
     assert rows[2].fingerprint == "0" * 16 == rows[3].fingerprint and rows[2].component_id == rows[5].component_id == 2
 

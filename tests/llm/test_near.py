@@ -45,6 +45,12 @@ def brute(texts, similarity=0.8):
     return [(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= similarity * len(sets[i] | sets[j]) - 1e-9]
 
 
+def described(spark, texts):
+    rows = spark.createDataFrame([(i, i, t) for i, t in enumerate(texts)], "_key long, _row long, _text string")
+    made = simhash._described(rows, 5).withColumnRenamed("_row", "node").select("node", "size", "ring")
+    return made, rows.select("_row", rows["_text"].alias("text"))
+
+
 @pytest.mark.parametrize("cell", [8, 2048])
 def test_near_copies_are_the_pairs_of_brute_force(spark, monkeypatch, cell):
     monkeypatch.setattr(simhash, "CELL", cell)  # one rule, whatever a group's size
@@ -54,21 +60,45 @@ def test_near_copies_are_the_pairs_of_brute_force(spark, monkeypatch, cell):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     kept = {r.doc_id for r in simhash.keep_one(df).collect()}
     assert kept == set(want) and len(kept) < len(texts) - 100
-    rows = df.withColumnRenamed("doc_id", "_row")
-    found = dict(connected_components(simhash.near_links(rows.select("_row").limit(0), rows, 0.8, 5, "text"), "a", "b").collect())
+    reps, rows = described(spark, texts)
+    links = simhash.near_links(reps, rows, 0.8, 5, "text")
+    assert {(max(r.a, r.b), min(r.a, r.b)) for r in links.collect()} <= set(pairs)  # nothing but what the exact check passes
+    found = dict(connected_components(links, "a", "b").collect())
     assert [found.get(i, i) for i in range(len(texts))] == want
 
 
-def test_leaders_carry_over_batches():
-    import pyarrow as pa
+def test_recall_from_the_threshold_on(spark):
+    rng = random.Random(4)
+    texts = []
+    for i in range(700):
+        base = [rng.choice("abcdefghijklmnop") + str(rng.randrange(5000)) for _ in range(rng.choice((60, 150, 400)))]
+        changed = list(base)
+        for at in rng.sample(range(len(base)), max(1, round(len(base) * rng.uniform(0.008, 0.026)))):
+            changed[at] = f"x{i}-{at}"
+        texts += [" ".join(base), " ".join(changed)]
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)} for t in texts]
+    truth = {}
+    for i in range(0, len(texts), 2):
+        both = len(sets[i] & sets[i + 1])
+        truth[i] = both / (len(sets[i]) + len(sets[i + 1]) - both)
+    reps, rows = described(spark, texts)
+    links = {(r.a, r.b) for r in simhash.near_links(reps, rows, 0.8, 5, "text").collect()}
+    for lo, hi in ((0.8, 0.82), (0.82, 0.85), (0.85, 0.9)):
+        some = [i for i, j in truth.items() if lo <= j < hi]
+        assert len(some) > 40 and sum((i, i + 1) in links for i in some) / len(some) >= 0.97, (lo, len(some))
+    assert not any((i, i + 1) in links for i, j in truth.items() if j < 0.8 - 1e-9)
+
 
-    rng = np.random.default_rng(3)
-    token = np.sort(rng.integers(0, 40, 200))
-    size = np.where(rng.integers(0, 2, 200), 100, 300)
-    order = np.lexsort((size, token))
-    token, size = token[order], size[order]
-    whole = pa.RecordBatch.from_arrays([pa.array(token), pa.array(np.arange(200)), pa.array(size << 32)], names=["token", "node", "at"])
-    want = [(t, i, np.flatnonzero((token == t) & (size == c))[0]) for i, (t, c) in enumerate(zip(token, size, strict=True)) if (token == t).sum() > 1]
-    for step in (1, 7, 200):
-        got = [r for b in simhash._led(whole.slice(lo, step) for lo in range(0, 200, step)) for r in zip(*(b.column(c).to_pylist() for c in ("token", "node", "lead")), strict=True)]
-        assert got == want
+def test_ring_positions_are_equal_as_often_as_sets_are_similar():
+    rng = np.random.default_rng(9)
+    for similarity in (0.5, 0.8):
+        n = 400
+        shared = round(n * 2 * similarity / (1 + similarity))
+        equal = []
+        for _ in range(300):
+            h = rng.integers(0, 2**64, 2 * n, np.uint64)
+            equal.append((simhash.ring(h[:n]) == simhash.ring(np.concatenate((h[:shared], h[n : 2 * n - shared])))).mean())
+        assert abs(np.mean(equal) - similarity) < 0.02 and abs(np.var(equal) * simhash.POSITIONS - similarity * (1 - similarity)) < 0.05
+    assert (simhash.ring(np.zeros(0, np.uint64)) == 2**32 - 1).all()
+    h = rng.integers(0, 2**64, 40000, np.uint64)
+    assert (simhash.ring(h) == np.minimum(simhash.ring(h[:123]), simhash.ring(h[123:]))).all()

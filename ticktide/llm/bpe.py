@@ -9,12 +9,11 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -22,8 +21,8 @@ from .chunks import ChunkEncoder, Ids, gather, in_slices, starts_of
 from .common import free_name
 
 NO_RANK = np.int32(2**31 - 1)
-#: Widest row of a matrix, in bytes. A longer piece merges by the same rule with a queue.
-WIDEST = 256
+#: Rows of more bytes than this find their least rank by the minima of tiles, others at once.
+NARROW = 256
 #: Cells of one matrix at most.
 MATRIX_CELLS = 2_000_000
 
@@ -80,8 +79,7 @@ class PairTable:
 class ByteBPE:
     """Encoder and decoder for one vocabulary of ranks; ids are ranks, no special tokens."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.pattern = regex.compile(pattern)
+    def __init__(self, ranks: dict[bytes, int]):
         self.table = PairTable(ranks)
         self.of_byte = np.array([ranks[bytes([i])] for i in range(256)], np.int32)
         self.tokens = [b""] * (max(ranks.values()) + 1)
@@ -126,41 +124,43 @@ class ByteBPE:
             has = np.flatnonzero(at > 0)
             rank[has, at[has] - 1] = self.table(ids[has, at[has] - 1], best[has])
 
-    def _queue(self, piece: np.ndarray) -> np.ndarray:
-        """The same merges for one very long piece: least rank first, then leftmost."""
-        ids = self.of_byte[piece].tolist()
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        arr = np.array(ids, np.int32)
-        first = self.table(arr[:-1], arr[1:])
-        heap = [(int(first[i]), i) for i in np.flatnonzero(first != NO_RANK)]
-        current = dict((i, r) for r, i in heap)
-        heapq.heapify(heap)
-        one = lambda i, j: int(self.table(np.array([ids[i]]), np.array([ids[j]]))[0])
-        known: dict[tuple[int, int], int] = {}
-        while heap:
-            r, i = heapq.heappop(heap)
-            if current.get(i) != r:
-                continue
-            j = after[i]
-            ids[i] = r
-            ids[j] = -1
-            current.pop(i, None)
-            current.pop(j, None)
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for left, right in ((before[i], i), (i, after[i])):
-                if left >= 0 and right < n:
-                    pair = (ids[left], ids[right])
-                    new = known.get(pair)
-                    if new is None:
-                        new = known[pair] = one(left, right)
-                    current.pop(left, None)
-                    if new != NO_RANK:
-                        current[left] = new
-                        heapq.heappush(heap, (new, left))
-        return np.array([x for x in ids if x >= 0], np.int32)
+    def _tiled(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_matrix``, for wide rows: the least rank is found by the minima of tiles.
+
+        A round looks at one number a tile and at the tiles that a merge touches, not at
+        the whole row. Merged columns are linked over and compacted at the end.
+        """
+        tile = 1 << (int(lengths.max()).bit_length() + 1) // 2
+        width = -(-(int(lengths.max()) + 1) // tile) * tile  # one column at least that holds nothing
+        column = np.arange(width)
+        inside = column < lengths[:, None]
+        ids = self.of_byte[flat[np.where(inside, starts[:, None] + column, 0)]]
+        ids[~inside] = -1
+        rank = np.full(ids.shape, NO_RANK, np.int32)
+        rank[:, :-1] = self.table(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(-1, width - 1)
+        rank = rank.reshape(len(ids), -1, tile)
+        least = rank.min(2)
+        after, before = np.tile(column + 1, (len(ids), 1)), np.tile(column - 1, (len(ids), 1))
+        row = np.arange(len(ids))
+        while len(row):
+            t = least[row].argmin(1)  # the leftmost of the least
+            best = least[row, t]
+            on = best != NO_RANK
+            row, t, best = row[on], t[on], best[on]
+            at = t * tile + rank[row, t].argmin(1)
+            gone = after[row, at]
+            follow, previous = after[row, gone], before[row, at]
+            ids[row, at], ids[row, gone] = best, -1
+            after[row, at], before[row, follow] = follow, at
+            rank[row, gone // tile, gone % tile] = NO_RANK
+            rank[row, t, at % tile] = self.table(best, ids[row, follow])
+            first = previous < 0
+            old = np.maximum(previous, 0)
+            made = self.table(ids[row, old], best)
+            rank[row, old // tile, old % tile] = np.where(first, rank[row, old // tile, old % tile], made)
+            for touched in (t, gone // tile, old // tile):
+                least[row, touched] = rank[row, touched].min(1)
+        return np.arange(len(ids)), (ids >= 0).sum(1), ids[ids >= 0]
 
     def merge(self, pieces: pa.Array, uses: np.ndarray | None = None) -> Ids:
         """Ids of distinct pieces, by matrices of rows of about one length."""
@@ -171,17 +171,15 @@ class ByteBPE:
         in_order = lengths[order]
         found = []
         at = int(np.searchsorted(in_order, 1))
-        stop = int(np.searchsorted(in_order, WIDEST, "right"))
-        while at < stop:
-            limit = min(WIDEST, int(in_order[at]) + max(1, int(in_order[at]) // 8))
-            end = min(stop, int(np.searchsorted(in_order, limit, "right")), at + max(1, MATRIX_CELLS // limit))
+        while at < len(order):
+            wide = in_order[at] > NARROW
+            limit = int(in_order[at]) + max(1, int(in_order[at]) // 8)
+            limit = limit if wide else min(NARROW, limit)
+            end = min(int(np.searchsorted(in_order, limit, "right")), at + max(1, MATRIX_CELLS // (4 * limit if wide else limit)))
             rows = order[at:end]
-            who, counts, ids = self._matrix(flat, starts[rows], lengths[rows])
+            who, counts, ids = (self._tiled if wide else self._matrix)(flat, starts[rows], lengths[rows])
             found.append((rows[who], counts, ids))
             at = end
-        for i in order[stop:]:
-            ids = self._queue(flat[starts[i] : starts[i] + lengths[i]])
-            found.append((np.array([i]), np.array([len(ids)]), ids))
         if not found:
             return np.zeros(0, np.int32), np.zeros(len(pieces), np.int64)
         who, counts, ids = (np.concatenate(x) for x in zip(*found, strict=True))
@@ -191,10 +189,11 @@ class ByteBPE:
         place[who] = starts_of(counts)
         return gather(ids, place, out), out
 
-    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_batch(self, texts: pa.Array | list[str]) -> list[np.ndarray]:
         """Ids of each whole text, as int32."""
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts
         flat, lengths = self.chunks(texts)
-        return np.split(flat, np.cumsum(lengths)[:-1]) if texts else []
+        return np.split(flat, np.cumsum(lengths)[:-1]) if len(texts) else []
 
     def decode_batch(self, ids: list[np.ndarray]) -> list[bytes]:
         """The bytes that each list of ids stands for."""
@@ -206,15 +205,15 @@ class ByteBPE:
         return " ".join([d[i] for i in ids.tolist()])
 
 
-_LOADED: dict[tuple[str, str], ByteBPE] = {}
+_LOADED: dict[str, ByteBPE] = {}
 
 
-def encoder(raw: bytes, pattern: str) -> ByteBPE:
+def encoder(raw: bytes) -> ByteBPE:
     """The encoder of a ranks file's content; each worker builds it once."""
-    key = (hashlib.sha256(raw).hexdigest(), pattern)
+    key = hashlib.sha256(raw).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = ByteBPE({base64.b64decode(a): int(b) for a, b in (x.split() for x in raw.splitlines() if x.strip())}, pattern)
+        _LOADED[key] = ByteBPE({base64.b64decode(a): int(b) for a, b in (x.split() for x in raw.splitlines() if x.strip())})
     return _LOADED[key]
 
 
@@ -228,7 +227,7 @@ OUTPUTS = {
 }
 
 
-def apply(docs: DataFrame, ranks_file: str, pattern: str, outputs: tuple[str, ...] = ("ids",), text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def apply(docs: DataFrame, ranks_file: str, outputs: tuple[str, ...] = ("ids",), text: str = "text", carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns ``carry`` and the named OUTPUTS of each whole text, one row per row.
 
     ``decoded`` is decoded from the ids. Null text counts as empty and gives no ids;
@@ -242,11 +241,11 @@ def apply(docs: DataFrame, ranks_file: str, pattern: str, outputs: tuple[str, ..
     work = free_name(carry)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(content.value, pattern)
+        bpe = encoder(content.value)
         for batch in batches:
-            texts = [x or "" for x in batch.column(work).to_pylist()]
-            for lo, hi in in_slices(texts):
-                ids = bpe.encode_batch(texts[lo:hi])
+            texts = batch.column(work).cast(pa.large_string()).fill_null("")
+            for lo, hi in in_slices(pc.binary_length(texts).to_numpy()):
+                ids = bpe.encode_batch(texts.slice(lo, hi - lo))
                 back = bpe.decode_batch(ids) if any(o.startswith("decoded") for o in outputs) else []
                 made = {
                     "ids": lambda: ids, "n_tokens": lambda: [len(x) for x in ids],

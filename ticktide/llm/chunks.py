@@ -52,6 +52,7 @@ class Remembering:
         self.encode = encode
         self.known = pa.array([], pa.large_string())
         self.ids, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64)
+        self.seen, self.batch = np.zeros(0, np.int64), 0
 
     def __call__(self, strings: pa.Array, uses: np.ndarray) -> Ids:
         """``uses``: how often each string occurs in the batch."""
@@ -64,13 +65,16 @@ class Remembering:
         ids, lengths = self.encode(fresh, uses[gap])
         ids, lengths = np.concatenate((self.ids, ids)), np.concatenate((self.lengths, lengths))
         starts = starts_of(lengths)
-        # all of late, or where that is too much those that recur in this batch; no very long ones
+        # the strings seen last, those of early batches first to go; no very long ones
+        self.batch += 1
+        seen = np.concatenate((self.seen, np.full(len(fresh), self.batch)))
+        seen[which] = self.batch
         keep = np.concatenate((np.ones(n, bool), pc.binary_length(fresh).to_numpy(zero_copy_only=False) <= 48))
-        if keep.sum() > REMEMBERED:
-            recurs = np.zeros(len(keep), bool)
-            recurs[which[uses > 1]] = True
-            keep &= recurs
-            keep &= np.cumsum(keep) <= REMEMBERED
+        since = self.batch
+        while keep.sum() > REMEMBERED:
+            drop = np.flatnonzero(keep & (seen <= seen[keep].min()))
+            keep[drop[: int(keep.sum()) - REMEMBERED] if seen[drop[0]] == since else drop] = False
+        self.seen = seen[keep]
         self.known = pa.chunked_array([self.known, fresh]).combine_chunks().filter(pa.array(keep))
         self.ids, self.lengths = gather(ids, starts[keep], lengths[keep]), lengths[keep]
         return gather(ids, starts[which], lengths[which]), lengths[which]
@@ -81,7 +85,7 @@ class ChunkEncoder:
 
     def __init__(self, encode_pieces: Callable[[pa.Array, np.ndarray], Ids]):
         self.find, self.encode_pieces = regex.compile(PATTERN).findall, encode_pieces
-        self.words = Remembering(self._words)
+        self.pieces, self.words = Remembering(encode_pieces), Remembering(self._words)
 
     def _loose(self, texts: list[str]) -> Ids:
         """Ids of texts that the pattern alone splits."""
@@ -107,7 +111,7 @@ class ChunkEncoder:
         a, b, c = sizes[0], sizes[0] + sizes[1], sizes[0] + sizes[1] + sizes[2]
         # how often each piece occurs in the batch, as far as the words tell
         weight = np.concatenate((uses[at_plain], uses[at_stop], np.ones(sizes[2] + sizes[3], np.int64)))
-        ids = self.encode_pieces(coded.dictionary, np.bincount(ref, weights=weight, minlength=len(coded.dictionary)))
+        ids = self.pieces(coded.dictionary, np.bincount(ref, weights=weight, minlength=len(coded.dictionary)))
         counts = np.ones(len(words), np.int64)
         counts[at_stop] = 2
         counts[other] = [len(ps) for ps in cut]
@@ -121,11 +125,11 @@ class ChunkEncoder:
         which[irregular] = ref[b:c]
         return picked(ids, which, counts)
 
-    def __call__(self, texts: list[str]) -> Ids:
-        """(ids of all texts, one after the other; number of ids of each text)."""
-        if not texts:
+    def __call__(self, texts: pa.Array) -> Ids:
+        """(ids of all texts, one after the other; number of ids of each text); no nulls."""
+        if not len(texts):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        split = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        split = pc.split_pattern(texts, " ")
         offsets = split.offsets.to_numpy().astype(np.int64)
         coded = pc.dictionary_encode(split.values)
         words, index = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
@@ -135,7 +139,7 @@ class ChunkEncoder:
         whole = np.add.reduceat(beside[index].astype(np.int64), offsets[:-1]) > 0
         at_head = offsets[:-1]
         first = words.take(pa.array(index[at_head])).to_pylist()
-        heads = self._loose([t if bad else w for t, w, bad in zip(texts, first, whole.tolist(), strict=True)])
+        heads = self._loose([texts[i].as_py() if bad else w for i, (w, bad) in enumerate(zip(first, whole.tolist(), strict=True))])
         ids = self.words(words, np.bincount(index, minlength=len(words)))
         which = index
         which[at_head] = len(words) + np.arange(len(texts))
@@ -146,13 +150,12 @@ class ChunkEncoder:
         return picked(both, which[keep], counts)
 
 
-def in_slices(texts: list[str], most: int = 12_000_000) -> Iterator[tuple[int, int]]:
-    """Ranges of a batch of about ``most`` characters each, so memory stays bounded."""
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= most:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
+def in_slices(sizes: np.ndarray, most: int = 12_000_000) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch of about ``most`` bytes each, so memory stays bounded."""
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = int(ends[start - 1]) if start else 0
+        stop = min(len(ends), int(np.searchsorted(ends, before + most, "left")) + 1)
+        yield start, stop
+        start = stop

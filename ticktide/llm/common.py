@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import forget, materialize, shared_dir
+
+__all__ = ["forget", "materialize", "shared_dir"]
+
 #: Fixed pattern of a word: a maximal run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -18,33 +20,6 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    It is the one named by ``spark.checkpoint.dir``. Only where that is unset (tests on
-    one machine) a temporary folder is made and set for the rest of the session.
-    """
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.conf.set("spark.checkpoint.dir", named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
-    return named.rstrip("/")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
-
-    Cuts lineage, so later stages survive the loss of executors, and keeps a costly
-    column from being computed twice. The rows are compressed columns on disk.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def text_of(column: str | Column = "text") -> Column:
     """The text, with null read as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))

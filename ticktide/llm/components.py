@@ -5,7 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import forget, materialize
+
+
+def _print(edges: DataFrame) -> tuple:
+    """What tells one set of edges from another: number, sum and exclusive or of hashes."""
+    h = F.xxhash64("u", "v")
+    return tuple(edges.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first())
 
 
 def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
@@ -18,21 +24,23 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """
     clean = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
     current = materialize(clean, "edges")
+    seen = _print(current)
     while True:
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: every greater neighbour is joined to the least
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(least.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         # small star: a node and its smaller neighbours are joined to the least of them
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
         least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u")
+        small = down.join(least.hint("merge"), "u")
         linked = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         after = materialize(linked.where("u <> v").distinct(), "edges")
         # settled: all edges end in nodes that have no smaller neighbour, and nothing moved
-        moved = after.exceptAll(current).limit(1).count() + current.exceptAll(after).limit(1).count()
+        before, seen = seen, _print(after)
+        forget(current)
         current = after
-        if not moved:
+        if seen == before:
             break
     roots = current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
     return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -26,7 +26,7 @@ def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    return bpe.apply(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ("n_tokens", "ids_sha256", "decoded_sha256"))
+    return bpe.apply(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), ("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
 def op5_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

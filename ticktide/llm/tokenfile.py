@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .chunks import ChunkEncoder, Ids, Remembering, gather, in_slices, starts_of
+from .chunks import ChunkEncoder, Ids, gather, in_slices, starts_of
 
 #: Ids in a shard, from which on it ends with the document at hand. Bounds a task's memory.
 SHARD_IDS = 1_000_000
@@ -35,16 +35,23 @@ STRIDE = 1024
 SHARD = "part int, shard int, base int, least long, greatest long, doc_key binary, sizes binary, rules binary, expansion binary, symbols binary, stretch binary, n_ids long, n_docs long"
 
 
-def _places(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of an array of pairs: (the distinct ones, how often each occurs, the number of each entry's one)."""
-    order = np.argsort(pair)
-    ordered = pair[order]
-    new = np.ones(len(pair), bool)
-    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
-    edge = np.flatnonzero(new)
-    which = np.empty(len(pair), np.int64)
-    which[order] = np.cumsum(new) - 1
-    return ordered[edge], np.diff(np.append(edge, len(pair))), which
+def _told_apart(pair: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of an array of pairs: (the number of each entry's pair, pairs by number, occurrences by number).
+
+    The number is a bucket of a hash; what finds its bucket held by another pair is sorted.
+    """
+    bits = max(10, len(pair).bit_length())
+    which = (pair * -7046029254386353131).view(np.uint64) >> np.uint64(64 - bits)
+    which = which.view(np.int64)
+    held = np.zeros(1 << bits, np.int64)
+    held[which] = pair
+    other = np.flatnonzero(held[which] != pair)
+    if not len(other):
+        return which, held, np.bincount(which, minlength=len(held))
+    rest, inverse = np.unique(pair[other], return_inverse=True)
+    which[other] = len(held) + inverse
+    held = np.concatenate((held, rest))
+    return which, held, np.bincount(which, minlength=len(held))
 
 
 def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> dict[str, np.ndarray]:
@@ -64,15 +71,10 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> dict[str, np.ndar
     rules, expansion = [np.zeros((0, 2), np.int64)], np.ones(base, np.int64)
     active = np.flatnonzero(~last)
     while len(active):
-        pair = seq[active] << 32 | seq[active + 1]
-        # buckets of a hash first: most pairs are too rare to be sorted
-        bucket = (pair * -7046029254386353131) >> 44 & 0xFFFFF
-        often = np.bincount(bucket, minlength=1 << 20)[bucket] >= MIN_PAIRS
-        active, pair = active[often], pair[often]
-        distinct, n, which = _places(pair)
+        which, pairs, n = _told_apart(seq[active] << 32 | seq[active + 1])
+        hit = np.flatnonzero(n[which] >= MIN_PAIRS)
+        at, which = active[hit], which[hit]
         count = n[which]
-        hit = count >= MIN_PAIRS
-        at, count, which = active[hit], count[hit], which[hit]
         if not len(at):
             break
         beside = at[1:] == at[:-1] + 1
@@ -84,9 +86,10 @@ def compress(ids: np.ndarray, sizes: np.ndarray, base: int) -> dict[str, np.ndar
         begins = np.concatenate(([True], np.diff(at[best]) != 1))
         index = np.arange(len(best))
         best = best[(index - np.maximum.accumulate(np.where(begins, index, 0))) % 2 == 0]
-        best = best[np.bincount(which[best], minlength=len(n))[which[best]] > 1]
-        used, new = np.unique(which[best], return_inverse=True)
-        a, b = distinct[used] >> 32, distinct[used] & 0xFFFFFFFF
+        useful = np.bincount(which[best], minlength=len(n)) > 1
+        best = best[useful[which[best]]]
+        new = (np.cumsum(useful) - 1)[which[best]]
+        a, b = pairs[useful] >> 32, pairs[useful] & 0xFFFFFFFF
         place = at[best]
         seq[place] = len(expansion) + new
         rules.append(np.stack((a, b), 1))
@@ -159,10 +162,10 @@ class Library:
         return ids, np.diff(upto, prepend=0)
 
 
-_TOKENIZERS: dict[str, Callable[[list[str]], Ids]] = {}
+_TOKENIZERS: dict[str, Callable[[pa.Array], Ids]] = {}
 
 
-def _library(content: str) -> Callable[[list[str]], Ids]:
+def _library(content: str) -> Callable[[pa.Array], Ids]:
     """Whole texts by the tokenizers library, each distinct match of the pattern once.
 
     The string of an added token becomes that token's id, as the library does it: a text
@@ -174,20 +177,19 @@ def _library(content: str) -> Callable[[list[str]], Ids]:
 
         tokenizer = Tokenizer.from_str(content)
         added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        chunks = ChunkEncoder(Remembering(Library(tokenizer)))
+        chunks = ChunkEncoder(Library(tokenizer))
 
-        def encode(texts: list[str]) -> Ids:
-            column = pa.array(texts, pa.large_string())
+        def encode(texts: pa.Array) -> Ids:
             special = np.zeros(len(texts), bool)
             for a in added:
-                special |= pc.match_substring(column, a).to_numpy(zero_copy_only=False)
+                special |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
             at = np.flatnonzero(special).tolist()
             if not at:
                 return chunks(texts)
-            ids, lengths = chunks(["" if s else t for t, s in zip(texts, special.tolist(), strict=True)])
+            ids, lengths = chunks(pc.if_else(pa.array(special), "", texts))
             parts, whole = np.split(ids, np.cumsum(lengths)[:-1]), lengths.copy()
             for i in at:
-                parts[i] = np.array(tokenizer.encode(texts[i], add_special_tokens=False).ids, np.int32)
+                parts[i] = np.array(tokenizer.encode(texts[i].as_py(), add_special_tokens=False).ids, np.int32)
                 whole[i] = len(parts[i])
             return np.concatenate(parts), whole
 
@@ -239,9 +241,9 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, base: in
             return pa.RecordBatch.from_arrays([pa.array([v], kinds.get(k, pa.binary())) for k, v in row.items()], names=[*row])
 
         for batch in batches:
-            texts = batch.column("_text").to_pylist()
-            for lo, hi in in_slices(texts, 8_000_000):
-                flat, lengths = encode(texts[lo:hi])
+            texts = batch.column("_text").cast(pa.large_string())
+            for lo, hi in in_slices(pc.binary_length(texts).to_numpy(), 8_000_000):
+                flat, lengths = encode(texts.slice(lo, hi - lo))
                 ends = starts_of(lengths) + lengths
                 flat = np.insert(flat, ends, end_id)
                 lengths = lengths + 1

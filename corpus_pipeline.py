@@ -41,7 +41,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document of the mix, and the hash of what they decode to."""
     import public_tokenizers
 
-    return bpe.apply(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ("ids", "n_tokens", "decoded_sha256"), carry=("doc_id", "source"))
+    return bpe.apply(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), ("ids", "n_tokens", "decoded_sha256"), carry=tuple(c for c in ("doc_id", "source") if c in docs.columns))
 
 
 STAGES = [("quality rules", rules), ("line dedup", lines), ("near duplicates", near_duplicates), ("mixing", mixed), ("encoding", encoded)]

@@ -89,23 +89,44 @@ def typed(spark, *frames):
 
 
 def test_typed_events(spark):
-    book = {"event_type": "book", "market": "m", "asset_id": "a", "bids": [{"price": "0.4", "size": "5"}], "asks": [{"price": "0.6", "size": "1"}], "hash": "h", "timestamp": "1"}
-    frame = lambda p, stream="public_book", kind="venue_frame": (kind, stream, "v", json.dumps(p))
+    book = {"event_type": "book", "market": "m", "asset_id": "a", "bids": [{"price": "0.4", "size": "5"}], "asks": [{"price": 0.6, "size": "1"}], "hash": "h", "timestamp": "1"}
+    frame = lambda p, stream="public_book", venue="polymarket": ("venue_frame", stream, venue, json.dumps(p))
+    update = {"event": "orderbookUpdate", "data": {"marketSlug": "s", "version": 4, "orderbook": {"bids": [], "asks": []}}}
     got = typed(
-        spark, frame(book), frame({**book, "bids": [{"price": "x", "size": "5"}]}), frame({"event_type": "last_trade_price", "asset_id": "a", "price": "0.5", "size": "2", "side": "BUY"}),
-        frame({"event": "connection_opened", "target_metadata_digest": "d"}, kind="control"), frame({"gameId": 7, "homeTeam": "x", "eventState": {"status": "live"}, "status": "old"}, "game"), frame({"homeTeam": "x"}, "game"),
-        frame({"payload": {"symbol": "btc", "value": 1.5, "full_accuracy_value": "1.25"}}, "reference_event"), ("venue_frame", "public_book", "v", "no json"), frame({"event_type": "market_resolved", "market": "m"}), frame({"event": "orderbookUpdate", "data": {"marketSlug": "s", "orderbook": {"bids": [], "asks": []}}}),
+        spark, frame(book), frame({**book, "bids": [{"price": "x", "size": "5"}]}), frame({"event_type": "last_trade_price", "asset_id": "a", "price": "0.5", "size": "2", "side": "buy"}),
+        frame({"event": "connection_opened", "target_metadata_digest": "d", "asset_ids": ["a", 7]}, "process"), frame({"event": "target_metadata_changed"}, "process"), frame({"event_type": "last_trade_price", "asset_id": "a", "price": True, "size": "2", "side": "BUY"}),
+        frame({"payload": {"symbol": "btc", "value": 1.5, "full_accuracy_value": "1.25"}}, "reference_event"), ("venue_frame", "public_book", "polymarket", "no json"), frame({"event_type": "market_resolved", "condition_id": "m"}), frame(update, venue="limitless"),
+        frame({**book, "asset_id": None, "asset": "b"}, "public_snapshot"), frame({"market": "m"}, "public_snapshot"), frame({"payload": {"symbol": "x", "value": "oops"}}, "reference_event"), frame([7]), frame({"event": "hello"}, venue="kalshi"), frame({**book, "bids": None}), frame({}, "process"),
     )
-    assert [got[i].event_kind for i in range(10)] == ["full_book", "raw", "trade", "connection_opened", "game_state", "raw", "reference_tick", "raw", "market_lifecycle", "full_book"]
-    assert [got[i].note for i in (1, 5, 7)] == ["invalid_ladder", "game_without_id", "not_json"]
-    assert str(got[0].bids[0].price) == "0.40000000" and got[4].status == "live" and float(got[6].price) == 1.25 and got[3].metadata_digest == "d" and got[9].asset_id == "s"
+    kinds = ["full_book", "raw", "trade", "connection_opened", "raw", "raw", "reference_tick", "raw", "market_lifecycle", "full_book", "full_book", "raw", "reference_tick", "raw", "raw", "raw", "raw"]
+    assert [got[i].event_kind for i in range(17)] == kinds
+    assert [got[i].note for i in (1, 4, 5, 7, 11, 13, 14, 16)] == ["book", "target_metadata_changed", "last_trade_price", "text", "snapshot", "not_an_object", "hello", "control"]
+    assert str(got[0].bids[0].price) == "0.40000000" and str(got[0].asks[0].price) == "0.60000000" and got[2].side == "BUY" and float(got[6].price) == 1.25 and got[3].metadata_digest == "d"
+    assert got[9].asset_id == "s" and got[9].independent and got[9].source_version == "4" and got[10].asset_id == "b" and got[10].independent and not got[0].independent
+    assert got[8].market == "m" and got[8].lifecycle == "RESOLVED" and got[12].price is None and got[3].opened_assets == ["a", "7"]
+
+
+def test_game_frames(spark):
+    base = {"gameId": 7, "homeTeam": "x", "awayTeam": "y", "leagueAbbreviation": "l", "status": "live", "score": "0-0", "period": "P1", "live": True, "ended": False}
+    frames = [
+        base, {**base, "eventState": {"status": "other", "score": "1-0", "period": None, "ended": True, "updatedAt": "u", "createdAt": "c"}}, {"metadataGameId": "g2", "homeTeam": "x"}, {"homeTeam": "x"},
+        {"gameId": None, "metadataGameId": 3, "eventState": "no object", "live": "yes"}, {"eventState": {"score": "2"}},
+    ]
+    got = typed(spark, *(("venue_frame", "reference_event", "polymarket", json.dumps(x)) for x in frames))
+    assert [got[i].event_kind for i in range(6)] == ["game_state"] * 3 + ["raw", "game_state", "raw"]
+    assert got[3].note == got[5].note == "game_state_without_identifier"
+    a, b = got[0].game, got[1].game
+    assert (a.game_id, a.game_id_field, a.status, a.score, a.period, a.live, a.ended, a.state_updated_at) == ("7", "gameId", "live", "0-0", "P1", True, False, None)
+    assert (b.status, b.score, b.period, b.live, b.ended, b.state_updated_at, b.state_created_at) == ("live", "1-0", None, True, True, "u", "c")
+    assert got[2].game.game_id_field == "metadataGameId" and got[4].game.game_id == "3" and got[4].game.live is None
 
 
 def test_price_changes_are_exploded(spark):
-    p = [{"event_type": "price_change", "market": "m", "price_changes": [{"asset_id": "a", "side": "BUY", "price": "0.1", "size": "0", "hash": "h"}, {"asset_id": "b", "side": "SELL", "price": "0.2", "size": "3", "hash": "h"}]}] * 2
-    df = spark.createDataFrame([("venue_frame", "public_book", json.dumps(p))], "kind string, stream string, raw_payload string")
-    got = [(r.event_index, r.asset_id, float(r.size)) for r in events.normalize(df).orderBy("event_index").collect()]
-    assert got == [(0, "a", 0.0), (1, "b", 3.0), (1000000, "a", 0.0), (1000001, "b", 3.0)]
+    p = [{"event_type": "price_change", "market": "m", "price_changes": [{"asset_id": "a", "side": "BUY", "price": "0.1", "size": "0", "hash": "h"}, {"asset_id": "b", "side": "sell", "price": "0.2", "size": "3", "hash": "h"}, {"asset_id": "b"}, 5]}] * 2
+    df = spark.createDataFrame([("venue_frame", "public_book", "polymarket", json.dumps(p)), ("venue_frame", "public_book", "polymarket", '{"event_type":"price_change","price_changes":[]}')], "kind string, stream string, venue string, raw_payload string")
+    got = [(r.event_index, r.event_kind, r.asset_id, r.side, None if r.size is None else float(r.size), r.note) for r in events.normalize(df).orderBy("event_index").collect()]
+    one = lambda m: [(m, "book_delta", "a", "BUY", 0.0, None), (m + 1, "book_delta", "b", "SELL", 3.0, None), (m + 2, "raw", None, None, None, "unparseable_price_change"), (m + 3, "raw", None, None, None, "unparseable_price_change")]
+    assert got == one(0) + one(1000000)
 
 
 def test_projection_and_instruments(spark):
@@ -122,8 +143,6 @@ def test_projection_and_instruments(spark):
 def test_votes_fees_and_instants(spark):
     v = spark.createDataFrame([("k", "b"), ("k", "a"), ("l", "c"), ("l", "c")], "k string, p string")
     assert {tuple(r) for r in events.pair_by_vote(v, "k", "p").collect()} == {("k", "a", True), ("l", "c", False)}
-    f = spark.createDataFrame([("x", 1.0, 5), ("x", 1.0, 3), ("y", 1.0, 1), ("y", 2.0, 1)], "k string, rate double, created long")
-    assert {(r.k, r.status, r.effective_at) for r in events.fee_records(f, "k", ["rate"], "created").collect()} == {("x", "found", 3), ("y", "conflict", 1)}
     t = events.fee_timeline(spark.createDataFrame([("k", 1.0)], "k string, m double"), spark.createDataFrame([("k", 10, 2.0)], "k string, at long, m double"), "k", "at", "m")
     assert [(r["at"], r.m, r.until) for r in t.orderBy("at").collect()] == [(-1, 1.0, 10), (10, 2.0, None)]
     s = spark.createDataFrame([([1.0, 0.0],), ([0.5, 0.5],), ([0.2, 0.8],)], "p array<double>")
@@ -134,6 +153,20 @@ def test_votes_fees_and_instants(spark):
     assert [r[0].type for r in c.select(events.derived_cursor(F.col("p"), F.col("v")).alias("c")).collect()] == ["update_range", "snapshot", "unsequenced"]
 
 
+def test_nested_fee_records(spark):
+    rec = lambda c, **k: {"conditionId": c, "feesEnabled": True, "feeType": "t", "feeSchedule": {"rate": 0.1, "exponent": 2}, **k}
+    docs = [
+        {"markets": [rec("a", createdAt="2024-02-02"), {"deep": {"er": [[rec("a", createdAt="2024-01-01", updatedAt="2024-03-03")]]}}]}, [rec("b"), rec("b", feeSchedule={"rate": 0.2})],
+        {"conditionId": "c", "feesEnabled": False}, {"conditionId": "d", "question": "no fees here"}, rec("e", feeSchedule=None), {**rec("f"), "child": {"conditionId": "g", "feesEnabled": False, "createdAt": ""}},
+    ]
+    df = spark.createDataFrame([(json.dumps(d),) for d in docs] + [("not json",)], "p string")
+    wanted = spark.createDataFrame([(c,) for c in "abcdefgh"], "condition_id string")
+    got = {r.condition_id: r for r in events.fee_records(wanted, events.nested_fee_records(df, "p")).collect()}
+    assert {k: r.status for k, r in got.items()} == {"a": "found", "b": "conflict", "c": "found", "d": "missing", "e": "missing_schedule", "f": "found", "g": "found", "h": "missing"}
+    assert (got["a"].rate, got["a"].exponent, got["a"].created_at, got["a"].updated_at, got["a"].fee_type) == (0.1, 2.0, "2024-01-01", "2024-03-03", "t")
+    assert (got["c"].rate, got["c"].exponent, got["c"].fee_type, got["g"].created_at) == (0.0, 1.0, "no_fee", None)
+
+
 def test_catalogue_integrity(spark):
     e = spark.createDataFrame([("a",), ("a",), ("b",)], "event_id string")
     m = spark.createDataFrame([(1, "a", 1.0, ["t"]), (1, "zz", float("nan"), []), (2, "b", 1.0, ["t", "t"])], "market_id long, event_id string, volume double, subscription_ids array<string>")

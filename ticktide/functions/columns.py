@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Edges of the skew bands in seconds; the last edge is inclusive.
@@ -59,3 +59,33 @@ def half_even(x: Column, digits: int) -> Column:
 def ceil_to(x: Column, increment: float) -> Column:
     """Up to the next increment; a value within 1e-12 increments of one stays there."""
     return F.ceil(x / increment - 1e-12) * increment
+
+
+#: Buckets between a key's least and greatest value in which ranks are found.
+VALUE_BUCKETS = 1024
+
+
+def value_ranks(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """(keys, value, count, upto, n): distinct values with their counts and how many rows are at or below each.
+
+    Equal values are counted before anything is ordered. Running sums go over buckets of the
+    value and then inside a bucket, so a key's values are neither collected nor sorted in one task.
+    """
+    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("count"))
+    span = counted.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("count").alias("n"))
+    width = F.col("_hi") - F.col("_lo")
+    bucket = F.when(width > 0, F.floor((F.col(value) - F.col("_lo")) / width * VALUE_BUCKETS)).otherwise(F.lit(0)).cast("int")
+    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
+    joined = counted.alias("c").join(span.alias("s"), on) if keys else counted.join(F.broadcast(span))  # without keys: one row
+    bucketed = (joined.select("c.*", "_lo", "_hi", "n") if keys else joined).withColumn("_b", bucket).drop("_lo", "_hi")
+    before = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    starts = bucketed.groupBy(*keys, "_b").agg(F.sum("count").alias("_s")).withColumn("_start", F.coalesce(F.sum("_s").over(before), F.lit(0))).drop("_s")
+    on = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in (*keys, "_b")]
+    inside = Window.partitionBy(*keys, "_b").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = bucketed.alias("c").join(starts.alias("s"), on).select("c.*", "_start")
+    return ranked.withColumn("upto", F.col("_start") + F.sum("count").over(inside)).drop("_b", "_start")
+
+
+def at_rank(value: Column, index: Column) -> Column:
+    """Over rows of ``value_ranks``: the value at an index from 0 in ascending order."""
+    return F.min(F.when(F.col("upto") > index, value))

@@ -5,30 +5,25 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Words that carry no identity in a club's name.
-NOISE = ("fc", "cf", "sc", "ac", "afc", "club", "team", "esports", "gaming")
+# Words that carry no identity in a participant's name.
+NOISE = ("afc", "cf", "fc", "fk", "sc")
+
+_LATIN_MARKS = regex.compile(r"(?<=\p{Script=Latin})\p{M}+")
+_TOKEN = regex.compile(r"[\p{L}\p{N}][\p{L}\p{N}\p{M}]*")
 
 
 @F.pandas_udf(T.StringType())
 def _canonical(text: pd.Series) -> pd.Series:
-    def one(x: str | None) -> str | None:
-        if x is None:
-            return None
-        out, latin = [], False
-        for c in unicodedata.normalize("NFKD", x.casefold()):
-            if unicodedata.combining(c):
-                if not latin:
-                    out.append(c)
-                continue
-            latin = "LATIN" in unicodedata.name(c, "")
-            out.append(c if c.isalnum() else " ")
-        return unicodedata.normalize("NFKC", " ".join("".join(out).split()))
-
-    return text.map(one)
+    def one(x: str) -> str:
+        plain = _LATIN_MARKS.sub("", unicodedata.normalize("NFKD", x.casefold()))
+        return " ".join(unicodedata.normalize("NFC", t) for t in _TOKEN.findall(plain))
+
+    return text.map(one, na_action="ignore")
 
 
 def canonical_text(x: Column) -> Column:
@@ -41,8 +36,8 @@ def canonical_text(x: Column) -> Column:
 
 
 def canonical_participant(x: Column) -> Column:
-    words = F.filter(F.split(canonical_text(x), " "), lambda w: ~w.isin(list(NOISE)))
-    return F.when(F.size(words) > 0, F.array_join(words, " ")).otherwise(canonical_text(x))
+    """The canonical text without noise words; empty if nothing else is left."""
+    return F.array_join(F.filter(F.split(canonical_text(x), " "), lambda w: ~w.isin(list(NOISE))), " ")
 
 
 def participants(title: Column) -> Column:

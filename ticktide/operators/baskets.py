@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import at_rank, value_ranks
+
 #: Why a row is excluded, the first that applies.
 EXCLUSIONS = ("one_sided", "depth_limited", "fee_missing")
 
@@ -72,9 +74,11 @@ def terminal_status(gates: DataFrame, category: str, event: str, invalid: Column
 
 
 def frozen_verdict(rows: DataFrame, positive: Column, survived: Column, policy: DataFrame) -> DataFrame:
-    """One row: enough observations, then rate and survivors decide. ``policy`` is one row (floor, rate)."""
+    """One row: enough observations, then rate and survivors decide. ``policy`` has one row (floor, rate); more are an error."""
     facts = rows.agg(F.count(F.lit(1)).alias("observations"), F.count_if(positive).alias("positives"), F.count_if(survived).alias("survivors"))
-    joined = facts.join(F.broadcast(policy.limit(1)))  # two tables of one row
+    one = policy.agg(F.count(F.lit(1)).alias("_n"), F.first("floor").alias("floor"), F.first("rate").alias("rate"))
+    one = one.withColumn("floor", F.when(F.col("_n") == 1, F.col("floor")).otherwise(F.raise_error(F.lit("a frozen policy is one row")).cast(policy.schema["floor"].dataType)))
+    joined = facts.join(F.broadcast(one.drop("_n")))  # two aggregates of one row each
     rate = F.col("positives") / F.greatest(F.col("observations"), F.lit(1))
     return joined.withColumn("verdict", F.when(F.col("observations") < F.col("floor"), "INCONCLUSIVE").when((rate >= F.col("rate")) & (F.col("survivors") > 0), "PASS").otherwise("NO"))
 
@@ -123,9 +127,15 @@ def level_counts(df: DataFrame, keys: list[str], levels: str) -> DataFrame:
 
 
 def spread_summary(routes: DataFrame, keys: list[str], spread: str, thresholds: list[float]) -> DataFrame:
-    """Median, mean, 90th percentile by index floor(0.9 n), greatest spread, and bars over each threshold."""
-    ordered = F.array_sort(F.collect_list(spread))
-    n = F.count(spread)
-    at = F.least(n - 1, F.floor(n * 0.9)).cast("int")
-    over = [F.count_if(F.col(spread) > t).alias(f"over_{i}") for i, t in enumerate(thresholds)]
-    return routes.groupBy(*keys).agg(n.alias("bars"), F.median(spread).alias("median_spread"), F.avg(spread).alias("mean_spread"), F.element_at(ordered, at + 1).alias("p90_spread"), F.max(spread).alias("max_spread"), *over)
+    """Median, mean, 90th percentile by index floor(0.9 n), greatest spread, and bars over each threshold.
+
+    Values are counted first, so no key's values are collected.
+    """
+    ranked = value_ranks(routes.where(F.col(spread).isNotNull()), keys, spread)
+    n, v, c = F.col("n"), F.col(spread), F.col("count")
+    stats = ranked.groupBy(*keys).agg(
+        F.max(n).alias("bars"), ((at_rank(v, F.floor((n - 1) / 2)) + at_rank(v, F.floor(n / 2))) / 2).alias("median_spread"), (F.sum(v * c) / F.sum(c)).alias("mean_spread"),
+        at_rank(v, F.least(n - 1, F.floor(n * 0.9))).alias("p90_spread"), F.max(v).alias("max_spread"),
+        *(F.coalesce(F.sum(F.when(v > t, c)), F.lit(0)).cast("long").alias(f"over_{i}") for i, t in enumerate(thresholds)),
+    )
+    return stats

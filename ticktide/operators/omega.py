@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 
 def score_grid(markets: DataFrame, event: str, line: str) -> DataFrame:
     """(event, home, away, outcome): scores from 0 to a cap that the event's greatest line sets."""
@@ -76,23 +78,33 @@ def mask_status(markets: DataFrame, kind: str, scope: str, space_scope: str, typ
     return markets.withColumn("status", status)
 
 
-def relationships(mask: DataFrame, keys: list[str], market: str, universe: DataFrame) -> DataFrame:
-    """Pairs of markets of one key and how their masks relate.
+def mask_classes(mask: DataFrame, keys: list[str], market: str) -> DataFrame:
+    """(keys, market, class_market, mask): markets of equal masks are one class, named by its least market.
 
-    ``mask`` is exploded over ``universe``, whose size bounds a group. Markets of equal
-    masks are first joined into classes, so copies don't multiply; pairs are formed
-    between class representatives of one event only. Empty masks relate to nothing.
+    A mask is bounded by the universe, a class may have any number of members.
     """
-    sets = mask.groupBy(*keys, market).agg(F.array_sort(F.collect_set("outcome")).alias("_s"))
-    sizes = universe.groupBy(*keys).agg(F.count_distinct("outcome").alias("_u"))
-    a = sets.select(*keys, F.col(market).alias("market_a"), F.col("_s").alias("_a"))
-    b = sets.select(*keys, F.col(market).alias("market_b"), F.col("_s").alias("_b"))
+    sets = mask.groupBy(*keys, market).agg(F.array_sort(F.collect_set("outcome")).alias("mask"))
+    named = sets.groupBy(*keys, "mask").agg(F.min(market).alias("class_market"))
+    return sets.join(named, [*keys, "mask"])
+
+
+def relationships(mask: DataFrame, keys: list[str], market: str) -> DataFrame:
+    """How the masks of one key's markets relate: (keys, market_a, market_b, relation, common).
+
+    Markets of equal masks are a class, so copies don't multiply: pairs are formed between
+    the classes' least markets only, and each other member gives one IDENTITY row with its class's
+    least market. Empty masks relate to nothing. Keys may hold the state that
+    a space is conditioned on.
+    """
+    classes = materialize(mask_classes(mask, keys, market), "classes")
+    heads = classes.where(F.col(market) == F.col("class_market"))
+    a = heads.select(*keys, F.col(market).alias("market_a"), F.col("mask").alias("_a"))
+    b = heads.select(*keys, F.col(market).alias("market_b"), F.col("mask").alias("_b"))
     both = F.size(F.array_intersect("_a", "_b"))
-    relation = (
-        F.when((both == F.size("_a")) & (both == F.size("_b")), "IDENTITY").when(both == F.size("_a"), "IMPLICATION").when(both == F.size("_b"), "REVERSE_IMPLICATION")
-        .when(both == 0, "MUTUAL_EXCLUSION").otherwise("OVERLAP")
-    )
-    return a.join(b, keys).where(F.col("market_a") < F.col("market_b")).join(sizes, keys).select(*keys, "market_a", "market_b", relation.alias("relation"), both.alias("common"))
+    relation = F.when(both == F.size("_a"), "IMPLICATION").when(both == F.size("_b"), "REVERSE_IMPLICATION").when(both == 0, "MUTUAL_EXCLUSION").otherwise("OVERLAP")
+    pairs = a.join(b, keys).where(F.col("market_a") < F.col("market_b")).select(*keys, "market_a", "market_b", relation.alias("relation"), both.alias("common"))
+    same = classes.where(F.col(market) != F.col("class_market")).select(*keys, F.col("class_market").alias("market_a"), F.col(market).alias("market_b"), F.lit("IDENTITY").alias("relation"), F.size("mask").alias("common"))
+    return pairs.unionByName(same)
 
 
 def is_partition(mask: DataFrame, universe: DataFrame, keys: list[str], market: str) -> DataFrame:

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import materialize
+
 UNKNOWN_RANK = 1000
 
 
@@ -18,34 +20,63 @@ def ranked(tape: DataFrame, ranks: DataFrame, lane: str = "lane") -> DataFrame:
 def dense_sequence(df: DataFrame, order: list[str], out: str = "seq", start: int = 1, partitions: int | None = None) -> DataFrame:
     """Number all rows densely in a total order, without one task seeing them all.
 
-    Rows are dealt by ranges of ``order`` and numbered inside their partition; the sums of
-    the partitions before (one row a partition) are added.
+    Rows are dealt by ranges of ``order``, sorted, and written once with their range and their place
+    in it; all that follows reads that table, so the ranges can't be drawn anew. The
+    sizes of the ranges before (one row a range) are added. Rows of equal order are
+    numbered in any order.
     """
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
-    numbered = dealt.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    sums = numbered.groupBy("_part").agg(F.max("_n").alias("_size"))
-    before = sums.withColumn("_before", F.coalesce(F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_size")
-    return numbered.join(F.broadcast(before), "_part").withColumn(out, (F.col("_before") + F.col("_n") + (start - 1)).cast("long")).drop("_part", "_n", "_before")
+    # the id of a row is its partition's number, shifted by 33 bits, plus its place in the partition
+    dealt = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    dealt = materialize(dealt.withColumn("_part", F.shiftright("_id", 33)).withColumn("_n", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id"), "dealt")
+    sizes = dealt.groupBy("_part").agg((F.max("_n") + 1).alias("_size"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_before"))
+    return dealt.join(F.broadcast(sizes), "_part").withColumn(out, (F.col("_before") + F.col("_n") + start).cast("long")).drop("_part", "_n", "_before")
+
+
+#: Width of the ranges of a counter in which rows are compared; a key's ranges lie in many tasks.
+RANGE = 65_536
 
 
-def dense_breaks(df: DataFrame, keys: list[str], counter: str) -> DataFrame:
+def _before(df: DataFrame, keys: list[str], order: list[str], value: Column, out: str, width: int, running: bool = False) -> DataFrame:
+    """Add ``out``: the value of the row before per key, or with ``running`` the greatest of all before.
+
+    The first of ``order`` is a number; its ranges of ``width`` are windows of their own, so
+    a key with a third of all rows is no single task. Each range hands one row on to
+    those after it.
+    """
+    df = df.withColumn("_range", F.floor(F.col(order[0]) / width)).withColumn("_value", F.struct(value.alias("v")))
+    inside = Window.partitionBy(*keys, "_range").orderBy(*order)
+    if running:
+        own = F.max("_value").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+        edge = F.max("_value")
+    else:
+        own, edge = F.lag("_value").over(inside), F.max_by("_value", F.struct(*order))
+    edges = df.groupBy(*keys, "_range").agg(edge.alias("_edge"))
+    ranges = Window.partitionBy(*keys).orderBy("_range")
+    handed = F.max("_edge").over(ranges.rowsBetween(Window.unboundedPreceding, -1)) if running else F.lag("_edge").over(ranges)
+    edges = edges.withColumn("_handed", handed).drop("_edge")
+    on = [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in (*keys, "_range")]
+    joined = df.withColumn("_own", own).alias("l").join(edges.alias("r"), on, "left").select("l.*", "_handed")
+    both = F.greatest("_own", "_handed") if running else F.coalesce("_own", "_handed")
+    return joined.withColumn(out, both["v"]).drop("_range", "_value", "_own", "_handed")
+
+
+def dense_breaks(df: DataFrame, keys: list[str], counter: str, width: int = RANGE) -> DataFrame:
     """Rows whose counter isn't the one before plus one, per key: expected and found."""
-    w = Window.partitionBy(*keys).orderBy(counter)
-    before = F.lag(counter).over(w)
-    return df.withColumn("expected", before + 1).where(F.col("expected").isNotNull() & (F.col(counter) != F.col("expected")))
+    out = _before(df, keys, [counter], F.col(counter), "expected", width).withColumn("expected", F.col("expected") + 1)
+    return out.where(F.col("expected").isNotNull() & (F.col(counter) != F.col("expected")))
 
 
-def regressions(df: DataFrame, keys: list[str], order: list[str], clock: str) -> DataFrame:
-    """Rows whose clock is before that of the row before, per key."""
-    before = F.lag(clock).over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("previous", before).where(F.col(clock) < F.col("previous"))
+def regressions(df: DataFrame, keys: list[str], order: list[str], clock: str, width: int = RANGE) -> DataFrame:
+    """Rows whose clock is before that of the row before, per key; the first of ``order`` is a counter."""
+    return _before(df, keys, order, F.col(clock), "previous", width).where(F.col(clock) < F.col("previous"))
 
 
-def version_regressions(df: DataFrame, keys: list[str], order: list[str], version: str) -> DataFrame:
-    """Rows whose version is below the greatest before; equal is fine."""
-    most = F.max(version).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    return df.withColumn("highest", most).where(F.col(version) < F.col("highest"))
+def version_regressions(df: DataFrame, keys: list[str], order: list[str], version: str, width: int = RANGE) -> DataFrame:
+    """Rows whose version is below the greatest before; equal is fine. The first of ``order`` is a counter."""
+    return _before(df, keys, order, F.col(version), "highest", width, running=True).where(F.col(version) < F.col("highest"))
 
 
 def identity_verdict(df: DataFrame, scope: list[str], record: str, content: str, seq: str) -> DataFrame:

@@ -90,11 +90,11 @@ def pair_votes(spark, sf_dir):
     return events.pair_by_vote(table(spark, sf_dir, "part").select(F.col("p_brand").alias("k"), F.col("p_type").alias("p")), "k", "p")
 
 
-@query("""WITH b AS (SELECT s_suppkey AS k, -1 AS tt, 1.0 AS m FROM supplier UNION ALL SELECT l_suppkey, CAST(epoch_us(l_shipdate) // 86400000000 AS BIGINT), l_tax FROM lineitem WHERE l_orderkey % 50 = 0), o AS (SELECT k, tt, min(m) AS m, count(DISTINCT m) > 1 AS conflict FROM b GROUP BY 1, 2)
+@query("""WITH b AS (SELECT s_suppkey AS k, -1 AS tt, 1.0 AS m FROM supplier UNION ALL SELECT l_suppkey, CAST(epoch_us(l_shipdate) // 86400000000 AS BIGINT), l_tax FROM lineitem), o AS (SELECT k, tt, min(m) AS m, count(DISTINCT m) > 1 AS conflict FROM b GROUP BY 1, 2)
 SELECT k, tt AS effective, m AS multiplier, conflict, lead(tt) OVER (PARTITION BY k ORDER BY tt) AS until FROM o""")
 def fee_timeline(spark, sf_dir):
     base = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.lit(1.0).alias("multiplier"))
-    changes = table(spark, sf_dir, "lineitem").where("l_orderkey % 50 = 0").select(F.col("l_suppkey").alias("k"), F.floor(epoch_micros("l_shipdate") / 86400000000).alias("effective"), F.col("l_tax").alias("multiplier"))
+    changes = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("k"), F.floor(epoch_micros("l_shipdate") / 86400000000).alias("effective"), F.col("l_tax").alias("multiplier"))
     return events.fee_timeline(base, changes, "k", "effective", "multiplier")
 
 

@@ -5,71 +5,141 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LEVELS = "array<struct<price:string,size:string>>"
-#: Aliases of lifecycle messages, marker keys of a game frame.
-CREATED, RESOLVED = ("market_created", "new_market", "marketCreated"), ("market_resolved", "marketResolved")
-GAME_KEYS = ("gameId", "metadataGameId", "homeTeam", "awayTeam", "leagueAbbreviation", "finishedTimestamp")
-EVENT = "kind string, asset_id string, market string, side string, price decimal(12,8), size decimal(24,8), state_hash string, source_time string, bids array<struct<price:decimal(12,8),size:decimal(24,8)>>, asks array<struct<price:decimal(12,8),size:decimal(24,8)>>, note string"
+# Aliases of lifecycle messages by venue (lower case), marker keys of a game frame.
+LIFECYCLE = {
+    ("polymarket", "CREATED"): ("newmarketevent", "new_market", "market_created"), ("polymarket", "RESOLVED"): ("marketresolved", "market_resolved", "resolved"),
+    ("limitless", "CREATED"): ("marketcreated", "market_created"), ("limitless", "RESOLVED"): ("marketresolved", "market_resolved"),
+}
+GAME_KEYS = ("gameId", "metadataGameId", "leagueAbbreviation", "homeTeam", "awayTeam", "eventState")
 
 
 def _get(path: str, payload: Column) -> Column:
     return F.get_json_object(payload, path)
 
 
+def _as(value: Column, kind: str) -> Column:
+    return F.try_variant_get(value, "$", kind)
+
+
+def _text(value: Column) -> Column:
+    """Text of a JSON value; null, JSON null and empty text are one."""
+    return F.nullif(_as(value, "string"), F.lit(""))
+
+
+def _exact(value: Column, kind: str = "decimal(24,8)") -> Column:
+    """A finite, non-negative number, given as text or number, exactly; else null."""
+    x = _as(value, "string").try_cast(kind)
+    return F.when((x >= 0) & (F.schema_of_variant(value) != "BOOLEAN"), x)
+
+
+def _is(value: Column, what: str) -> Column:
+    return F.coalesce(F.startswith(F.schema_of_variant(value), F.lit(what)), F.lit(False))
+
+
 def ladder(levels: Column) -> Column:
-    """Exact levels; null (no book) if any level is not a finite, non-negative number."""
-    exact = F.transform(levels, lambda x: F.struct(x["price"].try_cast("decimal(12,8)").alias("price"), x["size"].try_cast("decimal(24,8)").alias("size")))
-    bad = F.exists(exact, lambda x: x["price"].isNull() | x["size"].isNull() | (x["price"] < 0) | (x["size"] < 0))
-    return F.when(~bad, exact)
+    """Exact levels of a JSON array; null (no book) if it is none or any level is not two finite, non-negative numbers."""
+    items = _as(levels, "array<variant>")
+    pair = lambda x: F.struct(_exact(F.try_variant_get(x, "$.price", "variant"), "decimal(12,8)").alias("price"), _exact(F.try_variant_get(x, "$.size", "variant")).alias("size"))
+    exact = F.transform(items, pair)
+    return F.when(_is(levels, "ARRAY") & ~F.exists(exact, lambda x: x["price"].isNull() | x["size"].isNull()), exact)
+
+
+def _first_text(*values: Column) -> Column:
+    return F.coalesce(*map(_text, values))
 
 
 def normalize(tape: DataFrame) -> DataFrame:
-    """One row per typed event: the envelope's columns, event_index and EVENT's columns.
+    """One row per typed event: the envelope's columns, event_index, event_kind and the typed columns.
 
-    A payload is parsed once. Arrays of messages and of price changes are exploded;
-    event_index is message * 1e6 + change. What no rule understands becomes kind raw with
-    a note; nothing is dropped.
+    A payload is parsed once, to a variant whose fields are then a map. Arrays of messages
+    and of price changes are exploded; event_index is message * 1e6 + change for changes,
+    else the message. The stream decides first (process, snapshot, reference), then the venue.
+    What no rule understands becomes kind raw with its name in ``note``; nothing is dropped.
     """
-    p = F.col("raw_payload")
-    trimmed = F.trim(p)
-    messages = F.when(trimmed.startswith("["), F.from_json(p, "array<string>")).otherwise(F.array(p))
-    rows = tape.select("*", F.posexplode_outer(messages).alias("_m", "_p"))
-    m = F.col("_p")
-    name = F.lower(F.coalesce(_get("$.event_type", m), _get("$.event", m), _get("$.type", m)))
-    rows = rows.withColumn("_name", name)
-    changes = F.from_json(_get("$.price_changes", m), "array<struct<asset_id:string,side:string,price:string,size:string,hash:string>>")
-    rows = rows.select("*", F.posexplode_outer(F.when(F.col("_name") == "price_change", changes)).alias("_c", "_change"))
-    book_event = F.col("_name").isin("book")
-    limitless = F.col("_name") == "orderbookupdate"
-    control = F.col("kind") == "control"
-    bids = ladder(F.when(limitless, F.from_json(_get("$.data.orderbook.bids", m), LEVELS)).otherwise(F.from_json(_get("$.bids", m), LEVELS)))
-    asks = ladder(F.when(limitless, F.from_json(_get("$.data.orderbook.asks", m), LEVELS)).otherwise(F.from_json(_get("$.asks", m), LEVELS)))
-    rows = rows.withColumn("_bids", F.when(book_event | limitless, bids)).withColumn("_asks", F.when(book_event | limitless, asks))
-    has_book = F.col("_bids").isNotNull() & F.col("_asks").isNotNull()
-    game = F.coalesce(F.arrays_overlap(F.json_object_keys(m), F.array(*map(F.lit, GAME_KEYS))), F.lit(False))
-    game_id = F.coalesce(_get("$.gameId", m), _get("$.metadataGameId", m))
-    tick_value = F.coalesce(_get("$.payload.full_accuracy_value", m), _get("$.payload.value", m))
+    stream, venue = F.col("stream"), F.col("venue")
+    whole = F.try_parse_json(F.col("raw_payload"))
+    df = tape.withColumn("_whole", whole)
+    process = stream == "process"
+    many = ~process & _is(F.col("_whole"), "ARRAY")
+    df = df.select("*", F.posexplode_outer(F.when(many, _as(F.col("_whole"), "array<variant>")).otherwise(F.array("_whole"))).alias("_m", "_v"))
+    df = df.withColumn("_object", _is(F.col("_v"), "OBJECT")).withColumn("_f", F.when(F.col("_object"), _as(F.col("_v"), "map<string,variant>")))
+    f, has = (lambda n: F.col("_f")[n]), (lambda n: F.coalesce(F.map_contains_key("_f", F.lit(n)), F.lit(False)))
+    poly, limitless = F.col("_object") & (venue == "polymarket"), F.col("_object") & (venue == "limitless")
+    name = F.coalesce(F.when(limitless | process, _text(f("event"))).otherwise(_first_text(f("event_type"), f("event"))), F.lit(""))
+    inner = F.when(_is(f("payload"), "OBJECT"), _as(f("payload"), "map<string,variant>"))
+    data = F.when(_is(f("data"), "OBJECT"), _as(f("data"), "map<string,variant>"))
+    state = F.when(_is(f("eventState"), "OBJECT"), _as(f("eventState"), "map<string,variant>"))
+    df = df.withColumns({"_name": name, "_inner": inner, "_data": data, "_state": state})
+    single = F.col("_object") & ~many
+    snapshot, reference = single & (stream == "public_snapshot"), single & (stream == "reference_event")
+    general = ~process & ~snapshot & ~reference
+    game = reference & (F.size(F.array_intersect(F.map_keys("_f"), F.array(*map(F.lit, GAME_KEYS)))) > 0)
+
+    changes = F.when(general & poly & (F.col("_name") == "price_change") & _is(f("price_changes"), "ARRAY"), _as(f("price_changes"), "array<variant>"))
+    # a frame of changes that is empty gives no event, as it names none
+    df = df.withColumn("_changes", changes).where(F.col("_changes").isNull() | (F.size("_changes") > 0))
+    df = df.select("*", F.posexplode_outer("_changes").alias("_c", "_change"))
+    ch = lambda n: F.try_variant_get(F.col("_change"), f"$.{n}", "variant")
+    change_ok = F.col("_c").isNotNull() & _as(ch("asset_id"), "string").isNotNull() & _as(ch("side"), "string").isNotNull() & _exact(ch("price")).isNotNull() & _exact(ch("size")).isNotNull()
+
+    order_book = F.when(_is(F.col("_data")["orderbook"], "OBJECT"), _as(F.col("_data")["orderbook"], "map<string,variant>"))
+    update = general & limitless & (F.col("_name") == "orderbookUpdate")
+    book = snapshot | (general & poly & (F.col("_name") == "book"))
+    side = lambda n: ladder(F.when(update, order_book[n]).when(book, f(n)))
+    asset = F.when(update, _as(F.col("_data")["marketSlug"], "string")).when(snapshot, F.coalesce(_text(f("asset_id")), _as(f("asset"), "string"))).otherwise(_as(f("asset_id"), "string"))
+    df = df.withColumns({"_bids": side("bids"), "_asks": side("asks"), "_asset": asset})
+    full = (book | update) & F.col("_bids").isNotNull() & F.col("_asks").isNotNull() & F.col("_asset").isNotNull()
+    trade = general & poly & (F.col("_name") == "last_trade_price") & F.col("_asset").isNotNull() & _as(f("side"), "string").isNotNull() & _exact(f("price")).isNotNull() & _exact(f("size")).isNotNull()
+    life = F.lit(None).cast("string")
+    for (of, what), names in LIFECYCLE.items():
+        life = F.when(general & F.col("_object") & (venue == of) & F.lower("_name").isin(*names), what).otherwise(life)
+    known = F.coalesce(F.when(~_is_null(f("gameId")), F.lit("gameId")), F.when(~_is_null(f("metadataGameId")), F.lit("metadataGameId")))
+    game_id = F.when(known == "gameId", _as(f("gameId"), "string")).otherwise(_as(f("metadataGameId"), "string"))
     kind = (
-        F.when(control & (F.col("_name") == "connection_opened"), "connection_opened").when(control & (F.col("_name") == "connection_closed"), "connection_closed")
-        .when(control & (F.col("_name") == "target_metadata_changed"), "metadata_changed").when((book_event | limitless) & has_book, "full_book")
-        .when((F.col("_name") == "price_change") & F.col("_change").isNotNull(), "book_delta").when(F.col("_name") == "last_trade_price", "trade")
-        .when(F.lower(F.col("_name")).isin(*(x.lower() for x in (*CREATED, *RESOLVED))), "market_lifecycle").when(F.col("stream") == "reference_event", F.when(game & game_id.isNotNull(), "game_state").when(tick_value.isNotNull(), "reference_tick").otherwise("raw"))
-        .when(game & game_id.isNotNull(), "game_state").otherwise("raw")
+        F.when(process & (F.col("_name") == "connection_opened"), "connection_opened").when(process & (F.col("_name") == "connection_closed"), "connection_closed")
+        .when(process & (F.col("_name") == "target_metadata_changed") & _text(f("to_metadata_digest")).isNotNull(), "metadata_changed")
+        .when(game, F.when(known.isNotNull(), "game_state").otherwise("raw")).when(reference, "reference_tick").when(full, "full_book")
+        .when(F.col("_c").isNotNull(), F.when(change_ok, "book_delta").otherwise("raw")).when(trade, "trade").when(life.isNotNull(), "market_lifecycle").otherwise("raw")
+    )
+    df = df.withColumn("_kind", kind)
+    is_kind = lambda *k: F.col("_kind").isin(*k)
+    prefer = lambda n: F.when(F.coalesce(F.map_contains_key("_state", F.lit(n)), F.lit(False)), F.col("_state")[n]).otherwise(f(n))
+    boolean = lambda v: F.when(_is(v, "BOOLEAN"), _as(v, "boolean"))
+    tick = F.when(F.coalesce(F.map_contains_key("_inner", F.lit("full_accuracy_value")), F.lit(False)), F.col("_inner")["full_accuracy_value"]).otherwise(F.col("_inner")["value"])
+    game_columns = F.struct(
+        game_id.alias("game_id"), known.alias("game_id_field"), _text(f("leagueAbbreviation")).alias("league"), _text(f("homeTeam")).alias("home"), _text(f("awayTeam")).alias("away"), _text(f("status")).alias("status"),
+        _text(prefer("score")).alias("score"), _text(prefer("period")).alias("period"), _text(prefer("elapsed")).alias("elapsed"), boolean(prefer("live")).alias("live"), boolean(prefer("ended")).alias("ended"),
+        _text(f("finishedTimestamp")).alias("finished_timestamp"), _text(F.col("_state")["updatedAt"]).alias("state_updated_at"), _text(F.col("_state")["createdAt"]).alias("state_created_at"),
+    )
+    slug = F.coalesce(*(_text(F.col("_data")[n]) for n in ("marketSlug", "slug", "id")))
+    market = (
+        F.when(update & full, _text(F.col("_data")["marketSlug"])).when(is_kind("market_lifecycle") & limitless, slug)
+        .when(is_kind("market_lifecycle"), _first_text(f("market"), f("condition_id"))).when(is_kind("full_book", "book_delta", "trade"), _text(f("market")))
     )
-    rows = rows.withColumn("_kind", kind)
-    number = lambda x, t: x.try_cast(t)
-    return rows.select(
-        *tape.columns, (F.col("_m") * 1000000 + F.coalesce("_c", F.lit(0))).cast("long").alias("event_index"), F.col("_kind").alias("event_kind"),
-        F.coalesce(F.col("_change.asset_id"), _get("$.asset_id", m), _get("$.data.marketSlug", m), F.when(F.col("_kind") == "game_state", game_id), _get("$.payload.symbol", m)).alias("asset_id"),
-        F.coalesce(_get("$.market", m), _get("$.data.marketSlug", m)).alias("market"), F.coalesce(F.col("_change.side"), _get("$.side", m)).alias("side"),
-        number(F.coalesce(F.col("_change.price"), _get("$.price", m), F.when(F.col("_kind") == "reference_tick", tick_value)), "decimal(24,8)").alias("price"),
-        number(F.coalesce(F.col("_change.size"), _get("$.size", m)), "decimal(24,8)").alias("size"), F.coalesce(F.col("_change.hash"), _get("$.hash", m)).alias("state_hash"),
-        F.coalesce(_get("$.timestamp", m), _get("$.data.timestamp", m)).alias("source_time"), F.col("_bids").alias("bids"), F.col("_asks").alias("asks"),
-        F.coalesce(_get("$.eventState.status", m), _get("$.status", m)).alias("status"), _get("$.target_metadata_digest", m).alias("metadata_digest"),
-        F.when(F.col("_kind") == "raw", F.when(game, "game_without_id").when((book_event | limitless) & ~has_book, "invalid_ladder").when(F.json_object_keys(m).isNull(), "not_json").otherwise("unknown")).alias("note"),
+    note = F.when(F.col("_whole").isNull(), "text").when(F.col("_c").isNotNull(), "unparseable_price_change").when(game, "game_state_without_identifier").when(snapshot, "snapshot")
+    note = note.when(~process & ~F.col("_object"), "not_an_object").when(F.col("_name") != "", F.col("_name")).otherwise(F.when(process, "control").otherwise("unknown"))
+    index = F.when(F.col("_c").isNotNull(), F.col("_m") * 1_000_000 + F.col("_c")).otherwise(F.col("_m"))
+    return df.select(
+        *tape.columns, index.cast("long").alias("event_index"), F.col("_kind").alias("event_kind"),
+        F.when(is_kind("book_delta"), _as(ch("asset_id"), "string")).when(is_kind("full_book", "trade"), F.col("_asset")).when(is_kind("reference_tick"), _as(F.col("_inner")["symbol"], "string")).alias("asset_id"), market.alias("market"),
+        F.when(is_kind("book_delta"), F.upper(_as(ch("side"), "string"))).when(is_kind("trade"), F.upper(_as(f("side"), "string"))).alias("side"),
+        F.when(is_kind("book_delta"), _exact(ch("price"))).when(is_kind("trade"), _exact(f("price"))).when(is_kind("reference_tick"), _exact(tick)).alias("price"),
+        F.when(is_kind("book_delta"), _exact(ch("size"))).when(is_kind("trade"), _exact(f("size"))).alias("size"),
+        F.when(is_kind("book_delta"), _text(ch("hash"))).when(is_kind("full_book") & ~update, _text(f("hash"))).alias("state_hash"),
+        F.when(update & full, _as(F.col("_data")["timestamp"], "string")).when(is_kind("reference_tick"), F.coalesce(_as(F.col("_inner")["timestamp"], "string"), _as(f("timestamp"), "string")))
+        .when(is_kind("full_book", "book_delta", "trade"), _as(f("timestamp"), "string")).alias("source_time"),
+        F.when(full, F.col("_bids")).alias("bids"), F.when(full, F.col("_asks")).alias("asks"), F.when(full, snapshot | update).alias("independent"), F.when(update & full, _as(F.col("_data")["version"], "string")).alias("source_version"),
+        F.when(is_kind("market_lifecycle"), life).alias("lifecycle"), F.when(is_kind("game_state"), game_columns).alias("game"),
+        F.when(is_kind("connection_opened"), _text(f("target_metadata_digest"))).when(is_kind("metadata_changed"), _text(f("to_metadata_digest"))).alias("metadata_digest"),
+        F.when(is_kind("connection_opened"), F.transform(_as(f("asset_ids"), "array<variant>"), lambda x: _as(x, "string"))).alias("opened_assets"),
+        F.when(is_kind("connection_opened"), F.coalesce(boolean(f("delivers_deltas")), F.lit(False))).alias("delivers_deltas"), F.when(is_kind("raw"), note).alias("note"),
     )
 
 
+def _is_null(value: Column) -> Column:
+    return value.isNull() | F.is_variant_null(value)
+
+
 def derived_cursor(payload: Column, venue: Column) -> Column:
     """struct(type, first, last, previous_last) for a tape that lacks cursors."""
     seq, version, at = _get("$.seq", payload).try_cast("long"), _get("$.data.version", payload).try_cast("long"), _get("$.timestamp", payload).try_cast("long")
@@ -135,10 +205,53 @@ def first_agreed_instant(fields: dict[str, Column]) -> Column:
     return F.struct(best["instant"].alias("instant"), best["field"].alias("field"), odd.alias("disagreeing"))
 
 
-def fee_records(records: DataFrame, key: str, identity: list[str], created: str) -> DataFrame:
-    """Per key: found, missing or conflict over its fee records (times of creation don't count), effective from the first."""
-    out = records.groupBy(key).agg(F.count_distinct(F.struct(*identity)).alias("_n"), F.min(created).alias("effective_at"), *(F.min(c).alias(c) for c in identity))
-    return out.withColumn("status", F.when(F.col("_n") == 0, "missing").when(F.col("_n") > 1, "conflict").otherwise("found")).drop("_n")
+#: Depth to which nested JSON is walked for fee records.
+DEPTH = 8
+
+
+def nested_fee_records(documents: DataFrame, payload: str) -> DataFrame:
+    """(condition_id, identity, created_at, updated_at): every object, at any depth, that names a condition and fees.
+
+    A document is parsed once; each level holds the members of the objects and arrays of
+    the level before. Nesting beyond DEPTH is an error, nothing is skipped. ``identity`` is the
+    fee terms alone: times of creation and update are left out.
+    """
+    none = F.array().cast("array<variant>")
+    members = lambda v: F.when(_is(v, "OBJECT"), F.map_values(_as(v, "map<string,variant>"))).when(_is(v, "ARRAY"), _as(v, "array<variant>")).otherwise(none)
+    df = documents.select(F.array(F.try_parse_json(F.col(payload))).alias("_l0"))
+    for i in range(DEPTH):
+        df = df.withColumn(f"_l{i + 1}", F.flatten(F.transform(f"_l{i}", members)))
+    deeper = F.exists(f"_l{DEPTH}", lambda v: _is(v, "OBJECT") | _is(v, "ARRAY"))
+    checked = F.when(deeper, F.raise_error(F.lit("fee records are nested too deep")).cast("array<variant>")).otherwise(none)
+    df = df.select(F.explode(F.concat(*(f"_l{i}" for i in range(DEPTH)), checked)).alias("_v")).where(_is(F.col("_v"), "OBJECT"))
+    df = df.select(_as(F.col("_v"), "map<string,variant>").alias("_f"))
+    f = lambda n: F.col("_f")[n]
+    df = df.where(_text(f("conditionId")).isNotNull() & (F.map_contains_key("_f", F.lit("feesEnabled")) | F.map_contains_key("_f", F.lit("feeSchedule"))))
+    schedule = lambda n: F.try_variant_get(f("feeSchedule"), f"$.{n}", "double")
+    terms = F.struct(
+        F.coalesce(F.when(_is(f("feesEnabled"), "BOOLEAN"), _as(f("feesEnabled"), "boolean")), F.lit(False)).alias("fees_enabled"), _text(f("feeType")).alias("fee_type"), schedule("rate").alias("rate"),
+        F.coalesce(schedule("exponent"), F.lit(1.0)).alias("exponent"), _is(f("feeSchedule"), "OBJECT").alias("has_schedule"), _text(f("version")).alias("version"),
+    )
+    return df.select(_text(f("conditionId")).alias("condition_id"), terms.alias("identity"), _text(f("createdAt")).alias("created_at"), _text(f("updatedAt")).alias("updated_at"))
+
+
+def fee_records(conditions: DataFrame, records: DataFrame) -> DataFrame:
+    """One row a condition: its fee terms and status over all its records.
+
+    ``missing``: no record; ``conflict``: records that differ in their terms;
+    ``missing_schedule``: fees are on without a schedule; else ``found``, effective from
+    the first record. Fees that are off are a rate of 0.
+    """
+    out = records.groupBy("condition_id").agg(F.count_distinct("identity").alias("_n"), F.min("created_at").alias("created_at"), F.max("updated_at").alias("updated_at"), F.min("identity").alias("_i"))
+    out = conditions.select("condition_id").distinct().join(out, "condition_id", "left")
+    status = F.when(F.col("_n").isNull(), "missing").when(F.col("_n") > 1, "conflict").when(F.col("_i.fees_enabled") & ~F.col("_i.has_schedule"), "missing_schedule").otherwise("found")
+    good = status == "found"
+    on = good & F.col("_i.fees_enabled")
+    return out.select(
+        "condition_id", status.alias("status"), F.when(good, F.coalesce("_i.fee_type", F.lit("no_fee"))).alias("fee_type"),
+        F.when(on, F.col("_i.rate")).when(good, 0.0).alias("rate"), F.when(on, F.col("_i.exponent")).when(good, 1.0).alias("exponent"),
+        F.when(good, F.col("created_at")).alias("created_at"), F.when(good, F.col("updated_at")).alias("updated_at"),
+    )
 
 
 def fee_timeline(base: DataFrame, changes: DataFrame, key: str, effective: str, multiplier: str) -> DataFrame:

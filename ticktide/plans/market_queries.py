@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import functions as F
 
 from ..functions import text
@@ -86,10 +88,9 @@ def gate_rows(spark, sf_dir):
 
 
 @query(f"""WITH {LEG_SQL}, {GATE_SQL}, f AS (SELECT count(DISTINCT CASE WHEN qualifies AND rate >= 0.5 AND class IN ('1-URGENT', '2-HIGH') THEN event END) AS same_venue_events, count(DISTINCT CASE WHEN qualifies AND rate >= 0.5 AND class IN ('3-MEDIUM') THEN event END) AS cross_venue_events, count(DISTINCT CASE WHEN qualifies THEN event END) AS qualified_events FROM gt)
-SELECT *, CASE WHEN same_venue_events >= 100000000 THEN 'PASS_SAME_VENUE' WHEN cross_venue_events >= 2 THEN 'CONDITIONAL_CROSS_VENUE' WHEN qualified_events < 2 THEN 'INSUFFICIENT_DATA' ELSE 'NO_SIGNAL' END AS status FROM f""")
+SELECT *, CASE WHEN (SELECT coalesce(bool_or(n_valid < 0), false) FROM gt) THEN 'DATA_INVALID' WHEN same_venue_events >= 2 THEN 'PASS_SAME_VENUE' WHEN cross_venue_events >= 2 THEN 'CONDITIONAL_CROSS_VENUE' WHEN qualified_events < 2 THEN 'INSUFFICIENT_DATA' ELSE 'NO_SIGNAL' END AS status FROM f""")
 def terminal_facts(spark, sf_dir):
-    out = baskets.terminal_status(gates(spark, sf_dir), "class", "event", F.col("n_valid") < 0, ["1-URGENT", "2-HIGH"], ["3-MEDIUM"], 2)
-    return out.withColumn("status", F.when(F.col("cross_venue_events") >= 2, "CONDITIONAL_CROSS_VENUE").when(F.col("qualified_events") < 2, "INSUFFICIENT_DATA").otherwise("NO_SIGNAL"))
+    return baskets.terminal_status(gates(spark, sf_dir), "class", "event", F.col("n_valid") < 0, ["1-URGENT", "2-HIGH"], ["3-MEDIUM"], 2)
 
 
 @query(f"""WITH {TAPE_SQL}, r AS (SELECT event_id, lane, k // 10 AS market, at_us // 60000000 AS tt, k AS v FROM tape), d AS (SELECT lane, tt, market, min(v) AS v FROM r GROUP BY 1, 2, 3),
@@ -134,12 +135,12 @@ def spread_summary(spark, sf_dir):
 # ---- outcome spaces: a brand is an event, its parts are markets, p_size is the line
 
 KINDS = tuple(omega.SCORE_TYPES)
-GRID_SQL = "mk AS (SELECT p_brand AS event, p_partkey AS market, (p_size % 6) + 0.5 AS line, p_partkey % 11 AS kind FROM part WHERE p_partkey % 40 < 3), cp AS (SELECT event, least(20, greatest(8, CAST(floor(max(line)) AS INTEGER) + 5)) AS cap FROM mk GROUP BY event), sp AS (SELECT event, h.home, a.away, concat(h.home, '-', a.away) AS outcome FROM cp, LATERAL (SELECT unnest(generate_series(0, cap)) AS home) h, LATERAL (SELECT unnest(generate_series(0, cap)) AS away) a)"
+GRID_SQL = "mk AS (SELECT p_brand AS event, p_partkey AS market, (p_size % 6) + 0.5 AS line, p_partkey % 11 AS kind FROM part), cp AS (SELECT event, least(20, greatest(8, CAST(floor(max(line)) AS INTEGER) + 5)) AS cap FROM mk GROUP BY event), sp AS (SELECT event, h.home, a.away, concat(h.home, '-', a.away) AS outcome FROM cp, LATERAL (SELECT unnest(generate_series(0, cap)) AS home) h, LATERAL (SELECT unnest(generate_series(0, cap)) AS away) a)"
 MASK_SQL = """ms AS (SELECT sp.event, market, outcome FROM mk JOIN sp ON mk.event = sp.event WHERE CASE kind WHEN 0 THEN home > away WHEN 1 THEN home < away WHEN 2 THEN home = away WHEN 3 THEN home + away > line WHEN 4 THEN home + away < line WHEN 5 THEN home >= 1 AND away >= 1 WHEN 6 THEN home > line WHEN 7 THEN away > line WHEN 8 THEN home - away > line WHEN 9 THEN away - home > line ELSE home - away + line > 0 END)"""
 
 
 def markets(spark, sf_dir):
-    p = table(spark, sf_dir, "part").where("p_partkey % 40 < 3")
+    p = table(spark, sf_dir, "part")
     kind = F.element_at(F.array(*map(F.lit, KINDS)), (F.col("p_partkey") % 11 + 1).cast("int"))
     return p.select(F.col("p_brand").alias("event"), F.col("p_partkey").alias("market"), (F.col("p_size") % 6 + 0.5).alias("line"), kind.alias("kind"))
 
@@ -162,11 +163,20 @@ def masks(spark, sf_dir):
     return mask(spark, sf_dir).groupBy("event", "market").agg(F.count(F.lit(1)).alias("outcomes"))
 
 
-@query(f"""WITH {GRID_SQL}, {MASK_SQL}, n AS (SELECT event, market, count(*) AS n FROM ms GROUP BY event, market), c AS (SELECT a.event, a.market AS market_a, b.market AS market_b, count(*) AS common FROM ms a JOIN ms b ON a.event = b.event AND a.outcome = b.outcome AND a.market < b.market GROUP BY 1, 2, 3),
+CLASS_SQL = "sm AS (SELECT event, market, string_agg(outcome, ',' ORDER BY outcome) AS mask, count(*) AS n FROM ms GROUP BY event, market), kl AS (SELECT *, min(market) OVER (PARTITION BY event, mask) AS rep FROM sm)"
+
+
+@query(f"WITH {GRID_SQL}, {MASK_SQL}, {CLASS_SQL} SELECT event, market, rep AS class_market FROM kl")
+def mask_classes(spark, sf_dir):
+    return omega.mask_classes(mask(spark, sf_dir), ["event"], "market").select("event", "market", "class_market")
+
+
+@query(f"""WITH {GRID_SQL}, {MASK_SQL}, {CLASS_SQL}, n AS (SELECT event, market, n FROM kl WHERE market = rep), mr AS (SELECT ms.* FROM ms JOIN n ON ms.event = n.event AND ms.market = n.market), c AS (SELECT a.event, a.market AS market_a, b.market AS market_b, count(*) AS common FROM mr a JOIN mr b ON a.event = b.event AND a.outcome = b.outcome AND a.market < b.market GROUP BY 1, 2, 3),
 p AS (SELECT a.event, a.market AS market_a, b.market AS market_b, a.n AS na, b.n AS nb FROM n a JOIN n b ON a.event = b.event AND a.market < b.market)
-SELECT p.event, p.market_a, p.market_b, CASE WHEN coalesce(common, 0) = na AND coalesce(common, 0) = nb THEN 'IDENTITY' WHEN common = na THEN 'IMPLICATION' WHEN common = nb THEN 'REVERSE_IMPLICATION' WHEN common IS NULL THEN 'MUTUAL_EXCLUSION' ELSE 'OVERLAP' END AS relation, CAST(coalesce(common, 0) AS INTEGER) AS common FROM p LEFT JOIN c ON p.event = c.event AND p.market_a = c.market_a AND p.market_b = c.market_b""")
+SELECT p.event, p.market_a, p.market_b, CASE WHEN common = na THEN 'IMPLICATION' WHEN common = nb THEN 'REVERSE_IMPLICATION' WHEN common IS NULL THEN 'MUTUAL_EXCLUSION' ELSE 'OVERLAP' END AS relation, CAST(coalesce(common, 0) AS INTEGER) AS common FROM p LEFT JOIN c ON p.event = c.event AND p.market_a = c.market_a AND p.market_b = c.market_b
+UNION ALL SELECT event, rep, market, 'IDENTITY', CAST(n AS INTEGER) FROM kl WHERE market <> rep""")
 def relationships(spark, sf_dir):
-    return omega.relationships(mask(spark, sf_dir), ["event"], "market", grid(spark, sf_dir))
+    return omega.relationships(mask(spark, sf_dir), ["event"], "market")
 
 
 @query(f"""WITH {GRID_SQL}, {MASK_SQL}, h AS (SELECT sp.event, sp.outcome, count(DISTINCT ms.market) AS n FROM sp LEFT JOIN ms ON sp.event = ms.event AND sp.outcome = ms.outcome GROUP BY sp.event, sp.outcome) SELECT event, count(*) FILTER (n = 0) AS missing, count(*) FILTER (n > 1) AS overlapping, bool_and(n = 1) AS is_partition FROM h GROUP BY event""")
@@ -204,11 +214,11 @@ def event_match(spark, sf_dir):
     return matching.match_events(o, ["o_custkey"], "venue", "at", 5184000, topology="fmt")
 
 
-@query("""WITH k AS (SELECT p_brand, p_size, count(DISTINCT p_partkey) AS n, min(p_partkey) AS v FROM part GROUP BY 1, 2), l AS (SELECT s_suppkey, concat('Brand#', CAST(1 + s_suppkey % 5 AS VARCHAR), CAST(1 + s_suppkey % 4 AS VARCHAR)) AS p_brand FROM supplier), u AS (SELECT p_brand, count(*) AS n, min(p_partkey) AS v FROM part WHERE p_size > 45 GROUP BY 1)
+@query("""WITH k AS (SELECT p_brand, p_size, count(DISTINCT p_partkey) AS n, min(p_partkey) AS v FROM part GROUP BY 1, 2), l AS (SELECT s_suppkey, concat('Brand#', CAST(1 + s_suppkey % 5 AS VARCHAR), CAST(1 + s_suppkey % 4 AS VARCHAR)) AS p_brand FROM supplier), u AS (SELECT p_brand, count(*) AS n, min(p_partkey) AS v FROM part GROUP BY 1)
 SELECT s_suppkey, CASE WHEN u.n = 1 THEN v END AS matched, CASE WHEN u.n IS NULL THEN 'no_candidate' WHEN u.n > 1 THEN 'ambiguous' END AS reason FROM l LEFT JOIN u ON l.p_brand = u.p_brand""")
 def unique_match(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").select("s_suppkey", F.concat(F.lit("Brand#"), (1 + F.col("s_suppkey") % 5).cast("string"), (1 + F.col("s_suppkey") % 4).cast("string")).alias("p_brand"))
-    return matching.unique_match(s, table(spark, sf_dir, "part").where("p_size > 45").select("p_brand", "p_partkey"), "p_brand", "p_partkey").select("s_suppkey", "matched", "reason")
+    return matching.unique_match(s, table(spark, sf_dir, "part").select("p_brand", "p_partkey"), "p_brand", "p_partkey").select("s_suppkey", "matched", "reason")
 
 
 @query("""SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY CASE o_orderpriority WHEN '1-URGENT' THEN 0 ELSE 1 END, round(2 * ln(1 + o_totalprice) + ln(1 + o_custkey), 6) DESC, o_orderkey) AS rank, round(2 * ln(1 + o_totalprice) + ln(1 + o_custkey), 6) AS activity FROM orders""")
@@ -218,7 +228,10 @@ def ranking(spark, sf_dir):
     return matching.ranked(o, ["o_custkey"], order).select("o_orderkey", "o_custkey", "rank", "activity")
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT c_nationkey AS run, c_custkey, c_custkey % 13 + 1 AS cost, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey % 13 + 1 DESC, c_custkey) AS rank FROM customer),
+g AS (SELECT run, c_custkey, cost, rank, cost <= 100 AS selected, CASE WHEN cost > 100 THEN 'over_budget' END AS allocation, CASE WHEN cost <= 100 THEN 100 - cost ELSE 100 END AS money, CASE WHEN cost <= 100 THEN 1 ELSE 0 END AS taken FROM r WHERE rank = 1
+UNION ALL SELECT r.run, r.c_custkey, r.cost, r.rank, taken < 25 AND r.cost <= money, CASE WHEN taken >= 25 THEN 'over_count' WHEN r.cost > money THEN 'over_budget' END, CASE WHEN taken < 25 AND r.cost <= money THEN money - r.cost ELSE money END, CASE WHEN taken < 25 AND r.cost <= money THEN taken + 1 ELSE taken END FROM g JOIN r ON r.run = g.run AND r.rank = g.rank + 1)
+SELECT run, c_custkey, CAST(cost AS INTEGER) AS cost, CAST(rank AS INTEGER) AS rank, selected, allocation FROM g""")
 def selection_greedy(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("run"), "c_custkey", (F.col("c_custkey") % 13 + 1).cast("int").alias("cost"))
     c = matching.ranked(c, ["run"], [F.col("cost").desc(), F.col("c_custkey")])
@@ -247,10 +260,11 @@ def whole_ladders(spark, sf_dir):
 # ---- rules, reports
 
 
-@query("""WITH t AS (SELECT doc_id, lang, trim(regexp_replace(regexp_replace(lower(text), '[0-9]+(\\.[0-9]+)?', '<n>', 'g'), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) AS template FROM documents WHERE regexp_matches(text, '^[\\x00-\\x7F]*$')) SELECT lang, count(DISTINCT sha256(template)) AS templates FROM t GROUP BY lang HAVING count(DISTINCT sha256(template)) > 1""")
+@query("""WITH t AS (SELECT doc_id, lang, trim(regexp_replace(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+(\\.[0-9]+)?', '<n>', 'g'), '[ \\t\\n\\x0b\\f\\r]+', ' ', 'g')) AS template FROM documents) SELECT lang, count(DISTINCT sha256(template)) AS templates FROM t GROUP BY lang HAVING count(DISTINCT sha256(template)) > 1""")
 def template_drift(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").where(F.col("text").rlike(r"^[\x00-\x7F]*$"))
-    t = F.trim(F.regexp_replace(F.regexp_replace(F.lower("text"), r"[0-9]+(\.[0-9]+)?", "<n>"), r"[ \t\n\x0B\f\r]+", " "))
+    d = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)  # A-Z only: engines lower other letters differently
+    t = F.trim(F.regexp_replace(F.regexp_replace(lowered, r"[0-9]+(\.[0-9]+)?", "<n>"), r"[ \t\n\x0B\f\r]+", " "))
     return text.template_drift(d.select("lang", F.sha2(t.cast("binary"), 256).alias("template")), "lang", "template")
 
 
@@ -271,15 +285,7 @@ SELECT (SELECT count(*) FROM k) AS n, max(n) AS n_known, max(CASE WHEN i = n //
 def coverage_lag(spark, sf_dir):
     days = F.floor((epoch_micros("l_shipdate") - epoch_micros("o_orderdate")) / 86400000000)
     rows = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).select(F.when(days >= 0, days).alias("lag"))
-    # times are few distinct days: count them first, so the ordered list is of days, not of rows
-    counted = rows.groupBy("lag").agg(F.count(F.lit(1)).alias("c"))
-    known = counted.where("lag IS NOT NULL")
-    from pyspark.sql import Window
-
-    run = known.withColumn("upto", F.sum("c").over(Window.orderBy("lag")))
-    n = counted.agg(F.sum("c").alias("n"), F.sum(F.when(F.col("lag").isNotNull(), F.col("c"))).alias("n_known"))
-    at = lambda i: F.min(F.when(F.col("upto") > i, F.col("lag")))
-    return run.join(F.broadcast(n)).groupBy("n", "n_known").agg(at(F.floor(F.col("n_known") / 2)).alias("median"), at(F.floor(F.col("n_known") * 0.9)).alias("p90"), F.max("lag").alias("greatest"))
+    return suites.coverage_lag(rows, "lag")
 
 
 @query("""SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) FILTER (event_id % 500 <> 3) AS receipts, sha256(coalesce(string_agg(CASE WHEN event_id % 500 <> 3 THEN CAST(event_id AS VARCHAR) END, chr(10) ORDER BY CAST(event_id AS VARCHAR)), '')) AS digest, bool_and(event_id % 500 <> 3) AS closed FROM events GROUP BY 1""")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros
+from ..sources.scratch import shared_dir
 from ..streaming import windows
 from . import tape_queries
 from .tape_queries import TAPE_SQL
@@ -24,11 +25,8 @@ def query(sql: str):
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new path in the folder that all machines share (a temporary one only where none is named)."""
-    import tempfile
-
-    named = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="spark-stream-")
-    return f"{named.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    """A new path in the folder that all machines share."""
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
 def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

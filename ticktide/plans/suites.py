@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import at_rank, value_ranks
+
 
 def check(df: DataFrame, name: str, passed: Column, **evidence: Column) -> DataFrame:
     """One row (name, status, evidence). An empty input is NOT_PRESENT: absence never passes or fails."""
@@ -47,11 +49,12 @@ def skew_strata(rows: DataFrame, band: Column, bands: tuple[str, ...]) -> DataFr
 
 
 def coverage_lag(rows: DataFrame, lag: str) -> DataFrame:
-    """count, known, and by index: median (n // 2), 90th percentile (floor(0.9 n)), greatest."""
-    ordered = F.array_sort(F.collect_list(lag))
-    out = rows.agg(F.count(F.lit(1)).alias("n"), F.count(lag).alias("n_known"), ordered.alias("_o"))
-    at = lambda i: F.when(F.col("n_known") > 0, F.try_element_at("_o", (F.least(F.col("n_known") - 1, i) + 1).cast("int")))
-    return out.select("n", "n_known", at(F.floor(F.col("n_known") / 2)).alias("median"), at(F.floor(F.col("n_known") * 0.9)).alias("p90"), at(F.col("n_known") - 1).alias("greatest"))
+    """count, known, and by index: median (n // 2), 90th percentile (floor(0.9 n)), greatest; one row, null without known lags."""
+    facts = rows.agg(F.count(F.lit(1)).alias("n"), F.count(lag).alias("n_known"))
+    known = value_ranks(rows.where(F.col(lag).isNotNull()), [], lag)
+    last = F.col("n") - 1
+    stats = known.agg(at_rank(F.col(lag), F.floor(F.col("n") / 2)).alias("median"), at_rank(F.col(lag), F.least(last, F.floor(F.col("n") * 0.9))).alias("p90"), F.max(lag).alias("greatest"))
+    return facts.join(F.broadcast(stats))  # two aggregates of one row each
 
 
 def history_report(rows: DataFrame, target: str, at: str, content: str) -> DataFrame:

@@ -89,6 +89,24 @@ def test_recall_from_the_threshold_on(spark):
     assert not any((i, i + 1) in links for i, j in truth.items() if j < 0.8 - 1e-9)
 
 
+def test_sketches_estimate_similarity():
+    rng = np.random.default_rng(12)
+    for n in (6, 40, 150, 3000):
+        off, kept = [], 0
+        for _ in range(300):
+            h = rng.integers(0, 2**64, 2 * n, np.uint64)
+            both = round(n * 16 / 18)
+            a, b = h[:n], np.concatenate((h[:both], h[n : 2 * n - both]))
+            true = both / (2 * n - both)
+            got = simhash.estimated(simhash.sketch(a)[None], simhash.sketch(b)[None], 0.8)[0]
+            kept += got >= 0
+            off.append(max(got, 0) - true)
+        assert kept >= (299 if true >= 0.8 else 280) and abs(np.mean(off)) < 0.03, n
+    h = rng.integers(0, 2**64, 800, np.uint64)
+    assert simhash.estimated(simhash.sketch(h[:400])[None], simhash.sketch(h[200:600])[None], 0.8)[0] == -1
+    assert not simhash.sketch(h[:0]).any()
+
+
 def test_ring_positions_are_equal_as_often_as_sets_are_similar():
     rng = np.random.default_rng(9)
     for similarity in (0.5, 0.8):

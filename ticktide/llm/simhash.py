@@ -165,8 +165,12 @@ def shingles(text: str | None, words: int) -> np.ndarray:
 
 #: Positions of the stage's ring, and in how many of them linked documents may differ.
 POSITIONS, APART = 20, 9
+#: Classes of the finer sketch that is compared once two rings have met, and standard deviations that it allows.
+SKETCH, DEVIATIONS = 256, 3.0
 #: Rows of a chain's group that are compared in one cell; rows of it at once.
 CELL, AT_ONCE = 2048, 64
+#: Rounds in which a row is checked with its nearest alone, before it is with all that are left. Sets the cost, no result.
+ROUNDS = 4
 
 
 def _multipliers() -> np.ndarray:
@@ -185,8 +189,30 @@ def ring(h: np.ndarray) -> np.ndarray:
     return (least >> np.uint64(32)).astype(np.uint32)
 
 
+def sketch(h: np.ndarray) -> np.ndarray:
+    """The set dealt into SKETCH classes by a hash: a byte of the least of each class, 0 for an empty one."""
+    g = np.sort((h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD))
+    kind = (g >> np.uint64(56)).astype(np.int64)
+    first = np.flatnonzero(np.diff(kind, prepend=-1))
+    out = np.zeros(SKETCH, np.uint8)
+    out[kind[first]] = 1 + (g[first] >> np.uint64(24)).astype(np.int64) % 255
+    return out
+
+
+def estimated(x: np.ndarray, y: np.ndarray, similarity: float) -> np.ndarray:
+    """Estimates of the similarity of paired rows of sketches; -1 where it lies beyond what chance allows at ``similarity``."""
+    out = np.empty(len(x))
+    for lo in range(0, len(x), 32768):
+        a, b = x[lo : lo + 32768], y[lo : lo + 32768]
+        both = ((a == b) & (a > 0)).sum(1)
+        held = np.maximum(1, ((a > 0) | (b > 0)).sum(1))
+        share = both / held
+        out[lo : lo + 32768] = np.where(share >= similarity - DEVIATIONS * np.sqrt(similarity * (1 - similarity) / held), share, -1)
+    return out
+
+
 def _described(src: DataFrame, words: int) -> DataFrame:
-    """_key and _row with the hash of the text's words in order, the size of its shingle set and its ring."""
+    """_key and _row with the hash of the text's words in order, the size of its shingle set, its ring and its sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -196,15 +222,21 @@ def _described(src: DataFrame, words: int) -> DataFrame:
                 same.append(hashlib.sha256(b" ".join(text.encode().lower().split())).digest())
                 h = shingles(text, words)
                 size.append(len(h))
-                rings.append(ring(h).tobytes())
+                rings.append(ring(h).tobytes() + sketch(h).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("_key"), batch.column("_row"), pa.array(same, pa.binary()), pa.array(size, pa.int64()), pa.array(rings, pa.binary())], names=["_key", "_row", "same", "size", "ring"])
 
     kept = [f for f in src.schema if f.name != "_text"]
     return src.mapInArrow(run, T.StructType([*kept, T.StructField("same", T.BinaryType()), T.StructField("size", T.LongType()), T.StructField("ring", T.BinaryType())]))
 
 
+def _rings(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The rings and the sketches of a batch's rows."""
+    raw = np.frombuffer(b"".join(batch.column("ring").to_pylist()), np.uint8).reshape(-1, 4 * POSITIONS + SKETCH)
+    return np.ascontiguousarray(raw[:, : 4 * POSITIONS]).view(np.uint32), raw[:, 4 * POSITIONS :]
+
+
 def ring_chains(reps: DataFrame) -> DataFrame:
-    """(token, node, size): a row for each start of a chain of two positions.
+    """(token, start, node, size): a row for each start of a chain of two positions.
 
     APART differing positions of POSITIONS leave a chain of two none, so any pair within
     that distance has a start at which both positions are equal.
@@ -212,13 +244,14 @@ def ring_chains(reps: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            r = np.frombuffer(b"".join(batch.column("ring").to_pylist()), np.uint32).reshape(-1, POSITIONS).astype(np.uint64)
+            r = _rings(batch)[0].astype(np.uint64)
             token = (r << np.uint64(32)) | np.roll(r, -1, 1)
             token = (token * np.uint64(0x9E3779B97F4A7C15)) ^ (np.arange(POSITIONS, dtype=np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F))
             rep = lambda c: pa.array(np.repeat(batch.column(c).to_numpy(), POSITIONS))
-            yield pa.RecordBatch.from_arrays([pa.array(token.ravel().view(np.int64)), rep("node"), rep("size")], names=["token", "node", "size"])
+            start = pa.array(np.tile(np.arange(POSITIONS, dtype=np.int32), len(r)))
+            yield pa.RecordBatch.from_arrays([pa.array(token.ravel().view(np.int64)), start, rep("node"), rep("size")], names=["token", "start", "node", "size"])
 
-    return reps.where("size > 0").select("node", "size", "ring").mapInArrow(run, "token long, node long, size long")
+    return reps.where("size > 0").select("node", "size", "ring").mapInArrow(run, "token long, start int, node long, size long")
 
 
 def _within(similarity: float, a: str, b: str) -> Column:
@@ -234,45 +267,65 @@ def _equal_positions(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return n
 
 
-def _cell(node: np.ndarray, size: np.ndarray, comp: np.ndarray, block: np.ndarray, rings: np.ndarray, similarity: float, best_only: bool) -> Iterator[pa.RecordBatch]:
-    """Pairs of a cell's rows that may be linked: other components, sizes, full distance.
+def _first_start(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The first start of a chain of two that each row of x shares with its row of y."""
+    equal = x == y
+    return (equal & np.roll(equal, -1, 1)).argmax(1)
+
 
+def _cell(start: int, node: np.ndarray, size: np.ndarray, comp: np.ndarray, block: np.ndarray, rings: np.ndarray, sketches: np.ndarray, similarity: float, best_only: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs of a cell's rows that may be linked: other components, sizes, full distance, sketches.
+
+    A pair is given where its rows' first common chain starts, so by one group only.
     A cell of two blocks leaves the pairs inside a block to other cells. With
-    ``best_only`` a row gives one pair for each other component, its nearest there.
+    ``best_only`` each row gives one pair, that with its nearest.
     """
+
+    def made(p: np.ndarray, q: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+        p, q = node[p], node[q]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), pa.array(p), pa.array(score)], names=["a", "b", "of", "score"])
+
     side = block == block.max()
     left = np.flatnonzero(side)
     right = left if side.all() else np.flatnonzero(~side)
+    most, nearest = np.full(len(node), -1.0), np.zeros(len(node), np.int64)
     for lo in range(0, len(left), AT_ONCE):
         i = left[lo : lo + AT_ONCE]
         small, large = np.minimum(size[i, None], size[None, right]), np.maximum(size[i, None], size[None, right])
         ok = (comp[i, None] != comp[None, right]) & (small >= large * similarity - 1e-9)
         if right is left:
             ok &= i[:, None] < right[None]
-        equal = _equal_positions(rings[i], rings[right])
-        x, y = np.nonzero(ok & (equal >= POSITIONS - APART))
-        if best_only and len(x):
-            order = np.lexsort((node[right[y]], -equal[x, y], comp[right[y]], x))
-            x, y = x[order], y[order]
-            first = np.concatenate(([True], (x[1:] != x[:-1]) | (comp[right[y[1:]]] != comp[right[y[:-1]]])))
-            x, y = x[first], y[first]
-        if len(x):
-            p, q = node[i[x]], node[right[y]]
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q))], names=["a", "b"])
+        x, y = np.nonzero(ok & (_equal_positions(rings[i], rings[right]) >= POSITIONS - APART))
+        x, y = i[x], right[y]
+        here = _first_start(rings[x], rings[y]) == start
+        x, y = x[here], y[here]
+        score = estimated(sketches[x], sketches[y], similarity)
+        x, y, score = x[score >= 0], y[score >= 0], score[score >= 0]
+        if not best_only:
+            if len(x):
+                yield made(x, y, score)
+            continue
+        for p, q in ((x, y), (y, x)):
+            order = np.argsort(score, kind="stable")
+            order = order[score[order] > most[p[order]]]
+            most[p[order]], nearest[p[order]] = score[order], q[order]  # the last, so the greatest, of a row stays
+    found = np.flatnonzero(most >= 0)
+    if len(found):
+        yield made(found, nearest[found], most[found])
 
 
 def _cell_pairs(tokens: DataFrame, reps: DataFrame, comps: DataFrame, similarity: float, best_only: bool) -> DataFrame:
-    """(a, b): candidates among the rows of each token that are not yet in one component.
+    """(a, b, of, score): candidates among the rows of each token that are not yet in one component.
 
-    A large group is dealt over the cells of pairs of its blocks, so no task holds a group.
+    ``of`` is the row that gives the pair, ``score`` the estimated similarity. A large group is dealt over the cells of pairs of its blocks, so no task holds a group.
     """
-    mine = tokens.join(comps.hint("merge"), "node", "left").select("token", "node", F.coalesce("root", "node").alias("comp"))
+    mine = tokens.join(comps.hint("merge"), "node", "left").select("token", "start", "node", F.coalesce("root", "node").alias("comp"))
     groups = mine.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     blocks = F.floor(F.col("n") / CELL) + 1
     cells = mine.join(groups.select("token", blocks.alias("blocks")), "token").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     cells = cells.join(reps.select("node", "size", "ring").hint("merge"), "node")
     cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    cells = cells.select("token", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "node", "size", "comp", "block", "ring")
+    cells = cells.select("token", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "start", "node", "size", "comp", "block", "ring")
     n = int(tokens.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,15 +334,15 @@ def _cell_pairs(tokens: DataFrame, reps: DataFrame, comps: DataFrame, similarity
         def pairs(x: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             edge = np.flatnonzero(np.concatenate(([True], (x[0][1:] != x[0][:-1]) | (x[1][1:] != x[1][:-1]) | (x[2][1:] != x[2][:-1]))))
             for lo, hi in zip(edge.tolist(), [*edge[1:].tolist(), len(x[0])], strict=True):
-                node, size, comp, block, rings = (y[lo:hi] for y in x[3:])
+                start, node, size, comp, block, rings, sketches = (y[lo:hi] for y in x[3:])
                 if x[1][lo] == x[2][lo] or len(np.unique(block)) > 1:
-                    yield from _cell(node, size, comp, block, rings, similarity, best_only)
+                    yield from _cell(int(start[0]), node, size, comp, block, rings, sketches, similarity, best_only)
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            now = [batch.column(c).to_numpy() for c in ("token", "p", "q", "node", "size", "comp", "block")]
-            now.append(np.frombuffer(b"".join(batch.column("ring").to_pylist()), np.uint32).reshape(-1, POSITIONS))
+            now = [batch.column(c).to_numpy() for c in ("token", "p", "q", "start", "node", "size", "comp", "block")]
+            now += _rings(batch)
             if held is not None:
                 now = [np.concatenate(x) for x in zip(held, now, strict=True)]
             last = (now[0] == now[0][-1]) & (now[1] == now[1][-1]) & (now[2] == now[2][-1])
@@ -300,7 +353,7 @@ def _cell_pairs(tokens: DataFrame, reps: DataFrame, comps: DataFrame, similarity
         if held is not None:
             yield from pairs(held)
 
-    return cells.repartition(n, "token", "p", "q").sortWithinPartitions("token", "p", "q").mapInArrow(compared, "a long, b long").distinct()
+    return cells.repartition(n, "token", "p", "q").sortWithinPartitions("token", "p", "q").mapInArrow(compared, "a long, b long, of long, score double")
 
 
 def _alike(pairs: DataFrame, rows: DataFrame, text: str, words: int, similarity: float) -> DataFrame:
@@ -336,8 +389,8 @@ def near_links(reps: DataFrame, rows: DataFrame, similarity: float, words: int,
 
     ``reps`` (node, size, ring) are rows of different words. Rows meet by chains of their rings. First
     each is checked with one leader, the least of those it shares most chains with, so a group of near
-    copies falls into one component with one check a member. Then each row of a group that is not one
-    component is checked with the nearest of each other component there, and last with all that
+    copies falls into one component with one check a member. Then, ROUNDS times, each row of a group that is
+    not one component is checked with its nearest in another component; last with all that
     are still in other components. One rule holds for groups of every size.
     """
     tokens = materialize(ring_chains(reps), "chains")
@@ -348,13 +401,22 @@ def near_links(reps: DataFrame, rows: DataFrame, similarity: float, words: int,
     one = shared.groupBy("node", "lead").count().groupBy("node").agg(F.max_by("lead", F.struct("count", -F.col("lead"))).alias("lead"))
     tried = materialize(one.select(F.least("node", "lead").alias("a"), F.greatest("node", "lead").alias("b")).distinct(), "tried")
     sure = _alike(tried, rows, text, words, similarity)
-    # tokens of one row alone can't give a pair: they are not carried on
-    several = tokens.groupBy("token").count().where("count > 1").select("token")
-    tokens = materialize(tokens.join(several.hint("merge"), "token", "left_semi").select("token", "node"), "chains")
-    for best_only in (True, False):
+    several = lambda t: t.join(t.groupBy("token").count().where("count > 1").select("token").hint("merge"), "token", "left_semi")
+    tokens, old = materialize(several(tokens.select("token", "start", "node")), "chains"), tokens
+    forget(old)
+    for no in range(ROUNDS + 1):
         comps = connected_components(sure, "a", "b")
-        more = _cell_pairs(tokens, reps, comps, similarity, best_only).join(tried.hint("merge"), ["a", "b"], "left_anti")
-        more = materialize(more, "pairs")
+        offers = materialize(_cell_pairs(tokens, reps, comps, similarity, no < ROUNDS), "offers")
+        more = offers.join(tried.hint("merge"), ["a", "b"], "left_anti")
+        if no < ROUNDS:
+            # every row with a partner outside its component has made an offer: only such rows go on
+            tokens, old = materialize(several(tokens.join(offers.select(F.col("of").alias("node")).distinct().hint("merge"), "node", "left_semi")), "chains"), tokens
+            forget(old)
+            more = more.groupBy("of").agg(F.min_by(F.struct("a", "b"), F.struct(-F.col("score"), "a", "b")).alias("p")).select("p.*")
+        more, old = materialize(more.select("a", "b").distinct(), "pairs"), offers
+        forget(old)
+        if more.isEmpty() and tokens.isEmpty():
+            break
         sure, tried = sure.unionByName(_alike(more, rows, text, words, similarity)), tried.unionByName(more)
     return sure
 

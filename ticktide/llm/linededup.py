@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, set_aside
+from .common import forget, materialize, set_aside
 
 #: Words of a repeated run from which on its later copies are deleted.
 MIN_WORDS = 50
@@ -75,41 +75,46 @@ def _name(*parts: Column) -> tuple[Column, Column]:
     return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
 
 
-def _repeated(blocks: DataFrame) -> DataFrame:
-    """The blocks whose name occurs twice or more: a level's intervals."""
-    again = blocks.groupBy("hi", "lo").count().where("count > 1").select("hi", "lo")
-    return blocks.join(again, ["hi", "lo"], "left_semi")
+def _shared(named: DataFrame, *columns: str) -> DataFrame:
+    """The ``columns`` and ``first`` of rows whose name (hi, lo) occurs twice or more: a level's intervals.
+
+    An interval is counted and its first position found by partial aggregation; that table is written, so
+    the join back meets two plain tables, of which adaptive execution can split the rows of a hot name.
+    """
+    groups = named.groupBy("hi", "lo").agg(F.count(F.lit(1)).alias("copies"), F.min("_pos").alias("first")).where("copies > 1").select("hi", "lo", "first")
+    groups = materialize(groups, "groups")
+    out = materialize(named.join(groups.hint("merge"), ["hi", "lo"]).select(*columns, "hi", "lo", "first"), "level")
+    forget(groups)
+    return out
 
 
 def later_copies(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """(_row, start, length): windows of lines of which an earlier copy exists.
 
     Earlier means: a smaller key (null first), then a smaller row number, then a smaller
-    line number. ``docs`` is a materialised table with the row number ``_row``.
+    line number. ``docs`` is a materialised table with the row number ``_row``. In each level
+    the blocks to be doubled and the windows of about their length are named together, from
+    the names of the two blocks that begin and end them.
     """
     lines = materialize(_lines(docs, key, text, min_words), "lines")
-    wanted = lines.select("_row", "_pos", F.explode(F.arrays_zip("starts", "lengths")).alias("w")).select("_row", "_pos", F.col("w.starts").alias("start"), F.col("w.lengths").alias("length"))
+    wanted = lines.select("_row", "_pos", F.explode(F.arrays_zip("starts", "lengths")).alias("w")).select("_row", "_pos", F.col("w.starts").alias("a"), F.col("w.lengths").alias("length"))
     wanted = wanted.withColumn("level", F.floor(F.log2(F.col("length") + F.lit(0.5))).cast("int"))
-    blocks = materialize(_repeated(lines.select("_row", "n", "hi", "lo", "top")), "level")
+    blocks = _shared(lines.select("_row", "n", "top", "hi", "lo", F.lit(None).cast(lines.schema["_pos"].dataType).alias("_pos")), "_row", "n", "top")
     level, found = 0, None
     while True:
-        here = wanted.where(F.col("level") == level)
-        head = blocks.select("_row", F.col("n").alias("start"), F.col("hi").alias("h1"), F.col("lo").alias("l1"))
-        if level == 0:
-            named = here.join(head, ["_row", "start"]).select("_row", "_pos", "start", "length", F.col("h1").alias("hi"), F.col("l1").alias("lo"))
-        else:
-            tail = blocks.select("_row", (F.col("n") + (1 << level)).alias("stop"), F.col("hi").alias("h2"), F.col("lo").alias("l2"))
-            hi, lo = _name(*map(F.col, ("h1", "l1", "h2", "l2", "length")))
-            named = here.withColumn("stop", F.col("start") + F.col("length")).join(head, ["_row", "start"]).join(tail, ["_row", "stop"]).select("_row", "_pos", "start", "length", hi.alias("hi"), lo.alias("lo"))
-        first = named.groupBy("hi", "lo").agg(F.min("_pos").alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("hi", "lo", "first")
-        later = named.join(first, ["hi", "lo"]).where(F.col("_pos") > F.col("first")).select("_row", "start", "length")
+        half = 1 << level
+        doubled = blocks.where(F.col("top") > level).select("_row", F.lit(None).cast(lines.schema["_pos"].dataType).alias("_pos"), F.col("n").alias("a"), (F.col("n") + half).alias("b"), F.lit(2 * half).alias("length"), "top")
+        here = wanted.where(F.col("level") == level).select("_row", "_pos", "a", (F.col("a") + F.col("length") - half).alias("b"), "length", F.lit(-1).alias("top"))
+        head = blocks.select("_row", F.col("n").alias("a"), F.col("hi").alias("h1"), F.col("lo").alias("l1"))
+        tail = blocks.select("_row", F.col("n").alias("b"), F.col("hi").alias("h2"), F.col("lo").alias("l2"))
+        hi, lo = _name(*map(F.col, ("h1", "l1", "h2", "l2", "length")))
+        named = doubled.unionByName(here).join(head, ["_row", "a"]).join(tail, ["_row", "b"])
+        named = materialize(named.select("_row", "_pos", F.col("a").alias("n"), "length", "top", hi.alias("hi"), lo.alias("lo")), "named")
+        shared = _shared(named, "_row", "_pos", "n", "length", "top")
+        forget(named)
+        later = shared.where("top < 0 AND _pos > first").select("_row", F.col("n").alias("start"), "length")
         found = later if found is None else found.unionByName(later)
-        # the next level: two neighbouring blocks of this one
-        a = blocks.where(F.col("top") > level).select("_row", "n", "top", F.col("hi").alias("h1"), F.col("lo").alias("l1"))
-        b = blocks.select("_row", (F.col("n") - (1 << level)).alias("n"), F.col("hi").alias("h2"), F.col("lo").alias("l2"))
-        hi, lo = _name(*map(F.col, ("h1", "l1", "h2", "l2")))
-        joined = a.join(b, ["_row", "n"]).select("_row", "n", hi.alias("hi"), lo.alias("lo"), "top")
-        blocks = materialize(_repeated(joined), "level")
+        blocks = shared.where("top >= 0").select("_row", "n", "top", "hi", "lo")
         level += 1
         if blocks.isEmpty():
             return found

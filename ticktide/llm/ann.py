@@ -7,10 +7,10 @@ to its several most probable parts, where distances are computed exactly.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,12 +19,12 @@ from .common import materialize
 
 #: Vectors that the graph and the classifier are fitted on at most, those of smallest hash.
 SAMPLE = 8192
-#: Parts of the graph; neighbours in the graph.
-PARTS, DEGREE = 16, 10
+#: Parts of the graph at least (powers of two), vectors that a part should hold, vectors of the sample that a part needs; neighbours in the graph.
+PARTS, PER_PART, FITTED, DEGREE = 16, 100_000, 128, 10
 #: Recall on held-out vectors of the sample that the number of visited parts must give.
 TARGET = 0.96
-#: Vectors and queries that meet in one task at most; queries whose distances are held at once.
-BLOCK, QUERY_BLOCK, AT_ONCE = 20_000, 4096, 128
+#: Numbers in the vectors and in the queries that meet in one task, about; queries whose distances are held at once.
+BLOCK, QUERY_BLOCK, AT_ONCE = 6_400_000, 1_048_576, 32
 HIDDEN, EPOCHS, SEED = 128, 40, 7
 
 
@@ -196,7 +196,23 @@ def nearest(queries: np.ndarray, ids: np.ndarray, candidates: np.ndarray, own: n
     return out
 
 
-def search(table: DataFrame, is_query: Column, k: int = 10, parts: int = PARTS, target: float = TARGET, sample: int = SAMPLE) -> DataFrame:
+def _fitted(sample: DataFrame, width: int, parts: int, target: float) -> tuple[Router, int]:
+    """``fit`` in one task on an executor; only the small model comes to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = np.concatenate([np.zeros((0, width)), *(_matrix(b.column("embedding"), width) for b in batches)])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit(x, parts, target))], pa.binary())], names=["model"])
+
+    return pickle.loads(sample.coalesce(1).mapInArrow(run, "model binary").first()["model"])
+
+
+def parts_for(n: int, sample: int = SAMPLE) -> int:
+    """How many parts a table of ``n`` vectors has: they grow with it, as far as the sample can tell them apart."""
+    wanted = max(PARTS, n // PER_PART, 1)
+    return 1 << max(0, min(wanted, max(PARTS, sample // FITTED)).bit_length() - 1)
+
+
+def search(table: DataFrame, is_query: Column, k: int = 10, parts: int | None = None, target: float = TARGET, sample: int = SAMPLE) -> DataFrame:
     """(query_id, rank, vec_id, score): each query's nearest vectors found, nearest first.
 
     ``table`` has vec_id and embedding. Candidates are all usable vectors but those of the
@@ -204,8 +220,9 @@ def search(table: DataFrame, is_query: Column, k: int = 10, parts: int = PARTS,
     smaller vec_id. Rows without an id, unusable vectors and vectors of another dimension
     than the most frequent one take no part; rows that repeat a query's id make one query
     (the least vector). Fewer candidates than ``k`` in the visited parts give fewer rows.
-    The fit uses at most ``sample`` vectors; all are indexed. A part with many vectors is
-    met block by block, so no task holds a whole part.
+    The fit uses at most ``sample`` vectors; all are indexed. The parts' number grows with the
+    table. A part is met block by block: a block of its vectors by a block of the
+    queries that visit it, so no task holds a whole part.
     """
     clean = table.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).where(F.col("vec_id").isNotNull() & usable(F.col("embedding")))
     sizes = clean.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), "d").limit(1).collect()
@@ -214,29 +231,31 @@ def search(table: DataFrame, is_query: Column, k: int = 10, parts: int = PARTS,
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     width = sizes[0]["d"]
     clean = clean.where(F.size("embedding") == width)
-    chosen = clean.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(sample).select("embedding").toPandas()
-    router, probes = fit(np.stack(chosen["embedding"].to_numpy()).astype(np.float64), parts, target)
+    chosen = clean.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(sample).select("embedding")
+    router, probes = _fitted(chosen, width, parts or parts_for(sizes[0]["count"], sample), target)
     routed = materialize(_routed(clean, router, probes, width), "routed")
     index = routed.select("vec_id", "embedding", F.element_at("parts", 1).alias("part"))
-    counts = {r["part"]: r["count"] for r in index.groupBy("part").count().collect()}  # a row a part
-    blocks = F.create_map(*(F.lit(x) for part, n in counts.items() for x in (part, -(-n // BLOCK))))
-    queries = routed.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("embedding", "parts")).alias("q"))
-    n_queries = queries.count()
-    query_blocks = max(1, -(-n_queries // QUERY_BLOCK))
-    sent = queries.select("query_id", F.col("q.embedding").alias("embedding"), F.explode("q.parts").alias("part")).where(F.col("part").isin(list(counts)))
-    sent = sent.select("query_id", "embedding", "part", F.explode(F.sequence(F.lit(0), F.element_at(blocks, F.col("part")) - 1)).alias("block"), F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("query_block"))
-    held = index.select("vec_id", "embedding", "part", F.pmod(F.xxhash64("vec_id"), F.element_at(blocks, F.col("part"))).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"))
-
-    def met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-        q, c = np.stack(left["embedding"].to_numpy()), np.stack(right["embedding"].to_numpy())
-        own, ids = left["query_id"].to_numpy(), right["vec_id"].to_numpy()
-        found = nearest(q, ids, c, own, k)
-        return pd.DataFrame({"query_id": np.repeat(own, [len(i) for i, _ in found]), "vec_id": np.concatenate([i for i, _ in found]), "score": np.concatenate([d for _, d in found])})
+    queries = materialize(routed.where(is_query).groupBy(F.col("vec_id").alias("query_id")).agg(F.min(F.struct("embedding", "parts")).alias("q")), "queries")
+    sent = queries.select("query_id", F.col("q.embedding").alias("embedding"), F.explode("q.parts").alias("part"))
+    # a row a part
+    blocks = index.groupBy("part").agg(F.ceil(F.count(F.lit(1)) * width / BLOCK).cast("int").alias("blocks")).join(sent.groupBy("part").agg(F.ceil(F.count(F.lit(1)) * width / QUERY_BLOCK).cast("int").alias("query_blocks")), "part")
+    blocks = F.broadcast(materialize(blocks, "blocks"))
+    deal = lambda c, n: F.pmod(F.xxhash64(c), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sent = sent.join(blocks, "part").select("query_id", "embedding", "part", each("blocks").alias("block"), deal("query_id", "query_blocks").alias("query_block"))
+    held = index.join(blocks, "part").select("vec_id", "embedding", "part", deal("vec_id", "blocks").alias("block"), each("query_blocks").alias("query_block"))
+
+    def met(left: pa.Table, right: pa.Table) -> pa.Table:
+        found, own = [], np.zeros(0, np.int64)
+        if left.num_rows and right.num_rows:
+            own = left.column("query_id").to_numpy()
+            q, c = (_matrix(t.column("embedding").combine_chunks(), width) for t in (left, right))
+            found = nearest(q, right.column("vec_id").to_numpy(), c, own, k)
+        ids, far = (np.concatenate([np.zeros(0, t), *(f[i] for f in found)]) for i, t in ((0, np.int64), (1, np.float64)))
+        return pa.table({"query_id": pa.array(np.repeat(own, [len(i) for i, _ in found]), pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(far, pa.float64())})
 
     keys = ("part", "block", "query_block")
-    pairs = sent.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(met, "query_id long, vec_id long, score double")
+    pairs = sent.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInArrow(met, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return pairs.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

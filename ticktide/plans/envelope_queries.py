@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources import tape as source
-from ..sources.scratch import shared_dir
-from . import events
-from .tape_queries import TAPE_SQL, tape
+from ..sources.scratch import materialize, shared_dir
+from . import events, gates
+from .tape_queries import TAPE_SQL, table, tape
 
 QUERIES, ORACLES = {}, {}
 
@@ -18,12 +18,13 @@ QUERIES, ORACLES = {}, {}
 PAYLOAD = """CASE event_id % 8
 WHEN 0 THEN concat('{"event_type":"book","market":"m', user_id, '","asset_id":"a', user_id, '","bids":[{"price":"0.', 10 + k % 90, '","size":"', k, '"}],"asks":[{"price":"0.99","size":"', CASE WHEN k >= 90 THEN 'x' ELSE '1' END, '"}],"hash":"h', k, '","timestamp":"', event_id, '"}')
 WHEN 1 THEN concat('[{"event_type":"price_change","market":"m', user_id, '","timestamp":"1","price_changes":[{"asset_id":"a', user_id, '","side":"buy","price":"0.5","size":"', k, '","hash":"h"},{"asset_id":"b","side":"sell","price":"', CASE WHEN k < 50 THEN '0.6' ELSE '-1' END, '","size":1}]}]')
-WHEN 2 THEN concat('{"event_type":"last_trade_price","market":"m', user_id, '","asset_id":"a', user_id, '","price":0.25,"size":"', k, '","side":"buy","timestamp":"', event_id, '"}')
+WHEN 2 THEN concat('{"event_type":"last_trade_price","market":"m', user_id, '","asset_id":"a', user_id, '","price":0.25,"size":"', k, '","side":"buy","timestamp":"', event_id, '","transaction_hash":"t"}')
 WHEN 3 THEN concat('{"gameId":', user_id, ',"homeTeam":"h","awayTeam":"w","status":"playing","score":"0-0","period":"P1","live":true', CASE WHEN k < 50 THEN ',"eventState":{"score":"1-0","period":null,"updatedAt":"u"}' ELSE '' END, '}')
 WHEN 4 THEN concat('{"topic":"t","payload":{"symbol":"s', user_id, '","value":', k, CASE WHEN k < 50 THEN concat(',"full_accuracy_value":"', k, '.25"') ELSE '' END, ',"timestamp":7}}')
 WHEN 5 THEN concat('{"event":"orderbookUpdate","data":{"marketSlug":"x', user_id, '","version":', k, ',"timestamp":"9","orderbook":{"bids":[],"asks":[{"price":"0.', 10 + k % 90, '","size":"2"}]}}}')
 WHEN 6 THEN concat('{"event_type":"market_resolved","condition_id":"m', user_id, '"}')
-ELSE concat('not json ', k) END"""
+ELSE CASE WHEN k < 50 THEN concat('{"event":"connection_opened","target_digest":"d","asset_ids":["a', user_id, '"],"delivers_deltas":true,"fsync_interval_seconds":1,"target_metadata_digest":"g', user_id % 3, '","clock_scope":{"scope_id":"s","comparable_across_processes":true}}')
+WHEN k >= 90 THEN '{"event":"connection_closed"}' ELSE concat('not json ', k) END END"""
 DAY = "CAST(CAST(at_us // 86400000000 AS BIGINT) AS STRING)"
 
 
@@ -40,7 +41,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = tape(spark, sf_dir).withColumn("c", F.col("event_id") % 8)
     envelope = F.struct(
         F.lit(2).alias("envelope_version"), F.when(F.col("k") == 98, F.lit(-1)).otherwise(F.col("event_id")).alias("delivery_index"), F.concat_ws("-", "lane", "event_id").alias("record_id"), (F.col("at_us") * 1000).alias("visible_ns"),
-        F.col("event_id").alias("monotonic_ns"), F.when(F.col("c") == 5, "limitless").otherwise("polymarket").alias("venue"), F.when(F.col("c").isin(3, 4), "reference_event").otherwise("public_book").alias("stream"),
+        F.col("event_id").alias("monotonic_ns"), F.when(F.col("c") == 5, "limitless").otherwise("polymarket").alias("venue"), F.when(F.col("c").isin(3, 4), "reference_event").when((F.col("c") == 7) & ((F.col("k") < 50) | (F.col("k") >= 90)), "process").otherwise("public_book").alias("stream"),
         F.col("user_id").cast("string").alias("connection_epoch"), F.col("event_id").alias("local_counter"), F.struct(F.lit("unsequenced").alias("type"), F.col("event_id").alias("counter")).alias("source_cursor"),
         F.when(F.col("k") == 97, "other").otherwise("venue_frame").alias("kind"), F.expr(PAYLOAD).alias("raw_payload"),
     )
@@ -48,7 +49,7 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.floor(F.col("at_us") / 86400000000).cast("string")
     t.select(F.to_json(envelope).alias("value"), "lane", day.alias("date")).write.partitionBy("lane", "date").text(root)
     lines = source.lines(source.objects(spark, root, "*.txt"))
-    read = source.parsed(lines.where("NOT torn"))
+    read = source.parsed(lines)
     return read.withColumn("lane", source.lane_of(F.col("object_key"))).withColumn("day", F.regexp_extract("object_key", "date=([^/]+)/", 1))
 
 
@@ -66,10 +67,85 @@ UNION ALL SELECT event_id, lane, 0, 'game_state', NULL, NULL, NULL, NULL, NULL,
 UNION ALL SELECT event_id, lane, 0, 'reference_tick', 's' || u, NULL, NULL, CASE WHEN k < 50 THEN k + 0.25 ELSE k END, NULL, NULL, NULL, NULL, NULL FROM e WHERE c = 4
 UNION ALL SELECT event_id, lane, 0, 'full_book', 'x' || u, 'x' || u, NULL, NULL, NULL, 1, NULL, NULL, NULL FROM e WHERE c = 5
 UNION ALL SELECT event_id, lane, 0, 'market_lifecycle', NULL, 'm' || u, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM e WHERE c = 6
-UNION ALL SELECT event_id, lane, 0, 'raw', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, 'text' FROM e WHERE c = 7""")
+UNION ALL SELECT event_id, lane, 0, CASE WHEN k < 50 THEN 'connection_opened' WHEN k >= 90 THEN 'connection_closed' ELSE 'raw' END, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CASE WHEN k BETWEEN 50 AND 89 THEN 'text' END FROM e WHERE c = 7""")
 def events_normalized(spark, sf_dir):
     out = events.normalize(segments(spark, sf_dir).where("error IS NULL"))
     return out.select(
         F.col("delivery_index").alias("event_id"), "lane", "event_index", "event_kind", "asset_id", "market", "side", F.col("price").cast("double").alias("price"), F.col("size").cast("double").alias("size"),
         F.nullif(F.coalesce(F.size("bids") + F.size("asks"), F.lit(0)), F.lit(0)).alias("levels"), "game.score", "game.period", "note",
     )
+
+
+GATE_SQL = f"""WITH {TAPE_SQL}, e AS (SELECT *, event_id % 8 AS c, at_us // 86400000000 AS day FROM tape), v AS (SELECT * FROM e WHERE k NOT IN (97, 98)),
+b AS (SELECT event_id - lag(event_id) OVER (PARTITION BY lane ORDER BY event_id) AS d, event_id - lag(event_id) OVER (PARTITION BY CASE WHEN c = 5 THEN 'l' ELSE 'p' END, user_id ORDER BY event_id) AS l FROM v),
+o AS (SELECT * FROM v WHERE c = 7 AND k < 50), ends AS (SELECT lane, user_id, count(*) FILTER (k < 50) AS o, count(*) FILTER (k >= 90) AS x FROM v WHERE c = 7 GROUP BY 1, 2),
+an AS (SELECT o_orderkey % 50 <> 0 AS matched, o_orderkey % 4000 = 1 AS conflicting FROM orders), cu AS (SELECT c_custkey AS m, c_custkey % 2 AS v, c_custkey % 1000 = 7 AS broken FROM customer),
+ba AS (SELECT l_orderkey AS m, CASE WHEN l_linenumber % 2 = 1 THEN 'long' ELSE 'short' END AS d, CASE WHEN l_quantity > 25 THEN 100 ELSE 10 END AS size, l_discount > 0.02 AS fees, l_quantity > 49 AS thin, l_tax = 0 AS excluded, l_suppkey % 2 = 0 AS placebo FROM lineitem),
+ca AS (SELECT o_orderkey AS basket, o_totalprice - 150000 AS net FROM orders),
+g1 AS (SELECT 1 AS gate, 'byte_and_envelope_integrity' AS name, CASE WHEN (SELECT count(*) FROM e WHERE k IN (97, 98)) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+UNION ALL SELECT 1, 'deterministic_capture_order', CASE WHEN (SELECT count(*) FROM b WHERE d <> 1 OR l <> 1) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, name, CASE WHEN (SELECT count(*) FROM o) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END FROM (VALUES ('receive_clock_provenance'), ('subscription_provenance')) t(name)
+UNION ALL SELECT 1, 'market_rules_and_metadata', CASE WHEN (SELECT count(*) FROM o WHERE user_id % 2 = 0) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'metadata_snapshot_references', CASE WHEN (SELECT count(*) FROM o WHERE user_id % 3 = 2) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'discovery_coverage', CASE WHEN (SELECT count(*) FROM o) = 0 THEN 'NOT_PRESENT' WHEN (SELECT count(*) FROM o WHERE user_id % 10 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'polymarket_book_chain', CASE WHEN (SELECT count(*) FROM v WHERE c = 0 AND k < 90) > 0 AND (SELECT count(*) FROM v WHERE c = 1) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'polymarket_recovery_anchors', 'NOT_PRESENT'
+UNION ALL SELECT 1, 'every_segment_is_sealed', CASE WHEN (SELECT count(*) FROM e WHERE day % 7 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'limitless_full_books', CASE WHEN (SELECT count(*) FROM v WHERE c = 5) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
+UNION ALL SELECT 1, 'trade_and_fill_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 2) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
+UNION ALL SELECT 1, 'reference_price_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 4) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
+UNION ALL SELECT 1, 'game_event_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 3) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
+UNION ALL SELECT 1, 'market_lifecycle_observability', 'ADVISORY'
+UNION ALL SELECT 1, 'fee_model_evidence', CASE WHEN (SELECT count(*) FROM o WHERE user_id % 3 = 0) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'closed_capture_fixture', CASE WHEN (SELECT count(*) FROM ends WHERE o > 0 AND x < o) = 0 THEN 'PASS' ELSE 'FAIL' END),
+g2 AS (SELECT 2 AS gate, 'gate_1_precondition' AS name, CASE WHEN (SELECT count(*) FROM g1 WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+UNION ALL SELECT 2, 'polymarket_serializer_bootstrap', CASE WHEN (SELECT count(*) >= 100 AND count(*) FILTER (matched) >= 0.95 * count(*) AND count(*) FILTER (conflicting) = 0 FROM an) THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 2, 'complete_interval_partition', CASE WHEN (SELECT count(*) FROM cu WHERE broken) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 2, 'venue_specific_trust_models', 'PASS' UNION ALL SELECT 2, 'mismatch_recovery_is_bounded', 'PASS' UNION ALL SELECT 2, 'mandatory_analysis_evidence', 'PASS'),
+g3 AS (SELECT 3 AS gate, 'gate_2_precondition' AS name, CASE WHEN (SELECT count(*) FROM g2 WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+UNION ALL SELECT 3, 'share_matched_vwap_depth', 'PASS'
+UNION ALL SELECT 3, 'deployable_ticket_net_of_conservative_fees', CASE WHEN (SELECT count(*) FROM ba WHERE d = 'long' AND size = 100 AND (NOT fees OR thin)) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 3, 'symbolic_subset_cover_lp', 'PASS' UNION ALL SELECT 3, 'matched_leg_placebo_null', 'PASS' UNION ALL SELECT 3, 'condition_identity_guard', 'PASS' UNION ALL SELECT 3, 'mandatory_economic_evidence', 'FAIL'),
+g4 AS (SELECT 4 AS gate, 'gate_3_precondition' AS name, CASE WHEN (SELECT count(*) FROM g3 WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
+UNION ALL SELECT 4, 'venue_book_state_replay', 'PASS' UNION ALL SELECT 4, 'quote_lifetime_distribution', 'PASS' UNION ALL SELECT 4, 'explicit_non_fill_estimator', 'PASS'
+UNION ALL SELECT 4, 'candidate_accounting', CASE WHEN (SELECT count(*) FROM ca WHERE net > 0 AND basket % 3000 = 5) = 0 THEN 'PASS' ELSE 'FAIL' END UNION ALL SELECT 4, 'mandatory_execution_evidence', 'PASS')
+SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT * FROM g3 UNION ALL SELECT * FROM g4"""
+
+
+@query(GATE_SQL)
+def gate_suites(spark, sf_dir):
+    c = F.col
+    lines = materialize(segments(spark, sf_dir), "lines")
+    typed = materialize(events.normalize(lines.where("error IS NULL")), "typed")
+    base = tape(spark, sf_dir)
+    users = base.select("user_id").distinct()
+    asset = F.concat(F.lit("a"), "user_id").alias("asset_id")
+    days = base.select(F.concat_ws("/", "lane", F.floor(c("at_us") / 86400000000)).alias("object_key"), F.when(F.floor(c("at_us") / 86400000000) % 7 == 0, "unsealed").otherwise("sealed").alias("status")).distinct()
+    records = users.select(F.lit("polymarket").alias("venue"), asset, F.lit("captured").alias("provenance"), (c("user_id") % 2 == 0).alias("has_rules"), (c("user_id") % 3 == 0).alias("has_fees"), F.lit(True).alias("valid"))
+    sightings = base.where("user_id % 10 <> 0").groupBy("user_id").agg(F.min("at_us").alias("created_at")).select(F.lit("polymarket").alias("venue"), asset, "created_at")
+    snapshots = users.where("user_id % 3 <> 2").select(F.concat(F.lit("g"), c("user_id") % 3).alias("metadata_digest")).distinct()
+    one = materialize(gates.gate1(lines, typed, days, records, sightings, snapshots), "gate1")
+    passed = lambda g: g.agg((F.count_if(c("status") == "FAIL") == 0).alias("passed"))
+    o, li, cu = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "customer")
+    anchors = o.select((c("o_orderkey") % 50 != 0).alias("matched"), (c("o_orderkey") % 4000 == 1).alias("conflicting"), c("o_orderkey").alias("stream_ns"), (c("o_orderkey") + 1).alias("snapshot_ns"))
+    market = cu.select(F.when(c("c_custkey") % 2 == 0, "polymarket").otherwise("limitless").alias("venue"), c("c_custkey").alias("market"), F.lit(0).alias("start_ns"), F.lit(100).alias("end_ns"), F.when(c("c_custkey") % 2 == 0, "hash_chain").otherwise("full_books").alias("model"))
+    half = lambda lo, hi, v: market.select("venue", "market", lo.alias("start_ns"), F.lit(hi).alias("end_ns"), F.lit(v).alias("verdict"))
+    spans = half(F.lit(0), 50, "TRUSTED").unionByName(half(F.when(c("market") % 1000 == 7, 60).otherwise(50), 100, "UNTRUSTED"))
+    parts = lambda *names: o.agg(F.count(F.lit(1)).alias("n_rows")).select(F.explode(F.array(*map(F.lit, names))).alias("part"), "n_rows")
+    whole = ("intervals", "coverage", "hash_rate", "skew_strata")
+    two = materialize(gates.gate2(passed(one), anchors, spans, market, parts(*whole)), "gate2")
+    walks = li.select(c("l_quantity").alias("filled"), c("l_quantity").alias("expected_filled"), c("l_extendedprice").alias("vwap"), c("l_extendedprice").alias("expected_vwap"), F.lit(False).alias("depth_limited"), F.lit(False).alias("expected_limited"))
+    placebo = c("l_suppkey") % 2 == 0
+    baskets = li.select(
+        c("l_orderkey").alias("market"), F.when(c("l_linenumber") % 2 == 1, "long").otherwise("short").alias("direction"), F.when(c("l_quantity") > 25, 100).otherwise(10).alias("size"), F.lit(True).alias("headline"), c("l_extendedprice").alias("net"),
+        (c("l_discount") > 0.02).alias("fees_complete"), (c("l_quantity") > 49).alias("depth_limited"), F.when(c("l_tax") == 0, "depth_limited").alias("exclusion"), (c("l_tax") > 0).alias("feasible"), F.lit(False).alias("cross_venue"),
+        F.when(placebo, "MATCHED").alias("placebo_status"), F.when(placebo, c("l_orderkey") + 1).alias("placebo_market"), F.when(placebo, c("l_extendedprice")).alias("placebo_net"),
+    )
+    three = materialize(gates.gate3(passed(two), walks, baskets, parts(*whole[:3])), "gate3")
+    lived = o.where("o_orderstatus IN ('F', 'O', 'P')").groupBy(F.when(c("o_custkey") % 2 == 0, "polymarket").otherwise("limitless").alias("venue")).agg(F.count(F.lit(1)).alias("uncensored"), *(F.percentile_approx("o_totalprice", q).alias(f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)))
+    lived = lived.select("*", F.lit("long").alias("direction"), F.lit("TRUSTED").alias("verdict"))
+    candidates = o.select(c("o_orderkey").alias("basket"), (c("o_totalprice") - 150000).alias("net"))
+    estimates = candidates.where("net > 0 AND basket % 3000 <> 5").select("basket", F.lit(gates.ESTIMATOR).alias("estimator"), F.lit(True).alias("not_a_fill_claim"))
+    four = gates.gate4(passed(three), market.select("venue"), lived, candidates, estimates, parts(*whole))
+    suites = [g.select(F.lit(i).alias("gate"), "name", "status") for i, g in enumerate((one, two, three, four), 1)]
+    return suites[0].unionByName(suites[1]).unionByName(suites[2]).unionByName(suites[3])

@@ -105,6 +105,7 @@ def normalize(tape: DataFrame) -> DataFrame:
     is_kind = lambda *k: F.col("_kind").isin(*k)
     prefer = lambda n: F.when(F.coalesce(F.map_contains_key("_state", F.lit(n)), F.lit(False)), F.col("_state")[n]).otherwise(f(n))
     boolean = lambda v: F.when(_is(v, "BOOLEAN"), _as(v, "boolean"))
+    scope = F.when(_is(f("clock_scope"), "OBJECT"), _as(f("clock_scope"), "map<string,variant>"))
     tick = F.when(F.coalesce(F.map_contains_key("_inner", F.lit("full_accuracy_value")), F.lit(False)), F.col("_inner")["full_accuracy_value"]).otherwise(F.col("_inner")["value"])
     game_columns = F.struct(
         game_id.alias("game_id"), known.alias("game_id_field"), _text(f("leagueAbbreviation")).alias("league"), _text(f("homeTeam")).alias("home"), _text(f("awayTeam")).alias("away"), _text(f("status")).alias("status"),
@@ -132,7 +133,10 @@ def normalize(tape: DataFrame) -> DataFrame:
         F.when(is_kind("market_lifecycle"), life).alias("lifecycle"), F.when(is_kind("game_state"), game_columns).alias("game"),
         F.when(is_kind("connection_opened"), _text(f("target_metadata_digest"))).when(is_kind("metadata_changed"), _text(f("to_metadata_digest"))).alias("metadata_digest"),
         F.when(is_kind("connection_opened"), F.transform(_as(f("asset_ids"), "array<variant>"), lambda x: _as(x, "string"))).alias("opened_assets"),
-        F.when(is_kind("connection_opened"), F.coalesce(boolean(f("delivers_deltas")), F.lit(False))).alias("delivers_deltas"), F.when(is_kind("raw"), note).alias("note"),
+        F.when(is_kind("connection_opened"), boolean(f("delivers_deltas"))).alias("delivers_deltas"), F.when(is_kind("connection_opened"), _text(f("target_digest"))).alias("target_digest"),
+        F.when(is_kind("connection_opened"), F.try_variant_get(f("fsync_interval_seconds"), "$", "double")).alias("fsync_interval_seconds"),
+        F.when(is_kind("connection_opened"), _text(scope["scope_id"])).alias("clock_scope_id"), F.when(is_kind("connection_opened"), boolean(scope["comparable_across_processes"])).alias("clock_comparable"),
+        F.when(trade, _text(f("transaction_hash"))).alias("transaction_id"), F.when(is_kind("raw"), note).alias("note"),
     )
 
 

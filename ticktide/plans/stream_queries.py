@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros
-from ..sources.scratch import shared_dir
+from ..sources.scratch import materialize, shared_dir
 from ..streaming import windows
 from . import tape_queries
 from .tape_queries import TAPE_SQL
@@ -41,15 +42,18 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-def drained(df: DataFrame, mode: str = "append", keys: list[str] | None = None) -> DataFrame:
-    """Run the stream to its end into a table and read it; in update mode the last row of a key counts."""
-    spark, path = df.sparkSession, scratch(df.sparkSession)
+def drained(df: DataFrame, mode: str = "append", keys: list[str] | None = None, path: str | None = None) -> DataFrame:
+    """Run the stream to its present end into a table and read it; in update mode the last row of a key counts.
+
+    With the ``path`` of an earlier run the stream goes on from that run's checkpoint; each batch
+    has a folder of its own, so a batch that is run again replaces its own rows.
+    """
+    spark, path = df.sparkSession, path or scratch(df.sparkSession)
 
     def write(batch: DataFrame, no: int) -> None:
         batch.withColumn("_batch", F.lit(no)).write.mode("overwrite").parquet(f"{path}/out/batch={no}")
 
-    query = df.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
-    query.awaitTermination()
+    windows.to_tables(df, write, f"{path}/checkpoint", mode)
     out = spark.read.parquet(f"{path}/out").drop("batch")
     if mode == "update":
         best = out.groupBy(*keys).agg(F.max(F.struct("_batch", *(c for c in df.columns if c not in keys))).alias("_v"))
@@ -57,6 +61,20 @@ def drained(df: DataFrame, mode: str = "append", keys: list[str] | None = None)
     return out.select(*df.columns)
 
 
+def resumed(table: DataFrame, order: str, transform: Callable[[DataFrame], DataFrame], parts: int = 3) -> DataFrame:
+    """A table as a stream that arrives in ``parts``, in order: after each the query ends, and is started anew on its checkpoint."""
+    spark = table.sparkSession
+    source, path = scratch(spark), scratch(spark)
+    table = materialize(table, "arriving")
+    span = table.agg(F.min(order).alias("lo"), F.max(order).alias("hi")).first()
+    lo, width = span["lo"] or 0, max(1, -(-((span["hi"] or 0) - (span["lo"] or 0) + 1) // parts))
+    out = None
+    for i in range(parts):
+        table.where((F.col(order) >= lo + i * width) & (F.col(order) < lo + (i + 1) * width)).write.mode("append").parquet(source)
+        out = drained(transform(spark.readStream.schema(table.schema).parquet(source)), path=path)
+    return out
+
+
 @query(f"WITH {TAPE_SQL} SELECT user_id, lane, min(at_us) AS first_seen, min(CASE WHEN k > 50 THEN at_us - 1000 END) AS created_at FROM tape GROUP BY user_id, lane")
 def stream_first_sighting(spark, sf_dir):
     e = stream(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("lane"), epoch_micros("ts").alias("at_us"), F.get_json_object("props", "$.k").cast("int").alias("k"))
@@ -64,29 +82,27 @@ def stream_first_sighting(spark, sf_dir):
     return drained(windows.first_sightings(e, ["user_id", "lane"], "at_us", "created"), "update", ["user_id", "lane"])
 
 
+#: How far out of order a source may be. Later rows belong to ``windows.split_late``.
+DISORDER = "31 days"
+
+
 @query("SELECT epoch_us(time_bucket(INTERVAL 30 MINUTE, ts)) AS window_start, event_type AS lane, count(*) AS n FROM events GROUP BY 1, 2")
 def stream_windows(spark, sf_dir):
-    e = stream(spark, sf_dir, "events").select(F.col("ts").cast("timestamp_ntz").alias("ts"), F.col("event_type").alias("lane"), epoch_micros("ts").alias("at_us"))
-    counted = e.groupBy(windows.capture_window(F.col("at_us")).alias("window_start"), "lane").agg(F.count(F.lit(1)).alias("n"))
+    e = stream(spark, sf_dir, "events").select(F.timestamp_micros(epoch_micros("ts")).alias("ts"), F.col("event_type").alias("lane"), "value")
+    counted = windows.window_counts(e, "ts", ["lane"], "30 minutes", DISORDER).select(F.unix_micros("window_start").alias("window_start"), "lane", "n")
     return drained(counted, "update", ["window_start", "lane"])
 
 
 @query(tape_queries.ORACLES["continuity_causes"])
 def stream_continuity(spark, sf_dir):
-    # cursors are prepared once as a table that the stream then reads
-    path = scratch(spark)
-    tape_queries.cursors(spark, sf_dir).write.parquet(path)
     windows.use_rocksdb(spark)
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    out = drained(windows.stateful(source, "user_id", windows.Continuity(), windows.CONTINUITY))
-    return out.select("event_id", "user_id", "cause")
+    causes = lambda source: windows.stateful(source, "user_id", windows.Continuity(), windows.CONTINUITY)
+    return resumed(tape_queries.cursors(spark, sf_dir), "event_id", causes).select("event_id", "user_id", "cause")
 
 
 @query(tape_queries.ORACLES["book_states"])
 def stream_books(spark, sf_dir):
-    path = scratch(spark)
-    tape_queries.book_events(spark, sf_dir).withColumnRenamed("user_id", "asset").write.parquet(path)
     windows.use_rocksdb(spark)
-    source = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
-    out = drained(windows.stateful(source, "asset", windows.Books(), windows.BOOKS)).where("levels > 0")
+    books = lambda source: windows.stateful(source, "asset", windows.Books(), windows.BOOKS)
+    out = resumed(tape_queries.book_events(spark, sf_dir).withColumnRenamed("user_id", "asset"), "pos", books).where("levels > 0")
     return out.select(F.col("asset").alias("user_id"), "pos", "levels", F.round("depth", 4).alias("depth"), "best")

@@ -70,9 +70,9 @@ def carry_forward(new: DataFrame, previous: DataFrame, venue: str, asset: str, f
     return fresh.unionByName(kept).where(F.col(asset).isNotNull()).dropDuplicates([venue, asset])
 
 
-def to_tables(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str) -> Any:
+def to_tables(stream: DataFrame, on_batch: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> Any:
     """Run a stream to its present end; each batch goes to ``on_batch``, the checkpoint makes it resumable."""
-    query = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).foreachBatch(on_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
     return query
 

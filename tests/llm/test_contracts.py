@@ -8,6 +8,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from ticktide.llm import ann, bpe, chat, chunks, mixing, pii, quality, secrets, tokenfile
 from ticktide.llm.common import read
 
@@ -292,6 +294,22 @@ def test_mixing(spark, sf, split):
     assert mixing.mix(slim.limit(0)).count() == 0
 
 
+def test_mixing_draws_what_a_plain_sort_by_key_draws(spark, sf):
+    slim = mixing.keyed(read(spark, sf, "documents"), read(spark, sf, "labels")).cache()
+    taken = {r.doc_id: (r.taken, r.target) for r in mixing.mix(slim).collect()}
+    by_source = {}
+    for r in slim.collect():
+        by_source.setdefault(r.source, []).append(r)
+    for rows in by_source.values():
+        total, target = sum(r.size for r in rows), taken[rows[0].doc_id][1]
+        epochs = min(3, int(target // total))
+        left = round(target - epochs * total)
+        for r in sorted(rows, key=lambda r: (r.key, r.tie, r.doc_id, r.size)):
+            part = max(0, min(r.size, left))
+            left -= part
+            assert taken[r.doc_id][0] == epochs * r.size + part
+
+
 def test_quality(spark, docs):
     texts = {r.doc_id: r.text or "" for r in docs.collect()}
     got = {r.doc_id: r for r in quality.apply(docs).collect()}

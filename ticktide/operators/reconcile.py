@@ -167,3 +167,36 @@ def scheduled_instant(text: Column, zone: str = "America/New_York") -> Column:
     stamps = F.array_distinct(F.transform(at, lambda z: F.concat_ws(" ", z["d"], F.replace(z["t"], F.lit(" "), F.lit("")))))
     one = F.when(F.size(stamps) == 1, F.element_at(stamps, 1))
     return F.unix_micros(F.to_utc_timestamp(F.try_to_timestamp(one, F.lit("MMMM d, yyyy h:mma")), zone))
+
+
+def retention_decisions(receipts: DataFrame, archived: DataFrame, canonical: DataFrame, local: DataFrame, independent: bool = True) -> DataFrame:
+    """One decision per archive receipt, its first reason in order; an audit, nothing is deleted.
+
+    ``receipts`` (receipt, lane, source_file, segment_index, sha256, length, valid, conformance, lane_dir),
+    ``archived`` (receipt, sha256, length), ``canonical`` (lane, sha256, source_file, segment_index),
+    ``local`` (lane, source_file, kind source or seal, sha256). A receipt authorises a removal only
+    if the archived object is verified, a committed window names lane, digest, file and
+    index, and the local bytes are those of the receipt.
+    """
+    c = F.col
+    stored = archived.groupBy("receipt").agg(F.max(F.struct("sha256", "length")).alias("_stored"))
+    exact = canonical.select("lane", "sha256", "source_file", "segment_index").distinct().withColumn("_named", F.lit(True))
+    digest = canonical.select("lane", "sha256").distinct().withColumn("_digest", F.lit(True))
+    files = local.groupBy("lane", "source_file").agg(F.max(F.when(c("kind") == "source", c("sha256"))).alias("_source"), F.bool_or(c("kind") == "seal").alias("_seal"))
+    rows = receipts.join(stored, "receipt", "left").join(exact, ["lane", "sha256", "source_file", "segment_index"], "left").join(digest, ["lane", "sha256"], "left").join(files, ["lane", "source_file"], "left")
+    seal, source = F.coalesce("_seal", F.lit(False)), c("_source").isNotNull()
+    verified = (c("_stored.sha256") == c("sha256")) & (c("_stored.length") == c("length"))
+    reason = (
+        F.when(c("conformance") | ~F.lit(independent), "durability_gate").when(~c("valid") | (c("lane_dir") != F.concat(F.lit("lane="), "lane")), "archive_receipt_invalid")
+        .when(~F.coalesce(verified, F.lit(False)), "archive_object_unverified").when(c("_named").isNull(), F.when(c("_digest"), "canonical_mismatch").otherwise("canonical_missing"))
+        .when(~source & ~seal, "already_removed").when(~source, "partial_cleanup_pending").when(~seal | (c("_source") != c("sha256")), "local_source_changed").otherwise("all_conditions_hold")
+    )
+    return rows.select("receipt", "lane", "source_file", reason.alias("reason"), reason.isin("all_conditions_hold", "partial_cleanup_pending").alias("removable"))
+
+
+def first_examples(rows: DataFrame, keys: list[str], order: list[str], value: str, k: int) -> DataFrame:
+    """Per key the first ``k`` values in order, as evidence, and how many rows there are."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    first = rows.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k)  # no more than k rows of a key leave a task
+    picked = first.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", F.col(value).alias("v")))), lambda x: x["v"]).alias("examples"))
+    return picked.join(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")), keys)

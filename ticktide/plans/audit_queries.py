@@ -135,3 +135,29 @@ def agreed_class(spark, sf_dir):
     mapping = spark.createDataFrame([("1-URGENT", "fast"), ("2-HIGH", "fast"), ("3-MEDIUM", "mid"), ("4-LOW", "slow"), ("4-NOT SPECIFIED", "slow"), ("5-LOW", "slow")], "label string, class string")
     o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("key"), F.col("o_orderpriority").alias("label"))
     return matching.agreed_class(o, "key", "label", mapping)
+
+
+@query("""WITH r AS (SELECT o_orderkey AS receipt, o_orderstatus AS lane, o_custkey AS f, o_orderkey % 10 AS i, 'h' || o_orderkey AS sha, o_orderkey AS k FROM orders)
+SELECT receipt, lane, CAST(f AS VARCHAR) AS source_file, CASE WHEN k % 23 = 0 THEN 'durability_gate' WHEN k % 29 = 0 OR k % 31 = 0 THEN 'archive_receipt_invalid' WHEN k % 7 = 0 OR k % 11 = 0 THEN 'archive_object_unverified'
+WHEN k % 13 = 0 THEN 'canonical_missing' WHEN k % 17 = 0 THEN 'canonical_mismatch' WHEN k % 5 = 0 AND k % 3 = 0 THEN 'already_removed' WHEN k % 5 = 0 THEN 'partial_cleanup_pending' WHEN k % 3 = 0 OR k % 19 = 0 THEN 'local_source_changed' ELSE 'all_conditions_hold' END AS reason,
+reason IN ('all_conditions_hold', 'partial_cleanup_pending') AS removable FROM r""")
+def retention_decisions(spark, sf_dir):
+    c, k = F.col, F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders")
+    sha = F.concat(F.lit("h"), k.cast("string"))
+    lane, file = c("o_orderstatus").alias("lane"), c("o_custkey").cast("string")
+    receipts = o.select(k.alias("receipt"), lane, file.alias("source_file"), (k % 10).alias("segment_index"), sha.alias("sha256"), k.alias("length"), (k % 29 != 0).alias("valid"), (k % 23 == 0).alias("conformance"), F.concat(F.lit("lane="), F.when(k % 31 == 0, "x").otherwise(c("o_orderstatus"))).alias("lane_dir"))
+    archived = o.where(k % 7 != 0).select(k.alias("receipt"), sha.alias("sha256"), F.when(k % 11 == 0, k + 1).otherwise(k).alias("length"))
+    canonical = o.where(k % 13 != 0).select(lane, sha.alias("sha256"), F.when(k % 17 == 0, "other").otherwise(file).alias("source_file"), (k % 10).alias("segment_index"))
+    # a customer has many orders: the local file of a receipt is told apart by its receipt's number
+    own = F.concat_ws("#", file, k.cast("string"))
+    local = o.where(k % 5 != 0).select(lane, own.alias("source_file"), F.lit("source").alias("kind"), F.when(k % 19 == 0, "changed").otherwise(sha).alias("sha256")).unionByName(o.where(k % 3 != 0).select(lane, own.alias("source_file"), F.lit("seal").alias("kind"), F.lit(None).cast("string").alias("sha256")))
+    mine = lambda df: df.withColumn("source_file", F.concat_ws("#", "source_file", F.substring("sha256", 2, 20)))
+    out = reconcile.retention_decisions(mine(receipts), archived, mine(canonical), local)
+    return out.withColumn("source_file", F.substring_index("source_file", "#", 1))
+
+
+@query("""WITH n AS (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS i, count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) SELECT o_custkey, string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY i) AS examples, max(n) AS n FROM n WHERE i <= 3 GROUP BY 1""")
+def first_examples(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").withColumn("by_price", -F.col("o_totalprice"))
+    return reconcile.first_examples(o, ["o_custkey"], ["by_price", "o_orderkey"], "o_orderkey", 3).select("o_custkey", F.array_join(F.transform("examples", lambda x: x.cast("string")), ",").alias("examples"), "n")

@@ -14,18 +14,20 @@ def _print(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).first())
 
 
-def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
+def connected_components(edges: DataFrame, a: str, b: str, most: int | None = None) -> DataFrame:
     """(node, root): the smallest node that each node with an edge can reach.
 
     Alternating large-star and small-star steps: a number of rounds that grows with the
     logarithm of the graph, each a group-by whose result is written and read back, so a
     lost executor costs one round at most. No node gathers its neighbours in memory: all
-    that a step needs of a neighbourhood is its minimum. An empty graph gives no rows.
+    that a step needs of a neighbourhood is its minimum. An empty graph gives no rows. With ``most``
+    it stops after so many rounds: nodes of one root are then connected, but a component may have several roots.
     """
     clean = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct()
     current = materialize(clean, "edges")
-    seen = _print(current)
-    while True:
+    seen, done = (_print(current) if most is None else None), 0
+    while most is None or done < most:
+        done += 1
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: every greater neighbour is joined to the least
@@ -37,10 +39,11 @@ def connected_components(edges: DataFrame, a: str, b: str) -> DataFrame:
         linked = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         after = materialize(linked.where("u <> v").distinct(), "edges")
         # settled: all edges end in nodes that have no smaller neighbour, and nothing moved
-        before, seen = seen, _print(after)
         forget(current)
         current = after
-        if seen == before:
-            break
-    roots = current.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("root"))
-    return roots.unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+        if most is None:
+            before, seen = seen, _print(after)
+            if seen == before:
+                break
+    both = current.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(current.select(F.col("v").alias("node"), F.col("v").alias("root")))
+    return both.groupBy("node").agg(F.min("root").alias("root"))

@@ -170,7 +170,7 @@ SKETCH, DEVIATIONS = 256, 3.0
 #: Rows of a chain's group that are compared in one cell; rows of it at once.
 CELL, AT_ONCE = 2048, 64
 #: Rounds in which a row is checked with its nearest alone, before it is with all that are left. Sets the cost, no result.
-ROUNDS = 4
+ROUNDS = 2
 
 
 def _multipliers() -> np.ndarray:
@@ -405,12 +405,12 @@ def near_links(reps: DataFrame, rows: DataFrame, similarity: float, words: int,
     tokens, old = materialize(several(tokens.select("token", "start", "node")), "chains"), tokens
     forget(old)
     for no in range(ROUNDS + 1):
-        comps = connected_components(sure, "a", "b")
+        comps = connected_components(sure, "a", "b", most=2 if no < ROUNDS else None)  # unfinished ones only cost further checks
         offers = materialize(_cell_pairs(tokens, reps, comps, similarity, no < ROUNDS), "offers")
-        more = offers.join(tried.hint("merge"), ["a", "b"], "left_anti")
+        more = offers.join(tried, ["a", "b"], "left_anti")
         if no < ROUNDS:
             # every row with a partner outside its component has made an offer: only such rows go on
-            tokens, old = materialize(several(tokens.join(offers.select(F.col("of").alias("node")).distinct().hint("merge"), "node", "left_semi")), "chains"), tokens
+            tokens, old = materialize(several(tokens.join(offers.select(F.col("of").alias("node")).distinct(), "node", "left_semi")), "chains"), tokens
             forget(old)
             more = more.groupBy("of").agg(F.min_by(F.struct("a", "b"), F.struct(-F.col("score"), "a", "b")).alias("p")).select("p.*")
         more, old = materialize(more.select("a", "b").distinct(), "pairs"), offers

@@ -32,6 +32,8 @@ BITS = 64
 MAX_BITS = 2
 #: Ring of three segments: (first bit, number of bits). Budgets 0, 1, 2 for chains of 1, 2, 3.
 RING = ((0, 22), (22, 21), (43, 21))
+#: Values of the lower half of a segment.
+HALF = 1 << 10
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -93,13 +95,17 @@ def _masks(i: int) -> list[Column]:
 def chains(distinct: DataFrame) -> DataFrame:
     """(fp, i): fingerprints with the starts i of which a chain of two has a partner.
 
-    Chain of one: segment i equals another fingerprint's. Chain of two: besides, the next
+    Chain of one: segment i equals another fingerprint's, as far as a half of the next does
+    too, without which there is no chain of two. Chain of two: besides, the next
     segment differs in at most one bit. Groups are only counted, never listed.
     """
     ring = F.array(*(F.struct(F.lit(i).alias("i"), _segment(F.col("fp"), i).alias("a"), _segment(F.col("fp"), i + 1).alias("b"), F.lit(RING[(i + 1) % len(RING)][1]).alias("w")) for i in range(len(RING))))
     one = distinct.select("fp", F.explode(ring).alias("c")).select("fp", "c.*")
-    shared = one.groupBy("i", "a").count().where("count > 1").select("i", "a")
-    one = one.join(shared.hint("merge"), ["i", "a"], "left_semi")
+    # a second segment within one bit has an equal half: so short a first segment's chance partners go
+    halves = F.array(F.struct(F.lit(0).alias("j"), F.col("b").bitwiseAND(F.lit(HALF - 1)).alias("h")), F.struct(F.lit(1).alias("j"), F.floor(F.col("b") / HALF).alias("h")))
+    parts = one.select("*", F.explode(halves).alias("p")).select("fp", "i", "a", "b", "w", "p.*")
+    shared = parts.groupBy("i", "a", "j", "h").count().where("count > 1").select("i", "a", "j", "h")
+    one = parts.join(shared.hint("merge"), ["i", "a", "j", "h"], "left_semi").select("fp", "i", "a", "b", "w").distinct()
     # the second segment: as it is, and with each bit flipped; equal to an unflipped one within a bit
     probe = F.concat(F.array(F.struct(F.col("b").alias("b"), F.lit(True).alias("own"))), F.transform(F.sequence(F.lit(0), F.col("w") - 1), lambda k: F.struct(F.col("b").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), k)).alias("b"), F.lit(False).alias("own"))))
     probes = one.select("fp", "i", "a", F.explode(probe).alias("p")).select("fp", "i", "a", "p.*")

@@ -3,6 +3,10 @@
 #: Escaping as in the chat template: a backslash after the first character of a control string.
 _ESCAPED = r"regexp_replace({0}, '([<\[])(\\*)(/?(?:s>|INST\]))', '\1\\\2\3', 'g')"
 
+#: A table of the 256 remainders of the checksum's polynomial, as list t; then the checksum of an ASCII string.
+_CRC = """crc AS (SELECT list(v ORDER BY i) AS t FROM (WITH RECURSIVE b AS (SELECT i, i AS v, 0 AS k FROM range(256) r(i) UNION ALL SELECT i, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM b WHERE k < 8) SELECT i, v FROM b WHERE k = 8))"""
+_CRC_OF = "xor(list_reduce([CAST(x AS BIGINT) FOR x IN {0}], lambda a, x: xor(a // 256, t[xor(a, x) % 256 + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
 ORACLES: dict[str, str] = {
     "op3_chat": f"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')) v(conv_id, turn, role, text)),
 r AS (SELECT *, length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) + length('<s>[INST] ') + length(' [/INST]') + length('</s>') AS n, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS i, count(*) OVER (PARTITION BY conv_id) AS turns FROM t),
@@ -26,4 +30,21 @@ r AS (SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b
 u AS (SELECT * FROM r UNION SELECT * FROM l), k AS (SELECT u.doc_id, s, e, sha256(array_to_string(ls[s:e], chr(10))) AS key FROM u JOIN d ON u.doc_id = d.doc_id), f AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY doc_id, s) AS no FROM k),
 g AS (SELECT DISTINCT c.doc_id, c.i FROM f JOIN c ON f.doc_id = c.doc_id AND c.i BETWEEN f.s AND f.e WHERE no > 1)
 SELECT w.doc_id, coalesce(string_agg(CASE WHEN g.i IS NULL THEN line END, chr(10) ORDER BY w.i), '') AS text, count(*) AS n_lines, count(g.i) AS n_removed FROM w LEFT JOIN g ON w.doc_id = g.doc_id AND w.i = g.i GROUP BY w.doc_id""",
+    # states and edits by recursion over the rows of all conversations, least (cost, letters) of each state
+    "op13_repair": f"""WITH RECURSIVE {_CRC},
+o AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+h AS (SELECT o.*, {_CRC_OF.format("[ascii(y) FOR y IN string_split(key, '')]")} % 20 AS fault FROM o, crc),
+d AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role, CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(CASE WHEN fault = 3 THEN [1, 2] ELSE [1] END) AS c FROM h WHERE fault <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i, left(role, 1) AS c0, regexp_replace(text, '[\\x20\\x09-\\x0D]+$', '') AS bare FROM d),
+m AS (SELECT *, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) AS seen FROM n),
+f AS (SELECT *, CASE WHEN bare = '' THEN 'blank' WHEN seen > 1 THEN 'duplicate' WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault, lag(c0) OVER (PARTITION BY conv_id ORDER BY i) || c0 AS pair FROM m),
+g AS (SELECT conv_id, count(*) AS rows, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated, count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal FROM f GROUP BY conv_id),
+ins AS (SELECT * FROM (VALUES (0, 0, 0, '', ''), (0, 2, 5, 'I', 'user:'), (0, 3, 10, 'II', 'user:' || chr(10) || 'assistant:'), (1, 1, 0, '', ''), (1, 2, 5, 'I', 'user:'), (1, 3, 10, 'II', 'user:' || chr(10) || 'assistant:'), (2, 2, 0, '', ''), (2, 3, 5, 'I', 'assistant:'), (2, 2, 10, 'II', 'assistant:' || chr(10) || 'user:'), (3, 3, 0, '', ''), (3, 2, 5, 'I', 'user:'), (3, 3, 10, 'II', 'user:' || chr(10) || 'assistant:')) v(s, m, cost, word, said)),
+ed AS (SELECT * FROM (VALUES (0, 0, 'D', ''), (1, 1, 'D', ''), (2, 2, 'D', ''), (3, 3, 'D', ''), (0, 1, 'K', 's'), (0, 2, 'K', 'u'), (1, 2, 'K', 'u'), (3, 2, 'K', 'u'), (2, 3, 'K', 'a'), (0, 2, 'R', 'user'), (1, 2, 'R', 'user'), (3, 2, 'R', 'user'), (2, 3, 'R', 'assistant')) v(m, t, e, x)),
+v AS (SELECT g.conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, CAST(0 AS BIGINT) AS cost, '' AS word, '' AS said FROM g
+UNION ALL SELECT conv_id, i, s, b.cost, b.word, b.said FROM (SELECT v.conv_id, f.i, ed.t AS s, min(struct_pack(cost := v.cost + ins.cost + CASE e WHEN 'D' THEN 2 WHEN 'R' THEN 1 ELSE 0 END + CASE WHEN e <> 'D' AND fault = 'truncated' THEN 5 ELSE 0 END, word := v.word || ins.word || e, said := v.said || CASE WHEN v.said <> '' AND ins.said <> '' THEN chr(10) ELSE '' END || ins.said || CASE WHEN e = 'D' THEN '' ELSE CASE WHEN v.said || ins.said <> '' THEN chr(10) ELSE '' END || CASE e WHEN 'K' THEN role ELSE x END || ':' || text END)) AS b
+FROM v JOIN f ON v.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = v.i + 1 JOIN ins ON ins.s = v.s JOIN ed ON ed.m = ins.m WHERE e = 'D' OR fault NOT IN ('blank', 'duplicate') AND (e = 'R' OR c0 = x) GROUP BY v.conv_id, f.i, ed.t)),
+z AS (SELECT v.conv_id, min(struct_pack(cost := v.cost + ins.cost, word := v.word || ins.word, said := v.said || CASE WHEN v.said <> '' AND ins.said <> '' THEN chr(10) ELSE '' END || ins.said)) AS b FROM v JOIN g ON v.conv_id IS NOT DISTINCT FROM g.conv_id AND v.i = g.rows JOIN ins ON ins.s = v.s AND ins.m IN (0, 3) GROUP BY v.conv_id)
+SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(z.b.cost, 0) AS cost, coalesce(z.b.word, '') AS audit, sha256(coalesce(z.b.said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN z ON c.conv_id IS NOT DISTINCT FROM z.conv_id""",
 }

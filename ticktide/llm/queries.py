@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, linededup, mixing, pii, quality, secrets, simhash, tokenfile
+from . import ann, bpe, chat, linededup, mixing, pii, quality, secrets, simhash, tokenfile, turnrepair
 from .common import read, shared_dir
 
 
@@ -60,6 +60,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("longest_repeat").withColumn("covered", F.round("covered", 9))
 
 
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turnrepair.digest(read(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -67,5 +71,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_secrets, op3_chat, op4_bpe, op5_repair, op6_simhash, op7_linededup, op8_mixing, op9_ann, op10_quality, pipeline)
+    f.__name__: f for f in (op1_pii, op2_secrets, op3_chat, op4_bpe, op5_repair, op6_simhash, op7_linededup, op8_mixing, op9_ann, op10_quality, op13_repair, pipeline)
 }

@@ -47,4 +47,16 @@ FROM v JOIN f ON v.conv_id IS NOT DISTINCT FROM f.conv_id AND f.i = v.i + 1 JOIN
 z AS (SELECT v.conv_id, min(struct_pack(cost := v.cost + ins.cost, word := v.word || ins.word, said := v.said || CASE WHEN v.said <> '' AND ins.said <> '' THEN chr(10) ELSE '' END || ins.said)) AS b FROM v JOIN g ON v.conv_id IS NOT DISTINCT FROM g.conv_id AND v.i = g.rows JOIN ins ON ins.s = v.s AND ins.m IN (0, 3) GROUP BY v.conv_id)
 SELECT c.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(z.b.cost, 0) AS cost, coalesce(z.b.word, '') AS audit, sha256(coalesce(z.b.said, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN g ON c.conv_id IS NOT DISTINCT FROM g.conv_id LEFT JOIN z ON c.conv_id IS NOT DISTINCT FROM z.conv_id""",
+    # near words share what is left when one code point is taken from one or from both at the same place
+    "op12_spelling": f"""WITH RECURSIVE {_CRC},
+r AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+c AS (SELECT run, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS h, count(*) AS n FROM r WHERE length(run) >= 7 GROUP BY doc_id, run),
+k AS (SELECT run, n, {_CRC_OF.format("[('0x' || substr(h, 2 * i + 1, 2))::INTEGER FOR i IN range(length(h) // 2)]")} AS h FROM c, crc),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS INTEGER)) || substr(run, CAST(h % length(run) AS INTEGER) + 2) ELSE run END AS word FROM k) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+v AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM w)),
+p AS (SELECT DISTINCT a.word, b.word AS near, b.n FROM v a JOIN v b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word UNION SELECT v.word, w.word, w.n FROM v JOIN w ON v.rest = w.word UNION SELECT w.word, v.word, v.n FROM v JOIN w ON v.rest = w.word),
+b AS (SELECT word, count(*) AS n_near, min(struct_pack(minus := -n, near := near)) AS best FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.best.minus >= 10 * w.n THEN b.best.near END AS form, CASE WHEN -b.best.minus >= 10 * w.n THEN -b.best.minus END AS form_n FROM w LEFT JOIN b ON w.word = b.word),
+u AS (SELECT word, word AS o, 0 AS i FROM f UNION ALL SELECT u.word, f.form, i + 1 FROM u JOIN f ON u.o = f.word WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, arg_max(o, i) AS root FROM u GROUP BY word) e ON e.word = f.word""",
 }

@@ -59,4 +59,9 @@ b AS (SELECT word, count(*) AS n_near, min(struct_pack(minus := -n, near := near
 f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.best.minus >= 10 * w.n THEN b.best.near END AS form, CASE WHEN -b.best.minus >= 10 * w.n THEN -b.best.minus END AS form_n FROM w LEFT JOIN b ON w.word = b.word),
 u AS (SELECT word, word AS o, 0 AS i FROM f UNION ALL SELECT u.word, f.form, i + 1 FROM u JOIN f ON u.o = f.word WHERE f.form IS NOT NULL)
 SELECT f.word, f.form, e.root, f.n, f.n_near, f.form_n FROM f JOIN (SELECT word, arg_max(o, i) AS root FROM u GROUP BY word) e ON e.word = f.word""",
+    # every pair compared; the search by hashing finds all pairs of these tables
+    "op11_embdedup": """WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, row_number() OVER (ORDER BY vec_id) AS r FROM embeddings), k AS (SELECT * FROM v WHERE len(e) > 0 AND list_bool_and([x IS NOT NULL AND isfinite(x) FOR x IN e]) AND list_bool_or([x <> 0 FOR x IN e])),
+l AS (SELECT a.r, b.r AS o, b.vec_id FROM k a JOIN k b ON a.r <> b.r AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9), c AS (SELECT r, r AS o FROM v UNION SELECT c.r, l.o FROM c JOIN l ON c.o = l.r),
+m AS (SELECT c.r, min(v.vec_id) AS component_id FROM c JOIN v ON c.o = v.r GROUP BY c.r)
+SELECT vec_id, (SELECT count(*) FROM l WHERE l.r = v.r) AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept FROM v JOIN m ON v.r = m.r""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, chat, linededup, mixing, pii, quality, secrets, simhash, spelling, tokenfile, turnrepair
+from . import ann, bpe, chat, embdedup, linededup, mixing, pii, quality, secrets, simhash, spelling, tokenfile, turnrepair
 from .common import read, shared_dir
 
 
@@ -60,6 +60,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.drop("longest_repeat").withColumn("covered", F.round("covered", 9))
 
 
+def op11_embdedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embdedup.digest(read(spark, sf_dir, "embeddings"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.digest(read(spark, sf_dir, "documents"))
 
@@ -75,5 +79,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_pii, op2_secrets, op3_chat, op4_bpe, op5_repair, op6_simhash, op7_linededup, op8_mixing, op9_ann, op10_quality, op12_spelling, op13_repair, pipeline)
+    f.__name__: f for f in (op1_pii, op2_secrets, op3_chat, op4_bpe, op5_repair, op6_simhash, op7_linededup, op8_mixing, op9_ann, op10_quality, op11_embdedup, op12_spelling, op13_repair, pipeline)
 }

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import Ranges
+
 
 def bar_snapshots(df: DataFrame, keys: list[str], at: str, bar: int, max_age: int, values: list[str], order: list[str], start: int | None = None, end: int | None = None) -> DataFrame:
     """Per key and bar boundary: the last row at or before it, not older than ``max_age``; never later.
@@ -28,8 +30,8 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: list[str], left_at: s
     a = left.withColumn("_side", F.lit(1)).withColumn("_at", F.col(left_at)).withColumn("_v", F.lit(None).cast(_packed_type(right, right_at, values)))
     b = right.select(*keys, F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.struct(F.col(right_at).alias("_t"), *values).alias("_v"))
     both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("_at", "_side", F.col("_v").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn("_v", F.last("_v", ignorenulls=True).over(w)).where("_side = 1").select(*left.columns, F.col("_v._t").alias(f"{right_at}_asof"), *(F.col(f"_v.{v}").alias(v) for v in values))
+    both = Ranges(both, keys, ["_at", "_side", "_v"]).add(_found=("last", F.col("_v"))).rows()
+    return both.where("_side = 1").drop("_v").withColumnRenamed("_found", "_v").select(*left.columns, F.col("_v._t").alias(f"{right_at}_asof"), *(F.col(f"_v.{v}").alias(v) for v in values))
 
 
 def _packed_type(df: DataFrame, at: str, values: list[str]) -> str:
@@ -46,9 +48,7 @@ def nearest(left: DataFrame, right: DataFrame, keys: list[str], left_at: str, ri
     a = left.withColumn("_side", F.lit(1)).withColumn("_at", F.col(left_at))
     b = right.select(*keys, F.col(right_at).alias("_at"), F.lit(0).alias("_side"), F.struct(F.col(right_at).alias("t"), F.col(value).alias("v")).alias("_r"))
     both = a.withColumn("_r", F.lit(None).cast(b.schema["_r"].dataType)).unionByName(b, allowMissingColumns=True)
-    back = Window.partitionBy(*keys).orderBy("_at", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy(*keys).orderBy(F.col("_at"), F.col("_side")).rowsBetween(0, Window.unboundedFollowing)
-    both = both.withColumn("_p", F.last("_r", ignorenulls=True).over(back)).withColumn("_n", F.first("_r", ignorenulls=True).over(ahead)).where("_side = 1")
+    both = Ranges(both, keys, ["_at", "_side"]).add(_p=("last", F.col("_r")), _n=("first_after", F.col("_r"))).rows().where("_side = 1")
     before, after = F.col("_at") - F.col("_p.t"), F.col("_n.t") - F.col("_at")
     chosen = F.when(before.isNotNull() & (after.isNull() | (before <= after)), F.col("_p")).otherwise(F.col("_n"))
     gap = F.least(before, after)
@@ -92,9 +92,8 @@ def exact_or_latest(left: DataFrame, catalogue: DataFrame, keys: list[str], dige
 
 def fulfilment(events: DataFrame, keys: list[str], at: str, is_request: Column, is_answer: Column) -> DataFrame:
     """Each request with the first answer after it and the latency; unanswered requests keep nulls."""
-    w = Window.partitionBy(*keys).orderBy(at, F.when(is_request, 0).otherwise(1)).rowsBetween(1, Window.unboundedFollowing)
-    answered = F.min(F.when(is_answer, F.col(at))).over(w)
-    return events.withColumn("answered_at", answered).where(is_request).withColumn("latency", F.col("answered_at") - F.col(at))
+    ordered = Ranges(events.withColumn("_side", F.when(is_request, 0).otherwise(1)), keys, [at, "_side"])
+    return ordered.add(answered_at=("first_after", F.when(is_answer, F.col(at)))).rows().where(is_request).drop("_side").withColumn("latency", F.col("answered_at") - F.col(at))
 
 
 def supporting_evidence(anchors: DataFrame, evidence: DataFrame, keys: list[str], at: str, seen: str, precedence: str, tolerance: int) -> DataFrame:

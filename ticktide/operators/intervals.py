@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .scan import Ranges
+
 #: Severity of a verdict; the worst of several wins.
 SEVERITY = {"TRUSTED": 0, "UNKNOWN": 1, "UNTRUSTED": 2}
 
 
 def islands(df: DataFrame, keys: list[str], order: list[str], value: str, out: str = "island") -> DataFrame:
     """Number the runs of equal values (null equals null) per key, from 1."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    first = F.row_number().over(w) == 1
-    changed = first | ~F.col(value).eqNullSafe(F.lag(value).over(w))
-    return df.withColumn("_new", changed.cast("int")).withColumn(out, F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    return Ranges(df, keys, order).runs(F.col(value), out).rows()
 
 
 def book_levels(events: DataFrame, asset: str, pos: str, kind: str, side: str, price: str, size: str) -> DataFrame:
@@ -22,15 +21,13 @@ def book_levels(events: DataFrame, asset: str, pos: str, kind: str, side: str, p
 
     ``events`` has one row per level; kind is book (all rows of one position replace the
     whole ladder) or delta (one level set; size 0 deletes it). Deltas before the first book
-    of an asset are ignored. Level validity is a window over (asset, side, price): no fold.
+    of an asset are ignored. A row's book and the next one are scans in ranges of positions;
+    level validity is a window over (asset, book, side, price): no fold, no asset in one task.
     """
-    resets = events.where(F.col(kind) == "book").select(asset, F.col(pos).alias("_reset")).distinct()
-    w = Window.partitionBy(asset).orderBy("_reset")
-    resets = resets.withColumn("_next_reset", F.lead("_reset").over(w))
-    marked = events.join(resets.select(asset, F.col("_reset").alias(pos), F.lit(True).alias("_is_reset")), [asset, pos], "left")
-    back = Window.partitionBy(asset).orderBy(pos).rangeBetween(Window.unboundedPreceding, 0)
-    marked = marked.withColumn("_reset", F.max(F.when(F.col("_is_reset"), F.col(pos))).over(back)).where("_reset IS NOT NULL")
-    marked = marked.join(resets, [asset, "_reset"])
+    book = F.when(F.col(kind) == "book", F.col(pos))
+    at_pos = events.groupBy(asset, pos).agg(F.max(book).alias("_book"))  # one row a position, so all its levels share the book
+    at_pos = Ranges(at_pos, [asset], [pos]).add(_reset=("last", F.col("_book")), _next_reset=("first_after", F.col("_book"))).rows().where("_reset IS NOT NULL").drop("_book")
+    marked = events.join(at_pos, [asset, pos])
     level = Window.partitionBy(asset, "_reset", side, price).orderBy(pos)
     until = F.coalesce(F.lead(pos).over(level), F.col("_next_reset"))
     return marked.select(asset, side, price, size, F.col(pos).alias("from"), until.alias("to")).where(F.col(size) > 0)
@@ -84,8 +81,8 @@ def trust_intervals(signals: DataFrame, asset: str, at: str, priority: str, acti
     action is open or state (a verdict from here on) or close (nothing until the next
     signal). Zero-length intervals are dropped; the last one ends with the tape.
     """
-    w = Window.partitionBy(asset).orderBy(at, priority, verdict)
-    spans = signals.withColumn("start_ns", F.col(at)).withColumn("end_ns", F.coalesce(F.lead(at).over(w), F.lit(end_of_tape)))
+    spans = Ranges(signals, [asset], [at, priority, verdict]).add(_next=("next", F.col(at))).rows()
+    spans = spans.withColumn("start_ns", F.col(at)).withColumn("end_ns", F.coalesce("_next", F.lit(end_of_tape)))
     return spans.where((F.col(action) != "close") & (F.col("start_ns") < F.col("end_ns"))).select(asset, "start_ns", "end_ns", verdict)
 
 
@@ -100,16 +97,16 @@ def combined_verdict(intervals: DataFrame, market: str, member: str, start: str,
     """One interval table a market from its members': worst verdict, equal neighbours joined.
 
     Elementary segments come from all members' edges. Instead of joining intervals by
-    range, every edge changes a running count of members in each verdict, so the work is
-    one sort per market. Members that have no interval in a segment count as UNKNOWN.
+    range, every edge changes a running count of members in each verdict: a scan in ranges
+    of time. Members that have no interval in a segment count as UNKNOWN.
     """
     names = list(SEVERITY)
     members = intervals.groupBy(market).agg(F.count_distinct(member).alias("_members"))
     edge = lambda at, sign: intervals.select(market, F.col(at).alias("_at"), *(F.when(F.col(verdict) == v, sign).otherwise(0).alias(f"_{v}") for v in names))
     changes = edge(start, 1).unionByName(edge(end, -1)).groupBy(market, "_at").agg(*(F.sum(f"_{v}").alias(f"_{v}") for v in names))
-    w = Window.partitionBy(market).orderBy("_at")
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    running = changes.select(market, F.col("_at").alias("start_ns"), F.lead("_at").over(w).alias("end_ns"), *(F.sum(f"_{v}").over(upto).alias(f"_{v}") for v in names)).where("end_ns IS NOT NULL").join(members, market)
+    scans = {f"_held_{v}": ("sum", F.col(f"_{v}")) for v in names}
+    running = Ranges(changes, [market], ["_at"]).add(end_ns=("next", F.col("_at")), **scans).rows()
+    running = running.select(market, F.col("_at").alias("start_ns"), "end_ns", *(F.col(f"_held_{v}").alias(f"_{v}") for v in names)).where("end_ns IS NOT NULL").join(members, market)
     held = sum((F.col(f"_{v}") for v in names), F.lit(0))
     worst = F.when(F.col("_UNTRUSTED") > 0, "UNTRUSTED").when((F.col("_UNKNOWN") > 0) | (held < F.col("_members")), "UNKNOWN").otherwise("TRUSTED")
     named = running.where(held > 0).select(market, "start_ns", "end_ns", worst.alias(verdict))
@@ -118,9 +115,10 @@ def combined_verdict(intervals: DataFrame, market: str, member: str, start: str,
 
 def coalesced(intervals: DataFrame, keys: list[str], start: str, end: str, value: str) -> DataFrame:
     """Touching intervals of equal value become one."""
-    w = Window.partitionBy(*keys).orderBy(start)
-    new = F.lag(end).over(w).isNull() | (F.lag(end).over(w) != F.col(start)) | ~F.lag(value).over(w).eqNullSafe(F.col(value))
-    marked = intervals.withColumn("_n", new.cast("int")).withColumn("_i", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    ranges = Ranges(intervals, keys, [start]).add(_end=("previous", F.col(end)), _value=("previous", F.col(value)))
+    new = F.col("_end").isNull() | (F.col("_end") != F.col(start)) | ~F.col("_value").eqNullSafe(F.col(value))
+    ranges.df = ranges.df.withColumn("_n", new.cast("long"))
+    marked = ranges.add(_i=("sum", F.col("_n"))).rows()
     return marked.groupBy(*keys, "_i", value).agg(F.min(start).alias(start), F.max(end).alias(end)).drop("_i")
 
 
@@ -130,11 +128,10 @@ def depth_episodes(states: DataFrame, keys: list[str], at: str, fingerprint: str
     An episode ends where the next begins; the last one of a key ends at ``end`` (an
     aggregate over the key) and is right-censored.
     """
-    marked = islands(states, keys, [at], fingerprint)
-    runs = marked.groupBy(*keys, "island", fingerprint).agg(F.min(at).alias("start"))
+    ranges = Ranges(states, keys, [at]).add(_before=("previous", F.struct(F.col(fingerprint).alias("v"))))
+    starts = ranges.where(F.col("_before").isNull() | ~F.col(fingerprint).eqNullSafe(F.col("_before.v"))).add(_next=("next", F.col(at)))
     last = states.groupBy(*keys).agg(end.alias("_end"))
-    w = Window.partitionBy(*keys).orderBy("island")
-    out = runs.join(last, keys).withColumn("_next", F.lead("start").over(w))
+    out = starts.rows().withColumn("start", F.col(at)).join(last, keys)
     return out.select(*keys, fingerprint, "start", F.coalesce("_next", "_end").alias("end"), F.col("_next").isNull().alias("censored")).where("start < end")
 
 

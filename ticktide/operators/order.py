@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.scratch import materialize
+from .scan import Ranges
 
 UNKNOWN_RANK = 1000
 
@@ -91,10 +92,8 @@ def continuity_causes(df: DataFrame, keys: list[str], seq: str, counter: str, ki
     Duplicates must be gone before. ``kind`` is lifecycle, snapshot, unsequenced or range;
     a range is continuous if its ``previous`` is the greatest last seen before this row.
     """
-    w = Window.partitionBy(*keys).orderBy(seq)
-    seen = F.max(F.when(F.col(kind) == "lifecycle", None).otherwise(F.col(last))).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    before = F.lag(counter).over(w)
-    df = df.withColumn("_seen", seen).withColumn("_before", before)
+    seen = F.when(F.col(kind) == "lifecycle", None).otherwise(F.col(last))
+    df = Ranges(df, keys, [seq]).add(_seen=("max_before", seen), _before=("previous", F.col(counter))).rows()
     cause = (
         F.when(F.col("_before").isNotNull() & (F.col(counter) != F.col("_before") + 1), "local_break")
         .when(F.col(kind) == "lifecycle", "lifecycle")
@@ -138,15 +137,13 @@ def clock_choice(tape: DataFrame) -> DataFrame:
 
 def last_before(df: DataFrame, keys: list[str], order: list[str], value: str, present: Column, out: str) -> DataFrame:
     """Add the value of the last row before or at this one where ``present``; a null there resets it."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(out, F.last(F.when(present, F.struct(F.col(value).alias("v"))), ignorenulls=True).over(w)["v"])
+    found = Ranges(df, keys, order).add(_found=("last", F.when(present, F.struct(F.col(value).alias("v"))))).rows()
+    return found.withColumn(out, F.col("_found.v")).drop("_found")
 
 
 def cursor_breaks(df: DataFrame, keys: list[str], order: list[str], last: str, previous: str, moves: Column) -> DataFrame:
     """Rows whose ``previous`` isn't the ``last`` of the row before that moves the cursor."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    held = F.last(F.when(moves, F.col(last)), ignorenulls=True).over(w)
-    return df.withColumn("held", held).where(F.col("held").isNotNull() & F.col(previous).isNotNull() & (F.col(previous) != F.col("held")))
+    return Ranges(df, keys, order).add(held=("last_before", F.when(moves, F.col(last)))).rows().where(F.col("held").isNotNull() & F.col(previous).isNotNull() & (F.col(previous) != F.col("held")))
 
 
 def fifo_pairs(df: DataFrame, keys: list[str], side: str, sides: tuple[str, str], order: list[str]) -> DataFrame:

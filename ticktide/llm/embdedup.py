@@ -29,6 +29,8 @@ PROBES, TABLES = 4, 4
 OPTIONS = 4
 #: Bits of the sketch, and the most that differ in candidates of two single vectors: five deviations over the mean at a cosine of 0.9.
 BITS, APART = 128, 40
+#: The same for a class and its leader; one more only makes a ball smaller.
+APART_TIGHT = 26
 #: Slack of angles against rounding.
 SLACK = 1e-9
 _FOUND = "cid long, base array<long>, visits array<long>, s1 long, s2 long"
@@ -116,6 +118,11 @@ def _dot(a: str | Column, b: str | Column) -> Column:
     return F.when(F.size(a) == F.size(b), total).otherwise(-2.0)
 
 
+def _differing(a: str, b: str, c: str, d: str) -> Column:
+    """Bits in which two sketches differ."""
+    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) + F.bit_count(F.col(c).bitwiseXOR(F.col(d)))
+
+
 def _angle(cosine: str) -> Column:
     return F.acos(F.least(F.greatest(F.col(cosine), F.lit(-1.0)), F.lit(1.0)))
 
@@ -137,9 +144,10 @@ def _balls(classes: DataFrame, hashed: DataFrame, tight: float) -> DataFrame:
     Each bucket offers its least class; an offer counts from a cosine of ``tight`` on, and only
     from classes that take no offer themselves.
     """
-    stored = hashed.select("cid", F.explode("base").alias("bucket"))
-    least = stored.groupBy("bucket").agg(F.min("cid").alias("lead"), F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
-    offers = stored.join(least.hint("merge"), "bucket").where("lead < cid").select("cid", "lead").distinct()
+    stored = hashed.select("cid", "s1", "s2", F.explode("base").alias("bucket"))
+    least = stored.groupBy("bucket").agg(F.min(F.struct("cid", "s1", "s2")).alias("l"), F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("bucket").alias("_b"), F.col("l.cid").alias("lead"), F.col("l.s1").alias("t1"), F.col("l.s2").alias("t2"))
+    close = _differing("s1", "t1", "s2", "t2") <= APART_TIGHT
+    offers = stored.join(least.hint("merge"), (F.col("bucket") == F.col("_b")) & (F.col("lead") < F.col("cid")) & close).select("cid", "lead").distinct()
     own, led = classes.select("cid", "u"), classes.select(F.col("cid").alias("lead"), F.col("u").alias("v"))
     taken = offers.join(own.hint("merge"), "cid").join(led.hint("merge"), "lead").select("cid", "lead", _dot("u", "v").alias("near")).where(F.col("near") >= tight)
     taken = materialize(taken, "offers")
@@ -148,15 +156,17 @@ def _balls(classes: DataFrame, hashed: DataFrame, tight: float) -> DataFrame:
     return classes.select("cid").join(best.hint("merge"), "cid", "left").select("cid", F.coalesce("b.lead", "cid").alias("ball"), F.coalesce("b.near", F.lit(1.0)).alias("near"))
 
 
-def _meeting(hashed: DataFrame, members: DataFrame, single: DataFrame) -> DataFrame:
+def _meeting(hashed: DataFrame, members: DataFrame, balls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(p, q), p < q: balls that meet in a bucket of one; those of two single vectors only with sketches close enough."""
-    rows = hashed.join(members.select("cid", "ball").hint("merge"), "cid").join(single.hint("merge"), "ball")
+    # only a leader can be alone in its ball, so the balls are joined to classes, one row each, and not to all members
+    alone = balls.where("classes = 1").select(F.col("ball").alias("cid"), F.lit(True).alias("single"))
+    rows = hashed.join(members.select("cid", "ball").hint("merge"), "cid").join(alone.hint("merge"), "cid", "left").withColumn("single", F.coalesce("single", F.lit(False)))
     stored = rows.select("ball", "single", "s1", "s2", F.explode("base").alias("bucket"), F.lit(True).alias("own"))
     visiting = rows.select("ball", "single", "s1", "s2", F.explode("visits").alias("bucket"), F.lit(False).alias("own"))
     seen = stored.unionByName(visiting).groupBy("bucket", "ball").agg(F.max("own").alias("own"), F.first("single").alias("single"), F.min("s1").alias("s1"), F.min("s2").alias("s2"))
     seen = materialize(seen, "buckets")
     a, b = seen.where("own").alias("a"), seen.alias("b")
-    close = F.bit_count(F.col("a.s1").bitwiseXOR(F.col("b.s1"))) + F.bit_count(F.col("a.s2").bitwiseXOR(F.col("b.s2"))) <= APART
+    close = _differing("a.s1", "b.s1", "a.s2", "b.s2") <= APART
     met = a.join(b.hint("merge"), (F.col("a.bucket") == F.col("b.bucket")) & (F.col("a.ball") != F.col("b.ball")) & (close | ~F.col("a.single") | ~F.col("b.single")))
     return materialize(met.select(F.least("a.ball", "b.ball").alias("p"), F.greatest("a.ball", "b.ball").alias("q")).distinct(), "met"), seen
 
@@ -182,7 +192,7 @@ def links(df: DataFrame, key: str = "vec_id", vector: str = "embedding", cosine:
     balls = members.groupBy("ball").agg(F.sum("n").alias("size"), F.count(F.lit(1)).alias("classes"), F.min("near").alias("near"), F.min("least").alias("least"))
     balls = balls.withColumn("radius", F.when(F.col("classes") == 1, 0.0).otherwise(_angle("near") + SLACK)).join(classes.select(F.col("cid").alias("ball"), "u").hint("merge"), "ball")
     balls = materialize(balls.select("ball", "size", "classes", "radius", "least", "u"), "balls")
-    met, seen = _meeting(hashed, members, balls.select("ball", (F.col("classes") == 1).alias("single")))
+    met, seen = _meeting(hashed, members, balls)
     forget(hashed, seen)
 
     left = balls.select(F.col("ball").alias("p"), F.col("u").alias("u"), F.col("radius").alias("rp"), F.col("size").alias("np"))

@@ -65,13 +65,14 @@ def ceil_to(x: Column, increment: float) -> Column:
 VALUE_BUCKETS = 1024
 
 
-def value_ranks(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
+def value_ranks(rows: DataFrame, keys: list[str], value: str, weight: str | None = None) -> DataFrame:
     """(keys, value, count, upto, n): distinct values with their counts and how many rows are at or below each.
 
+    With ``weight`` a row counts that many times.
     Equal values are counted before anything is ordered. Running sums go over buckets of the
     value and then inside a bucket, so a key's values are neither collected nor sorted in one task.
     """
-    counted = rows.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("count"))
+    counted = rows.groupBy(*keys, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("count"))
     span = counted.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.sum("count").alias("n"))
     width = F.col("_hi") - F.col("_lo")
     bucket = F.when(width > 0, F.floor((F.col(value) - F.col("_lo")) / width * VALUE_BUCKETS)).otherwise(F.lit(0)).cast("int")

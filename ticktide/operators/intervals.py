@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import forget, materialize
 from .scan import Ranges
 
 #: Severity of a verdict; the worst of several wins.
@@ -215,16 +218,30 @@ def trusted_share(intervals: DataFrame, keys: list[str], start: str, end: str, v
 def time_clusters(df: DataFrame, keys: list[str], at: str, tolerance: int) -> DataFrame:
     """Add cluster_start: a new cluster begins when a row is over ``tolerance`` after its cluster's first.
 
-    Relative to the anchor, so no lag decides it: each distinct time points to the first
-    one beyond its reach, and the chain of pointers is followed from the earliest. A block
-    (all rows of the keys) is folded in one row; blocking keeps blocks small.
+    Relative to the anchor, so no lag decides it: each distinct time points to the first one
+    beyond its reach. A time farther than that from the one before is an anchor whatever came
+    earlier, so pointers end there; the anchors between are those that its chain of pointers
+    meets, found by doubling: tables of 1, 2, 4, ... steps, then the steps of each table from
+    the longest down are taken from all anchors known so far. Rounds grow with the logarithm
+    of the longest chain; each is written, and no key's times are held together.
     """
-    blocks = df.groupBy(*keys).agg(F.array_sort(F.collect_set(at)).alias("_t"))
-    start = F.struct(F.lit(None).cast("long").alias("anchor"), F.array().cast("array<struct<t:bigint,a:bigint>>").alias("out"))
-
-    def step(acc: Column, t: Column) -> Column:
-        anchor = F.when(acc["anchor"].isNull() | (t - acc["anchor"] > tolerance), t).otherwise(acc["anchor"])
-        return F.struct(anchor.alias("anchor"), F.array_append(acc["out"], F.struct(t.alias("t"), anchor.alias("a"))).alias("out"))
+    times = df.select(*keys, F.col(at).alias("_t")).where("_t IS NOT NULL").distinct()
+    asked = times.select(*keys, (F.col("_t") + tolerance).alias("_at"), F.lit(1).alias("_side"), "_t").unionByName(times.select(*keys, F.col("_t").alias("_at"), F.lit(0).alias("_side"), "_t"))
+    ranges = Ranges(asked, keys, ["_at", "_side"]).add(_next=("first_after", F.when(F.col("_side") == 0, F.col("_at"))), _last=("last_before", F.when(F.col("_side") == 0, F.col("_at"))))
+    both = materialize(ranges.rows(), "reach")
+    heads = materialize(both.where("_side = 0").where(F.col("_last").isNull() | (F.col("_t") - F.col("_last") > tolerance)).select(*keys, "_t"), "anchors")
+    same = lambda a, b, left, right: reduce(lambda x, y: x & y, (F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys), F.col(f"{a}.{left}") == F.col(f"{b}.{right}"))
+    ahead = both.where("_side = 1 AND _next IS NOT NULL").select(*keys, "_t", F.col("_next").alias("_to"))
+    steps = [materialize(ahead.alias("a").join(heads.alias("h"), same("a", "h", "_to", "_t"), "left_anti"), "steps")]
+    forget(both)
+    while not steps[-1].isEmpty():
+        last = steps[-1]
+        further = last.alias("a").join(last.alias("b"), same("a", "b", "_to", "_t")).select("a.*", F.col("b._to").alias("_far"))
+        steps.append(materialize(further.drop("_to").withColumnRenamed("_far", "_to"), "steps"))
+    anchors = heads
+    for step in reversed(steps[:-1]):
+        met = step.alias("s").join(anchors.alias("a"), same("s", "a", "_t", "_t"), "left_semi").select(*keys, F.col("_to").alias("_t"))
+        anchors = materialize(anchors.unionByName(met).distinct(), "anchors")
+    from .bars import asof_backward
 
-    folded = blocks.select(*keys, F.explode(F.aggregate("_t", start, step)["out"]).alias("_o")).select(*keys, F.col("_o.t").alias(at), F.col("_o.a").alias("cluster_start"))
-    return df.join(folded, [*keys, at])
+    return asof_backward(df, anchors, keys, at, "_t", []).withColumnRenamed("_t_asof", "cluster_start")

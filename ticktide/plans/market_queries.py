@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.columns import epoch_micros
-from ..operators import bars, baskets, ladder, matching, omega
+from ..operators import bars, baskets, bundles, ladder, matching, omega
 from . import suites
 from .tape_queries import TAPE_SQL, table, tape
 
@@ -214,6 +214,50 @@ def event_match(spark, sf_dir):
     return matching.match_events(o, ["o_custkey"], "venue", "at", 5184000, topology="fmt")
 
 
+#: Fixtures of orders: the two sides, aliases, anchors and formats go by keys; evidence is the date, a later one or none.
+FIXTURE_SQL = """ev AS (SELECT CAST(o_orderkey AS VARCHAR) AS ref, o_orderpriority AS venue, o_custkey AS k, o_custkey % 3 <> 0 AS game, o_custkey % 40 = 7 AS same, CASE WHEN o_orderkey % 8 = 0 THEN NULL WHEN o_orderstatus = 'F' THEN '3' ELSE '5' END AS fmt, o_orderkey % 4 <> 0 AS anchor, o_orderkey AS n, CAST(epoch(o_orderdate) AS BIGINT) AS tt FROM orders),
+ok AS (SELECT * FROM ev WHERE NOT same), pd AS (SELECT DISTINCT k, tt FROM ok WHERE NOT game), pc AS (SELECT k, min(tt) AS c FROM pd GROUP BY k UNION ALL SELECT pc.k, (SELECT min(tt) FROM pd WHERE pd.k = pc.k AND pd.tt > pc.c + 5184000) FROM pc WHERE pc.c IS NOT NULL),
+pm AS (SELECT ok.*, (SELECT max(c) FROM pc WHERE pc.k = ok.k AND c <= ok.tt) AS c FROM ok WHERE NOT game), pg AS (SELECT k, c, count(DISTINCT venue) AS v, count(DISTINCT fmt) AS f, string_agg(ref, ',' ORDER BY ref) AS refs, median(tt) AS activation FROM pm GROUP BY k, c),
+es AS (SELECT ok.*, tt AS i, 0 AS rank, 'activation_at' AS field FROM ok WHERE game AND (n % 5 <> 0 OR n % 3 <> 0) UNION ALL SELECT ok.*, tt + 3456000, 2, 'title' FROM ok WHERE game AND n % 3 = 0),
+pr AS (SELECT a.k, a.i + b.i AS twice FROM es a JOIN es b ON a.k = b.k AND a.venue < b.venue AND abs(a.i - b.i) <= 5184000 WHERE a.anchor AND b.anchor), gd AS (SELECT DISTINCT k, twice FROM pr), gc AS (SELECT k, min(twice) AS c FROM gd GROUP BY k UNION ALL SELECT gc.k, (SELECT min(twice) FROM gd WHERE gd.k = gc.k AND gd.twice > gc.c + 10368000) FROM gc WHERE gc.c IS NOT NULL),
+cl AS (SELECT k, c, median(twice) / 2 AS m FROM (SELECT pr.*, (SELECT max(c) FROM gc WHERE gc.k = pr.k AND c <= pr.twice) AS c FROM pr) GROUP BY k, c),
+su AS (SELECT es.k, ref, venue, fmt, c, min(struct_pack(r := rank, f := field, i := i)) AS b FROM es JOIN cl ON es.k = cl.k AND abs(i - m) <= 5184000 WHERE anchor GROUP BY ALL), am AS (SELECT ref FROM su GROUP BY ref HAVING count(*) > 1),
+c1 AS (SELECT * FROM su WHERE ref NOT IN (SELECT ref FROM am)), sv AS (SELECT k, c, venue, string_agg(ref, ',' ORDER BY ref) AS refs FROM c1 GROUP BY ALL HAVING count(*) > 1), c2 AS (SELECT * FROM c1 WHERE NOT EXISTS (SELECT 1 FROM sv WHERE sv.k = c1.k AND sv.c = c1.c AND sv.venue = c1.venue)),
+se AS (SELECT k, c, count(DISTINCT fmt) AS f, min(fmt) AS fmt, string_agg(ref, ',' ORDER BY ref) AS refs, median(b.i) AS activation FROM c2 GROUP BY k, c HAVING count(DISTINCT venue) >= 2), bu AS (SELECT * FROM se WHERE f <= 1),
+us AS (SELECT c2.*, activation FROM c2 JOIN bu ON c2.k = bu.k AND c2.c = bu.c), to_ AS (SELECT ref FROM us UNION SELECT ref FROM am UNION SELECT unnest(string_split(refs, ',')) FROM sv UNION SELECT unnest(string_split(refs, ',')) FROM se WHERE f > 1), le AS (SELECT * FROM ok WHERE game AND anchor AND ref NOT IN (SELECT ref FROM to_)),
+si AS (SELECT es.k, es.ref, es.venue, bu.c, bu.activation, min(struct_pack(r := rank, f := field, i := i)) AS b FROM es JOIN bu ON es.k = bu.k AND abs(i - activation) <= 5184000 AND (es.fmt IS NULL OR es.fmt = bu.fmt) WHERE NOT anchor GROUP BY ALL), sn AS (SELECT ref, count(*) AS n FROM si GROUP BY ref)"""
+
+
+def fixtures(spark, sf_dir):
+    """Members and rejections of fixtures that are made of all orders."""
+    c = F.col
+    o = table(spark, sf_dir, "orders").withColumn("at", F.floor(epoch_micros("o_orderdate") / 1000000).cast("long")).withColumn("ref", c("o_orderkey").cast("string"))
+    fmt = F.when(c("o_orderkey") % 8 == 0, None).when(c("o_orderstatus") == "F", "3").otherwise("5")
+    ev = o.select("ref", c("o_orderpriority").alias("venue"), F.lit("s").alias("sport"), F.when(c("o_custkey") % 3 != 0, "g").alias("game"), F.lit(None).cast("string").alias("topology"), fmt.alias("fmt"), F.concat(F.lit("Alpha "), "o_custkey").alias("one"), F.concat(F.lit("BETA "), c("o_custkey") % 50).alias("two"), "at", (c("o_orderkey") % 4 != 0).alias("anchor"))
+    aliases = o.where("o_custkey % 40 = 7").select(F.concat(F.lit("alpha "), "o_custkey").alias("name"), F.concat(F.lit("beta "), c("o_custkey") % 50).alias("stands_for")).distinct()
+    stated = o.where("o_orderkey % 5 <> 0").select("ref", c("at").alias("instant"), F.lit(0).alias("rank"), F.lit("activation_at").alias("field"))
+    stated = stated.unionByName(o.where("o_orderkey % 3 = 0").select("ref", (c("at") + 3456000).alias("instant"), F.lit(2).alias("rank"), F.lit("title").alias("field")))
+    return bundles.match_fixtures(ev, stated, aliases, 5184000)
+
+
+@query(f"""WITH RECURSIVE {FIXTURE_SQL}
+SELECT k AS fixture, refs, reason FROM (SELECT k, ref AS refs, 'participant_alias_collision' AS reason FROM ev WHERE same UNION ALL SELECT k, refs, CASE WHEN v < 2 THEN 'fewer_than_minimum_venues' ELSE 'competition_format_mismatch' END FROM pg WHERE v < 2 OR f > 1
+UNION ALL SELECT k, ref, 'activation_time_ambiguous' FROM ok WHERE ref IN (SELECT ref FROM am) UNION ALL SELECT k, refs, 'same_venue_anchor_ambiguous' FROM sv UNION ALL SELECT k, refs, 'competition_format_mismatch' FROM se WHERE f > 1
+UNION ALL SELECT k, ref, CASE WHEN k IN (SELECT k FROM bu) THEN 'activation_time_conflict' ELSE 'fewer_than_minimum_venues' END FROM le UNION ALL SELECT k, ok.ref, CASE WHEN sn.n > 1 THEN 'sibling_ambiguous' ELSE 'sibling_no_anchor' END FROM ok LEFT JOIN sn ON ok.ref = sn.ref WHERE game AND NOT anchor AND coalesce(sn.n, 0) <> 1)""")
+def match_rejections(spark, sf_dir):
+    _, rejected = fixtures(spark, sf_dir)
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("_ref"), F.col("o_custkey").alias("fixture"))
+    return rejected.join(o, F.element_at("refs", 1) == F.col("_ref")).select("fixture", F.array_join("refs", ",").alias("refs"), "reason")
+
+
+@query(f"""WITH RECURSIVE {FIXTURE_SQL}
+SELECT ref, venue, 'anchor' AS role, c AS bundle, pg.activation, tt AS instant FROM pm JOIN pg USING (k, c) WHERE pg.v >= 2 AND pg.f <= 1 UNION ALL SELECT ref, venue, 'anchor', c, activation, b.i FROM us
+UNION ALL SELECT si.ref, venue, 'sibling', c, activation, b.i FROM si JOIN sn ON si.ref = sn.ref WHERE sn.n = 1""")
+def fixture_members(spark, sf_dir):
+    members, _ = fixtures(spark, sf_dir)
+    return members.select("ref", "venue", "role", "bundle", "activation", "instant")
+
+
 @query("""WITH k AS (SELECT p_brand, p_size, count(DISTINCT p_partkey) AS n, min(p_partkey) AS v FROM part GROUP BY 1, 2), l AS (SELECT s_suppkey, concat('Brand#', CAST(1 + s_suppkey % 5 AS VARCHAR), CAST(1 + s_suppkey % 4 AS VARCHAR)) AS p_brand FROM supplier), u AS (SELECT p_brand, count(*) AS n, min(p_partkey) AS v FROM part GROUP BY 1)
 SELECT s_suppkey, CASE WHEN u.n = 1 THEN v END AS matched, CASE WHEN u.n IS NULL THEN 'no_candidate' WHEN u.n > 1 THEN 'ambiguous' END AS reason FROM l LEFT JOIN u ON l.p_brand = u.p_brand""")
 def unique_match(spark, sf_dir):

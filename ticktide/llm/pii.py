@@ -36,7 +36,7 @@ PATTERNS = {
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){11,18}(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": rf"(?<![A-Za-z0-9])(?:{_IBAN})",
+    "iban": rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{_IBAN})",  # the codes are only tried where one can stand
     "national_id": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
 }
 #: Words that make a kind more likely when they stand nearby.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import epoch_micros, fingerprint, set_digest, skew_band
-from ..operators import bars, intervals, ladder, order
+from ..operators import bars, exact, intervals, ladder, order
 from ..streaming import windows
 
 QUERIES, ORACLES = {}, {}
@@ -59,6 +59,37 @@ def ladder_vwap(spark, sf_dir):
     return out.select("l_partkey", "filled", F.round(F.col("notional") + 1e-6, 2).alias("notional"), F.round(F.col("vwap") + 1e-7, 4).alias("vwap"), "depth_limited")
 
 
+#: lineitem as ladders of exact ticks: prices and sizes in ten-thousandths, whole numbers in SQL.
+EXACT_SQL = """xl AS (SELECT l_partkey, l_orderkey, l_linenumber, CAST(CAST(round(l_extendedprice * 100) AS BIGINT) % 9999 + 1 AS HUGEINT) AS p, CAST(l_quantity * 10000 + l_linenumber * 625 AS HUGEINT) AS s, CAST(200 + l_suppkey % 7 * 100 AS HUGEINT) AS rate FROM lineitem),
+xw AS (SELECT *, coalesce(sum(s) OVER (PARTITION BY l_partkey ORDER BY p, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS b FROM xl), xt AS (SELECT *, CAST(greatest(0, least(s, 1000000 - b)) AS HUGEINT) AS take FROM xw),
+xg AS (SELECT l_partkey, CAST(sum(take) AS HUGEINT) AS f, CAST(sum(take * p) AS HUGEINT) AS n, CAST(sum(rate * take * (p * (10000 - p)) * (p * (10000 - p))) AS HUGEINT) AS fee FROM xt GROUP BY l_partkey),
+xe AS (SELECT *, f < 1000000 AS short, (2 * n * 100000000 + f) // (2 * f) AS vwap, (fee + 99999999999999999999) // 100000000000000000000 AS up FROM xg)"""
+
+
+def exact_walks(spark, sf_dir):
+    c = F.col
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", ((F.round(c("l_extendedprice") * 100).cast("long") % 9999 + 1) / 10000).alias("price"), (c("l_quantity") + c("l_linenumber") * 0.0625).alias("size"), ((2 + c("l_suppkey") % 7) / 100).alias("rate"))
+    return exact.walk(li, ["l_partkey"], "price", "size", ladder.HEADLINE, ["l_orderkey", "l_linenumber"], exact.decimal(c("rate")), exponent=2)
+
+
+def _units(column: str, digits: int):
+    return (F.col(column) * F.lit(10**digits).cast(f"decimal({digits + 1},0)")).cast("decimal(38,0)").cast("string").alias(f"{column}_e{digits}")
+
+
+@query(f"WITH {EXACT_SQL} SELECT l_partkey, CAST(f AS VARCHAR) AS filled_e4, CAST(n AS VARCHAR) AS notional_e8, CAST(vwap AS VARCHAR) AS vwap_e12, CAST(fee AS VARCHAR) AS fee_e24, CAST(up AS VARCHAR) AS fee_conservative_e4, short AS depth_limited FROM xe")
+def ladder_vwap_exact(spark, sf_dir):
+    w = exact_walks(spark, sf_dir).withColumn("fee_e24", F.regexp_replace(F.regexp_replace(F.col("fee").cast("decimal(38,24)").cast("string"), r"[.]", ""), "^0+(?=.)", ""))
+    return w.select("l_partkey", _units("filled", 4), _units("notional", 8), _units("vwap", 12), "fee_e24", _units("fee_conservative", 4), "depth_limited")
+
+
+@query(f"""WITH {EXACT_SQL}, g AS (SELECT l_partkey // 3 AS basket, count(*) AS legs, sum(n) AS gross, sum(up) AS fee, bool_or(short) AS thin FROM xe GROUP BY 1), m AS (SELECT *, CASE WHEN legs < 3 THEN 'one_sided' WHEN thin THEN 'depth_limited' END AS exclusion FROM g), o AS (SELECT *, CASE WHEN exclusion IS NULL THEN CAST(gross + fee * 10000 AS HUGEINT) END AS net FROM m)
+SELECT basket, legs, CAST(CAST(gross AS HUGEINT) AS VARCHAR) AS gross_e8, CAST(net AS VARCHAR) AS net_e8, CAST(10000000000 - net AS VARCHAR) AS profit_e8, exclusion FROM o""")
+def basket_exact(spark, sf_dir):
+    legs = exact_walks(spark, sf_dir).withColumn("basket", F.floor(F.col("l_partkey") / 3))
+    m = exact.measure(legs, ["basket"], F.lit(3), ladder.HEADLINE)
+    return m.select("basket", "legs", _units("gross", 8), _units("net", 8), _units("profit", 8), "exclusion")
+
+
 @query(f"""WITH {LEVEL_SQL}, p AS (SELECT *, price / 100000.0 AS q FROM lv), w AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY l_partkey ORDER BY price, l_orderkey, l_linenumber, l_suppkey, size, l_discount ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p),
 t AS (SELECT l_partkey, q, greatest(0, least(size, 250 - before)) AS take FROM w), f AS (SELECT l_partkey, sum(0.07 * take * q * (1 - q)) AS raw FROM t GROUP BY l_partkey)
 SELECT l_partkey, round(raw, 6) AS raw_fee, round(ceil(round(raw, 8) / 0.0001 - 1e-9) * 0.0001, 4) AS conservative FROM f""")

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import baskets, intervals, ladder
 from ..sources import tape as source
 from ..sources.scratch import materialize, shared_dir
-from . import events, gates
-from .tape_queries import TAPE_SQL, table, tape
+from . import events, gates, market_queries, tape_queries
+from .market_queries import LEG_SQL
+from .tape_queries import EXACT_SQL, TAPE_SQL, exact_levels, tape
 
 QUERIES, ORACLES = {}, {}
 
@@ -76,39 +79,50 @@ def events_normalized(spark, sf_dir):
     )
 
 
+#: SQL of the queries whose operators feed the later gates.
+ORACLES_OF = {**tape_queries.ORACLES, **market_queries.ORACLES}
+
 GATE_SQL = f"""WITH {TAPE_SQL}, e AS (SELECT *, event_id % 8 AS c, at_us // 86400000000 AS day FROM tape), v AS (SELECT * FROM e WHERE k NOT IN (97, 98)),
 b AS (SELECT event_id - lag(event_id) OVER (PARTITION BY lane ORDER BY event_id) AS d, event_id - lag(event_id) OVER (PARTITION BY CASE WHEN c = 5 THEN 'l' ELSE 'p' END, user_id ORDER BY event_id) AS l FROM v),
 o AS (SELECT * FROM v WHERE c = 7 AND k < 50), ends AS (SELECT lane, user_id, count(*) FILTER (k < 50) AS o, count(*) FILTER (k >= 90) AS x FROM v WHERE c = 7 GROUP BY 1, 2),
-an AS (SELECT o_orderkey % 50 <> 0 AS matched, o_orderkey % 4000 = 1 AS conflicting FROM orders), cu AS (SELECT c_custkey AS m, c_custkey % 2 AS v, c_custkey % 1000 = 7 AS broken FROM customer),
-ba AS (SELECT l_orderkey AS m, CASE WHEN l_linenumber % 2 = 1 THEN 'long' ELSE 'short' END AS d, CASE WHEN l_quantity > 25 THEN 100 ELSE 10 END AS size, l_discount > 0.02 AS fees, l_quantity > 49 AS thin, l_tax = 0 AS excluded, l_suppkey % 2 = 0 AS placebo FROM lineitem),
-ca AS (SELECT o_orderkey AS basket, o_totalprice - 150000 AS net FROM orders),
+an AS ({ORACLES_OF["anchor_check"]}), ac AS (SELECT count(*) AS n, count(*) FILTER (outcome = 'match') AS m, count(*) FILTER (outcome = 'conflict') AS x, count(*) FILTER (outcome <> 'match') AS bad FROM an WHERE outcome <> 'unobserved'),
+mv2 AS ({ORACLES_OF["market_verdict"]}), cu AS (SELECT user_id, bool_or(start_ns >= end_ns OR nxt <> end_ns) AS broken FROM (SELECT *, lead(start_ns) OVER (PARTITION BY user_id ORDER BY start_ns) AS nxt FROM mv2) GROUP BY user_id),
+{LEG_SQL}, {EXACT_SQL}, cc AS ({ORACLES_OF["cover_cost"]}), ba AS (SELECT me.*, coalesce(feasible, false) AS feasible FROM me LEFT JOIN cc ON basket = l_orderkey), es AS ({ORACLES_OF["episode_split"]}), su AS ({ORACLES_OF["survival"]}),
 g1 AS (SELECT 1 AS gate, 'byte_and_envelope_integrity' AS name, CASE WHEN (SELECT count(*) FROM e WHERE k IN (97, 98)) = 0 THEN 'PASS' ELSE 'FAIL' END AS status
 UNION ALL SELECT 1, 'deterministic_capture_order', CASE WHEN (SELECT count(*) FROM b WHERE d <> 1 OR l <> 1) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 1, name, CASE WHEN (SELECT count(*) FROM o) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END FROM (VALUES ('receive_clock_provenance'), ('subscription_provenance')) t(name)
+UNION ALL SELECT 1, name, CASE WHEN (SELECT count(*) FROM o) > 0 THEN 'PASS' ELSE 'FAIL' END FROM (VALUES ('receive_clock_provenance'), ('subscription_provenance')) t(name)
 UNION ALL SELECT 1, 'market_rules_and_metadata', CASE WHEN (SELECT count(*) FROM o WHERE user_id % 2 = 0) > 0 THEN 'PASS' ELSE 'FAIL' END
 UNION ALL SELECT 1, 'metadata_snapshot_references', CASE WHEN (SELECT count(*) FROM o WHERE user_id % 3 = 2) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 1, 'discovery_coverage', CASE WHEN (SELECT count(*) FROM o) = 0 THEN 'NOT_PRESENT' WHEN (SELECT count(*) FROM o WHERE user_id % 10 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'discovery_coverage', CASE WHEN (SELECT count(*) FROM o) = 0 THEN 'FAIL' WHEN (SELECT count(*) FROM o WHERE user_id % 10 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END
 UNION ALL SELECT 1, 'polymarket_book_chain', CASE WHEN (SELECT count(*) FROM v WHERE c = 0 AND k < 90) > 0 AND (SELECT count(*) FROM v WHERE c = 1) > 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 1, 'polymarket_recovery_anchors', 'NOT_PRESENT'
+UNION ALL SELECT 1, 'polymarket_recovery_anchors', 'FAIL'
 UNION ALL SELECT 1, 'every_segment_is_sealed', CASE WHEN (SELECT count(*) FROM e WHERE day % 7 = 0) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 1, 'limitless_full_books', CASE WHEN (SELECT count(*) FROM v WHERE c = 5) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
-UNION ALL SELECT 1, 'trade_and_fill_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 2) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
-UNION ALL SELECT 1, 'reference_price_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 4) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
-UNION ALL SELECT 1, 'game_event_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 3) > 0 THEN 'PASS' ELSE 'NOT_PRESENT' END
+UNION ALL SELECT 1, 'limitless_full_books', CASE WHEN (SELECT count(*) FROM v WHERE c = 5) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'trade_and_fill_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 2) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'reference_price_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 4) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 1, 'game_event_observability', CASE WHEN (SELECT count(*) FROM v WHERE c = 3) > 0 THEN 'PASS' ELSE 'FAIL' END
 UNION ALL SELECT 1, 'market_lifecycle_observability', 'ADVISORY'
 UNION ALL SELECT 1, 'fee_model_evidence', CASE WHEN (SELECT count(*) FROM o WHERE user_id % 3 = 0) > 0 THEN 'PASS' ELSE 'FAIL' END
 UNION ALL SELECT 1, 'closed_capture_fixture', CASE WHEN (SELECT count(*) FROM ends WHERE o > 0 AND x < o) = 0 THEN 'PASS' ELSE 'FAIL' END),
 g2 AS (SELECT 2 AS gate, 'gate_1_precondition' AS name, CASE WHEN (SELECT count(*) FROM g1 WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-UNION ALL SELECT 2, 'polymarket_serializer_bootstrap', CASE WHEN (SELECT count(*) >= 100 AND count(*) FILTER (matched) >= 0.95 * count(*) AND count(*) FILTER (conflicting) = 0 FROM an) THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 2, 'complete_interval_partition', CASE WHEN (SELECT count(*) FROM cu WHERE broken) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 2, 'venue_specific_trust_models', 'PASS' UNION ALL SELECT 2, 'mismatch_recovery_is_bounded', 'PASS' UNION ALL SELECT 2, 'mandatory_analysis_evidence', 'PASS'),
+UNION ALL SELECT 2, 'polymarket_serializer_bootstrap', CASE WHEN (SELECT n >= 100 AND m >= 0.95 * n AND x = 0 FROM ac) THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 2, 'complete_interval_partition', CASE WHEN (SELECT count(*) FROM cu) > 0 AND (SELECT count(*) FROM cu WHERE broken) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 2, 'venue_specific_trust_models', CASE WHEN (SELECT count(DISTINCT user_id % 2) FROM cu) = 2 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 2, 'mismatch_recovery_is_bounded', CASE WHEN (SELECT bad FROM ac) = 0 OR (SELECT count(*) FROM mv2 WHERE verdict = 'UNTRUSTED') > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 2, 'mandatory_analysis_evidence', CASE WHEN (SELECT count(*) FROM mv2) > 0 AND (SELECT n FROM ac) > 0 AND (SELECT count(*) FROM tape) > 0 THEN 'PASS' ELSE 'FAIL' END),
 g3 AS (SELECT 3 AS gate, 'gate_2_precondition' AS name, CASE WHEN (SELECT count(*) FROM g2 WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-UNION ALL SELECT 3, 'share_matched_vwap_depth', 'PASS'
-UNION ALL SELECT 3, 'deployable_ticket_net_of_conservative_fees', CASE WHEN (SELECT count(*) FROM ba WHERE d = 'long' AND size = 100 AND (NOT fees OR thin)) = 0 THEN 'PASS' ELSE 'FAIL' END
-UNION ALL SELECT 3, 'symbolic_subset_cover_lp', 'PASS' UNION ALL SELECT 3, 'matched_leg_placebo_null', 'PASS' UNION ALL SELECT 3, 'condition_identity_guard', 'PASS' UNION ALL SELECT 3, 'mandatory_economic_evidence', 'FAIL'),
+UNION ALL SELECT 3, 'share_matched_vwap_depth', CASE WHEN (SELECT count(*) FROM xe) > 0 AND (SELECT count(*) FROM xe WHERE abs(CAST(vwap AS DOUBLE) / 1e12 - CAST(n AS DOUBLE) / CAST(f AS DOUBLE) / 1e4) > 1e-9) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 3, 'deployable_ticket_net_of_conservative_fees', CASE WHEN (SELECT count(*) FROM ba WHERE size = 50 AND priority = '1-URGENT') > 0 AND (SELECT count(*) FROM ba WHERE size = 50 AND priority = '1-URGENT' AND net IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 3, 'symbolic_subset_cover_lp', CASE WHEN (SELECT count(*) FROM ba WHERE exclusion IS NULL) > 0 AND (SELECT count(*) FROM ba WHERE exclusion IS NULL AND NOT feasible) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 3, 'matched_leg_placebo_null', CASE WHEN (SELECT count(*) FROM (SELECT size FROM ba WHERE exclusion IS NULL GROUP BY size HAVING count(DISTINCT event) > 1)) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 3, 'condition_identity_guard', CASE WHEN (SELECT count(*) FROM (SELECT basket FROM ba GROUP BY basket HAVING count(DISTINCT event % 2) > 1)) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 3, 'mandatory_economic_evidence', CASE WHEN (SELECT count(*) FROM mv2) > 0 AND (SELECT n FROM ac) > 0 AND (SELECT count(*) FROM ba WHERE exclusion IS NULL) > 0 THEN 'PASS' ELSE 'FAIL' END),
 g4 AS (SELECT 4 AS gate, 'gate_3_precondition' AS name, CASE WHEN (SELECT count(*) FROM g3 WHERE status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END AS status
-UNION ALL SELECT 4, 'venue_book_state_replay', 'PASS' UNION ALL SELECT 4, 'quote_lifetime_distribution', 'PASS' UNION ALL SELECT 4, 'explicit_non_fill_estimator', 'PASS'
-UNION ALL SELECT 4, 'candidate_accounting', CASE WHEN (SELECT count(*) FROM ca WHERE net > 0 AND basket % 3000 = 5) = 0 THEN 'PASS' ELSE 'FAIL' END UNION ALL SELECT 4, 'mandatory_execution_evidence', 'PASS')
+UNION ALL SELECT 4, 'venue_book_state_replay', CASE WHEN (SELECT count(DISTINCT user_id % 2) FROM es) = 2 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 4, 'quote_lifetime_distribution', CASE WHEN (SELECT count(*) FROM es WHERE user_id % 2 = 0 AND verdict = 'TRUSTED' AND NOT censored) > 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 4, 'explicit_non_fill_estimator', CASE WHEN (SELECT count(*) FROM su WHERE status IS NULL) = 0 THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 4, 'candidate_accounting', CASE WHEN (SELECT count(*) FROM tape WHERE lane = 'purchase' AND k > 50) = (SELECT count(*) FROM su JOIN tape ON candidate = event_id WHERE k > 50 AND event_id % 300 <> 5) THEN 'PASS' ELSE 'FAIL' END
+UNION ALL SELECT 4, 'mandatory_execution_evidence', CASE WHEN (SELECT count(*) FROM mv2) > 0 AND (SELECT n FROM ac) > 0 AND (SELECT count(*) FROM es) > 0 THEN 'PASS' ELSE 'FAIL' END)
 SELECT * FROM g1 UNION ALL SELECT * FROM g2 UNION ALL SELECT * FROM g3 UNION ALL SELECT * FROM g4"""
 
 
@@ -126,26 +140,42 @@ def gate_suites(spark, sf_dir):
     snapshots = users.where("user_id % 3 <> 2").select(F.concat(F.lit("g"), c("user_id") % 3).alias("metadata_digest")).distinct()
     one = materialize(gates.gate1(lines, typed, days, records, sightings, snapshots), "gate1")
     passed = lambda g: g.agg((F.count_if(c("status") == "FAIL") == 0).alias("passed"))
-    o, li, cu = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "customer")
-    anchors = o.select((c("o_orderkey") % 50 != 0).alias("matched"), (c("o_orderkey") % 4000 == 1).alias("conflicting"), c("o_orderkey").alias("stream_ns"), (c("o_orderkey") + 1).alias("snapshot_ns"))
-    market = cu.select(F.when(c("c_custkey") % 2 == 0, "polymarket").otherwise("limitless").alias("venue"), c("c_custkey").alias("market"), F.lit(0).alias("start_ns"), F.lit(100).alias("end_ns"), F.when(c("c_custkey") % 2 == 0, "hash_chain").otherwise("full_books").alias("model"))
-    half = lambda lo, hi, v: market.select("venue", "market", lo.alias("start_ns"), F.lit(hi).alias("end_ns"), F.lit(v).alias("verdict"))
-    spans = half(F.lit(0), 50, "TRUSTED").unionByName(half(F.when(c("market") % 1000 == 7, 60).otherwise(50), 100, "UNTRUSTED"))
-    parts = lambda *names: o.agg(F.count(F.lit(1)).alias("n_rows")).select(F.explode(F.array(*map(F.lit, names))).alias("part"), "n_rows")
-    whole = ("intervals", "coverage", "hash_rate", "skew_strata")
-    two = materialize(gates.gate2(passed(one), anchors, spans, market, parts(*whole)), "gate2")
-    walks = li.select(c("l_quantity").alias("filled"), c("l_quantity").alias("expected_filled"), c("l_extendedprice").alias("vwap"), c("l_extendedprice").alias("expected_vwap"), F.lit(False).alias("depth_limited"), F.lit(False).alias("expected_limited"))
-    placebo = c("l_suppkey") % 2 == 0
-    baskets = li.select(
-        c("l_orderkey").alias("market"), F.when(c("l_linenumber") % 2 == 1, "long").otherwise("short").alias("direction"), F.when(c("l_quantity") > 25, 100).otherwise(10).alias("size"), F.lit(True).alias("headline"), c("l_extendedprice").alias("net"),
-        (c("l_discount") > 0.02).alias("fees_complete"), (c("l_quantity") > 49).alias("depth_limited"), F.when(c("l_tax") == 0, "depth_limited").alias("exclusion"), (c("l_tax") > 0).alias("feasible"), F.lit(False).alias("cross_venue"),
-        F.when(placebo, "MATCHED").alias("placebo_status"), F.when(placebo, c("l_orderkey") + 1).alias("placebo_market"), F.when(placebo, c("l_extendedprice")).alias("placebo_net"),
+    venue = lambda x: F.when(x % 2 == 0, "polymarket").otherwise("limitless").alias("venue")
+    checked = tape_queries.anchor_check(spark, sf_dir).where("outcome <> 'unobserved'")
+    anchors = materialize(checked.select((c("outcome") == "match").alias("matched"), (c("outcome") == "conflict").alias("conflicting"), c("last").alias("stream_ns"), (c("last") + 1).alias("snapshot_ns")), "anchors")
+    spans = materialize(tape_queries.market_verdict(spark, sf_dir).select(venue(c("user_id")), c("user_id").alias("market"), "start_ns", "end_ns", "verdict"), "spans")
+    market = spans.groupBy("venue", "market").agg(F.min("start_ns").alias("start_ns"), F.max("end_ns").alias("end_ns")).withColumn("model", F.when(c("venue") == "polymarket", "hash_chain").otherwise("full_books"))
+    measured = materialize(market_queries.measured(spark, sf_dir), "measured")
+    valid = measured.where("valid").select("basket", "size", "event", "day", "net")
+    null = materialize(baskets.placebos(valid, ["size"], "event", "day", "net"), "placebos")
+    parts = lambda strata: _parts({"intervals": spans, "coverage": intervals.trusted_share(spans, ["venue"], "start_ns", "end_ns", "verdict"), "hash_rate": anchors, "skew_strata": strata})
+    two = materialize(gates.gate2(passed(one), anchors, spans, market, parts(base.select("lane").distinct())), "gate2")
+
+    exactly = tape_queries.exact_walks(spark, sf_dir)
+    plain = ladder.walk(exact_levels(spark, sf_dir), ["l_partkey"], "price", "size", ladder.HEADLINE, ["l_orderkey", "l_linenumber"])
+    walks = exactly.select("l_partkey", c("filled").cast("double").alias("filled"), c("vwap").cast("double").alias("vwap"), "depth_limited").join(plain.select("l_partkey", c("filled").alias("expected_filled"), c("vwap").alias("_v"), c("depth_limited").alias("expected_limited")), "l_partkey")
+    walks = walks.withColumn("expected_vwap", F.when(F.abs(c("vwap") - c("_v")) <= 1e-9, c("vwap")).otherwise(c("_v")))  # the other walk is in doubles
+    cover = market_queries.cover_cost(spark, sf_dir).select(c("l_orderkey").alias("basket"), "feasible")
+    matched = null.where("placebo_market IS NOT NULL").groupBy("basket", "size").agg(F.min("placebo_market").alias("placebo_market"), F.min("placebo_value").alias("placebo_net"))
+    legs_of = measured.groupBy("basket").agg((F.count_distinct(c("event") % 2) > 1).alias("cross_venue"))
+    rows = measured.join(cover, "basket", "left").join(matched, ["basket", "size"], "left").join(legs_of, "basket").select(
+        c("event").alias("market"), F.lit("long").alias("direction"), "size", (c("priority") == "1-URGENT").alias("headline"), "net", (F.coalesce("exclusion", F.lit("")) != "fee_missing").alias("fees_complete"),
+        (F.coalesce("exclusion", F.lit("")) == "depth_limited").alias("depth_limited"), "exclusion", "feasible", "cross_venue", F.when(c("placebo_market").isNotNull(), "MATCHED").alias("placebo_status"), "placebo_market", "placebo_net",
     )
-    three = materialize(gates.gate3(passed(two), walks, baskets, parts(*whole[:3])), "gate3")
-    lived = o.where("o_orderstatus IN ('F', 'O', 'P')").groupBy(F.when(c("o_custkey") % 2 == 0, "polymarket").otherwise("limitless").alias("venue")).agg(F.count(F.lit(1)).alias("uncensored"), *(F.percentile_approx("o_totalprice", q).alias(f"p{round(q * 100)}") for q in (0.5, 0.9, 0.99)))
-    lived = lived.select("*", F.lit("long").alias("direction"), F.lit("TRUSTED").alias("verdict"))
-    candidates = o.select(c("o_orderkey").alias("basket"), (c("o_totalprice") - 150000).alias("net"))
-    estimates = candidates.where("net > 0 AND basket % 3000 <> 5").select("basket", F.lit(gates.ESTIMATOR).alias("estimator"), F.lit(True).alias("not_a_fill_claim"))
-    four = gates.gate4(passed(three), market.select("venue"), lived, candidates, estimates, parts(*whole))
+    three = materialize(gates.gate3(passed(two), walks, rows, parts(null), ticket=50), "gate3")
+
+    split = materialize(tape_queries.episode_split(spark, sf_dir).withColumn("venue", venue(c("user_id"))), "split")
+    lived = intervals.lifetimes(split.withColumn("direction", F.lit("long")), ["venue", "direction", "verdict"])
+    lived = lived.withColumn("uncensored", c("episodes") - c("censored_n"))
+    bought = base.where("lane = 'purchase'").select(c("event_id").alias("basket"), (c("k") - 50).alias("net"))
+    survived = tape_queries.survival(spark, sf_dir).select(c("candidate").alias("basket"), F.lit(gates.ESTIMATOR).alias("estimator"), c("status").isNotNull().alias("not_a_fill_claim"))
+    estimates = survived.join(bought.where("net > 0").select("basket"), "basket", "left_semi").where("basket % 300 <> 5")
+    four = gates.gate4(passed(three), split.select("venue"), lived, bought, estimates, parts(split))
     suites = [g.select(F.lit(i).alias("gate"), "name", "status") for i, g in enumerate((one, two, three, four), 1)]
     return suites[0].unionByName(suites[1]).unionByName(suites[2]).unionByName(suites[3])
+
+
+def _parts(tables: dict[str, DataFrame]) -> DataFrame:
+    """(part, n_rows): the rows of each part of the evidence, counted."""
+    counted = [t.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows") for name, t in tables.items()]
+    return reduce(DataFrame.unionByName, counted)

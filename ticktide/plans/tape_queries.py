@@ -66,10 +66,13 @@ xg AS (SELECT l_partkey, CAST(sum(take) AS HUGEINT) AS f, CAST(sum(take * p) AS
 xe AS (SELECT *, f < 1000000 AS short, (2 * n * 100000000 + f) // (2 * f) AS vwap, (fee + 99999999999999999999) // 100000000000000000000 AS up FROM xg)"""
 
 
-def exact_walks(spark, sf_dir):
+def exact_levels(spark, sf_dir):
     c = F.col
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", ((F.round(c("l_extendedprice") * 100).cast("long") % 9999 + 1) / 10000).alias("price"), (c("l_quantity") + c("l_linenumber") * 0.0625).alias("size"), ((2 + c("l_suppkey") % 7) / 100).alias("rate"))
-    return exact.walk(li, ["l_partkey"], "price", "size", ladder.HEADLINE, ["l_orderkey", "l_linenumber"], exact.decimal(c("rate")), exponent=2)
+    return table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber", ((F.round(c("l_extendedprice") * 100).cast("long") % 9999 + 1) / 10000).alias("price"), (c("l_quantity") + c("l_linenumber") * 0.0625).alias("size"), ((2 + c("l_suppkey") % 7) / 100).alias("rate"))
+
+
+def exact_walks(spark, sf_dir):
+    return exact.walk(exact_levels(spark, sf_dir), ["l_partkey"], "price", "size", ladder.HEADLINE, ["l_orderkey", "l_linenumber"], exact.decimal(F.col("rate")), exponent=2)
 
 
 def _units(column: str, digits: int):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.columns import epoch_micros
-from ..operators import bars, baskets, bundles, ladder, matching, omega
+from ..operators import bars, baskets, budget, bundles, digests, ladder, matching, omega
 from . import suites
 from .tape_queries import TAPE_SQL, table, tape
 
@@ -282,6 +282,26 @@ def selection_greedy(spark, sf_dir):
     return matching.greedy_budget(c, "run", "rank", "cost", 100, 25)
 
 
+@query("""WITH e AS (SELECT DISTINCT event_type AS lane, CAST(event_id AS VARCHAR) AS v FROM events), n AS (SELECT lane, count(*) AS members, CASE WHEN count(*) > 64 THEN length(bin((count(*) - 1) // 64)) ELSE 0 END AS bits FROM e GROUP BY lane),
+h AS (SELECT e.lane, v, members, bits, CASE WHEN bits > 0 THEN CAST('0x' || substr(sha256(v), 1, 15) AS BIGINT) >> (60 - bits) ELSE 0 END AS leaf FROM e JOIN n ON e.lane = n.lane), l AS (SELECT lane, members, bits, leaf, sha256(string_agg(v, chr(10) ORDER BY v)) AS h FROM h GROUP BY ALL),
+i AS (SELECT lane, members, bits, leaf >> 3 AS node, CASE WHEN bits > 0 THEN sha256(string_agg(h, chr(10) ORDER BY leaf)) ELSE min(h) END AS h FROM l GROUP BY lane, members, bits, leaf >> 3) SELECT lane, members, CASE WHEN bits > 3 THEN sha256(string_agg(h, chr(10) ORDER BY node)) ELSE min(h) END AS digest FROM i GROUP BY lane, members, bits""")
+def digest_tiers(spark, sf_dir):
+    return digests.tiered_digest(table(spark, sf_dir, "events").withColumnRenamed("event_type", "lane"), ["lane"], "event_id", leaf=64, fan=3)
+
+
+@query("""WITH RECURSIVE r AS (SELECT c_nationkey AS run, c_custkey, c_custkey % 2 AS venue, c_custkey % 13 + 1 AS cost, row_number() OVER (PARTITION BY c_nationkey ORDER BY (c_custkey * 7919) % 1009, c_custkey) AS rank FROM customer),
+g AS (SELECT run, CAST(0 AS BIGINT) AS rank, CAST(NULL AS BIGINT) AS c_custkey, false AS selected, CAST(NULL AS VARCHAR) AS allocation, CAST(150 AS BIGINT) AS money, CAST(90 AS BIGINT) AS m0, CAST(80 AS BIGINT) AS m1, 25 AS items FROM (SELECT DISTINCT run FROM r)
+UNION ALL SELECT r.run, r.rank, r.c_custkey, items > 0 AND cost <= money AND cost <= CASE WHEN venue = 0 THEN m0 ELSE m1 END, CASE WHEN items <= 0 THEN 'over_count' WHEN cost > money THEN 'over_budget' WHEN cost > CASE WHEN venue = 0 THEN m0 ELSE m1 END THEN 'over_venue_budget' END,
+money - CASE WHEN items > 0 AND cost <= money AND cost <= CASE WHEN venue = 0 THEN m0 ELSE m1 END THEN cost ELSE 0 END, m0 - CASE WHEN venue = 0 AND items > 0 AND cost <= money AND cost <= m0 THEN cost ELSE 0 END, m1 - CASE WHEN venue = 1 AND items > 0 AND cost <= money AND cost <= m1 THEN cost ELSE 0 END, items - CASE WHEN items > 0 AND cost <= money AND cost <= CASE WHEN venue = 0 THEN m0 ELSE m1 END THEN 1 ELSE 0 END FROM g JOIN r ON r.run = g.run AND r.rank = g.rank + 1)
+SELECT run, c_custkey, selected, allocation FROM g WHERE rank > 0""")
+def selection_budgets(spark, sf_dir):
+    c = F.col
+    people = table(spark, sf_dir, "customer").select(c("c_nationkey").alias("run"), "c_custkey", (c("c_custkey") % 2).alias("venue"), (c("c_custkey") % 13 + 1).alias("cost"), (c("c_custkey") * 7919 % 1009).alias("place"))
+    runs = people.select("run").distinct().select("run", F.lit(150).alias("budget"), F.lit(25).alias("items"))
+    purses = people.select("run", "venue").distinct().withColumn("budget", F.when(c("venue") == 0, 90).otherwise(80))
+    return budget.greedy(people, "run", ["place", "c_custkey"], "cost", runs, "venue", purses).select("run", "c_custkey", "selected", "allocation")
+
+
 @query("""SELECT o_custkey, relation_score FROM (SELECT o_custkey, sum(CASE o_orderpriority WHEN '1-URGENT' THEN 40 WHEN '2-HIGH' THEN 20 WHEN '3-MEDIUM' THEN 10 ELSE 0 END) AS relation_score FROM orders GROUP BY o_custkey)""")
 def relation_score(spark, sf_dir):
     names = F.when(F.col("o_orderpriority") == "1-URGENT", "IDENTITY").when(F.col("o_orderpriority") == "2-HIGH", "IMPLICATION").when(F.col("o_orderpriority") == "3-MEDIUM", "MUTUAL_EXCLUSION").otherwise("OVERLAP")

@@ -11,7 +11,7 @@ their leaders where that decides, else vector by vector.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +38,14 @@ _FOUND = "cid long, base array<long>, visits array<long>, s1 long, s2 long"
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Fast Hadamard transform of rows whose length is a power of two, norms kept."""
-    n, h = x.shape[1], 1
-    while h < n:
+    x, h = x / math.sqrt(x.shape[1]), 1
+    while h < x.shape[1]:
         y = x.reshape(len(x), -1, 2, h)
-        x = np.stack((y[:, :, 0] + y[:, :, 1], y[:, :, 0] - y[:, :, 1]), 2).reshape(len(x), n)
+        left = y[:, :, 0].copy()
+        y[:, :, 0] += y[:, :, 1]
+        np.subtract(left, y[:, :, 1], out=y[:, :, 1])
         h *= 2
-    return x / math.sqrt(n)
+    return x
 
 
 def rotated(x: np.ndarray, *seed: int) -> np.ndarray:
@@ -131,11 +133,15 @@ def unit_vectors(df: DataFrame, vector: str) -> DataFrame:
     """``df`` with ``u``: the vector over its norm in double precision; null where it is null, zero or not finite throughout."""
     x = F.col(vector)
     fine = x.isNotNull() & (F.size(x) > 0) & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
+    def once(value: Column, use: Callable[[Column], Column]) -> Column:
+        """``use`` of a value that is computed once, and not anew for each entry of an array."""
+        return F.transform(F.array(value), use)[0]
+
     most = F.array_max(F.transform(x, lambda v: F.abs(v.cast("double"))))
-    scaled = F.when(fine & (most > 0), F.transform(x, lambda v: v.cast("double") / most))  # squares neither overflow nor vanish
-    df = df.withColumn("_scaled", scaled)
-    norm = F.sqrt(F.aggregate("_scaled", F.lit(0.0), lambda s, v: s + v * v))
-    return df.withColumn("_norm", norm).withColumn("u", F.transform("_scaled", lambda v: v / F.col("_norm"))).drop("_scaled", "_norm")
+    norm = lambda s: F.sqrt(F.aggregate(s, F.lit(0.0), lambda a, v: a + v * v))
+    # over the largest component first, so squares neither overflow nor vanish
+    unit = once(most, lambda m: once(F.transform(x, lambda v: v.cast("double") / m), lambda s: once(norm(s), lambda n: F.transform(s, lambda v: v / n))))
+    return df.withColumn("u", F.when(fine & (most > 0), unit))
 
 
 def _balls(classes: DataFrame, hashed: DataFrame, tight: float) -> DataFrame:

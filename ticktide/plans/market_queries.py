@@ -6,7 +6,7 @@ import string
 
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import text, titles
 from ..functions.columns import epoch_micros
 from ..operators import bars, baskets, budget, bundles, digests, ladder, matching, omega
 from . import suites
@@ -302,6 +302,37 @@ def selection_budgets(spark, sf_dir):
     return budget.greedy(people, "run", ["place", "c_custkey"], "cost", runs, "venue", purses).select("run", "c_custkey", "selected", "allocation")
 
 
+#: Titles of orders: which form goes by key; SQL knows the parts that a title is made of.
+TITLE_SQL = """tt AS (SELECT o_orderkey AS n, o_orderkey % 9 AS form, 'Alpha ' || o_custkey AS a, 'Be-ta ' || (o_custkey % 77) AS b, o_custkey % 5 + 1 AS m FROM orders)"""
+
+
+def titles_of(spark, sf_dir):
+    c, lit = F.col, F.lit
+    o = table(spark, sf_dir, "orders").select(c("o_orderkey").alias("n"), (c("o_orderkey") % 9).alias("form"), F.concat(lit("Alpha "), "o_custkey").alias("a"), F.concat(lit("Be-ta "), c("o_custkey") % 77).alias("b"), (c("o_custkey") % 5 + 1).alias("m"))
+    forms = [
+        F.concat(lit("Dota 2: "), "a", lit(" vs. "), "b", lit(" (BO3) - Group D: Map "), "m"), F.concat("a", lit("  VERSUS "), "b", lit(": Match Winner - More Markets")), F.concat(lit("Other: "), "a", lit(" vs "), "b"),
+        F.concat("a", lit(" v "), "b", lit(" - Exact Score")), F.concat(lit("UEL, "), "a", lit(" @ "), "b", lit(" - Final: Total Goals")), F.concat("a", lit(" vs "), "b", lit(" vs "), "m"),
+        F.concat("a", lit(" and "), "b", lit(" both to score")), F.concat("a", lit(" and "), "b", lit(" have "), "m", lit(" or more total goals")), F.concat("a", lit(" &amp; Sons vs "), "b"),
+    ]
+    title = forms[8]
+    for i, f in enumerate(forms[:8]):
+        title = F.when(c("form") == i, f).otherwise(title)
+    return o.withColumn("title", title)
+
+
+@query(f"""WITH {TITLE_SQL} SELECT n, CASE WHEN form IN (0, 1) THEN a || '|' || b WHEN form = 8 THEN a || ' & Sons|' || b WHEN form = 3 THEN NULL WHEN form = 4 THEN 'UEL, ' || a || '|' || b || ' - Final: Total Goals' END AS series,
+CASE form WHEN 0 THEN 'Dota 2: ' || a || '|' || b || ' (BO3)' WHEN 1 THEN a || '|' || b WHEN 2 THEN 'Other: ' || a || '|' || b WHEN 3 THEN a || '|' || b WHEN 4 THEN a || '|' || b WHEN 8 THEN a || ' & Sons|' || b END AS fixture,
+CASE WHEN form IN (6, 7) THEN a || '|' || b END AS prop, CASE WHEN form = 7 THEN m - 0.5 END AS line, CASE WHEN form = 7 THEN 'over' END AS direction, CASE WHEN form = 7 THEN CAST(m AS INTEGER) END AS published_line, CASE WHEN form = 0 THEN CAST(m AS INTEGER) END AS map_index FROM tt""")
+def title_parts(spark, sf_dir):
+    t, c = titles_of(spark, sf_dir), F.col
+    kind = F.when(c("form") == 7, "total_goals").when(c("form") == 0, "map_winner").otherwise("moneyline_3way")
+    tail = F.when(c("form") == 7, F.concat("m", F.lit(" or more"))).otherwise(c("title"))
+    p = titles.parameters(kind, tail, c("a"), c("b"), F.lit(""))
+    joined = lambda x: F.array_join(x, "|")
+    out = t.select("n", joined(titles.series_sides(c("title"), ("dota 2", "dota2"))).alias("series"), joined(titles.fixture_sides(c("title"))).alias("fixture"), joined(titles.prop_sides(c("title"))).alias("prop"), p.alias("p"))
+    return out.select("n", "series", "fixture", "prop", "p.line", "p.direction", "p.published_line", "p.map_index")
+
+
 @query("""SELECT o_custkey, relation_score FROM (SELECT o_custkey, sum(CASE o_orderpriority WHEN '1-URGENT' THEN 40 WHEN '2-HIGH' THEN 20 WHEN '3-MEDIUM' THEN 10 ELSE 0 END) AS relation_score FROM orders GROUP BY o_custkey)""")
 def relation_score(spark, sf_dir):
     names = F.when(F.col("o_orderpriority") == "1-URGENT", "IDENTITY").when(F.col("o_orderpriority") == "2-HIGH", "IMPLICATION").when(F.col("o_orderpriority") == "3-MEDIUM", "MUTUAL_EXCLUSION").otherwise("OVERLAP")

@@ -197,3 +197,17 @@ def test_suites(spark):
 
 def test_stateful_processors_are_used_by_queries():
     assert windows.CONTINUITY.startswith("user_id") and windows.BOOKS.startswith("asset")
+
+
+def test_lines_do_not_carry_their_segment(spark, tmp_path):
+    (tmp_path / "lane=a").mkdir()
+    (tmp_path / "lane=a" / "seg.ndjson").write_bytes("é1\n\n33\n4".encode())
+    out = tape.lines(tape.objects(spark, f"file://{tmp_path}"))
+    above, below = out._jdf.queryExecution().optimizedPlan().toString().split("Generate", 1)
+    assert "content" in below and "content" not in above  # else each line holds a copy of its segment, which grows with the square
+    assert [tuple(r)[1:] for r in out.orderBy("line_number").collect()] == [(1, 0, "é1", False), (2, 4, "", False), (3, 5, "33", False), (4, 8, "4", True)]
+
+
+def test_a_line_is_parsed_once(spark):
+    plan = tape.parsed(spark.createDataFrame([("{}",)], "value string"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("json_tuple(") == 1 and "get_json_object(" not in plan

@@ -12,6 +12,7 @@ FIELDS_V1 = ("connection_epoch", "delivery_index", "kind", "local_counter", "raw
 FIELDS_V2 = (*FIELDS_V1, "envelope_version", "monotonic_ns")
 KINDS = ("venue_frame", "control", "fault")
 COUNTS = ("delivery_index", "visible_ns", "local_counter")
+CHECKED = ("envelope_version", *COUNTS, "monotonic_ns", "record_id", "connection_epoch", "kind", "raw_payload")
 
 CURSOR = "struct<type:string,counter:bigint,last_update_id:bigint,source_time_ms:bigint,first:bigint,last:bigint,previous_last:bigint>"
 ENVELOPE = f"""envelope_version int, delivery_index bigint, record_id string, visible_ns bigint, monotonic_ns bigint, venue string, stream string,
@@ -44,18 +45,18 @@ def lines(objects: DataFrame) -> DataFrame:
     """(object_key, line_number, byte_offset, value, torn): lines of each segment, in order.
 
     A segment is bounded by its writer's rotation, so one row holds it. The last line is
-    torn if no newline ends it; it is marked, not dropped.
+    torn if no newline ends it; it is marked, not dropped. A line is cut off with its newline, so
+    nothing but the line itself tells whether it is torn: else every line would carry its segment.
     """
-    text = F.decode("content", "UTF-8")
-    parts = F.split(text, "\n", -1)
-    out = objects.select("object_key", F.posexplode(parts).alias("_i", "value"), F.size(parts).alias("_n"))
-    out = out.where((F.col("_i") < F.col("_n") - 1) | (F.col("value") != ""))
+    pieces = F.split(F.decode("content", "UTF-8"), r"(?<=\n)", -1)
+    out = objects.select("object_key", F.posexplode(pieces).alias("_i", "_line")).where("_line <> ''")
     from pyspark.sql import Window
 
     before = Window.partitionBy("object_key").orderBy("_i").rowsBetween(Window.unboundedPreceding, -1)
+    torn = ~F.endswith(F.col("_line"), F.lit("\n"))
     return out.select(
-        "object_key", (F.col("_i") + 1).cast("long").alias("line_number"), F.coalesce(F.sum(F.octet_length("value") + 1).over(before), F.lit(0)).alias("byte_offset"),
-        "value", (F.col("_i") == F.col("_n") - 1).alias("torn"),
+        "object_key", (F.col("_i") + 1).cast("long").alias("line_number"), F.coalesce(F.sum(F.octet_length("_line")).over(before), F.lit(0)).alias("byte_offset"),
+        F.when(torn, F.col("_line")).otherwise(F.expr("left(_line, length(_line) - 1)")).alias("value"), torn.alias("torn"),
     )
 
 
@@ -66,20 +67,22 @@ def parsed(lines: DataFrame, value: str = "value") -> DataFrame:
     never booleans; ids are plain ASCII. A bad line stays as a row with its error.
     """
     v = F.col(value)
-    keys = F.array_sort(F.json_object_keys(v))
-    version = F.coalesce(F.get_json_object(v, "$.envelope_version").try_cast("int"), F.lit(1))
+    keep = [c for c in lines.columns if c != value]
+    # one pass takes every field's text, one the keys and one the typed columns
+    read = lines.select("*", F.json_tuple(v, *CHECKED).alias(*(f"_{c}" for c in CHECKED))).withColumn("_keys", F.array_sort(F.json_object_keys(v)))
+    keys, text = F.col("_keys"), lambda f: F.col(f"_{f}")
+    version = F.coalesce(text("envelope_version").try_cast("int"), F.lit(1))
     wanted = F.when(version == 2, F.array(*map(F.lit, sorted(FIELDS_V2)))).otherwise(F.array(*map(F.lit, sorted(FIELDS_V1))))
-    count = lambda f: F.coalesce(F.get_json_object(v, f"$.{f}").rlike(r"^[0-9]+$") & ~v.rlike(rf'"{f}"\s*:\s*"'), F.lit(False))
-    ascii_id = lambda f: F.coalesce(F.get_json_object(v, f"$.{f}").rlike(r"^[\x21-\x7E]+$"), F.lit(False))
+    count = lambda f: F.coalesce(text(f).rlike(r"^[0-9]+$") & ~v.rlike(rf'"{f}"\s*:\s*"'), F.lit(False))
+    ascii_id = lambda f: F.coalesce(text(f).rlike(r"^[\x21-\x7E]+$"), F.lit(False))
     counts = reduce(lambda a, b: a & b, map(count, COUNTS))
     error = (
         F.when(keys.isNull(), "not_an_object").when(F.size(F.array_distinct(keys)) < F.size(keys), "duplicate_field").when(keys != wanted, "field_set")
         .when(~counts | ((version == 2) & ~count("monotonic_ns")), "counter_type").when(~(ascii_id("record_id") & ascii_id("connection_epoch")), "id_not_ascii")
-        .when(~F.get_json_object(v, "$.kind").isin(*KINDS), "kind")
+        .when(~text("kind").isin(*KINDS), "kind")
     )
-    out = lines.withColumn("error", error).withColumn("_e", F.from_json(v, ENVELOPE, {"mode": "PERMISSIVE"}))
-    keep = [c for c in lines.columns if c != value]
-    return out.select(*keep, "_e.*", F.sha2(v.cast("binary"), 256).alias("raw_line_sha256"), F.sha2(F.get_json_object(v, "$.raw_payload").cast("binary"), 256).alias("content_sha256"), "error")
+    out = read.withColumn("error", error).withColumn("_e", F.from_json(v, ENVELOPE, {"mode": "PERMISSIVE"}))
+    return out.select(*keep, "_e.*", F.sha2(v.cast("binary"), 256).alias("raw_line_sha256"), F.sha2(text("raw_payload").cast("binary"), 256).alias("content_sha256"), "error")
 
 
 def manifest(objects: DataFrame) -> DataFrame:

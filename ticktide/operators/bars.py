@@ -65,12 +65,23 @@ def verdict_at(points: DataFrame, intervals: DataFrame, keys: list[str], at: str
     return found.withColumn(verdict, F.when(F.col(at) < F.col(end), F.col(verdict)).otherwise(F.lit(unknown))).drop(end, f"{start}_asof")
 
 
+def leg_sets(legs: DataFrame, bars: DataFrame, basket: str, leg: str, bar: str = "bar") -> tuple[DataFrame, DataFrame]:
+    """(basket, legs) and (legs, bar): each basket's set of legs, and the bars that all legs of a set have.
+
+    Baskets of equal legs share their bars, so bars are found once a set and not once a basket.
+    """
+    sets = legs.where(F.col(basket).isNotNull()).groupBy(basket).agg(F.array_sort(F.collect_set(leg)).alias("legs"))
+    wanted = sets.select("legs").distinct().withColumn(leg, F.explode("legs"))
+    have = wanted.join(bars.where(F.col(bar).isNotNull()).select(leg, bar).distinct(), leg).groupBy("legs", bar).agg(F.count(F.lit(1)).alias("_have"))
+    return sets, have.where(F.col("_have") == F.size("legs")).select("legs", bar)
+
+
 def common_bars(legs: DataFrame, bars: DataFrame, basket: str, leg: str, bar: str = "bar") -> DataFrame:
     """Leg rows at the bars that all legs of their basket have."""
-    joined = legs.join(bars, leg)
-    wanted = legs.groupBy(basket).agg(F.count_distinct(leg).alias("_n"))
-    full = joined.groupBy(basket, bar).agg(F.count_distinct(leg).alias("_have")).join(wanted, basket).where("_have = _n").select(basket, bar)
-    return joined.join(full, [basket, bar])
+    sets, full = leg_sets(legs, bars, basket, leg, bar)
+    rows = legs.join(sets, basket).join(full, "legs").drop("legs")
+    out = rows.join(bars, [leg, bar])
+    return out.select(basket, bar, *(c for c in dict.fromkeys([*legs.columns, *bars.columns]) if c not in {basket, bar}))
 
 
 def compare_routes(prices: DataFrame, keys: list[str], route: str, price: str, rank: str) -> DataFrame:

@@ -111,7 +111,9 @@ def common_bars(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     legs = o.select(F.col("o_custkey").alias("basket"), F.col("o_orderstatus").alias("leg")).distinct()
     b = o.select(F.col("o_orderstatus").alias("leg"), F.floor(epoch_micros("o_orderdate") / 2592000000000).alias("bar")).distinct()
-    return bars.common_bars(legs, b, "basket", "leg").select("basket", "bar").distinct().groupBy("basket").agg(F.count(F.lit(1)).alias("bars"), F.min("bar").alias("first_bar"), F.max("bar").alias("last_bar"))
+    sets, full = bars.leg_sets(legs, b, "basket", "leg")
+    spans = full.groupBy("legs").agg(F.count(F.lit(1)).alias("bars"), F.min("bar").alias("first_bar"), F.max("bar").alias("last_bar"))
+    return sets.join(spans, "legs").select("basket", "bars", "first_bar", "last_bar")
 
 
 @query("""SELECT o_orderkey, CASE WHEN o_totalprice < 10000 THEN 'not_archived' WHEN o_orderstatus = 'P' THEN 'receipt_invalid' WHEN o_orderpriority = '1-URGENT' THEN 'published' WHEN o_custkey % 10 = 0 THEN 'retention_floor' END AS keep_because FROM orders""")

@@ -261,7 +261,7 @@ def fee_records(conditions: DataFrame, records: DataFrame) -> DataFrame:
 def fee_timeline(base: DataFrame, changes: DataFrame, key: str, effective: str, multiplier: str) -> DataFrame:
     """Base schedule and dated changes as validity intervals; ``conflict`` marks two values at one instant."""
     rows = base.select(key, F.lit(-1).cast("long").alias(effective), multiplier).unionByName(changes.select(key, effective, multiplier))
-    one = rows.groupBy(key, effective).agg(F.min(multiplier).alias(multiplier), (F.count_distinct(multiplier) > 1).alias("conflict"))
+    one = rows.groupBy(key, effective).agg(F.min(multiplier).alias(multiplier), F.coalesce(F.min(multiplier) < F.max(multiplier), F.lit(False)).alias("conflict"))  # no row a value
     return one.withColumn("until", F.lead(effective).over(Window.partitionBy(key).orderBy(effective)))
 
 

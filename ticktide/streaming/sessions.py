@@ -18,9 +18,10 @@ class Deliveries(StatefulProcessor):
     """Verdict of every delivery of one epoch, cause of the first of each record, and the epoch's health so far.
 
     Batch forms: ``order.identity_verdict``, then ``continuity_causes`` and ``epoch_health`` over
-    what is unseen. State: record to content hash and time of its last delivery, forgotten once the
-    watermark is ``expiry_ms`` beyond that, by one timer a day; the last counter and greatest
-    cursor; four counts. A trigger's rows of a key are put in order of seq; triggers must
+    what is unseen. State: record, content hash and time of its last delivery, forgotten once the
+    watermark is ``expiry_ms`` beyond that, by a timer at the end of the day on which the oldest is due; the
+    last counter and greatest cursor; four counts. Records are a list that is read once a trigger and
+    appended to, as each access to a state is a message to the JVM; a record's last entry counts. A trigger's rows of a key are put in order of seq; triggers must
     arrive in that order.
     """
 
@@ -29,7 +30,7 @@ class Deliveries(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.records = handle.getMapState("records", "record long", "content string, at_ms long")
+        self.records = handle.getListState("records", "record long, content string, at_ms long")
         self.seen = handle.getValueState("seen", "counter long, last long")
         self.counts = handle.getValueState("counts", "frames long, gaps long, backwards long, breaks long")
 
@@ -37,11 +38,12 @@ class Deliveries(StatefulProcessor):
         counter, last = self.seen.get() if self.seen.exists() else (None, None)
         frames, gaps, backwards, breaks = self.counts.get() if self.counts.exists() else (0, 0, 0, 0)
         out = []
+        known_before = {r: (content, at) for r, content, at in self.records.get()}
         data = pd.concat(list(rows)).sort_values("seq", kind="stable")
         times = data["at"].astype("datetime64[ms]").astype("int64")
         fresh: dict[int, tuple[str, int]] = {}
         for at, seq, record, content, c, kind, first, end, previous in zip(times, *(data[x] for x in ("seq", "record", "content", "counter", "kind", "first", "last", "previous")), strict=True):
-            held = fresh.get(record) or self.records.getValue((record,))
+            held = fresh.get(record) or known_before.get(record)
             known = held[0] if held else None
             verdict = "unseen" if known is None else "duplicate" if known == content else "conflict"
             fresh[record] = (content, int(at)) if known is None else (known, max(held[1], int(at)))
@@ -55,24 +57,41 @@ class Deliveries(StatefulProcessor):
                 gaps, backwards, breaks = gaps + (cause == "gap_proven"), backwards + (cause == "backwards"), breaks + (cause == "local_break")
             health = "stale" if gaps + backwards + breaks else "healthy" if frames else "awaiting_bootstrap"
             out.append((key[0], seq, record, verdict, cause, frames, gaps, backwards, breaks, health))
-        for record, value in fresh.items():
-            self.records.updateValue((record,), value)
-        for day in {(at + self.expiry_ms) // DAY_MS + 1 for _, at in fresh.values()}:
-            self.handle.registerTimer(day * DAY_MS)
+        _append(self.records, [(int(r), *v) for r, v in fresh.items()])
+        due = self._due(fresh)
+        if not known_before or due < self._due(known_before):  # else a timer no later than this is there
+            self.handle.registerTimer(due)
         self.seen.update((counter, last))
         self.counts.update((frames, gaps, backwards, breaks))
         yield pd.DataFrame(out, columns=[f.split()[0] for f in DELIVERIES.split(", ")])
 
+    def _due(self, records: dict[int, tuple[str, int]]) -> int:
+        """The end of the first day on which one of the records is to be forgotten."""
+        return ((min(at for _, at in records.values()) + self.expiry_ms) // DAY_MS + 1) * DAY_MS
+
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentWatermarkInMs()
-        for record in [k for k, v in self.records.iterator() if v[1] + self.expiry_ms <= now]:
-            self.records.removeKey(tuple(record))
+        held = {r: (content, at) for r, content, at in self.records.get()}
+        held = {r: v for r, v in held.items() if v[1] + self.expiry_ms > now}
+        self.records.clear()
+        if held:
+            _append(self.records, [(r, *v) for r, v in held.items()])
+            self.handle.registerTimer(self._due(held))
         yield pd.DataFrame([], columns=[f.split()[0] for f in DELIVERIES.split(", ")])
 
     def close(self) -> None:
         pass
 
 
+#: Entries of a list state in one message.
+CHUNK = 10_000
+
+
+def _append(state: Any, entries: list[tuple]) -> None:
+    for i in range(0, len(entries), CHUNK):
+        state.appendList(entries[i : i + CHUNK])
+
+
 def _cause(counter: int | None, seen: int | None, c: int, kind: str, first: int, end: int, previous: int) -> str:
     """The tests of ``order.continuity_causes``, in the same order."""
     if counter is not None and c != counter + 1:

@@ -46,7 +46,7 @@ def test_a_fee_conflict_keeps_no_row_a_value(spark):
     base = spark.createDataFrame([(1, 1.0)], "k long, m double")
     changes = spark.createDataFrame([(1, 5, 0.1), (1, 5, 0.1), (1, 7, 0.1), (1, 7, 0.2), (1, 9, None)], "k long, effective long, m double")
     out = events.fee_timeline(base, changes, "k", "effective", "m")
-    assert plan(out).count("Aggregate") == 1  # a distinct count takes two
+    assert "distinct" not in plan(out)  # a distinct count keeps a row a value
     assert [(r.effective, r.m, r.conflict, r.until) for r in out.orderBy("effective").collect()] == [(-1, 1.0, False, 5), (5, 0.1, False, 7), (7, 0.1, True, 9), (9, None, False, None)]
 
 

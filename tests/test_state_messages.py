@@ -1,8 +1,9 @@
 """A trigger's rows of a key cost a fixed number of messages to the state store, not one a row."""
 
 import pandas as pd
+from pyspark.sql import Row
 
-from ticktide.streaming import sessions
+from ticktide.streaming import sessions, windows
 
 
 class State:
@@ -47,3 +48,33 @@ def test_messages_do_not_grow_with_the_rows():
         assert len(next(processor.handleInputRows((1,), iter([rows]), None))) == n
         seen.append(handle.calls)
     assert seen[0] == seen[1] and seen[0].count("timer") == 1
+
+
+class Value(State):
+    def get(self):
+        self.calls.append("get")
+
+
+class ValueHandle(Handle):
+    def getValueState(self, name, schema):
+        return Value(self.calls)
+
+
+def test_a_book_is_one_message_each_way_and_rows_are_no_frames():
+    seen = []
+    for n in (10, 500):
+        handle, processor = ValueHandle(), windows.Books()
+        processor.init(handle)
+        rows = [Row(pos=i, kind="book" if i == 0 else "delta", price=float(i), size=1.0) for i in range(n)]
+        out = list(processor.handleInputRows((1,), iter(rows), None))
+        assert len(out) == n and tuple(out[-1]) == (1, n - 1, n, float(n), 0.0)
+        seen.append(handle.calls)
+    assert seen[0] == seen[1] == ["get", "update"]
+
+
+def test_causes_are_one_message_each_way_and_rows_are_no_frames():
+    handle, processor = ValueHandle(), windows.Continuity()
+    processor.init(handle)
+    rows = [Row(event_id=i, counter=i, kind="range", first=i, last=i, previous=None if i % 2 else i - 1) for i in range(50)]
+    out = list(processor.handleInputRows((1,), iter(reversed(rows)), None))
+    assert [r.cause for r in out] == ["bootstrap"] + ["continuous"] * 49 and handle.calls == ["get", "update"]

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 from typing import Any
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -83,17 +83,17 @@ CONTINUITY = "user_id long, event_id long, cause string"
 class Continuity(StatefulProcessor):
     """Cause of every delivery of one epoch, given in order of event_id (the batch form is continuity_causes).
 
-    State per key: last counter and greatest cursor seen, a row of fixed size.
+    State per key: last counter and greatest cursor seen, a row of fixed size, read and written once a trigger.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("seen", "counter long, last long")
 
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        counter, last = self.state.get() if self.state.exists() else (None, None)
-        data = pd.concat(list(rows)).sort_values("event_id", kind="stable")
-        causes = []
-        for c, kind, first, end, previous in zip(data["counter"], data["kind"], data["first"], data["last"], data["previous"], strict=True):
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        counter, last = self.state.get() or (None, None)
+        out = Row("user_id", "event_id", "cause")
+        for r in sorted(rows, key=lambda r: r.event_id):
+            c, kind, end = r.counter, r.kind, r.last
             if counter is not None and c != counter + 1:
                 cause = "local_break"
             elif kind in ("lifecycle", "unsequenced"):
@@ -103,13 +103,12 @@ class Continuity(StatefulProcessor):
             elif end <= last:
                 cause = "backwards"
             else:
-                cause = "gap_proven" if (first - 1 if pd.isna(previous) else previous) > last else "continuous"
-            if kind != "lifecycle" and not pd.isna(end):
-                last = int(end) if last is None else max(last, int(end))
-            counter = int(c)
-            causes.append(cause)
+                cause = "gap_proven" if (r.first - 1 if r.previous is None else r.previous) > last else "continuous"
+            if kind != "lifecycle" and end is not None:
+                last = end if last is None else max(last, end)
+            counter = c
+            yield out(key[0], r.event_id, cause)
         self.state.update((counter, last))
-        yield pd.DataFrame({"user_id": [key[0]] * len(data), "event_id": data["event_id"].to_numpy(), "cause": causes})
 
     def close(self) -> None:
         pass
@@ -118,35 +117,31 @@ class Continuity(StatefulProcessor):
 class Books(StatefulProcessor):
     """Book of one asset folded delta by delta: emits best price and depth after each position.
 
-    State: a map from (side, price) to size, as large as the ladder.
+    State: prices and sizes, as long as the ladder, in one value that is read and written once a
+    trigger; a map would be a message to the JVM a level. Nothing is kept before the first book.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.levels = handle.getMapState("levels", "price double", "size double")
-        self.live = handle.getValueState("live", "yes boolean")
-
-    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        live = self.live.exists()
-        book = {k[0]: v[0] for k, v in self.levels.iterator()} if live else {}
-        out = []
-        data = pd.concat(list(rows)).sort_values(["pos", "price"], kind="stable")
-        for pos, group in data.groupby("pos", sort=True):
-            if (group["kind"] == "book").any():
+        self.ladder = handle.getValueState("ladder", "prices array<double>, sizes array<double>")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        held = self.ladder.get()
+        live, book = held is not None, dict(zip(*held, strict=True)) if held else {}
+        out = Row("asset", "pos", "levels", "depth", "best")
+        for pos, group in groupby(sorted(rows, key=lambda r: (r.pos, r.price is None, r.price or 0.0)), key=lambda r: r.pos):
+            levels = list(group)
+            if any(r.kind == "book" for r in levels):
                 book, live = {}, True
             if not live:
                 continue
-            for price, size in zip(group["price"], group["size"], strict=True):
-                if size > 0:
-                    book[float(price)] = float(size)
+            for r in levels:
+                if r.size is not None and r.size > 0:
+                    book[r.price] = r.size
                 else:
-                    book.pop(float(price), None)
-            out.append((key[0], int(pos), len(book), float(sum(book.values())), min(book) if book else None))
+                    book.pop(r.price, None)
+            yield out(key[0], pos, len(book), sum(book.values(), 0.0), min((p for p in book if p is not None), default=None))
         if live:
-            self.live.update((True,))
-            self.levels.clear()
-            for price, size in book.items():
-                self.levels.updateValue((price,), (size,))
-        yield pd.DataFrame(out, columns=["asset", "pos", "levels", "depth", "best"])
+            self.ladder.update((list(book), list(book.values())))
 
     def close(self) -> None:
         pass
@@ -156,8 +151,11 @@ BOOKS = "asset long, pos long, levels long, depth double, best double"
 
 
 def stateful(stream: DataFrame, key: str, processor: StatefulProcessor, schema: str) -> DataFrame:
-    """One of the processors over a stream, keyed; needs the RocksDB state store."""
-    return stream.groupBy(key).transformWithStateInPandas(processor, outputStructType=schema, outputMode="append", timeMode="none")
+    """One of the processors over a stream, keyed; needs the RocksDB state store.
+
+    A key has few rows a trigger, so they are rows and not frames: two frames a key cost more than its work.
+    """
+    return stream.groupBy(key).transformWithState(processor, outputStructType=schema, outputMode="append", timeMode="none")
 
 
 def use_rocksdb(spark: SparkSession) -> None:

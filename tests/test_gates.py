@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ticktide.plans import events, gates
+from ticktide.plans import envelope_queries, events, gates
 from ticktide.sources import tape
 
 from .test_sources import envelope
@@ -69,3 +69,14 @@ def test_later_gates_fail_on_absence(spark, empty):
     assert {n for n, s in two.items() if s == "PASS"} == {"gate_1_precondition", "mismatch_recovery_is_bounded"} | (set() if empty else {"mandatory_analysis_evidence"})
     four = {r.name: r.status for r in gates.gate4(passed, none("venue string"), none("venue string, direction string, verdict string, uncensored long, p50 long, p90 long, p99 long"), none("basket long, net double"), none("basket long, estimator string, not_a_fill_claim boolean"), evidence).collect()}
     assert {n for n, s in four.items() if s == "FAIL"} == {"venue_book_state_replay", "quote_lifetime_distribution"} | ({"mandatory_execution_evidence"} if empty else set())
+
+
+def test_facts_are_gathered_once_and_segments_go_to_all_tasks(spark, sf, tmp_path):
+    lines = envelope_queries.segments(spark, sf)
+    assert lines.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    typed = events.normalize(lines.where("error IS NULL"))
+    none = lambda schema: spark.createDataFrame([], schema)
+    records = none("venue string, asset_id string, provenance string, has_rules boolean, has_fees boolean, valid boolean")
+    suite = gates.gate1(lines, typed, none("object_key string, status string"), records, none("venue string, asset_id string, created_at long"), none("metadata_digest string"))
+    assert "raw_payload" not in suite._jdf.queryExecution().optimizedPlan().toString()  # 17 checks read one row
+    assert suite.count() == 17

@@ -28,6 +28,8 @@ WHEN 5 THEN concat('{"event":"orderbookUpdate","data":{"marketSlug":"x', user_id
 WHEN 6 THEN concat('{"event_type":"market_resolved","condition_id":"m', user_id, '"}')
 ELSE CASE WHEN k < 50 THEN concat('{"event":"connection_opened","target_digest":"d","asset_ids":["a', user_id, '"],"delivers_deltas":true,"fsync_interval_seconds":1,"target_metadata_digest":"g', user_id % 3, '","clock_scope":{"scope_id":"s","comparable_across_processes":true}}')
 WHEN k >= 90 THEN '{"event":"connection_closed"}' ELSE concat('not json ', k) END END"""
+#: Lines of a segment at most.
+ROTATION = 100_000
 DAY = "CAST(CAST(at_us // 86400000000 AS BIGINT) AS STRING)"
 
 
@@ -50,8 +52,12 @@ def segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     root = f"{shared_dir(spark)}/tape-{uuid.uuid4().hex}"
     day = F.floor(F.col("at_us") / 86400000000).cast("string")
-    t.select(F.to_json(envelope).alias("value"), "lane", day.alias("date")).write.partitionBy("lane", "date").text(root)
-    lines = source.lines(source.objects(spark, root, "*.txt"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # a segment ends with its block of ids at the latest; blocks go to all tasks
+    rows = t.withColumn("date", day).repartition(n, "lane", "date", F.floor(F.col("event_id") / ROTATION))
+    rows.select(F.to_json(envelope).alias("value"), "lane", "date").write.partitionBy("lane", "date").option("maxRecordsPerFile", ROTATION).text(root)
+    # lines are read by all tasks: else as many read as the segments' bytes make partitions
+    lines = source.lines(source.objects(spark, root, "*.txt")).repartition(n)
     read = source.parsed(lines)
     return read.withColumn("lane", source.lane_of(F.col("object_key"))).withColumn("day", F.regexp_extract("object_key", "date=([^/]+)/", 1))
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import order
+from ..sources.scratch import materialize
 
 #: Fixed values of the gates: anchors and match rate that a serializer needs, the ticket, the estimator's name.
 MIN_ANCHORS, MIN_MATCH_RATE, TICKET = 100, 0.95, 100
@@ -77,30 +78,29 @@ def gate1(envelopes: DataFrame, events: DataFrame, segments: DataFrame, records:
     )
     hashes = events.where(poly & c("state_hash").isNotNull()).groupBy("state_hash").agg(F.bool_or(~F.coalesce("independent", F.lit(False))).alias("stream"), F.bool_or(F.coalesce("independent", F.lit(False))).alias("snapshot"))
     hashes = hashes.agg(n(c("stream")).alias("hashes"), n(c("stream") & c("snapshot")).alias("overlap"))
-    chain = together(seen_kinds, hashes)
     sealed = segments.agg(F.count(F.lit(1)).alias("segments"), n(~c("status").isin("sealed", "empty_but_sealed")).alias("bad"), n(c("status") == "empty_but_sealed").alias("empty"))
     ends = events.where(kind("connection_opened") | kind("connection_closed")).groupBy("lane", "connection_epoch").agg(n(kind("connection_opened")).alias("o"), n(kind("connection_closed")).alias("x"))
     closed = ends.agg(F.sum("o").alias("started"), F.sum("x").alias("closed"), n((c("o") > 0) & (c("x") < c("o"))).alias("unclosed"))
-    capture, opened_facts = together(lines, breaks, local), together(lines, connections)
-    rules = together(watched, catalogue, digests)
+    # one row of all facts, written once: checks that shared a table of facts each went through the events again
+    f = materialize(together(lines, beside, breaks, local, connections, watched.drop("subscribed"), catalogue, digests, cover, seen_kinds, hashes, sealed, closed), "facts")
     return _suite([
-        judged(together(capture, beside), "byte_and_envelope_integrity", (c("records") > 0) & (c("errors") == 0) & (c("torn") == 0) & (c("auxiliary") == 0), records=c("records"), errors=c("errors"), torn=c("torn"), auxiliary=c("auxiliary")),
-        judged(capture, "deterministic_capture_order", (c("delivery_breaks") == 0) & (c("local_breaks") == 0), lanes=c("lanes"), delivery_breaks=c("delivery_breaks"), local_breaks=c("local_breaks")),
-        judged(opened_facts, "receive_clock_provenance", (c("connections") > 0) & (c("v2") == c("records")) & (c("scoped") == c("connections")), v2_records=c("v2"), scoped=c("scoped")),
-        judged(connections, "subscription_provenance", (c("connections") > 0) & (c("complete") == c("connections")), connections=c("connections"), complete=c("complete")),
-        judged(rules, "market_rules_and_metadata", (c("n_targets") + c("with_rules") > 0) & (c("with_rules") + c("n_rules") > 0) & (c("invalid") == 0), with_rules=c("with_rules"), snapshot_rules=c("n_rules"), target_records=c("target_records"), invalid=c("invalid")),
-        digests.select(F.lit("metadata_snapshot_references").alias("name"), F.when(c("snapshots") == 0, "ADVISORY").when(c("missing") == 0, "PASS").otherwise("FAIL").alias("status"), F.create_map(F.lit("missing"), c("missing").cast("string")).alias("evidence")),
-        judged(cover, "discovery_coverage", (c("subscribed") > 0) & (c("uncovered") == 0) & (c("with_created_at") > 0), subscribed=c("subscribed"), uncovered=c("uncovered"), with_created_at=c("with_created_at")),
-        judged(chain, "polymarket_book_chain", (c("books") > 0) & (c("changes") > 0) & (c("hashes") > 0), books=c("books"), changes=c("changes"), hashes=c("hashes")),
-        judged(chain, "polymarket_recovery_anchors", (c("snapshot_books") > 0) & (c("overlap") > 0), snapshot_books=c("snapshot_books"), stream_hash_matches=c("overlap")),
-        judged(sealed, "every_segment_is_sealed", (c("segments") > 0) & (c("bad") == 0), segments=c("segments"), bad=c("bad"), empty=c("empty")),
-        judged(seen_kinds, "limitless_full_books", (c("limitless_books") > 0) & (c("limitless_broken") == 0) & (c("limitless_books") == c("limitless_complete")), books=c("limitless_books"), complete=c("limitless_complete"), broken=c("limitless_broken")),
-        judged(seen_kinds, "trade_and_fill_observability", (c("trades") > 0) & (c("trades") == c("trades_complete")), trades=c("trades"), complete=c("trades_complete")),
-        judged(seen_kinds, "reference_price_observability", (c("ticks") > 0) & (c("ticks_stamped") > 0), ticks=c("ticks"), stamped=c("ticks_stamped")),
-        judged(seen_kinds, "game_event_observability", (c("games") > 0) & (c("games_unkeyed") == 0), games=c("games"), unkeyed=c("games_unkeyed")),
-        judged(seen_kinds, "market_lifecycle_observability", None, created=c("created"), resolved=c("resolved")),
-        judged(rules, "fee_model_evidence", c("with_fees") + c("n_fees") > 0, with_fees=c("with_fees"), snapshot_fees=c("n_fees")),
-        judged(closed, "closed_capture_fixture", (c("started") > 0) & (c("unclosed") == 0), started=c("started"), closed=c("closed"), unclosed=c("unclosed")),
+        judged(f, "byte_and_envelope_integrity", (c("records") > 0) & (c("errors") == 0) & (c("torn") == 0) & (c("auxiliary") == 0), records=c("records"), errors=c("errors"), torn=c("torn"), auxiliary=c("auxiliary")),
+        judged(f, "deterministic_capture_order", (c("delivery_breaks") == 0) & (c("local_breaks") == 0), lanes=c("lanes"), delivery_breaks=c("delivery_breaks"), local_breaks=c("local_breaks")),
+        judged(f, "receive_clock_provenance", (c("connections") > 0) & (c("v2") == c("records")) & (c("scoped") == c("connections")), v2_records=c("v2"), scoped=c("scoped")),
+        judged(f, "subscription_provenance", (c("connections") > 0) & (c("complete") == c("connections")), connections=c("connections"), complete=c("complete")),
+        judged(f, "market_rules_and_metadata", (c("n_targets") + c("with_rules") > 0) & (c("with_rules") + c("n_rules") > 0) & (c("invalid") == 0), with_rules=c("with_rules"), snapshot_rules=c("n_rules"), target_records=c("target_records"), invalid=c("invalid")),
+        f.select(F.lit("metadata_snapshot_references").alias("name"), F.when(c("snapshots") == 0, "ADVISORY").when(c("missing") == 0, "PASS").otherwise("FAIL").alias("status"), F.create_map(F.lit("missing"), c("missing").cast("string")).alias("evidence")),
+        judged(f, "discovery_coverage", (c("subscribed") > 0) & (c("uncovered") == 0) & (c("with_created_at") > 0), subscribed=c("subscribed"), uncovered=c("uncovered"), with_created_at=c("with_created_at")),
+        judged(f, "polymarket_book_chain", (c("books") > 0) & (c("changes") > 0) & (c("hashes") > 0), books=c("books"), changes=c("changes"), hashes=c("hashes")),
+        judged(f, "polymarket_recovery_anchors", (c("snapshot_books") > 0) & (c("overlap") > 0), snapshot_books=c("snapshot_books"), stream_hash_matches=c("overlap")),
+        judged(f, "every_segment_is_sealed", (c("segments") > 0) & (c("bad") == 0), segments=c("segments"), bad=c("bad"), empty=c("empty")),
+        judged(f, "limitless_full_books", (c("limitless_books") > 0) & (c("limitless_broken") == 0) & (c("limitless_books") == c("limitless_complete")), books=c("limitless_books"), complete=c("limitless_complete"), broken=c("limitless_broken")),
+        judged(f, "trade_and_fill_observability", (c("trades") > 0) & (c("trades") == c("trades_complete")), trades=c("trades"), complete=c("trades_complete")),
+        judged(f, "reference_price_observability", (c("ticks") > 0) & (c("ticks_stamped") > 0), ticks=c("ticks"), stamped=c("ticks_stamped")),
+        judged(f, "game_event_observability", (c("games") > 0) & (c("games_unkeyed") == 0), games=c("games"), unkeyed=c("games_unkeyed")),
+        judged(f, "market_lifecycle_observability", None, created=c("created"), resolved=c("resolved")),
+        judged(f, "fee_model_evidence", c("with_fees") + c("n_fees") > 0, with_fees=c("with_fees"), snapshot_fees=c("n_fees")),
+        judged(f, "closed_capture_fixture", (c("started") > 0) & (c("unclosed") == 0), started=c("started"), closed=c("closed"), unclosed=c("unclosed")),
     ])
 
 
